@@ -11,6 +11,7 @@ from __future__ import annotations
 
 from typing import Sequence
 
+from pyspark import StorageLevel
 from pyspark.ml.classification import NaiveBayes, NaiveBayesModel
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import LinearRegression, LinearRegressionModel
@@ -51,6 +52,23 @@ def assemble(df: DataFrame, features: Sequence[str], out: str = "features") -> D
     return VectorAssembler(inputCols=list(features), outputCol=out).transform(clean)
 
 
+def _fit_persisted(estimator, data: DataFrame):
+    """Fit with the (small, projected) training table persisted: the
+    estimator and its training summary pass over it several times, and
+    without this each pass would recompute the whole input plan."""
+    data = data.select(*[c for c in data.columns if c in (estimator.getFeaturesCol(), estimator.getLabelCol())])
+    data = data.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        model = estimator.fit(data)
+        if hasattr(model, "summary") and getattr(model, "hasSummary", False):
+            # materialise the lazy training metrics while the data is cached
+            model.summary.rootMeanSquaredError  # noqa: B018
+            model.summary.numInstances  # noqa: B018
+        return model
+    finally:
+        data.unpersist()
+
+
 # ---------------------------------------------------------------- regression
 
 def fit_linear(train: DataFrame, features: Sequence[str], label: str, max_iter: int = 10,
@@ -58,7 +76,7 @@ def fit_linear(train: DataFrame, features: Sequence[str], label: str, max_iter:
     """Unregularised least squares with intercept (normal equations)."""
     lr = LinearRegression(featuresCol="features", labelCol=label, predictionCol=prediction_col,
                           maxIter=max_iter, regParam=0.0, elasticNetParam=0.0, solver="normal")
-    return lr.fit(assemble(train, features))
+    return _fit_persisted(lr, assemble(train, features))
 
 
 def linear_report(spark: SparkSession, model: LinearRegressionModel, features: Sequence[str],
@@ -101,7 +119,7 @@ def fit_naive_bayes(train: DataFrame, features: Sequence[str], label: str,
     magnitudes are used as given (large features dominate)."""
     nb = NaiveBayes(featuresCol="features", labelCol=label, predictionCol="prediction",
                     smoothing=smoothing, modelType="multinomial")
-    return nb.fit(assemble(train, features))
+    return _fit_persisted(nb, assemble(train, features))
 
 
 def naive_bayes_report(spark: SparkSession, model: NaiveBayesModel, features: Sequence[str],

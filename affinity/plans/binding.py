@@ -25,8 +25,10 @@ adjacency        sectioned text: each unit with its key neighbours (k-1,
 
 from __future__ import annotations
 
+import os
 from functools import cached_property
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -47,17 +49,48 @@ EXCLUDED_GROUPS = ("NATION_23", "NATION_24")
 FANOUT_UNIT = 1
 
 
+_SHARED: dict[tuple[str, str], "Binding"] = {}
+
+
+def binding_for(spark: SparkSession, root: str, keep: bool = True) -> "Binding":
+    """One binding per (Spark application, root), so every query of a
+    session reuses the same persisted edge and unit tables."""
+    key = (spark.sparkContext.applicationId, os.path.abspath(root))
+    b = _SHARED.get(key)
+    if b is None or b.spark is not spark or b.keep != keep:
+        b = Binding(spark, root, keep=keep)
+        _SHARED[key] = b
+    return b
+
+
 class Binding:
     """Lazily built, per (session, root) relations.  Nothing is computed
-    until a query runs an action."""
+    until a query runs an action.
 
-    def __init__(self, spark: SparkSession, root: str):
+    With ``keep`` the relations every analysis reuses (the edge table and
+    the unit tables) are persisted with MEMORY_AND_DISK on first use: a
+    lost executor's blocks are recomputed from lineage, and an edge table
+    larger than memory spills instead of failing.
+    """
+
+    def __init__(self, spark: SparkSession, root: str, keep: bool = True):
         self.spark = spark
         self.root = root
+        self.keep = keep
 
     def table(self, name: str) -> DataFrame:
         return read_table(self.spark, self.root, name)
 
+    def _keep(self, df: DataFrame) -> DataFrame:
+        return df.persist(StorageLevel.MEMORY_AND_DISK) if self.keep else df
+
+    def release(self) -> None:
+        """Unpersist every kept relation of this binding."""
+        for name in ("edges", "coords", "attitudes", "results", "names", "level", "rate"):
+            if name in self.__dict__:
+                self.__dict__[name].unpersist()
+                del self.__dict__[name]
+
     # ----------------------------------------------------------- edges
     @cached_property
     def incidence(self) -> DataFrame:
@@ -70,7 +103,7 @@ class Binding:
 
     @cached_property
     def edges(self) -> DataFrame:
-        return drop_self_pairs(self.raw_index)
+        return self._keep(drop_self_pairs(self.raw_index))
 
     # ----------------------------------------------------------- units
     @cached_property
@@ -86,7 +119,7 @@ class Binding:
 
     @cached_property
     def coords(self) -> DataFrame:
-        return parse_coordinates(self.centers)
+        return self._keep(parse_coordinates(self.centers))
 
     @cached_property
     def attitudes(self) -> DataFrame:
@@ -97,13 +130,13 @@ class Binding:
         links = li.join(od, "order").distinct()
         shares = [F.avg((F.col("prio") == F.lit(str(i + 1))).cast("double")).alias(name)
                   for i, name in enumerate(PRIORITIES)]
-        return links.groupBy("unit").agg(*shares)
+        return self._keep(links.groupBy("unit").agg(*shares))
 
     @cached_property
     def results(self) -> DataFrame:
         li = self.table("lineitem")
-        return li.groupBy(F.col("l_suppkey").alias("unit")).agg(
-            F.avg((F.col("l_returnflag") == F.lit("R")).cast("double")).alias("result"))
+        return self._keep(li.groupBy(F.col("l_suppkey").alias("unit")).agg(
+            F.avg((F.col("l_returnflag") == F.lit("R")).cast("double")).alias("result")))
 
     @cached_property
     def nation(self) -> DataFrame:
@@ -112,9 +145,9 @@ class Binding:
     @cached_property
     def names(self) -> DataFrame:
         s = self.table("supplier").select(F.col("s_suppkey").alias("unit"), "s_nationkey")
-        return (s.join(self.nation, s.s_nationkey == self.nation.n_nationkey)
-                .select("unit", F.concat(F.lit("Unit "), F.col("unit").cast("string")).alias("name"),
-                        F.col("n_name").alias("grp")))
+        return self._keep(s.join(self.nation, s.s_nationkey == self.nation.n_nationkey)
+                          .select("unit", F.concat(F.lit("Unit "), F.col("unit").cast("string")).alias("name"),
+                                  F.col("n_name").alias("grp")))
 
     @cached_property
     def region_names(self) -> DataFrame:
@@ -169,13 +202,13 @@ class Binding:
 
     @cached_property
     def level(self) -> DataFrame:
-        return level_by_unit(self.series, self.dictionary, self.region_names, self.names,
-                             LEVEL_YEAR, MEASURE_LEVEL, alias="level")
+        return self._keep(level_by_unit(self.series, self.dictionary, self.region_names, self.names,
+                                        LEVEL_YEAR, MEASURE_LEVEL, alias="level"))
 
     @cached_property
     def rate(self) -> DataFrame:
-        return level_by_unit(self.series, self.dictionary, self.region_names, self.names,
-                             LEVEL_YEAR, MEASURE_RATE, alias="rate")
+        return self._keep(level_by_unit(self.series, self.dictionary, self.region_names, self.names,
+                                        LEVEL_YEAR, MEASURE_RATE, alias="rate"))
 
     # ------------------------------------------------------------ text
     @cached_property
@@ -190,9 +223,9 @@ class Binding:
             F.sum(q).cast("bigint").alias("t"))
         j = agg.join(self.names, "unit")
         gap = F.abs(F.col("d") - F.col("r"))
-        hund = F.expr("(abs(d - r) * 10000) div t")  # percent in whole hundredths
+        # percent in whole hundredths, integer arithmetic
         pct = F.concat(F.expr("(abs(d - r) * 10000) div t div 100").cast("string"), F.lit("."),
-                       F.lpad((hund % 100).cast("string"), 2, "0"), F.lit("%"))
+                       F.lpad(F.expr("(abs(d - r) * 10000) div t % 100").cast("string"), 2, "0"), F.lit("%"))
         line = F.concat_ws(",",
                            F.col("unit").cast("string"), F.col("d").cast("string"),
                            F.col("r").cast("string"), F.col("t").cast("string"),

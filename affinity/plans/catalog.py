@@ -19,7 +19,8 @@ from affinity.operators import models as M
 from affinity.operators import pairs as P
 from affinity.operators import plotdata as V
 from affinity.operators import units as U
-from affinity.plans.binding import (ATTITUDE_THRESHOLD_BOUND, EXCLUDED_GROUPS, FANOUT_UNIT, Binding)
+from affinity.plans.binding import (ATTITUDE_THRESHOLD_BOUND, EXCLUDED_GROUPS, FANOUT_UNIT, Binding,
+                                     binding_for)
 from affinity.sources.results import parse_results_lines
 from affinity.sources.sectioned import parse_sections
 
@@ -43,7 +44,7 @@ def registry() -> dict[str, Query]:
 
 
 def _b(spark, root) -> Binding:
-    return Binding(spark, root)
+    return binding_for(spark, root)
 
 
 def _r(c, alias=None):

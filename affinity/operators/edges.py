@@ -12,8 +12,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from affinity.functions.geo import BOX_CONTIGUOUS, Box, in_box
+from affinity.operators.sizing import fits_broadcast
 
 SCORE_SCALE = 1_000_000_000
+# Largest unit table attached to edges by broadcast (rows).  A unit row is a
+# key plus a few doubles, so this stays in the tens of MB.  Above it, the
+# attribute join becomes a shuffle join.
+UNIT_BROADCAST_ROWS = 2_000_000
 
 
 def connectivity_index(incidence: DataFrame, group_col: str, unit_col: str,
@@ -88,19 +93,31 @@ def one_unit_fanout(edges: DataFrame, coords: DataFrame, unit, box: Box | None =
 
 
 def attach_endpoint(edges: DataFrame, units: DataFrame, end: str, suffix: str,
-                    key: str = "unit", cols: list[str] | None = None) -> DataFrame:
+                    key: str = "unit", cols: list[str] | None = None,
+                    broadcast: bool | None = None) -> DataFrame:
     """Attach a unit table to one endpoint of each edge (inner join),
-    renaming its attribute columns with ``suffix``.  The unit side is small;
-    the planner broadcasts it when its size allows, so edges do not move."""
-    cols = cols or [c for c in units.columns if c != key]
+    renaming its attribute columns with ``suffix``.
+
+    The unit side is broadcast when it is known to be small (``broadcast``
+    given by the caller, or checked here against ``UNIT_BROADCAST_ROWS``),
+    so the edge table is joined where it lies and never shuffled for
+    attributes.  A larger unit table falls back to a shuffle join.
+    """
+    cols = cols if cols is not None else [c for c in units.columns if c != key]
+    if broadcast is None:
+        broadcast = fits_broadcast(units, UNIT_BROADCAST_ROWS)
     u = units.select(F.col(key).alias(end), *[F.col(c).alias(f"{c}{suffix}") for c in cols])
-    return edges.join(u, end)
+    return edges.join(F.broadcast(u) if broadcast else u, end)
 
 
 def attach_both_endpoints(edges: DataFrame, units: DataFrame, key: str = "unit",
                           cols: list[str] | None = None) -> DataFrame:
-    """Same unit table on both endpoints: columns ``<c>1`` and ``<c>2``."""
-    return attach_endpoint(attach_endpoint(edges, units, "u1", "1", key, cols), units, "u2", "2", key, cols)
+    """Same unit table on both endpoints: columns ``<c>1`` and ``<c>2``.
+    The size check runs once for both joins."""
+    cols = cols if cols is not None else [c for c in units.columns if c != key]
+    small = fits_broadcast(units.select(key, *cols), UNIT_BROADCAST_ROWS)
+    once = attach_endpoint(edges, units, "u1", "1", key, cols, broadcast=small)
+    return attach_endpoint(once, units, "u2", "2", key, cols, broadcast=small)
 
 
 def same_group_pairs(edges: DataFrame, groups: DataFrame, group_col: str = "grp") -> DataFrame:

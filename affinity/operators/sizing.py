@@ -1,11 +1,12 @@
 """Join-side sizing.
 
-No operator hard-codes ``broadcast()``.  Spark broadcasts a side when its
-size is known to be small: statically from file sizes for scans, and at
-run time under AQE from the measured size of a finished shuffle stage.
-Larger sides fall back to shuffle joins, and AQE splits skewed partitions.
-``bounded_broadcast`` is for callers that want to force the hint, and it
-only does so after checking a row bound.
+Broadcast hints are only placed after a size check.  Joins of unit tables
+onto the (large) edge table check the unit table's row count against a
+bound and broadcast it below the bound, so edges are never shuffled for
+attributes; above the bound the join is a shuffle join.  All other joins
+are left to Spark: it broadcasts a side known to be small, statically from
+file sizes for scans and at run time under AQE from the measured size of a
+finished shuffle stage, and AQE splits skewed partitions of shuffle joins.
 """
 
 from __future__ import annotations
@@ -14,6 +15,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
+def fits_broadcast(df: DataFrame, max_rows: int) -> bool:
+    """True when ``df`` has at most ``max_rows`` rows.  Counts at most
+    ``max_rows + 1`` rows, so the check stops early on a large input."""
+    return df.limit(max_rows + 1).count() <= max_rows
+
+
 def bounded_broadcast(df: DataFrame, max_rows: int) -> DataFrame:
     """Broadcast-hint ``df`` only if it has at most ``max_rows`` rows.
 
@@ -21,5 +28,4 @@ def bounded_broadcast(df: DataFrame, max_rows: int) -> DataFrame:
     ideally already persisted.  Above the bound the plain DataFrame is
     returned and the planner picks a shuffle join.
     """
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
+    return F.broadcast(df) if fits_broadcast(df, max_rows) else df

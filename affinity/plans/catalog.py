@@ -323,7 +323,10 @@ def scatter_series(spark, root):
 
 
 def _rmse_report(spark, b: Binding, same_group: bool) -> DataFrame:
-    model = M.fit_linear(_train_pairs(b, same_group), M.FEATURES_PAIR_FULL, "sci")
+    train = _train_pairs(b, same_group)
+    if train.isEmpty():  # e.g. no same-group pairs at all: nothing to fit
+        return spark.createDataFrame([(None, 0)], "rmse double, n bigint")
+    model = M.fit_linear(train, M.FEATURES_PAIR_FULL, "sci")
     rep = M.linear_report(spark, model, M.FEATURES_PAIR_FULL, DIGITS)
     return rep.select("rmse", "n")
 

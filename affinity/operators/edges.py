@@ -21,8 +21,16 @@ SCORE_SCALE = 1_000_000_000
 UNIT_BROADCAST_ROWS = 2_000_000
 
 
+# Groups with more distinct units than this are split across tasks in the
+# pair self-join; each task then emits at most about HOT_BUCKET_UNITS^2 pairs.
+HOT_GROUP_UNITS = 20_000
+HOT_BUCKET_UNITS = 5_000
+
+
 def connectivity_index(incidence: DataFrame, group_col: str, unit_col: str,
-                       scale: float = SCORE_SCALE, include_self: bool = True) -> DataFrame:
+                       scale: float = SCORE_SCALE, include_self: bool = True,
+                       hot_group_units: int = HOT_GROUP_UNITS,
+                       hot_bucket_units: int = HOT_BUCKET_UNITS) -> DataFrame:
     """Connectivity index from raw links.
 
     ``incidence`` holds (group, unit) rows, e.g. (order, supplier): a unit
@@ -32,12 +40,19 @@ def connectivity_index(incidence: DataFrame, group_col: str, unit_col: str,
     complete published index; :func:`drop_self_pairs` removes it.
 
     Plan: distinct links (partial aggregation before the shuffle); unit
-    degrees by a partial aggregation; degrees are attached to the *links*
-    (linear size), not to the quadratic pair table; the self-join on the
-    group key reuses one exchange for both sides, and pair counts are
-    combined map-side right after the join.  A group with many units is a
-    skewed join key: AQE's skew-join splitting divides both sides of such
-    a partition, so no single task produces all of its pairs.
+    degrees by a partial aggregation, attached to the *links* (linear size),
+    not to the quadratic pair table; a self-join on the group key; pair
+    counts combined map-side right after the join.
+
+    Hot groups: a group with m units yields m^2 pairs, all from one task
+    in a plain self-join, and its input partition is small, so runtime
+    skew detection would not see it.  Groups with more than
+    ``hot_group_units`` units are therefore split: both sides are hashed
+    into S = ceil(m / hot_bucket_units) buckets by unit, each row is
+    replicated across the other side's buckets, and the join key becomes
+    (group, bucket1, bucket2).  Every pair is still produced exactly once,
+    by one of S^2 tasks.  Hot groups are found by a partial aggregation;
+    there are at most links / hot_group_units of them.
     """
     links = (incidence
              .select(F.col(group_col).alias("g"), F.col(unit_col).alias("u"))
@@ -45,9 +60,28 @@ def connectivity_index(incidence: DataFrame, group_col: str, unit_col: str,
              .distinct())
     degree = links.groupBy("u").agg(F.count(F.lit(1)).alias("n"))
     links_n = links.join(degree, "u")
-    left = links_n.select("g", F.col("u").alias("u1"), F.col("n").alias("n1"))
-    right = links_n.select("g", F.col("u").alias("u2"), F.col("n").alias("n2"))
-    pairs = left.join(right, "g")
+
+    sizes = links.groupBy("g").agg(F.count(F.lit(1)).alias("m"))
+    hot = sizes.where(F.col("m") > F.lit(hot_group_units)).select(
+        "g", F.ceil(F.col("m") / F.lit(hot_bucket_units)).cast("int").alias("s"))
+    # no hint: a small hot list is broadcast by the planner / AQE
+    tagged = links_n.join(hot, "g", "left")
+
+    # ordinary groups: plain self-join on g; both sides are the same plan,
+    # so one exchange of the links serves both
+    plain = tagged.where(F.col("s").isNull())
+    pairs = (plain.select("g", F.col("u").alias("u1"), F.col("n").alias("n1"))
+             .join(plain.select("g", F.col("u").alias("u2"), F.col("n").alias("n2")), "g"))
+
+    # hot groups: (group, bucket1, bucket2) cells, each pair in exactly one
+    split = tagged.where(F.col("s").isNotNull())
+    every = F.explode(F.sequence(F.lit(0), F.col("s") - 1))
+    bucket = F.pmod(F.xxhash64("u"), F.col("s")).cast("int")
+    left = split.select("g", F.col("u").alias("u1"), F.col("n").alias("n1"), bucket.alias("b1"), every.alias("b2"))
+    right = split.select("g", F.col("u").alias("u2"), F.col("n").alias("n2"), every.alias("b1"), bucket.alias("b2"))
+    hot_pairs = left.join(right, ["g", "b1", "b2"]).drop("b1", "b2")
+
+    pairs = pairs.unionByName(hot_pairs)
     if not include_self:
         pairs = pairs.where(F.col("u1") != F.col("u2"))
     counted = pairs.groupBy("u1", "u2", "n1", "n2").agg(F.count(F.lit(1)).alias("c"))

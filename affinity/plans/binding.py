@@ -86,7 +86,7 @@ class Binding:
 
     def release(self) -> None:
         """Unpersist every kept relation of this binding."""
-        for name in ("edges", "coords", "attitudes", "results", "names", "level", "rate"):
+        for name in ("raw_index", "coords", "attitudes", "results", "names", "level", "rate"):
             if name in self.__dict__:
                 self.__dict__[name].unpersist()
                 del self.__dict__[name]
@@ -99,11 +99,11 @@ class Binding:
 
     @cached_property
     def raw_index(self) -> DataFrame:
-        return connectivity_index(self.incidence, "order", "unit", include_self=True)
+        return self._keep(connectivity_index(self.incidence, "order", "unit", include_self=True))
 
     @cached_property
     def edges(self) -> DataFrame:
-        return self._keep(drop_self_pairs(self.raw_index))
+        return drop_self_pairs(self.raw_index)
 
     # ----------------------------------------------------------- units
     @cached_property

@@ -48,6 +48,18 @@ def test_connectivity_index_hot_group(spark):
     assert got == brute_index(links)
 
 
+def test_connectivity_index_split_hot_groups(spark):
+    # thresholds lowered so the hot-group path runs: groups 0 and 1 are hot
+    # and are split into several buckets per side
+    rnd = random.Random(9)
+    links = [(0, u) for u in range(50)] + [(1, u) for u in range(10, 45)]
+    links += [(g, rnd.randrange(50)) for g in range(2, 200) for _ in range(3)]
+    df = spark.createDataFrame(links, "g long, u long")
+    got = {(r.u1, r.u2): r.w for r in
+           connectivity_index(df, "g", "u", hot_group_units=20, hot_bucket_units=7).collect()}
+    assert got == brute_index(links)
+
+
 def test_unit_score_and_coords(spark):
     e = spark.createDataFrame([(1, 2, 10), (1, 3, 30), (2, 1, 5)], "u1 long, u2 long, w long")
     c = spark.createDataFrame([(1, 30.0, -90.0), (2, 55.0, -90.0), (3, 30.0, -90.0)], "unit long, lat double, lon double")

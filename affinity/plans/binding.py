@@ -223,16 +223,20 @@ class Binding:
             F.sum(q).cast("bigint").alias("t"))
         j = agg.join(self.names, "unit")
         gap = F.abs(F.col("d") - F.col("r"))
-        # percent in whole hundredths, integer arithmetic
-        pct = F.concat(F.expr("(abs(d - r) * 10000) div t div 100").cast("string"), F.lit("."),
-                       F.lpad(F.expr("(abs(d - r) * 10000) div t % 100").cast("string"), 2, "0"), F.lit("%"))
+        # percent in whole hundredths, integer arithmetic; a zero total gives
+        # empty fields (null after parsing) instead of a division error
+        hund = F.try_divide(gap * 10000, F.col("t")).cast("bigint")
+        pct = F.concat((hund / 100).cast("bigint").cast("string"), F.lit("."),
+                       F.lpad((hund % 100).cast("string"), 2, "0"), F.lit("%"))
+
+        def text(c):
+            return F.coalesce(c.cast("string"), F.lit(""))
         line = F.concat_ws(",",
-                           F.col("unit").cast("string"), F.col("d").cast("string"),
-                           F.col("r").cast("string"), F.col("t").cast("string"),
-                           (F.col("d") / F.col("t")).cast("string"),
-                           (F.col("r") / F.col("t")).cast("string"),
+                           text(F.col("unit")), text(F.col("d")), text(F.col("r")), text(F.col("t")),
+                           text(F.try_divide(F.col("d"), F.col("t"))),
+                           text(F.try_divide(F.col("r"), F.col("t"))),
                            F.concat(F.lit('"'), F.format_number(gap, 0), F.lit('"')),
-                           pct, F.col("grp"), F.col("name"), F.col("unit").cast("string"))
+                           text(pct), F.col("grp"), F.col("name"), text(F.col("unit")))
         return j.select(line.alias("value"))
 
     @cached_property

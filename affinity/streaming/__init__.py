@@ -1,0 +1,2 @@
+"""Streaming: the pair analyses read static tables only; there is no
+streaming source, watermark or stateful operator to provide."""

@@ -18,6 +18,13 @@ from typing import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from affinity.operators.sizing import bounded_broadcast
+
+# Pattern tables up to this many rows are broadcast (after a count), so the
+# texts and their substrings are never shuffled; larger ones are shuffled
+# on (keys, substring), where AQE splits skewed partitions.
+PATTERN_BROADCAST_ROWS = 2_000_000
+
 
 def contains_join(texts: DataFrame, patterns: DataFrame, text_col: str, pattern_col: str,
                   on: Sequence[tuple[str, str]] = ()) -> DataFrame:
@@ -40,8 +47,9 @@ def contains_join(texts: DataFrame, patterns: DataFrame, text_col: str, pattern_
                .distinct())
     t = texts.select("*", *[F.col(c).alias(k) for c, k in zip(tkeys, kn)])
     if kn:
-        # one row per (text row, pattern length present in its key group)
-        tl = t.join(lengths, kn)
+        # one row per (text row, pattern length present in its key group);
+        # at most groups x distinct lengths rows, checked before broadcast
+        tl = t.join(bounded_broadcast(lengths, PATTERN_BROADCAST_ROWS), kn)
     else:
         # no key: the distinct lengths are a handful of small integers
         # (bounded by the longest pattern), carried as a literal array
@@ -56,6 +64,6 @@ def contains_join(texts: DataFrame, patterns: DataFrame, text_col: str, pattern_
     p = patterns.select("*", *[F.col(c).alias(k) for c, k in zip(pkeys, kn)],
                         F.col(pattern_col).alias("_sub"))
     same = [a for a, b in on if a == b]
-    p = p.drop(*same)
+    p = bounded_broadcast(p.drop(*same), PATTERN_BROADCAST_ROWS)
     out = cut.join(p, kn + ["_sub"])
     return out.drop(*kn, "_sub")

@@ -86,7 +86,7 @@ class Binding:
 
     def release(self) -> None:
         """Unpersist every kept relation of this binding."""
-        for name in ("raw_index", "coords", "attitudes", "results", "names", "level", "rate"):
+        for name in ("raw_index", "series", "coords", "attitudes", "results", "names", "level", "rate"):
             if name in self.__dict__:
                 self.__dict__[name].unpersist()
                 del self.__dict__[name]
@@ -184,7 +184,9 @@ class Binding:
         rate = yearly.select(self._sid(F.col("unit"), MEASURE_RATE).alias("sid"), "year",
                              F.lit(PERIOD_ANNUAL).alias("period"),
                              (F.col("n_open") / F.col("n")).alias("value"))
-        return union_all([monthly, level, rate])
+        # kept: both unit chains and the series query read it, and filters
+        # on the derived columns cannot reach the lineitem scan anyway
+        return self._keep(union_all([monthly, level, rate]))
 
     @cached_property
     def dictionary(self) -> DataFrame:

@@ -3,7 +3,7 @@ name matching, attribute tables, and the per-unit profile."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from affinity.functions.geo import BOX_CONTIGUOUS, Box, in_box
@@ -45,21 +45,33 @@ def series_titles(values: DataFrame, dictionary: DataFrame, region_names: DataFr
     return v.join(region_names.select("srd", "state"), "srd").select("value", "title", "state")
 
 
-def match_titles(titled: DataFrame, names: DataFrame) -> DataFrame:
+def match_titles(titled: DataFrame, names: DataFrame, match: str = "all") -> DataFrame:
     """Units whose name occurs in a series title of the same state/group.
-    One unit can match several titles (``Unit 1`` is inside ``Unit 12``);
-    all matches are kept, as the inner join does."""
+
+    ``match='all'`` keeps every match, as the inner join does: one unit can
+    match several titles (``Unit 1`` is inside ``Unit 12``).  ``'longest'``
+    keeps, per title, only the matches with the longest name, which removes
+    such prefix matches.  The ranking window is partitioned by title, a
+    group holding only that title's few matches.
+    """
     n = names.select("unit", "name", F.col("grp"))
-    return contains_join(titled, n, "title", "name", on=[("state", "grp")])
+    out = contains_join(titled, n, "title", "name", on=[("state", "grp")])
+    if match == "all":
+        return out
+    if match != "longest":
+        raise ValueError("match must be 'all' or 'longest'")
+    keys = [c for c in titled.columns]
+    best = F.max(F.length("name")).over(Window.partitionBy(*keys))
+    return out.withColumn("_best", best).where(F.length("name") == F.col("_best")).drop("_best")
 
 
 def level_by_unit(values: DataFrame, dictionary: DataFrame, region_names: DataFrame,
                   names: DataFrame, year: int, measure: str = MEASURE_LEVEL,
-                  period: str = PERIOD_ANNUAL, alias: str = "level") -> DataFrame:
+                  period: str = PERIOD_ANNUAL, alias: str = "level", match: str = "all") -> DataFrame:
     """Star chain: series values -> dictionary -> region -> unit names,
     ending at ``(unit, <alias>)``."""
     titled = series_titles(series_at(values, year, period, measure), dictionary, region_names)
-    return match_titles(titled, names).select("unit", F.col("value").alias(alias))
+    return match_titles(titled, names, match).select("unit", F.col("value").alias(alias))
 
 
 def unit_profile(edges: DataFrame, coords: DataFrame, level: DataFrame, attitudes: DataFrame,

@@ -36,6 +36,7 @@ from affinity.operators.edges import connectivity_index, drop_self_pairs
 from affinity.operators.units import (MEASURE_LEVEL, MEASURE_RATE, PERIOD_ANNUAL, level_by_unit,
                                       parse_coordinates)
 from affinity.sources.delimited import union_all
+from affinity.session import ensure_checkpoint_dir
 from affinity.sources.tables import read_table
 
 # Fixed values of the binding (see FIXTURES.md §3).
@@ -47,6 +48,9 @@ LON_MULT, LON_MOD = 104729, 7500
 PRIORITIES = ("never", "rarely", "sometimes", "freq", "always")  # o_orderpriority 1..5
 EXCLUDED_GROUPS = ("NATION_23", "NATION_24")
 FANOUT_UNIT = 1
+# Set ``spark.affinity.durableIndex=true`` on a cluster to checkpoint the
+# connectivity index into spark.checkpoint.dir instead of caching it.
+DURABLE_CONF = "spark.affinity.durableIndex"
 
 
 _SHARED: dict[tuple[str, str], "Binding"] = {}
@@ -57,7 +61,8 @@ def binding_for(spark: SparkSession, root: str, keep: bool = True) -> "Binding":
     session reuses the same persisted edge and unit tables."""
     key = (spark.sparkContext.applicationId, os.path.abspath(root))
     b = _SHARED.get(key)
-    if b is None or b.spark is not spark or b.keep != keep:
+    durable = spark.conf.get(DURABLE_CONF, "false").lower() == "true"
+    if b is None or b.spark is not spark or b.keep != keep or b.durable != durable:
         b = Binding(spark, root, keep=keep)
         _SHARED[key] = b
     return b
@@ -73,10 +78,13 @@ class Binding:
     larger than memory spills instead of failing.
     """
 
-    def __init__(self, spark: SparkSession, root: str, keep: bool = True):
+    def __init__(self, spark: SparkSession, root: str, keep: bool = True, durable: bool | None = None):
         self.spark = spark
         self.root = root
         self.keep = keep
+        if durable is None:
+            durable = spark.conf.get(DURABLE_CONF, "false").lower() == "true"
+        self.durable = durable
 
     def table(self, name: str) -> DataFrame:
         return read_table(self.spark, self.root, name)
@@ -86,7 +94,10 @@ class Binding:
 
     def release(self) -> None:
         """Unpersist every kept relation of this binding."""
-        for name in ("raw_index", "series", "coords", "attitudes", "results", "names", "level", "rate"):
+        if "raw_index" in self.__dict__ and not self.durable:
+            self.__dict__["raw_index"].unpersist()
+        self.__dict__.pop("raw_index", None)
+        for name in ("series", "coords", "attitudes", "results", "names", "level", "rate"):
             if name in self.__dict__:
                 self.__dict__[name].unpersist()
                 del self.__dict__[name]
@@ -99,7 +110,13 @@ class Binding:
 
     @cached_property
     def raw_index(self) -> DataFrame:
-        return self._keep(connectivity_index(self.incidence, "order", "unit", include_self=True))
+        idx = connectivity_index(self.incidence, "order", "unit", include_self=True)
+        if self.durable:
+            # written once to the shared checkpoint folder: lineage is cut,
+            # so a lost executor never forces the self-join to run again
+            ensure_checkpoint_dir(self.spark)
+            return idx.checkpoint(eager=True)
+        return self._keep(idx)
 
     @cached_property
     def edges(self) -> DataFrame:

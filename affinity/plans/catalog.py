@@ -161,6 +161,15 @@ def title_match(spark, root):
     return U.match_titles(titled, b.names).select("unit", "sid", "title")
 
 
+@query
+def title_match_longest(spark, root):
+    """J4 with match='longest': per title, only the longest matching names."""
+    b = _b(spark, root)
+    titled = (b.dictionary.join(b.region_names, "srd")
+              .select("sid", "title", "state"))
+    return U.match_titles(titled, b.names, match="longest").select("unit", "sid", "title")
+
+
 @query
 def level_by_unit(spark, root):
     """J5 + P6 + P9: annual level per unit through the dictionary chain."""

@@ -215,6 +215,11 @@ LEFT JOIN (SELECT least(CAST(floor((CAST({col} AS DOUBLE) - {start}) / {step}) A
 
     o["title_match"] = sql("""SELECT nm.unit, d.sid, d.title FROM b_dict d JOIN b_region r ON r.srd = d.srd
   JOIN b_names nm ON nm.grp = r.state AND contains(d.title, nm.name)""")
+    o["title_match_longest"] = sql("""SELECT unit, sid, title FROM (
+  SELECT nm.unit, d.sid, d.title, length(nm.name) AS l,
+         max(length(nm.name)) OVER (PARTITION BY d.sid, d.title, r.state) AS best
+  FROM b_dict d JOIN b_region r ON r.srd = d.srd
+  JOIN b_names nm ON nm.grp = r.state AND contains(d.title, nm.name)) WHERE l = best""")
     o["level_by_unit"] = sql("SELECT unit, level FROM b_level")
     o["rate_by_unit"] = sql("SELECT unit, rate FROM b_rate")
     o["edge_level"] = sql("SELECT e.u1, e.u2, e.w, l.level FROM b_edges e JOIN b_level l ON l.unit = e.u1")

@@ -33,3 +33,24 @@ def test_index_is_symmetric(spark):
     e = b.edges
     mirrored = e.select(F.col("u2").alias("u1"), F.col("u1").alias("u2"), "w")
     assert e.exceptAll(mirrored).count() == 0
+
+
+def test_durable_index_cuts_lineage(spark):
+    from conftest import SF001
+    cached = Binding(spark, SF001, keep=False).raw_index
+    durable = Binding(spark, SF001, durable=True).raw_index
+    assert cached.exceptAll(durable).count() == 0 and durable.exceptAll(cached).count() == 0
+    plan = durable._jdf.queryExecution().optimizedPlan().toString()
+    assert "lineitem" not in plan  # read back from the checkpoint folder, not recomputed
+
+
+def test_longest_title_match_gives_one_level_per_unit(spark):
+    from affinity.operators.units import level_by_unit
+    from affinity.plans.binding import LEVEL_YEAR
+    b = Binding(spark, SF01, keep=False)
+    lv = level_by_unit(b.series, b.dictionary, b.region_names, b.names, LEVEL_YEAR, match="longest")
+    assert lv.count() == 100 and lv.select("unit").distinct().count() == 100
+    # and each unit got its own series: the level equals its own annual level
+    own = (b.series.where((F.col("year") == LEVEL_YEAR) & (F.col("period") == "M13") & F.col("sid").endswith("06"))
+           .select(F.substring("sid", 1, 6).cast("bigint").alias("unit"), F.col("value").alias("own")))
+    assert lv.join(own, "unit").where(F.col("level") != F.col("own")).count() == 0

@@ -157,13 +157,13 @@ def _nb_sql(label_expr: str, label: str, features: list[str], extra_where: str =
     s0 = " + ".join(["pi0"] + [f"d.{f} * t0_{f}" for f in features])
     s1 = " + ".join(["pi1"] + [f"d.{f} * t1_{f}" for f in features])
     # two classes: predict 1.0 only when its score is strictly larger (ties -> lower class)
-    pred = f"""nb_pred AS (SELECT d.unit, d.{label}, CASE WHEN ({s1}) > ({s0}) THEN 1.0 ELSE 0.0 END AS prediction
+    pred = f"""nb_pred AS (SELECT d.unit, d.{label}, CASE WHEN ({s1}) > ({s0}) THEN CAST(1.0 AS DOUBLE) ELSE CAST(0.0 AS DOUBLE) END AS prediction
   FROM nb_data d, nb_par1 WHERE NOT d.is_train)"""
     return [data, cls, tot, par, one, pred]
 
 
-ATT_LABEL = "CASE WHEN never + rarely + sometimes > 0.6 THEN 0.0 ELSE 1.0 END"
-CONN_LABEL = "CASE WHEN avg < (SELECT avg(w) FROM b_edges) THEN 0.0 ELSE 1.0 END"
+ATT_LABEL = "CASE WHEN never + rarely + sometimes > 0.6 THEN CAST(0.0 AS DOUBLE) ELSE CAST(1.0 AS DOUBLE) END"
+CONN_LABEL = "CASE WHEN avg < (SELECT avg(w) FROM b_edges) THEN CAST(0.0 AS DOUBLE) ELSE CAST(1.0 AS DOUBLE) END"
 ATT_F = ["avg", "level", "result"]
 CONN_F = ["level", "never", "rarely", "sometimes", "freq", "always", "result"]
 
@@ -187,7 +187,7 @@ def _oracles() -> dict[str, str]:
         "WHERE a.grp = b.grp")
     be = """SELECT {key} round(avg(CASE WHEN same THEN w END), {D}) AS avg_same,
   round(avg(CASE WHEN NOT same THEN w END), {D}) AS avg_cross,
-  count_if(same) AS n_same, count_if(NOT same) AS n_cross,
+  CAST(count_if(same) AS BIGINT) AS n_same, CAST(count_if(NOT same) AS BIGINT) AS n_cross,
   round(avg(CASE WHEN same THEN w END) / avg(CASE WHEN NOT same THEN w END), {D}) AS ratio
 FROM (SELECT e.u1, e.w, a.grp = b.grp AS same FROM b_edges e
       JOIN b_names a ON a.unit = e.u1 JOIN b_names b ON b.unit = e.u2) {group}"""
@@ -203,8 +203,9 @@ FROM (SELECT a.unit, c.lon, c.lat, a.avg AS avg_score FROM b_avg a JOIN b_box c
 
     def hist(src: str, col: str, start: float, stop: float, step: float) -> str:
         n = int(round((stop - start) / step))
-        return sql(f"""SELECT CAST(k.bucket AS INTEGER) AS bucket, {start} + k.bucket * {step} AS lo,
-  {start} + (k.bucket + 1) * {step} AS hi, CAST(coalesce(c.cnt, 0) AS BIGINT) AS count
+        return sql(f"""SELECT CAST(k.bucket AS INTEGER) AS bucket,
+  CAST({start} AS DOUBLE) + k.bucket * CAST({step} AS DOUBLE) AS lo,
+  CAST({start} AS DOUBLE) + (k.bucket + 1) * CAST({step} AS DOUBLE) AS hi, CAST(coalesce(c.cnt, 0) AS BIGINT) AS count
 FROM (SELECT range AS bucket FROM range({n})) k
 LEFT JOIN (SELECT least(CAST(floor((CAST({col} AS DOUBLE) - {start}) / {step}) AS INTEGER), {n - 1}) AS bucket,
                   count(*) AS cnt
@@ -228,8 +229,9 @@ LEFT JOIN (SELECT least(CAST(floor((CAST({col} AS DOUBLE) - {start}) / {step}) A
 FROM b_profile""")
     o["connectivity_class"] = sql(f"""SELECT unit, lon, lat, level, result, never, rarely, sometimes, freq, always,
   {CONN_LABEL} AS conn_class FROM b_profile""")
-    o["class_counts"] = sql("""SELECT count(*) AS n_rows, count_if(never + rarely + sometimes > 0.6) AS n_attitude_low,
-  count_if(avg < (SELECT avg(w) FROM b_edges)) AS n_conn_weak FROM b_profile""")
+    o["class_counts"] = sql("""SELECT count(*) AS n_rows,
+  CAST(count_if(never + rarely + sometimes > 0.6) AS BIGINT) AS n_attitude_low,
+  CAST(count_if(avg < (SELECT avg(w) FROM b_edges)) AS BIGINT) AS n_conn_weak FROM b_profile""")
     o["split_assignment"] = sql("SELECT unit, ((unit * 7919 + 104729) % 1000) < 700 AS is_train FROM b_names")
 
     o["pair_distance"] = sql(f"""SELECT e.u1, e.u2, e.w, round({km('x', 'y')}, {D}) AS dist_km

@@ -18,12 +18,16 @@ def test_every_query_has_an_oracle():
     assert len(E.queries()) >= 40
 
 
+SPARK_TO_DUCK = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR",
+                 "boolean": "BOOLEAN"}
+
+
 def _oracle(sql):
     con = duckdb.connect()
     for t in TABLES:
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF001}/{t}.parquet')")
-    res = con.execute(sql)
-    return [d[0] for d in res.description], res.fetchall()
+    rel = con.sql(sql)
+    return rel.columns, [str(t) for t in rel.types], rel.fetchall()
 
 
 def _norm(rows, cols):
@@ -38,8 +42,9 @@ def _norm(rows, cols):
 def test_query_matches_oracle_sf0001(spark, name):
     df = E.queries()[name](spark, SF001)
     rows = [tuple(r) for r in df.collect()]
-    cols, orows = _oracle(E.oracle_sql()[name])
+    cols, types, orows = _oracle(E.oracle_sql()[name])
     assert sorted(cols) == sorted(df.columns)
+    assert {c: SPARK_TO_DUCK[t] for c, t in df.dtypes} == dict(zip(cols, types))
     assert _norm(rows, df.columns) == _norm(orows, cols)
 
 

@@ -23,6 +23,24 @@ SCALE_CONF = {
 }
 
 
+def cluster_conf(input_bytes: int, target_partition_bytes: int = 256 << 20) -> dict:
+    """Suggested settings for a large cluster, sized from the input volume.
+
+    Initial shuffle partitions ~ input / 256 MB, so a partition fits an
+    executor's memory share without spilling; AQE then coalesces small
+    partitions toward the same advisory size and splits skewed ones.
+    """
+    parts = max(200, -(-int(input_bytes) // target_partition_bytes))
+    return {
+        **{k: v for k, v in SCALE_CONF.items() if not k.startswith("spark.ui")},
+        "spark.sql.shuffle.partitions": str(parts),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(4 * target_partition_bytes),
+        "spark.sql.files.maxPartitionBytes": str(2 * target_partition_bytes),
+        "spark.affinity.durableIndex": "true",
+    }
+
+
 def build_session(master: str | None = None, shuffle_partitions: int | None = None,
                   app: str = "affinity", extra: dict | None = None) -> SparkSession:
     """Session for tests and the bench.  On a cluster, use the cluster's own

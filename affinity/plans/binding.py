@@ -97,7 +97,7 @@ class Binding:
         if "raw_index" in self.__dict__ and not self.durable:
             self.__dict__["raw_index"].unpersist()
         self.__dict__.pop("raw_index", None)
-        for name in ("series", "coords", "attitudes", "results", "names", "level", "rate"):
+        for name in ("series", "monthly", "coords", "attitudes", "results", "names", "level", "rate"):
             if name in self.__dict__:
                 self.__dict__[name].unpersist()
                 del self.__dict__[name]
@@ -151,9 +151,11 @@ class Binding:
 
     @cached_property
     def results(self) -> DataFrame:
-        li = self.table("lineitem")
-        return self._keep(li.groupBy(F.col("l_suppkey").alias("unit")).agg(
-            F.avg((F.col("l_returnflag") == F.lit("R")).cast("double")).alias("result")))
+        """Share of a unit's lineitems with return flag R (null flags not
+        counted), rolled up from the monthly aggregate."""
+        m = self.monthly
+        return self._keep(m.groupBy("unit").agg(
+            F.try_divide(F.sum("n_r"), F.sum("n_flag")).alias("result")))
 
     @cached_property
     def nation(self) -> DataFrame:
@@ -178,13 +180,23 @@ class Binding:
 
     @cached_property
     def monthly(self) -> DataFrame:
+        """Everything the unit tables need from lineitem, in one scan and one
+        aggregation to (unit, year, month): series values, result shares
+        and the result text rows all roll up from it.  It holds units x
+        months rows, so it is kept."""
         li = self.table("lineitem")
-        return li.groupBy(F.col("l_suppkey").alias("unit"),
-                          F.year("l_shipdate").alias("year"),
-                          F.month("l_shipdate").alias("month")).agg(
-            F.sum("l_quantity").alias("qty"),
+        q = F.col("l_quantity")
+        is_r = F.col("l_returnflag") == F.lit("R")
+        return self._keep(li.groupBy(F.col("l_suppkey").alias("unit"),
+                                     F.year("l_shipdate").alias("year"),
+                                     F.month("l_shipdate").alias("month")).agg(
+            F.sum(q).alias("qty"),
             F.count(F.lit(1)).alias("n"),
-            F.count_if(F.col("l_linestatus") == F.lit("O")).alias("n_open"))
+            F.count_if(F.col("l_linestatus") == F.lit("O")).alias("n_open"),
+            F.count_if(is_r).alias("n_r"),
+            F.count("l_returnflag").alias("n_flag"),
+            F.sum(F.when(is_r, q).otherwise(F.lit(0.0))).alias("qty_r"),
+            F.sum(F.when(~is_r, q).otherwise(F.lit(0.0))).alias("qty_nr")))
 
     @cached_property
     def series(self) -> DataFrame:
@@ -234,12 +246,10 @@ class Binding:
     def result_lines(self) -> DataFrame:
         """Comma text rows per unit (one line each) with quoted thousands
         separators and a percent field, as a result file would hold."""
-        li = self.table("lineitem")
-        q = F.col("l_quantity")
-        agg = li.groupBy(F.col("l_suppkey").alias("unit")).agg(
-            F.sum(F.when(F.col("l_returnflag") == "R", q).otherwise(F.lit(0.0))).cast("bigint").alias("d"),
-            F.sum(F.when(F.col("l_returnflag") != "R", q).otherwise(F.lit(0.0))).cast("bigint").alias("r"),
-            F.sum(q).cast("bigint").alias("t"))
+        agg = self.monthly.groupBy("unit").agg(
+            F.sum("qty_r").cast("bigint").alias("d"),
+            F.sum("qty_nr").cast("bigint").alias("r"),
+            F.sum("qty").cast("bigint").alias("t"))
         j = agg.join(self.names, "unit")
         gap = F.abs(F.col("d") - F.col("r"))
         # percent in whole hundredths, integer arithmetic; a zero total gives

@@ -54,3 +54,8 @@ def test_longest_title_match_gives_one_level_per_unit(spark):
     own = (b.series.where((F.col("year") == LEVEL_YEAR) & (F.col("period") == "M13") & F.col("sid").endswith("06"))
            .select(F.substring("sid", 1, 6).cast("bigint").alias("unit"), F.col("value").alias("own")))
     assert lv.join(own, "unit").where(F.col("level") != F.col("own")).count() == 0
+
+
+def test_scale_sf01_edge_count(spark):
+    b = Binding(spark, "/root/testdata/sf0.1", keep=False)
+    assert b.edges.count() == 907176

@@ -268,6 +268,26 @@ class Binding:
                            text(pct), F.col("grp"), F.col("name"), text(F.col("unit")))
         return j.select(line.alias("value"))
 
+    @cached_property
+    def index_lines(self) -> DataFrame:
+        """The index, self pairs included, as tab-separated text lines (the
+        form a published index file has)."""
+        r = self.raw_index
+        return r.select(F.concat_ws("\t", F.col("u1").cast("string"), F.col("u2").cast("string"),
+                                    F.col("w").cast("string")).alias("value"))
+
+    @cached_property
+    def dictionary_lines(self) -> DataFrame:
+        """The series dictionary as padded tab-separated lines with seven
+        fields: id, area type, area code, measure, seasonal flag, region
+        code, title."""
+        d = self.dictionary
+        pad = F.lit(" ")
+        return d.select(F.concat_ws(
+            "\t", F.concat(F.col("sid"), pad), F.col("area_type"),
+            F.concat(F.lit("CN"), F.substring("sid", 1, 6)), F.substring("sid", 7, 2), F.lit("U"),
+            F.concat(pad, F.col("srd")), F.concat(F.col("title"), pad)).alias("value"))
+
     @cached_property
     def adjacency_sections(self) -> DataFrame:
         """One text section per unit: the unit and its neighbours (itself and

@@ -13,7 +13,7 @@ from typing import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from affinity.functions.color import STOPS_MEAN
+from affinity.functions.color import STOPS_MAX, STOPS_MEAN, STOPS_ONE_UNIT
 from affinity.operators import edges as E
 from affinity.operators import models as M
 from affinity.operators import pairs as P
@@ -21,6 +21,7 @@ from affinity.operators import plotdata as V
 from affinity.operators import units as U
 from affinity.plans.binding import (ATTITUDE_THRESHOLD_BOUND, EXCLUDED_GROUPS, FANOUT_UNIT, Binding,
                                      binding_for)
+from affinity.sources.delimited import parse_delimited, split_lines
 from affinity.sources.results import parse_results_lines
 from affinity.sources.sectioned import parse_sections
 
@@ -138,6 +139,22 @@ def map_color_class(spark, root):
     return pts.select("unit", "lon", "lat", "avg_score", "color_stop", _r("color_pos"))
 
 
+@query
+def map_color_max(spark, root):
+    """V1 with the maximum-score scale (D6 map data)."""
+    b = _b(spark, root)
+    pts = V.map_points(E.score_with_coords(b.edges, b.coords, how="max"), "max_score", STOPS_MAX)
+    return pts.select("unit", "lon", "lat", "max_score", "color_stop", _r("color_pos"))
+
+
+@query
+def fanout_color(spark, root):
+    """V1 with the one-unit scale (D4 map data)."""
+    b = _b(spark, root)
+    pts = V.map_points(E.one_unit_fanout(b.edges, b.coords, FANOUT_UNIT), "w", STOPS_ONE_UNIT)
+    return pts.select("u2", "lon", "lat", "w", "color_stop", _r("color_pos"))
+
+
 @query
 def hist_weight(spark, root):
     """Histogram of all pair scores."""
@@ -411,6 +428,21 @@ def connectivity_nb_accuracy(spark, root):
 
 # ------------------------------------------------------------ sources (S)
 
+@query
+def edges_from_text(spark, root):
+    """S1 + P7: index text lines read with a fixed schema, self pairs removed."""
+    lines = _b(spark, root).index_lines
+    return E.drop_self_pairs(parse_delimited(lines, "u1 bigint, u2 bigint, w bigint", sep="\t"))
+
+
+@query
+def series_dictionary_rows(spark, root):
+    """Tab-split, trimmed dictionary lines, fields 0,1,2,3,5,6."""
+    lines = _b(spark, root).dictionary_lines
+    return split_lines(lines, {"sid": 0, "area_type": 1, "area_code": 2, "measure_code": 3,
+                               "srd": 5, "title": 6})
+
+
 @query
 def adjacency_neighbors(spark, root):
     """S3: sectioned adjacency text -> (unit, name, neighbour)."""

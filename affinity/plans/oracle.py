@@ -201,6 +201,22 @@ FROM (SELECT e.u1, e.w, a.grp = b.grp AS same FROM b_edges e
              WHEN avg_score >= 0.0 THEN (avg_score - 0.0) / 1000.0 ELSE 0.0 END, {D}) AS color_pos
 FROM (SELECT a.unit, c.lon, c.lat, a.avg AS avg_score FROM b_avg a JOIN b_box c ON c.unit = a.unit)""")
 
+    def colors(value: str, stops) -> tuple[str, str]:
+        stop = "CASE " + " ".join(f"WHEN {value} >= {float(s)} THEN {i}" for i, s in reversed(list(enumerate(stops)))
+                                  if i > 0) + " ELSE 0 END"
+        pos = (f"CASE WHEN {value} >= {float(stops[-1])} THEN 1.0 "
+               + " ".join(f"WHEN {value} >= {float(lo)} THEN ({value} - {float(lo)}) / {float(hi - lo)}"
+                          for lo, hi in reversed(list(zip(stops[:-1], stops[1:]))))
+               + " ELSE 0.0 END")
+        return stop, pos
+    st, ps = colors("max_score", (50000.0, 1000000.0, 20000000.0, 30000000.0))
+    o["map_color_max"] = sql(f"""SELECT unit, lon, lat, max_score, {st} AS color_stop, round({ps}, {D}) AS color_pos
+FROM (SELECT c.unit, c.lon, c.lat, m.max_score FROM (SELECT u1 AS unit, max(w) AS max_score FROM b_edges GROUP BY u1) m
+      JOIN b_box c ON c.unit = m.unit)""")
+    st, ps = colors("w", (1.0, 10000.0, 200000.0, 5000000.0))
+    o["fanout_color"] = sql(f"""SELECT u2, lon, lat, w, {st} AS color_stop, round({ps}, {D}) AS color_pos
+FROM (SELECT e.u2, c.lon, c.lat, e.w FROM b_edges e JOIN b_box c ON c.unit = e.u2 WHERE e.u1 = 1)""")
+
     def hist(src: str, col: str, start: float, stop: float, step: float) -> str:
         n = int(round((stop - start) / step))
         return sql(f"""SELECT CAST(k.bucket AS INTEGER) AS bucket,
@@ -284,6 +300,9 @@ SELECT round(a + b * cov, {D}) AS x, round(a + b * cov, {D}) AS y, 'predicted' A
     o["attitude_nb_accuracy"] = nb_acc(ATT_LABEL, "attitude_class", ATT_F)
     o["connectivity_nb_accuracy"] = nb_acc(CONN_LABEL, "conn_class", CONN_F)
 
+    o["edges_from_text"] = sql("SELECT u1, u2, w FROM b_edges")
+    o["series_dictionary_rows"] = sql("""SELECT sid, area_type, 'CN' || substr(sid, 1, 6) AS area_code,
+  substr(sid, 7, 2) AS measure_code, srd, title FROM b_dict""")
     o["adjacency_neighbors"] = sql("""SELECT CAST(a.unit AS VARCHAR) AS unit, a.name AS unit_name, CAST(b.unit AS VARCHAR) AS neighbor
 FROM (SELECT s_suppkey AS unit, s_nationkey AS nk, 'Unit ' || CAST(s_suppkey AS VARCHAR) AS name FROM supplier) a
 JOIN (SELECT s_suppkey AS unit, s_nationkey AS nk FROM supplier) b

@@ -3,8 +3,8 @@ distributed Spark scan; the parsing is column expressions, never per-line
 Python."""
 
 from affinity.sources.delimited import (  # noqa: F401
-    read_delimited, read_strings, cast_columns, read_split_lines, read_partitioned,
-    union_all, normalize_id,
+    read_delimited, parse_delimited, read_strings, cast_columns, read_split_lines, split_lines,
+    read_partitioned, union_all, normalize_id,
 )
 from affinity.sources.sectioned import read_sections, parse_sections  # noqa: F401
 from affinity.sources.results import read_results, parse_results_lines  # noqa: F401

@@ -22,6 +22,14 @@ def read_delimited(spark: SparkSession, path: str, schema: StructType | str, sep
             .option("mode", mode).csv(path))
 
 
+def parse_delimited(lines: DataFrame, schema: str, sep: str = "\t", col: str = "value") -> DataFrame:
+    """The fixed-schema parse of :func:`read_delimited` applied to a column
+    of text lines (e.g. produced by another job): fields bind by position,
+    malformed numerics become null."""
+    rec = F.from_csv(F.col(col), schema, {"sep": sep, "mode": "PERMISSIVE"}).alias("r")
+    return lines.select(rec).select("r.*")
+
+
 def read_strings(spark: SparkSession, path: str, columns: Sequence[str], sep: str = ",",
                  header: bool = True) -> DataFrame:
     """All-string scan.  Replaces schema inference: no extra pass over the
@@ -39,8 +47,13 @@ def read_split_lines(spark: SparkSession, path: str, fields: Mapping[str, int],
                      skip_header: bool = False) -> DataFrame:
     """Line scan, split on ``sep``, trim every field, project fields by
     position (0-based).  Missing positions give null."""
-    lines = spark.read.text(path)
-    parts = F.split(F.col("value"), sep)
+    return split_lines(spark.read.text(path), fields, sep, skip_header)
+
+
+def split_lines(lines: DataFrame, fields: Mapping[str, int], sep: str = "\t",
+                skip_header: bool = False, col: str = "value") -> DataFrame:
+    """:func:`read_split_lines` on a column of text lines."""
+    parts = F.split(F.col(col), sep)
     out = lines.select(*[F.trim(F.get(parts, i)).alias(name) for name, i in fields.items()])
     if skip_header:
         first = list(fields)[0]

@@ -26,23 +26,30 @@ FEATURES_PAIR_ONE = ("cov",)
 FEATURES_PAIR_FULL = ("dist", "ur", "elec", "cov")
 
 
+def _key(col: str) -> Column:
+    """Integer key for the split: the id itself when it is numeric (also
+    numeric text such as ``01001``), else a 64-bit hash of it."""
+    c = F.col(col)
+    return F.coalesce(c.try_cast("bigint"), F.xxhash64(c))
+
+
 def hash_split(key: Column, multiplier: int, offset: int, train_below: int, modulus: int = 1000) -> Column:
     """Deterministic train/test flag from integer arithmetic on the key.
 
     ``randomSplit`` with a seed depends on the input partitioning; this rule
     does not, and any engine computes the same flag.
     """
-    return ((key * F.lit(multiplier) + F.lit(offset)) % F.lit(modulus)) < F.lit(train_below)
+    return F.pmod(key * F.lit(multiplier) + F.lit(offset), F.lit(modulus)) < F.lit(train_below)
 
 
 def unit_split(unit: str = "unit", train_below: int = 700) -> Column:
     """70/30 by default: ``(unit * 7919 + 104729) % 1000 < 700``."""
-    return hash_split(F.col(unit), 7919, 104729, train_below)
+    return hash_split(_key(unit), 7919, 104729, train_below)
 
 
 def pair_split(u1: str = "u1", u2: str = "u2", train_below: int = 800) -> Column:
     """80/20 by default: ``(u1 * 1000003 + u2 * 7919) % 1000 < 800``."""
-    return ((F.col(u1) * F.lit(1000003) + F.col(u2) * F.lit(7919)) % F.lit(1000)) < F.lit(train_below)
+    return F.pmod(_key(u1) * F.lit(1000003) + _key(u2) * F.lit(7919), F.lit(1000)) < F.lit(train_below)
 
 
 def assemble(df: DataFrame, features: Sequence[str], out: str = "features") -> DataFrame:

@@ -35,19 +35,20 @@ from pyspark.sql import functions as F
 from affinity.operators.edges import connectivity_index, drop_self_pairs
 from affinity.operators.units import (MEASURE_LEVEL, MEASURE_RATE, PERIOD_ANNUAL, level_by_unit,
                                       parse_coordinates)
-from affinity.sources.delimited import union_all
+from affinity.plans.params import TEST_TABLES
 from affinity.session import ensure_checkpoint_dir
+from affinity.sources.delimited import parse_delimited, split_lines, union_all
+from affinity.sources.results import parse_results_lines
+from affinity.sources.sectioned import parse_sections
 from affinity.sources.tables import read_table
 
-# Fixed values of the binding (see FIXTURES.md §3).
-LEVEL_YEAR = 1998
-ATTITUDE_THRESHOLD_BOUND = 0.6
+# Fixed values of the binding (see FIXTURES.md §3); analysis parameters are
+# in affinity.plans.params.TEST_TABLES.
+LEVEL_YEAR = TEST_TABLES.level_year
 NA_EVERY = 25
 LAT_MULT, LAT_MOD = 7919, 3200
 LON_MULT, LON_MOD = 104729, 7500
 PRIORITIES = ("never", "rarely", "sometimes", "freq", "always")  # o_orderpriority 1..5
-EXCLUDED_GROUPS = ("NATION_23", "NATION_24")
-FANOUT_UNIT = 1
 # Set ``spark.affinity.durableIndex=true`` on a cluster to checkpoint the
 # connectivity index into spark.checkpoint.dir instead of caching it.
 DURABLE_CONF = "spark.affinity.durableIndex"
@@ -82,6 +83,7 @@ class Binding:
         self.spark = spark
         self.root = root
         self.keep = keep
+        self.params = TEST_TABLES
         if durable is None:
             durable = spark.conf.get(DURABLE_CONF, "false").lower() == "true"
         self.durable = durable
@@ -138,6 +140,11 @@ class Binding:
     def coords(self) -> DataFrame:
         return self._keep(parse_coordinates(self.centers))
 
+    @cached_property
+    def pair_coords(self) -> DataFrame:
+        """Coordinates used for pair distances (one set of centres here)."""
+        return self.coords
+
     @cached_property
     def attitudes(self) -> DataFrame:
         li = self.table("lineitem").select(F.col("l_orderkey").alias("order"),
@@ -288,6 +295,22 @@ class Binding:
             F.concat(F.lit("CN"), F.substring("sid", 1, 6)), F.substring("sid", 7, 2), F.lit("U"),
             F.concat(pad, F.col("srd")), F.concat(F.col("title"), pad)).alias("value"))
 
+    # ------------------------------------------- text-source parses
+    def text_edges(self) -> DataFrame:
+        """The index text lines read with a fixed schema, self pairs removed
+        (the load path of a published index file)."""
+        return drop_self_pairs(parse_delimited(self.index_lines, "u1 bigint, u2 bigint, w bigint", sep="\t"))
+
+    def parsed_results(self, exclude: tuple = ()) -> DataFrame:
+        return parse_results_lines(self.result_lines, exclude_states=exclude)
+
+    def adjacency(self) -> DataFrame:
+        return parse_sections(self.adjacency_sections)
+
+    def dictionary_rows(self) -> DataFrame:
+        return split_lines(self.dictionary_lines, {"sid": 0, "area_type": 1, "area_code": 2,
+                                                   "measure_code": 3, "srd": 5, "title": 6})
+
     @cached_property
     def adjacency_sections(self) -> DataFrame:
         """One text section per unit: the unit and its neighbours (itself and

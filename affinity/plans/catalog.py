@@ -1,5 +1,14 @@
-"""Registered queries: one per operator of the analyses, each a function
-``(spark, root) -> DataFrame`` over the driver tables under ``root``.
+"""Registered queries: one per operator of the analyses.
+
+Each query body takes an *inputs* object and returns a DataFrame.  Two kinds
+of inputs provide the same relations: the binding of the driver's tables
+(:class:`affinity.plans.binding.Binding`) and the original file formats
+(:class:`affinity.plans.files.FileInputs`).  Analysis parameters (year,
+thresholds, fan-out unit, histogram edges) travel with the inputs as
+``inputs.params``.
+
+``registry()`` exposes every body as ``(spark, root) -> DataFrame`` over the
+test tables under ``root``; ``run(name, inputs)`` runs one on any inputs.
 
 Float results that come from transcendental functions, float sums or model
 fits are rounded to ``DIGITS`` decimals so that an order-insensitive value
@@ -19,33 +28,38 @@ from affinity.operators import models as M
 from affinity.operators import pairs as P
 from affinity.operators import plotdata as V
 from affinity.operators import units as U
-from affinity.plans.binding import (ATTITUDE_THRESHOLD_BOUND, EXCLUDED_GROUPS, FANOUT_UNIT, Binding,
-                                     binding_for)
-from affinity.sources.delimited import parse_delimited, split_lines
-from affinity.sources.results import parse_results_lines
-from affinity.sources.sectioned import parse_sections
+from affinity.plans.binding import binding_for
 
 DIGITS = 6
-# Histogram edges: the reference's edges for all scores; per-unit maxima
-# use a range that covers the binding's score scale.
-HIST_WEIGHT = (1000.0, 1000000.0, 1000.0)
-HIST_MAX = (0.0, 1000000.0, 10000.0)
 
+Body = Callable[[object], DataFrame]
 Query = Callable[[SparkSession, str], DataFrame]
-_REGISTRY: dict[str, Query] = {}
+_BODIES: dict[str, Body] = {}
 
 
-def query(fn: Query) -> Query:
-    _REGISTRY[fn.__name__] = fn
+def query(fn: Body) -> Body:
+    _BODIES[fn.__name__] = fn
     return fn
 
 
-def registry() -> dict[str, Query]:
-    return dict(_REGISTRY)
+def run(name: str, inputs) -> DataFrame:
+    """Run one registered query on any inputs object."""
+    return _BODIES[name](inputs)
+
+
+def names() -> list[str]:
+    return list(_BODIES)
 
 
-def _b(spark, root) -> Binding:
-    return binding_for(spark, root)
+def registry() -> dict[str, Query]:
+    """Every query as ``(spark, root) -> DataFrame`` over the test tables."""
+    def bind(body: Body) -> Query:
+        def q(spark: SparkSession, root: str) -> DataFrame:
+            return body(binding_for(spark, root))
+        q.__name__ = body.__name__
+        q.__doc__ = body.__doc__
+        return q
+    return {name: bind(body) for name, body in _BODIES.items()}
 
 
 def _r(c, alias=None):
@@ -56,75 +70,69 @@ def _r(c, alias=None):
 # ------------------------------------------------------------- edges (G, D)
 
 @query
-def connectivity_index(spark, root):
+def connectivity_index(b):
     """G1: score from raw links, diagonal included."""
-    return _b(spark, root).raw_index
+    return b.raw_index
 
 
 @query
-def edges_no_self(spark, root):
+def edges_no_self(b):
     """Self pairs removed on load."""
-    return _b(spark, root).edges
+    return b.edges
 
 
 @query
-def avg_connectivity(spark, root):
+def avg_connectivity(b):
     """Mean score per source unit."""
-    return E.unit_score(_b(spark, root).edges, "avg")
+    return E.unit_score(b.edges, "avg")
 
 
 @query
-def max_connectivity(spark, root):
+def max_connectivity(b):
     """Maximum score per source unit."""
-    return E.unit_score(_b(spark, root).edges, "max")
+    return E.unit_score(b.edges, "max")
 
 
 @query
-def avg_connectivity_coords(spark, root):
+def avg_connectivity_coords(b):
     """D5 (flagship): mean score + coordinates inside the box."""
-    b = _b(spark, root)
     return E.score_with_coords(b.edges, b.coords, how="avg")
 
 
 @query
-def max_connectivity_coords(spark, root):
+def max_connectivity_coords(b):
     """Maximum score + coordinates inside the box."""
-    b = _b(spark, root)
     return E.score_with_coords(b.edges, b.coords, how="max")
 
 
 @query
-def one_unit_fanout(spark, root):
+def one_unit_fanout(b):
     """Every partner of one unit with coordinates and score."""
-    b = _b(spark, root)
-    return E.one_unit_fanout(b.edges, b.coords, FANOUT_UNIT)
+    return E.one_unit_fanout(b.edges, b.coords, b.params.fanout_unit)
 
 
 @query
-def bbox_units(spark, root):
+def bbox_units(b):
     """P8 + S2: text coordinates parsed leniently, strict box."""
-    return U.units_in_box(_b(spark, root).coords)
+    return U.units_in_box(b.coords)
 
 
 @query
-def same_group_pairs(spark, root):
+def same_group_pairs(b):
     """Pairs inside one group."""
-    b = _b(spark, root)
     return E.same_group_pairs(b.edges, b.names)
 
 
 @query
-def border_effect(spark, root):
+def border_effect(b):
     """Own-group vs. other-group mean score per unit."""
-    b = _b(spark, root)
     out = E.border_effect(b.edges, b.names)
     return out.select("unit", _r("avg_same"), _r("avg_cross"), "n_same", "n_cross", _r("ratio"))
 
 
 @query
-def border_effect_overall(spark, root):
+def border_effect_overall(b):
     """Whole-table own-group vs. other-group mean score."""
-    b = _b(spark, root)
     out = E.border_effect_overall(b.edges, b.names)
     return out.select(_r("avg_same"), _r("avg_cross"), "n_same", "n_cross", _r("ratio"))
 
@@ -132,185 +140,177 @@ def border_effect_overall(spark, root):
 # ------------------------------------------------------ plot data (V, G5)
 
 @query
-def map_color_class(spark, root):
-    """V1: map points with colour-scale class and position."""
-    b = _b(spark, root)
+def map_color_class(b):
+    """V1: map points with colour-scale class and position (mean scale)."""
     pts = V.map_points(E.score_with_coords(b.edges, b.coords, how="avg"), "avg_score", STOPS_MEAN)
     return pts.select("unit", "lon", "lat", "avg_score", "color_stop", _r("color_pos"))
 
 
 @query
-def map_color_max(spark, root):
+def map_color_max(b):
     """V1 with the maximum-score scale (D6 map data)."""
-    b = _b(spark, root)
     pts = V.map_points(E.score_with_coords(b.edges, b.coords, how="max"), "max_score", STOPS_MAX)
     return pts.select("unit", "lon", "lat", "max_score", "color_stop", _r("color_pos"))
 
 
 @query
-def fanout_color(spark, root):
+def fanout_color(b):
     """V1 with the one-unit scale (D4 map data)."""
-    b = _b(spark, root)
-    pts = V.map_points(E.one_unit_fanout(b.edges, b.coords, FANOUT_UNIT), "w", STOPS_ONE_UNIT)
+    pts = V.map_points(E.one_unit_fanout(b.edges, b.coords, b.params.fanout_unit), "w", STOPS_ONE_UNIT)
     return pts.select("u2", "lon", "lat", "w", "color_stop", _r("color_pos"))
 
 
 @query
-def hist_weight(spark, root):
+def hist_weight(b):
     """Histogram of all pair scores."""
-    return V.histogram(_b(spark, root).edges, "w", *HIST_WEIGHT)
+    return V.histogram(b.edges, "w", *b.params.hist_weight)
 
 
 @query
-def hist_max(spark, root):
+def hist_max(b):
     """Histogram of per-unit maximum scores."""
-    return V.histogram(E.unit_score(_b(spark, root).edges, "max"), "max_score", *HIST_MAX)
+    return V.histogram(E.unit_score(b.edges, "max"), "max_score", *b.params.hist_max)
 
 
 # ------------------------------------------------------- units (J, P, D8)
 
+def _titled(b) -> DataFrame:
+    return b.dictionary.join(b.region_names, "srd").select("sid", "title", "state")
+
+
 @query
-def title_match(spark, root):
+def title_match(b):
     """Equal group and title contains the unit name (multi-matches)."""
-    b = _b(spark, root)
-    titled = (b.dictionary.join(b.region_names, "srd")
-              .select("sid", "title", "state"))
-    return U.match_titles(titled, b.names).select("unit", "sid", "title")
+    return U.match_titles(_titled(b), b.names).select("unit", "sid", "title")
 
 
 @query
-def title_match_longest(spark, root):
+def title_match_longest(b):
     """J4 with match='longest': per title, only the longest matching names."""
-    b = _b(spark, root)
-    titled = (b.dictionary.join(b.region_names, "srd")
-              .select("sid", "title", "state"))
-    return U.match_titles(titled, b.names, match="longest").select("unit", "sid", "title")
+    return U.match_titles(_titled(b), b.names, match="longest").select("unit", "sid", "title")
 
 
 @query
-def level_by_unit(spark, root):
+def level_by_unit(b):
     """J5 + P6 + P9: annual level per unit through the dictionary chain."""
-    return _b(spark, root).level
+    return b.level
 
 
 @query
-def rate_by_unit(spark, root):
+def rate_by_unit(b):
     """J5 with the rate measure."""
-    return _b(spark, root).rate
+    return b.rate
 
 
 @query
-def edge_level(spark, root):
+def edge_level(b):
     """Each edge with the level of its first endpoint."""
-    b = _b(spark, root)
     return E.attach_endpoint(b.edges, b.level, "u1", "", cols=["level"]).select("u1", "u2", "w", "level")
 
 
-def _profile(b: Binding) -> DataFrame:
+def _profile(b) -> DataFrame:
     return U.unit_profile(b.edges, b.coords, b.level, b.attitudes, b.results)
 
 
+def _conn_threshold(b):
+    t = b.params.conn_threshold
+    return b.edges.agg(F.avg("w")).scalar() if t is None else float(t)
+
+
 @query
-def unit_profile(spark, root):
+def unit_profile(b):
     """D8 + P3 + P4: per-unit profile."""
-    return _profile(_b(spark, root))
+    return _profile(b)
 
 
-def _attitude(b: Binding) -> DataFrame:
-    return U.attitude_class(_profile(b), ATTITUDE_THRESHOLD_BOUND)
+def _attitude(b) -> DataFrame:
+    return U.attitude_class(_profile(b), b.params.attitude_threshold)
 
 
-def _connectivity(b: Binding) -> DataFrame:
-    mean_w = b.edges.agg(F.avg("w")).scalar()
-    return U.connectivity_class(_profile(b), mean_w)
+def _connectivity(b) -> DataFrame:
+    return U.connectivity_class(_profile(b), _conn_threshold(b))
 
 
 @query
-def attitude_class(spark, root):
+def attitude_class(b):
     """P13 + P5: attitude label, shares dropped."""
-    return _attitude(_b(spark, root))
+    return _attitude(b)
 
 
 @query
-def connectivity_class(spark, root):
-    """P13 + P5: connectivity label (threshold = mean pair score), avg dropped."""
-    return _connectivity(_b(spark, root))
+def connectivity_class(b):
+    """P13 + P5: connectivity label, avg dropped."""
+    return _connectivity(b)
 
 
 @query
-def class_counts(spark, root):
+def class_counts(b):
     """Row count and class counts of the profile."""
-    b = _b(spark, root)
-    prof = _profile(b)
-    mean_w = b.edges.agg(F.avg("w")).scalar()
-    low = F.col("never") + F.col("rarely") + F.col("sometimes") > F.lit(ATTITUDE_THRESHOLD_BOUND)
-    return prof.agg(F.count(F.lit(1)).alias("n_rows"),
-                    F.count_if(low).alias("n_attitude_low"),
-                    F.count_if(F.col("avg") < mean_w).alias("n_conn_weak"))
+    thr = _conn_threshold(b)
+    low = F.col("never") + F.col("rarely") + F.col("sometimes") > F.lit(b.params.attitude_threshold)
+    weak = F.col("avg") < (thr if not isinstance(thr, float) else F.lit(thr))
+    return _profile(b).agg(F.count(F.lit(1)).alias("n_rows"),
+                           F.count_if(low).alias("n_attitude_low"),
+                           F.count_if(weak).alias("n_conn_weak"))
 
 
 @query
-def split_assignment(spark, root):
+def split_assignment(b):
     """M2: deterministic 70/30 unit split."""
-    return _b(spark, root).names.select("unit", M.unit_split().alias("is_train"))
+    return b.names.select("unit", M.unit_split().alias("is_train"))
 
 
 # ---------------------------------------------------------- pairs
 
-def _units_wide(b: Binding) -> DataFrame:
-    return P.wide_units(b.coords, b.rate, b.results, b.attitudes)
+def _units_wide(b) -> DataFrame:
+    return P.wide_units(b.pair_coords, b.rate, b.results, b.attitudes)
 
 
-def _features(b: Binding) -> DataFrame:
+def _features(b) -> DataFrame:
     return P.pair_features(b.edges, _units_wide(b))
 
 
 @query
-def pair_distance(spark, root):
+def pair_distance(b):
     """Great-circle km per pair."""
-    b = _b(spark, root)
-    return P.pair_distance(b.edges, b.coords).select("u1", "u2", "w", _r("dist_km"))
+    return P.pair_distance(b.edges, b.pair_coords).select("u1", "u2", "w", _r("dist_km"))
 
 
 @query
-def pair_attitude_gap(spark, root):
+def pair_attitude_gap(b):
     """|(never+rarely)(u1) - (never+rarely)(u2)|."""
-    b = _b(spark, root)
     att = b.attitudes.select("unit", (F.col("never") + F.col("rarely")).alias("att"))
     return P.pair_gap(b.edges, att, "att").select("u1", "u2", "w", _r("gap"))
 
 
 @query
-def pair_result_gap(spark, root):
+def pair_result_gap(b):
     """Result-share gap."""
-    b = _b(spark, root)
     return P.pair_gap(b.edges, b.results, "result").select("u1", "u2", "w", _r("gap"))
 
 
 @query
-def pair_rate_gap(spark, root):
+def pair_rate_gap(b):
     """Rate gap (rate per unit through the title match)."""
-    b = _b(spark, root)
     return P.pair_gap(b.edges, b.rate, "rate").select("u1", "u2", "w", _r("gap"))
 
 
 @query
-def pair_features(spark, root):
+def pair_features(b):
     """D3: regression table (wide-unit form)."""
-    f = _features(_b(spark, root))
-    return f.select("u1", "u2", _r("sci"), _r("cov"), _r("elec"), _r("dist"), _r("ur"))
+    return _features(b).select("u1", "u2", _r("sci"), _r("cov"), _r("elec"), _r("dist"), _r("ur"))
 
 
 @query
-def gap_correlation(spark, root):
+def gap_correlation(b):
     """Correlation of ln score with each gap."""
-    g = P.gap_correlation(_features(_b(spark, root)))
+    g = P.gap_correlation(_features(b))
     return g.select(*[_r(c) for c in ("corr_dist", "corr_cov", "corr_elec", "corr_ur")], "n_pairs")
 
 
 # -------------------------------------------------------- regression (M3-M6)
 
-def _train_pairs(b: Binding, same_group: bool = False) -> DataFrame:
+def _train_pairs(b, same_group: bool = False) -> DataFrame:
     f = _features(b)
     if same_group:
         grp = b.names.select("unit", "grp")
@@ -320,17 +320,15 @@ def _train_pairs(b: Binding, same_group: bool = False) -> DataFrame:
 
 
 @query
-def regression_one_coef(spark, root):
+def regression_one_coef(b):
     """M3 + M5 + G6: ln score on the attitude gap; coefficients, training RMSE."""
-    b = _b(spark, root)
     model = M.fit_linear(_train_pairs(b), M.FEATURES_PAIR_ONE, "sci")
-    return M.linear_report(spark, model, M.FEATURES_PAIR_ONE, DIGITS)
+    return M.linear_report(b.spark, model, M.FEATURES_PAIR_ONE, DIGITS)
 
 
 @query
-def regression_predictions(spark, root):
+def regression_predictions(b):
     """M6 + F11: the one-feature model applied to every pair."""
-    b = _b(spark, root)
     feats = M.FEATURES_PAIR_ONE
     model = M.fit_linear(_train_pairs(b), feats, "sci")
     pred = M.predict_linear(model, _features(b), feats)
@@ -338,9 +336,8 @@ def regression_predictions(spark, root):
 
 
 @query
-def scatter_series(spark, root):
+def scatter_series(b):
     """V2: observed and predicted ln score against the fitted linear form."""
-    b = _b(spark, root)
     feats = M.FEATURES_PAIR_ONE
     model = M.fit_linear(_train_pairs(b), feats, "sci")
     pred = M.predict_linear(model, _features(b), feats).withColumn("fx", M.linear_form(model, feats))
@@ -348,30 +345,30 @@ def scatter_series(spark, root):
     return s.select(_r("x"), _r("y"), "series")
 
 
-def _rmse_report(spark, b: Binding, same_group: bool) -> DataFrame:
+def _rmse_report(b, same_group: bool) -> DataFrame:
     train = _train_pairs(b, same_group)
     if train.isEmpty():  # e.g. no same-group pairs at all: nothing to fit
-        return spark.createDataFrame([(None, 0)], "rmse double, n bigint")
+        return b.spark.createDataFrame([(None, 0)], "rmse double, n bigint")
     model = M.fit_linear(train, M.FEATURES_PAIR_FULL, "sci")
-    rep = M.linear_report(spark, model, M.FEATURES_PAIR_FULL, DIGITS)
+    rep = M.linear_report(b.spark, model, M.FEATURES_PAIR_FULL, DIGITS)
     return rep.select("rmse", "n")
 
 
 @query
-def regression_rmse(spark, root):
+def regression_rmse(b):
     """M4 + G6: four-gap regression, training RMSE, all pairs."""
-    return _rmse_report(spark, _b(spark, root), False)
+    return _rmse_report(b, False)
 
 
 @query
-def regression_rmse_same_group(spark, root):
+def regression_rmse_same_group(b):
     """M4 + G6 + P11: four-gap regression on same-group pairs."""
-    return _rmse_report(spark, _b(spark, root), True)
+    return _rmse_report(b, True)
 
 
 # ------------------------------------------------------- naive Bayes (M7-M9)
 
-def _nb(b: Binding, which: str):
+def _nb(b, which: str):
     if which == "attitude":
         data, feats, label = _attitude(b), M.FEATURES_ATTITUDE, "attitude_class"
     else:
@@ -382,86 +379,81 @@ def _nb(b: Binding, which: str):
 
 
 @query
-def nb_params(spark, root):
+def nb_params(b):
     """M7: naive Bayes log priors and likelihoods, attitude model."""
-    model, _, feats, _ = _nb(_b(spark, root), "attitude")
-    return M.naive_bayes_report(spark, model, feats, DIGITS)
+    model, _, feats, _ = _nb(b, "attitude")
+    return M.naive_bayes_report(b.spark, model, feats, DIGITS)
 
 
 @query
-def nb_params_connectivity(spark, root):
+def nb_params_connectivity(b):
     """M7: naive Bayes parameters, connectivity model."""
-    model, _, feats, _ = _nb(_b(spark, root), "connectivity")
-    return M.naive_bayes_report(spark, model, feats, DIGITS)
+    model, _, feats, _ = _nb(b, "connectivity")
+    return M.naive_bayes_report(b.spark, model, feats, DIGITS)
 
 
-def _nb_predictions(spark, root, which):
-    model, test, feats, label = _nb(_b(spark, root), which)
+def _nb_predictions(b, which):
+    model, test, feats, label = _nb(b, which)
     return M.classify(model, test, feats).select("unit", label, "prediction")
 
 
 @query
-def attitude_nb_predictions(spark, root):
+def attitude_nb_predictions(b):
     """M8: held-out attitude predictions."""
-    return _nb_predictions(spark, root, "attitude")
+    return _nb_predictions(b, "attitude")
 
 
 @query
-def connectivity_nb_predictions(spark, root):
+def connectivity_nb_predictions(b):
     """M8: held-out connectivity predictions."""
-    return _nb_predictions(spark, root, "connectivity")
+    return _nb_predictions(b, "connectivity")
 
 
 @query
-def attitude_nb_accuracy(spark, root):
+def attitude_nb_accuracy(b):
     """M9 + G7: held-out accuracy, attitude model."""
-    return M.accuracy(_nb_predictions(spark, root, "attitude"), "attitude_class").select(
-        _r("accuracy"), "n")
+    return M.accuracy(_nb_predictions(b, "attitude"), "attitude_class").select(_r("accuracy"), "n")
 
 
 @query
-def connectivity_nb_accuracy(spark, root):
+def connectivity_nb_accuracy(b):
     """M9 + G7: held-out accuracy, connectivity model."""
-    return M.accuracy(_nb_predictions(spark, root, "connectivity"), "conn_class").select(
-        _r("accuracy"), "n")
+    return M.accuracy(_nb_predictions(b, "connectivity"), "conn_class").select(_r("accuracy"), "n")
 
 
 # ------------------------------------------------------------ sources (S)
 
 @query
-def edges_from_text(spark, root):
-    """S1 + P7: index text lines read with a fixed schema, self pairs removed."""
-    lines = _b(spark, root).index_lines
-    return E.drop_self_pairs(parse_delimited(lines, "u1 bigint, u2 bigint, w bigint", sep="\t"))
+def edges_from_text(b):
+    """S1 + P7: index text read with a fixed schema, self pairs removed."""
+    return b.text_edges()
 
 
 @query
-def series_dictionary_rows(spark, root):
+def series_dictionary_rows(b):
     """Tab-split, trimmed dictionary lines, fields 0,1,2,3,5,6."""
-    lines = _b(spark, root).dictionary_lines
-    return split_lines(lines, {"sid": 0, "area_type": 1, "area_code": 2, "measure_code": 3,
-                               "srd": 5, "title": 6})
+    return b.dictionary_rows()
 
 
 @query
-def adjacency_neighbors(spark, root):
+def adjacency_neighbors(b):
     """S3: sectioned adjacency text -> (unit, name, neighbour)."""
-    return parse_sections(_b(spark, root).adjacency_sections)
+    return b.adjacency()
 
 
 @query
-def parse_results_rows(spark, root):
+def parse_results_rows(b):
     """Comma rows with quoted thousands and percent signs."""
-    return parse_results_lines(_b(spark, root).result_lines)
+    return b.parsed_results()
 
 
 @query
-def exclude_groups(spark, root):
+def exclude_groups(b):
     """Parsed result rows without the excluded groups."""
-    return parse_results_lines(_b(spark, root).result_lines, exclude_states=EXCLUDED_GROUPS)
+    return b.parsed_results(exclude=b.params.excluded_groups)
 
 
 @query
-def union_partitions(spark, root):
-    """The long-format series as a union of its parts."""
-    return _b(spark, root).series
+def union_partitions(b):
+    """The long-format series as one relation from its parts."""
+    return b.series

@@ -128,3 +128,16 @@ def test_scatter_series_long_form(spark):
     df = spark.createDataFrame([(1.0, 2.0, 3.0)], "x double, a double, b double")
     got = sorted(tuple(r) for r in scatter_series(df, "x", {"obs": "a", "pred": "b"}).collect())
     assert got == [(1.0, 2.0, "obs"), (1.0, 3.0, "pred")]
+
+
+def test_hot_group_split_equals_plain_path_on_real_links(spark):
+    from conftest import SF01
+    li = spark.read.parquet(f"{SF01}/lineitem.parquet").select(F.col("l_orderkey").alias("g"),
+                                                                F.col("l_suppkey").alias("u"))
+    hot = spark.read.parquet(f"{SF01}/supplier.parquet").select(F.lit(-1).cast("bigint").alias("g"),
+                                                                 F.col("s_suppkey").alias("u"))
+    inc = li.unionByName(hot)  # order -1 holds every supplier: 100 units, 10,000 pairs
+    split = connectivity_index(inc, "g", "u", hot_group_units=50, hot_bucket_units=20)
+    plain = connectivity_index(inc, "g", "u", hot_group_units=10 ** 9)
+    assert split.count() == plain.count() == 10000
+    assert split.exceptAll(plain).count() == 0

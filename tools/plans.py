@@ -39,7 +39,7 @@ def walk(node, depth: int, out: list[str], expand_cache: bool = False) -> None:
     if cls in ("WholeStageCodegenExec", "InputAdapter", "ColumnarToRowExec"):
         return walk(node.child(), depth, out, expand_cache)
     out.append("  " * depth + clean(node.simpleString(20)))
-    if cls == "InMemoryTableScanExec" and expand_cache:
+    if cls == "InMemoryTableScanExec" and expand_cache and depth == 0:
         return walk(node.relation().cachedPlan(), depth + 1, out, False)
     if cls in ("InMemoryTableScanExec", "ReusedExchangeExec"):
         return
@@ -60,7 +60,8 @@ def main():
         df = reg[name](spark, sf)
         df.collect()  # execute the DataFrame's own plan, so the final plan is available
         lines: list[str] = []
-        walk(df._jdf.queryExecution().executedPlan(), 0, lines, expand_cache=(name == "connectivity_index"))
+        # a query that returns a persisted relation shows how it is built
+        walk(df._jdf.queryExecution().executedPlan(), 0, lines, expand_cache=True)
         print(f"## {name}\n\n```")
         print("\n".join(lines))
         print("```\n")

@@ -4,7 +4,6 @@ import dataclasses
 import os
 
 import pytest
-from pyspark.sql import functions as F
 
 from affinity.plans import catalog
 from affinity.plans.files import FileInputs, FilePaths

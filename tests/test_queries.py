@@ -68,7 +68,6 @@ def test_flagship_prunes_and_pushes(spark):
 
 
 def test_pair_features_never_shuffles_edges_for_attributes(spark):
-    import __spark_entry__  # noqa: F401
     from affinity.plans.catalog import registry
     df = registry()["pair_features"](spark, SF001)
     text = _plan(df)  # the plan as decided before running (no runtime re-plan)

@@ -1,7 +1,6 @@
 import os
 
 import pytest
-from pyspark.sql import functions as F
 
 from affinity.sources import (cast_columns, normalize_id, read_delimited, read_partitioned, read_results,
                               read_sections, read_split_lines, read_strings, union_all)

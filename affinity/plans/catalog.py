@@ -345,6 +345,13 @@ def scatter_series(b):
     return s.select(_r("x"), _r("y"), "series")
 
 
+@query
+def scatter_distance(b):
+    """V2: ln distance against ln score, one point per pair."""
+    s = V.scatter_series(_features(b), "dist", {"observed": "sci"})
+    return s.select(_r("x"), _r("y"), "series")
+
+
 def _rmse_report(b, same_group: bool) -> DataFrame:
     train = _train_pairs(b, same_group)
     if train.isEmpty():  # e.g. no same-group pairs at all: nothing to fit

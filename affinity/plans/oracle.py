@@ -274,6 +274,7 @@ FROM b_pf, b_one""", one)
     o["scatter_series"] = sql(f"""SELECT round(a + b * cov, {D}) AS x, round(sci, {D}) AS y, 'observed' AS series FROM b_pf, b_one
 UNION ALL
 SELECT round(a + b * cov, {D}) AS x, round(a + b * cov, {D}) AS y, 'predicted' AS series FROM b_pf, b_one""", one)
+    o["scatter_distance"] = sql(f"SELECT round(dist, {D}) AS x, round(sci, {D}) AS y, 'observed' AS series FROM b_pf")
     full = ["dist", "ur", "elec", "cov"]
     sel, ctes = _mgs_rmse("b_pf_train", full)
     o["regression_rmse"] = sql(sel, *ctes)

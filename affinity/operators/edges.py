@@ -85,7 +85,10 @@ def connectivity_index(incidence: DataFrame, group_col: str, unit_col: str,
     if not include_self:
         pairs = pairs.where(F.col("u1") != F.col("u2"))
     counted = pairs.groupBy("u1", "u2", "n1", "n2").agg(F.count(F.lit(1)).alias("c"))
-    w = F.floor(F.lit(float(scale)) * F.col("c") / (F.col("n1") * F.col("n2"))).cast("bigint")
+    # in double: n1 * n2 may exceed 64 bits for very hot units; below 2^53
+    # it equals the exact product
+    w = F.floor(F.lit(float(scale)) * F.col("c")
+                / (F.col("n1").cast("double") * F.col("n2").cast("double"))).cast("bigint")
     return counted.select("u1", "u2", w.alias("w"))
 
 
@@ -180,7 +183,7 @@ def border_effect(edges: DataFrame, groups: DataFrame, group_col: str = "grp") -
         F.count_if(same).alias("n_same"),
         F.count_if(~same).alias("n_cross"),
     )
-    return out.withColumn("ratio", F.col("avg_same") / F.col("avg_cross"))
+    return out.withColumn("ratio", F.try_divide(F.col("avg_same"), F.col("avg_cross")))
 
 
 def border_effect_overall(edges: DataFrame, groups: DataFrame, group_col: str = "grp") -> DataFrame:
@@ -193,4 +196,4 @@ def border_effect_overall(edges: DataFrame, groups: DataFrame, group_col: str =
         F.count_if(same).alias("n_same"),
         F.count_if(~same).alias("n_cross"),
     )
-    return out.withColumn("ratio", F.col("avg_same") / F.col("avg_cross"))
+    return out.withColumn("ratio", F.try_divide(F.col("avg_same"), F.col("avg_cross")))

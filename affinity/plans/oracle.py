@@ -39,7 +39,7 @@ PRELUDE = [
   WHERE l_orderkey IS NOT NULL AND l_suppkey IS NOT NULL)""",
     "b_deg AS (SELECT u, count(*) AS n FROM b_inc GROUP BY u)",
     """b_raw AS (
-  SELECT a.u AS u1, b.u AS u2, CAST(floor(1e9 * count(*) / (da.n * db.n)) AS BIGINT) AS w
+  SELECT a.u AS u1, b.u AS u2, CAST(floor(1e9 * count(*) / (CAST(da.n AS DOUBLE) * CAST(db.n AS DOUBLE))) AS BIGINT) AS w
   FROM b_inc a JOIN b_inc b ON a.g = b.g
   JOIN b_deg da ON da.u = a.u JOIN b_deg db ON db.u = b.u
   GROUP BY a.u, b.u, da.n, db.n)""",
@@ -188,7 +188,7 @@ def _oracles() -> dict[str, str]:
     be = """SELECT {key} round(avg(CASE WHEN same THEN w END), {D}) AS avg_same,
   round(avg(CASE WHEN NOT same THEN w END), {D}) AS avg_cross,
   CAST(count_if(same) AS BIGINT) AS n_same, CAST(count_if(NOT same) AS BIGINT) AS n_cross,
-  round(avg(CASE WHEN same THEN w END) / avg(CASE WHEN NOT same THEN w END), {D}) AS ratio
+  round(avg(CASE WHEN same THEN w END) / NULLIF(avg(CASE WHEN NOT same THEN w END), 0), {D}) AS ratio
 FROM (SELECT e.u1, e.w, a.grp = b.grp AS same FROM b_edges e
       JOIN b_names a ON a.unit = e.u1 JOIN b_names b ON b.unit = e.u2) {group}"""
     o["border_effect"] = sql(be.format(key="u1 AS unit,", D=D, group="GROUP BY u1"))

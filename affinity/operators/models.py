@@ -26,11 +26,14 @@ FEATURES_PAIR_ONE = ("cov",)
 FEATURES_PAIR_FULL = ("dist", "ur", "elec", "cov")
 
 
-def _key(col: str) -> Column:
-    """Integer key for the split: the id itself when it is numeric (also
-    numeric text such as ``01001``), else a 64-bit hash of it."""
+def _key(col: str, modulus: int = 1000) -> Column:
+    """Integer key for the split, reduced modulo ``modulus``: the id itself
+    when it is numeric (also numeric text such as ``01001``), else a 64-bit
+    hash of it.  Reducing first keeps the arithmetic below 64 bits for any
+    id and gives the same flag as the unreduced formula for non-negative
+    ids, since (k*m + o) mod M = ((k mod M)*m + o) mod M."""
     c = F.col(col)
-    return F.coalesce(c.try_cast("bigint"), F.xxhash64(c))
+    return F.pmod(F.coalesce(c.try_cast("bigint"), F.xxhash64(c)), F.lit(modulus))
 
 
 def hash_split(key: Column, multiplier: int, offset: int, train_below: int, modulus: int = 1000) -> Column:

@@ -84,3 +84,11 @@ def test_s7_index_and_unit_tables_persist_memory_and_disk(spark):
         assert lvl.useMemory and lvl.useDisk
     b.release()
     assert "raw_index" not in b.__dict__
+
+
+def test_split_has_no_overflow_for_large_or_text_ids(spark):
+    df = spark.createDataFrame([(9_000_000_000_000_000_000, "x-17"), (12345, "01001")], "k bigint, s string")
+    got = df.select(M.unit_split("k").alias("a"), M.unit_split("s").alias("b")).collect()
+    assert len(got) == 2
+    assert got[1].a == (((12345 * 7919) + 104729) % 1000 < 700)
+    assert got[1].b == (((1001 * 7919) + 104729) % 1000 < 700)

@@ -22,9 +22,10 @@ UNIT_BROADCAST_ROWS = 2_000_000
 
 
 # Groups with more distinct units than this are split across tasks in the
-# pair self-join; each task then emits at most about HOT_BUCKET_UNITS^2 pairs.
-HOT_GROUP_UNITS = 20_000
-HOT_BUCKET_UNITS = 5_000
+# pair self-join (a plain group emits at most HOT_GROUP_UNITS^2 = 4e6 pairs
+# from one task); a split group emits about HOT_BUCKET_UNITS^2 per task.
+HOT_GROUP_UNITS = 2_000
+HOT_BUCKET_UNITS = 1_000
 
 
 def connectivity_index(incidence: DataFrame, group_col: str, unit_col: str,

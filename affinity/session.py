@@ -61,8 +61,9 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by the cluster
-    (``spark.checkpoint.dir``).  Only when nothing is configured (tests on
-    one machine) is a scratch folder created."""
+    (``spark.checkpoint.dir``).  Only a local-mode session (tests, this
+    container) without one gets a scratch folder; on a cluster a missing
+    setting is an error, never a machine-local folder."""
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
     if current:
@@ -71,6 +72,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if conf_dir:
         sc.setCheckpointDir(conf_dir)
         return sc.getCheckpointDir() or conf_dir
+    if not sc.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder shared by the cluster")
     local = tempfile.mkdtemp(prefix="affinity-ckpt-")
     sc.setCheckpointDir(local)
     return sc.getCheckpointDir() or local

@@ -75,3 +75,11 @@ def test_pair_features_never_shuffles_edges_for_attributes(spark):
     # attributes reach both endpoints through broadcast joins of the unit table
     assert top.count("BroadcastHashJoin") >= 2
     assert "SortMergeJoin" not in top and "Exchange hashpartitioning(u" not in top
+
+
+def test_command_line_writes_parquet(spark, scratch):
+    from affinity.__main__ import main
+    out = f"{scratch}/out"
+    assert main(["--root", SF001, "--out", out, "avg_connectivity", "bbox_units"]) == 0
+    assert spark.read.parquet(f"{out}/avg_connectivity").count() == 10
+    assert spark.read.parquet(f"{out}/bbox_units").count() == 7

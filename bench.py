@@ -48,10 +48,12 @@ def main() -> None:
     names = sys.argv[1:] or HEADLINE
     spark = build_session(master=f"local[{cpus}]", shuffle_partitions=int(cpus) * 2)
     reg = registry()
-    # warm-up on smaller tables (JVM JIT, codegen caches), not timed; it
-    # uses its own binding, so nothing of the timed scale is cached
-    warm = os.path.join(os.path.dirname(sf_dir.rstrip("/")), "sf0.01")
-    if os.path.isdir(warm) and os.path.abspath(warm) != os.path.abspath(sf_dir):
+    # warm-up on the next smaller tables (JVM JIT, codegen caches), not
+    # timed; it uses its own binding, so nothing of the timed scale is cached
+    base = os.path.dirname(sf_dir.rstrip("/"))
+    smaller = {"sf0.1": "sf0.01", "sf0.01": "sf0.001"}.get(os.path.basename(sf_dir.rstrip("/")))
+    warm = os.path.join(base, smaller) if smaller else None
+    if warm and os.path.isdir(warm):
         for name in names:
             run(reg[name](spark, warm))
     times = {}

@@ -28,3 +28,35 @@ def test_gap_correlation_bounds(spark):
     row = P.gap_correlation(P.pair_features(b.edges, P.wide_units(b.coords, b.rate, b.results, b.attitudes))).first()
     for v in (row.corr_dist, row.corr_cov, row.corr_elec, row.corr_ur):
         assert -1.0 <= v <= 1.0
+
+
+def test_shuffle_fallback_equals_broadcast_path(spark, monkeypatch):
+    """Unit tables above the broadcast bound are joined by shuffle; the rows
+    are the same, and the plan then has no broadcast of the unit side."""
+    from affinity.operators import edges as E
+    from affinity.plans import catalog
+    from conftest import SF001
+    b = Binding(spark, SF001, keep=False)
+    small = catalog.run("pair_features", b)
+    monkeypatch.setattr(E, "UNIT_BROADCAST_ROWS", 3)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
+    try:
+        big = catalog.run("pair_features", Binding(spark, SF001, keep=False))
+        plan = big._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" in plan or "ShuffledHashJoin" in plan
+        assert big.count() == small.count() and big.exceptAll(small).count() == 0
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.unset("spark.sql.adaptive.autoBroadcastJoinThreshold")
+
+
+def test_contains_join_shuffle_fallback(spark, monkeypatch):
+    from affinity.operators import matching
+    from affinity.operators.units import match_titles
+    b = Binding(spark, SF01, keep=False)
+    titled = b.dictionary.join(b.region_names, "srd").select("sid", "title", "state")
+    want = match_titles(titled, b.names)
+    monkeypatch.setattr(matching, "PATTERN_BROADCAST_ROWS", 3)
+    got = match_titles(titled, b.names)
+    assert got.count() == want.count() == 206 and got.exceptAll(want).count() == 0

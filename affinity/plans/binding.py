@@ -261,8 +261,8 @@ class Binding:
         gap = F.abs(F.col("d") - F.col("r"))
         # percent in whole hundredths, integer arithmetic; a zero total gives
         # empty fields (null after parsing) instead of a division error
-        hund = F.try_divide(gap * 10000, F.col("t")).cast("bigint")
-        pct = F.concat((hund / 100).cast("bigint").cast("string"), F.lit("."),
+        hund = F.when(F.col("t") != 0, F.expr("(abs(d - r) * 10000) div t"))
+        pct = F.concat(F.floor(hund / 100).cast("string"), F.lit("."),
                        F.lpad((hund % 100).cast("string"), 2, "0"), F.lit("%"))
 
         def text(c):

@@ -22,8 +22,8 @@ from pyspark.sql.types import DoubleType, LongType, StructField, StructType
 # Feature sets of the reference's models.
 FEATURES_ATTITUDE = ("avg", "level", "result")
 FEATURES_CONNECTIVITY = ("level", "never", "rarely", "sometimes", "freq", "always", "result")
-FEATURES_PAIR_ONE = ("cov",)
-FEATURES_PAIR_FULL = ("dist", "ur", "elec", "cov")
+FEATURES_PAIR_ONE = ("gap_att",)
+FEATURES_PAIR_FULL = ("ln_km", "gap_rate", "gap_result", "gap_att")
 
 
 def _key(col: str, modulus: int = 1000) -> Column:

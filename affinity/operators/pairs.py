@@ -52,9 +52,9 @@ def wide_units(coords: DataFrame, rate: DataFrame, results: DataFrame, attitude:
 def pair_features(edges: DataFrame, units: DataFrame) -> DataFrame:
     """Regression table keyed by (u1, u2)::
 
-        sci  = ln(w)                 dist = ln(great-circle km)
-        cov  = |att1 - att2|         elec = |result1 - result2|
-        ur   = |rate1 - rate2|
+        ln_w       = ln(w)             ln_km      = ln(great-circle km)
+        gap_att    = |att1 - att2|     gap_result = |result1 - result2|
+        gap_rate   = |rate1 - rate2|
 
     Pairs with w <= 0 or distance 0 have no logarithm and are dropped.
     """
@@ -62,13 +62,13 @@ def pair_features(edges: DataFrame, units: DataFrame) -> DataFrame:
     km = great_circle_km("lat1", "lon1", "lat2", "lon2")
     out = p.select(
         "u1", "u2",
-        safe_ln(F.col("w")).alias("sci"),
-        F.abs(F.col("att1") - F.col("att2")).alias("cov"),
-        F.abs(F.col("result1") - F.col("result2")).alias("elec"),
-        safe_ln(km).alias("dist"),
-        F.abs(F.col("rate1") - F.col("rate2")).alias("ur"),
+        safe_ln(F.col("w")).alias("ln_w"),
+        F.abs(F.col("att1") - F.col("att2")).alias("gap_att"),
+        F.abs(F.col("result1") - F.col("result2")).alias("gap_result"),
+        safe_ln(km).alias("ln_km"),
+        F.abs(F.col("rate1") - F.col("rate2")).alias("gap_rate"),
     )
-    return out.where(F.col("sci").isNotNull() & F.col("dist").isNotNull())
+    return out.where(F.col("ln_w").isNotNull() & F.col("ln_km").isNotNull())
 
 
 def pair_features_chain(edges: DataFrame, coords: DataFrame, rate: DataFrame, results: DataFrame,
@@ -76,19 +76,20 @@ def pair_features_chain(edges: DataFrame, coords: DataFrame, rate: DataFrame, re
     """The reference's shape: four edge-sized relations joined on (u1, u2).
     Same rows as :func:`pair_features` for unique edge pairs; kept only to
     test that equivalence (it shuffles edges three times)."""
-    d = pair_distance(edges, coords).select("u1", "u2", "w", safe_ln("dist_km").alias("dist"))
-    ur = pair_gap(edges, rate, "rate", "ur").select("u1", "u2", "ur")
-    el = pair_gap(edges, results, "result", "elec").select("u1", "u2", "elec")
+    d = pair_distance(edges, coords).select("u1", "u2", "w", safe_ln("dist_km").alias("ln_km"))
+    ur = pair_gap(edges, rate, "rate", "gap_rate").select("u1", "u2", "gap_rate")
+    el = pair_gap(edges, results, "result", "gap_result").select("u1", "u2", "gap_result")
     att = attitude.select("unit", (F.col("never") + F.col("rarely")).alias("att"))
-    cv = pair_gap(edges, att, "att", "cov").select("u1", "u2", "cov")
+    cv = pair_gap(edges, att, "att", "gap_att").select("u1", "u2", "gap_att")
     j = d.join(ur, ["u1", "u2"]).join(el, ["u1", "u2"]).join(cv, ["u1", "u2"])
-    return (j.select("u1", "u2", safe_ln("w").alias("sci"), "cov", "elec", "dist", "ur")
-            .where(F.col("sci").isNotNull() & F.col("dist").isNotNull()))
+    return (j.select("u1", "u2", safe_ln("w").alias("ln_w"), "gap_att", "gap_result", "ln_km", "gap_rate")
+            .where(F.col("ln_w").isNotNull() & F.col("ln_km").isNotNull()))
 
 
-def gap_correlation(features: DataFrame, target: str = "sci",
+def gap_correlation(features: DataFrame, target: str = "ln_w",
                     gaps: Mapping[str, str] | None = None) -> DataFrame:
     """Pearson correlation of the target with each gap, one row."""
-    gaps = gaps or {"corr_dist": "dist", "corr_cov": "cov", "corr_elec": "elec", "corr_ur": "ur"}
+    gaps = gaps or {"corr_ln_km": "ln_km", "corr_gap_att": "gap_att", "corr_gap_result": "gap_result",
+                    "corr_gap_rate": "gap_rate"}
     return features.agg(*[F.corr(target, c).alias(a) for a, c in gaps.items()],
                         F.count(F.lit(1)).alias("n_pairs"))

@@ -298,14 +298,14 @@ def pair_rate_gap(b):
 @query
 def pair_features(b):
     """D3: regression table (wide-unit form)."""
-    return _features(b).select("u1", "u2", _r("sci"), _r("cov"), _r("elec"), _r("dist"), _r("ur"))
+    return _features(b).select("u1", "u2", _r("ln_w"), _r("gap_att"), _r("gap_result"), _r("ln_km"), _r("gap_rate"))
 
 
 @query
 def gap_correlation(b):
     """Correlation of ln score with each gap."""
     g = P.gap_correlation(_features(b))
-    return g.select(*[_r(c) for c in ("corr_dist", "corr_cov", "corr_elec", "corr_ur")], "n_pairs")
+    return g.select(*[_r(c) for c in ("corr_ln_km", "corr_gap_att", "corr_gap_result", "corr_gap_rate")], "n_pairs")
 
 
 # -------------------------------------------------------- regression (M3-M6)
@@ -322,7 +322,7 @@ def _train_pairs(b, same_group: bool = False) -> DataFrame:
 @query
 def regression_one_coef(b):
     """M3 + M5 + G6: ln score on the attitude gap; coefficients, training RMSE."""
-    model = M.fit_linear(_train_pairs(b), M.FEATURES_PAIR_ONE, "sci")
+    model = M.fit_linear(_train_pairs(b), M.FEATURES_PAIR_ONE, "ln_w")
     return M.linear_report(b.spark, model, M.FEATURES_PAIR_ONE, DIGITS)
 
 
@@ -330,25 +330,25 @@ def regression_one_coef(b):
 def regression_predictions(b):
     """M6 + F11: the one-feature model applied to every pair."""
     feats = M.FEATURES_PAIR_ONE
-    model = M.fit_linear(_train_pairs(b), feats, "sci")
+    model = M.fit_linear(_train_pairs(b), feats, "ln_w")
     pred = M.predict_linear(model, _features(b), feats)
-    return pred.select("u1", "u2", _r("sci"), _r("prediction"))
+    return pred.select("u1", "u2", _r("ln_w"), _r("prediction"))
 
 
 @query
 def scatter_series(b):
     """V2: observed and predicted ln score against the fitted linear form."""
     feats = M.FEATURES_PAIR_ONE
-    model = M.fit_linear(_train_pairs(b), feats, "sci")
+    model = M.fit_linear(_train_pairs(b), feats, "ln_w")
     pred = M.predict_linear(model, _features(b), feats).withColumn("fx", M.linear_form(model, feats))
-    s = V.scatter_series(pred, "fx", {"observed": "sci", "predicted": "prediction"})
+    s = V.scatter_series(pred, "fx", {"observed": "ln_w", "predicted": "prediction"})
     return s.select(_r("x"), _r("y"), "series")
 
 
 @query
 def scatter_distance(b):
     """V2: ln distance against ln score, one point per pair."""
-    s = V.scatter_series(_features(b), "dist", {"observed": "sci"})
+    s = V.scatter_series(_features(b), "ln_km", {"observed": "ln_w"})
     return s.select(_r("x"), _r("y"), "series")
 
 
@@ -356,7 +356,7 @@ def _rmse_report(b, same_group: bool) -> DataFrame:
     train = _train_pairs(b, same_group)
     if train.isEmpty():  # e.g. no same-group pairs at all: nothing to fit
         return b.spark.createDataFrame([(None, 0)], "rmse double, n bigint")
-    model = M.fit_linear(train, M.FEATURES_PAIR_FULL, "sci")
+    model = M.fit_linear(train, M.FEATURES_PAIR_FULL, "ln_w")
     rep = M.linear_report(b.spark, model, M.FEATURES_PAIR_FULL, DIGITS)
     return rep.select("rmse", "n")
 

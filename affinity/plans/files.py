@@ -5,7 +5,7 @@ and gets the relations every registered query needs, under the same
 attribute names as the test-table binding:
 
 =====================  ====================================================
-edges                  tab file ``fips1, fips2, sci`` (header), self pairs
+edges                  tab file ``fips1, fips2, score`` (header), self pairs
                        removed on load
 coords / pair_coords   centers CSV (header): ``clat10/clon10`` for maps,
                        ``pclat10/pclon10`` (population centres) for distances;
@@ -15,8 +15,8 @@ attitudes              comma file ``fp, never, rarely, sometimes, freq,
 results / names        result rows with quoted thousands (groups in
                        ``excluded_groups`` dropped) joined to the state
                        name table: unit -> (county name, full state)
-series                 all ``la.data.*`` files in one scan (tab, header)
-dictionary             ``la.series`` lines, tab-split and trimmed
+series                 all series value files in one scan (tab, header)
+dictionary             series dictionary lines, tab-split and trimmed
 region_names           ``srd -> state`` table (tab, header)
 adjacency              sectioned adjacency text
 =====================  ====================================================
@@ -40,7 +40,7 @@ from affinity.plans.params import REFERENCE, Params
 from affinity.sources import (normalize_id, read_delimited, read_partitioned, read_results, read_sections,
                               read_split_lines)
 
-EDGE_SCHEMA = "fips1 string, fips2 string, sci bigint"
+EDGE_SCHEMA = "fips1 string, fips2 string, score bigint"
 ATTITUDE_SCHEMA = "fp string, never double, rarely double, sometimes double, freq double, always double"
 SERIES_SCHEMA = "sid string, year int, period string, value double, footnotes string"
 SERIES_FIELDS = {"sid": 0, "area_type": 1, "area_code": 2, "measure_code": 3, "srd": 5, "title": 6}
@@ -53,7 +53,7 @@ class FilePaths:
     attitudes: str
     results: str
     series_dictionary: str
-    series_values: str            # a glob such as ".../la.data.*" or one folder
+    series_values: str            # a glob over the series value files, or one folder
     region_states: str            # srd -> state name
     state_names: str              # full state name -> abbreviation
     adjacency: str | None = None
@@ -79,7 +79,7 @@ class FileInputs:
     def raw_index(self) -> DataFrame:
         e = read_delimited(self.spark, self.paths.edges, EDGE_SCHEMA, sep="\t")
         return self._keep(e.select(self._id("fips1").alias("u1"), self._id("fips2").alias("u2"),
-                                   F.col("sci").alias("w")))
+                                   F.col("score").alias("w")))
 
     @cached_property
     def edges(self) -> DataFrame:

@@ -94,8 +94,8 @@ PRELUDE = [
   FROM b_coords c JOIN b_rate r ON r.unit = c.unit JOIN b_res s ON s.unit = c.unit JOIN b_att a ON a.unit = c.unit
   WHERE c.lat IS NOT NULL AND c.lon IS NOT NULL)""",
     f"""b_pf AS (
-  SELECT e.u1, e.u2, ln(e.w) AS sci, abs(x.att - y.att) AS cov, abs(x.result - y.result) AS elec,
-         ln({km('x', 'y')}) AS dist, abs(x.rate - y.rate) AS ur
+  SELECT e.u1, e.u2, ln(e.w) AS ln_w, abs(x.att - y.att) AS gap_att, abs(x.result - y.result) AS gap_result,
+         ln({km('x', 'y')}) AS ln_km, abs(x.rate - y.rate) AS gap_rate
   FROM b_edges e JOIN b_wide x ON x.unit = e.u1 JOIN b_wide y ON y.unit = e.u2
   WHERE e.w > 0 AND {km('x', 'y')} > 0)""",
     "b_pf_train AS (SELECT * FROM b_pf WHERE ((u1 * 1000003 + u2 * 7919) % 1000) < 800)",
@@ -120,7 +120,7 @@ def _lines_cte() -> str:
   JOIN b_names nm ON nm.unit = q.unit)"""
 
 
-def _mgs_rmse(source: str, features: list[str], y: str = "sci") -> tuple[str, list[str]]:
+def _mgs_rmse(source: str, features: list[str], y: str = "ln_w") -> tuple[str, list[str]]:
     """Training RMSE of least squares with intercept via modified
     Gram-Schmidt: centre, then residualise the remaining columns on each
     orthogonal direction in turn; what is left of y is the residual."""
@@ -259,23 +259,23 @@ FROM b_edges e JOIN b_att x ON x.unit = e.u1 JOIN b_att y ON y.unit = e.u2""")
 FROM b_edges e JOIN b_res x ON x.unit = e.u1 JOIN b_res y ON y.unit = e.u2""")
     o["pair_rate_gap"] = sql(f"""SELECT e.u1, e.u2, e.w, round(abs(x.rate - y.rate), {D}) AS gap
 FROM b_edges e JOIN b_rate x ON x.unit = e.u1 JOIN b_rate y ON y.unit = e.u2""")
-    o["pair_features"] = sql(f"""SELECT u1, u2, round(sci, {D}) AS sci, round(cov, {D}) AS cov, round(elec, {D}) AS elec,
-  round(dist, {D}) AS dist, round(ur, {D}) AS ur FROM b_pf""")
-    o["gap_correlation"] = sql(f"""SELECT round(corr(sci, dist), {D}) AS corr_dist, round(corr(sci, cov), {D}) AS corr_cov,
-  round(corr(sci, elec), {D}) AS corr_elec, round(corr(sci, ur), {D}) AS corr_ur, count(*) AS n_pairs FROM b_pf""")
+    o["pair_features"] = sql(f"""SELECT u1, u2, round(ln_w, {D}) AS ln_w, round(gap_att, {D}) AS gap_att, round(gap_result, {D}) AS gap_result,
+  round(ln_km, {D}) AS ln_km, round(gap_rate, {D}) AS gap_rate FROM b_pf""")
+    o["gap_correlation"] = sql(f"""SELECT round(corr(ln_w, ln_km), {D}) AS corr_ln_km, round(corr(ln_w, gap_att), {D}) AS corr_gap_att,
+  round(corr(ln_w, gap_result), {D}) AS corr_gap_result, round(corr(ln_w, gap_rate), {D}) AS corr_gap_rate, count(*) AS n_pairs FROM b_pf""")
 
-    one = ("b_one AS (SELECT regr_slope(sci, cov) AS b, regr_intercept(sci, cov) AS a, count(*) AS n "
+    one = ("b_one AS (SELECT regr_slope(ln_w, gap_att) AS b, regr_intercept(ln_w, gap_att) AS a, count(*) AS n "
            "FROM b_pf_train)")
-    o["regression_one_coef"] = sql(f"""SELECT round(b, {D}) AS coef_cov, round(a, {D}) AS intercept,
-  round(sqrt(avg((sci - (a + b * cov)) * (sci - (a + b * cov)))), {D}) AS rmse, n
+    o["regression_one_coef"] = sql(f"""SELECT round(b, {D}) AS coef_gap_att, round(a, {D}) AS intercept,
+  round(sqrt(avg((ln_w - (a + b * gap_att)) * (ln_w - (a + b * gap_att)))), {D}) AS rmse, n
 FROM b_pf_train, b_one GROUP BY a, b, n""", one)
-    o["regression_predictions"] = sql(f"""SELECT u1, u2, round(sci, {D}) AS sci, round(a + b * cov, {D}) AS prediction
+    o["regression_predictions"] = sql(f"""SELECT u1, u2, round(ln_w, {D}) AS ln_w, round(a + b * gap_att, {D}) AS prediction
 FROM b_pf, b_one""", one)
-    o["scatter_series"] = sql(f"""SELECT round(a + b * cov, {D}) AS x, round(sci, {D}) AS y, 'observed' AS series FROM b_pf, b_one
+    o["scatter_series"] = sql(f"""SELECT round(a + b * gap_att, {D}) AS x, round(ln_w, {D}) AS y, 'observed' AS series FROM b_pf, b_one
 UNION ALL
-SELECT round(a + b * cov, {D}) AS x, round(a + b * cov, {D}) AS y, 'predicted' AS series FROM b_pf, b_one""", one)
-    o["scatter_distance"] = sql(f"SELECT round(dist, {D}) AS x, round(sci, {D}) AS y, 'observed' AS series FROM b_pf")
-    full = ["dist", "ur", "elec", "cov"]
+SELECT round(a + b * gap_att, {D}) AS x, round(a + b * gap_att, {D}) AS y, 'predicted' AS series FROM b_pf, b_one""", one)
+    o["scatter_distance"] = sql(f"SELECT round(ln_km, {D}) AS x, round(ln_w, {D}) AS y, 'observed' AS series FROM b_pf")
+    full = ["ln_km", "gap_rate", "gap_result", "gap_att"]
     sel, ctes = _mgs_rmse("b_pf_train", full)
     o["regression_rmse"] = sql(sel, *ctes)
     same = """b_pf_same AS (SELECT t.* FROM b_pf_train t JOIN b_names a ON a.unit = t.u1

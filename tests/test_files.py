@@ -33,13 +33,13 @@ def score(a, b):
 def inputs(spark, tmp_path_factory):
     d = str(tmp_path_factory.mktemp("files"))
     p = lambda n: os.path.join(d, n)
-    write(p("sci.tsv"), "user_loc\tfr_loc\tscaled_sci\n"
+    write(p("pairs.tsv"), "a\tb\tscore\n"
           + "".join(f"{a}\t{b}\t{score(a, b)}\n" for a in FIPS for b in FIPS))
     write(p("centers.csv"), "fips,clon10,clat10,pclon10,pclat10,name\n" + "".join(
         f"{f},{'NA' if lat is None else lon},{'NA' if lat is None else lat},"
         f"{'NA' if lat is None else lon + 0.1},{'NA' if lat is None else lat - 0.1},{n}\n"
         for f, n, _, lat, lon, _, _ in COUNTIES))
-    write(p("masks.txt"), "COUNTYFP,NEVER,RARELY,SOMETIMES,FREQUENTLY,ALWAYS\n" + "".join(
+    write(p("attitudes.csv"), "COUNTYFP,NEVER,RARELY,SOMETIMES,FREQUENTLY,ALWAYS\n" + "".join(
         f"{int(f)},{','.join(str(x) for x in sh)}\n" for f, _, _, _, _, sh, _ in COUNTIES))
     rows = [",votes_dem,votes_gop,total_votes,per_dem,per_gop,diff,per_point_diff,state_abbr,county_name,combined_fips"]
     for i, (f, n, st, _, _, _, dem) in enumerate(COUNTIES):
@@ -57,19 +57,19 @@ def inputs(spark, tmp_path_factory):
             series.append(f"{sid}\tF\tCN{f}00000000\t{m}\tU\t{srd}\t{label}: {n}, {st}")
             data.setdefault(srd, []).append(f"{sid}     \t2010\tM13\t{val}\t")
             data[srd].append(f"{sid}     \t2009\tM13\t{val + 1}\t")
-    write(p("la.series"), "\n".join(series) + "\n")
+    write(p("series.txt"), "\n".join(series) + "\n")
     os.makedirs(p("data"))
     for srd, lines in data.items():
-        write(os.path.join(p("data"), f"la.data.{srd}.State"),
+        write(os.path.join(p("data"), f"values.{srd}.txt"),
               "series_id\tyear\tperiod\tvalue\tfootnote_codes\n" + "\n".join(lines) + "\n")
     write(p("srd.txt"), "srd_code\tsrd_text\n01\tAlabama\n13\tGeorgia\n02\tAlaska\n")
     write(p("states.txt"), "fullState\tst\nAlabama\tAL\nGeorgia\tGA\nAlaska\tAK\n")
     write(p("adj.txt"), '"Autauga County, AL"\t01001\t"Autauga County, AL"\t01001\n'
           '\t\t"Barbour County, AL"\t01005\n'
           '"Appling County, GA"\t13001\t"Atkinson County, GA"\t13003\n')
-    paths = FilePaths(edges=p("sci.tsv"), centers=p("centers.csv"), attitudes=p("masks.txt"),
-                      results=p("results.csv"), series_dictionary=p("la.series"),
-                      series_values=os.path.join(p("data"), "la.data.*"), region_states=p("srd.txt"),
+    paths = FilePaths(edges=p("pairs.tsv"), centers=p("centers.csv"), attitudes=p("attitudes.csv"),
+                      results=p("results.csv"), series_dictionary=p("series.txt"),
+                      series_values=os.path.join(p("data"), "values.*"), region_states=p("srd.txt"),
                       state_names=p("states.txt"), adjacency=p("adj.txt"))
     params = dataclasses.replace(REFERENCE, fanout_unit="01001", attitude_threshold=0.4)
     return FileInputs(spark, paths, params=params)

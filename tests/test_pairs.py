@@ -11,7 +11,7 @@ def test_wide_form_equals_chain_with_duplicated_units(spark):
     assert rate.groupBy("unit").count().where("count > 1").count() > 0
     wide = P.pair_features(b.edges, P.wide_units(b.coords, rate, b.results, b.attitudes))
     chain = P.pair_features_chain(b.edges, b.coords, rate, b.results, b.attitudes)
-    cols = ["u1", "u2", "sci", "cov", "elec", "dist", "ur"]
+    cols = ["u1", "u2", "ln_w", "gap_att", "gap_result", "ln_km", "gap_rate"]
     w = wide.select(*[F.round(c, 9).alias(c) if c not in ("u1", "u2") else c for c in cols])
     c = chain.select(*[F.round(c, 9).alias(c) if c not in ("u1", "u2") else c for c in cols])
     assert w.count() == c.count()
@@ -26,7 +26,7 @@ def test_edge_pairs_are_unique(spark):
 def test_gap_correlation_bounds(spark):
     b = Binding(spark, SF01, keep=False)
     row = P.gap_correlation(P.pair_features(b.edges, P.wide_units(b.coords, b.rate, b.results, b.attitudes))).first()
-    for v in (row.corr_dist, row.corr_cov, row.corr_elec, row.corr_ur):
+    for v in (row.corr_ln_km, row.corr_gap_att, row.corr_gap_result, row.corr_gap_rate):
         assert -1.0 <= v <= 1.0
 
 

@@ -9,7 +9,7 @@ from conftest import write
 
 def test_fixed_schema_positional_header_skipped(spark, scratch):
     p = write(os.path.join(scratch, "e.tsv"), "a\tb\tc\n01001\t01003\t120\n01001\t01001\t9\nx\ty\tbad\n")
-    df = read_delimited(spark, p, "fips1 string, fips2 string, sci bigint", sep="\t")
+    df = read_delimited(spark, p, "fips1 string, fips2 string, score bigint", sep="\t")
     rows = sorted(df.collect(), key=lambda r: r.fips1)
     assert [tuple(r) for r in rows] == [("01001", "01003", 120), ("01001", "01001", 9), ("x", "y", None)]
 
@@ -30,7 +30,7 @@ def test_strings_then_lenient_cast(spark, scratch):
 
 
 def test_split_lines_trim_and_positions(spark, scratch):
-    p = write(os.path.join(scratch, "la.series"),
+    p = write(os.path.join(scratch, "series.txt"),
               "series_id\tarea_type\tarea\tmeasure\tseasonal\tsrd\ttitle\n"
               " LAUCN010010000000006 \tF\tCN0100100000000\t06\tU\t01\t Labor force: Autauga County, AL \n")
     df = read_split_lines(spark, p, {"sid": 0, "area_type": 1, "area_code": 2, "measure_code": 3,
@@ -48,9 +48,9 @@ def test_partitioned_read_is_union_all(spark, scratch):
     d = os.path.join(scratch, "data")
     os.makedirs(d)
     for i in range(3):
-        write(os.path.join(d, f"la.data.{i}.State"), "sid\tyear\tperiod\tvalue\tfootnotes\n"
+        write(os.path.join(d, f"values.{i}.txt"), "sid\tyear\tperiod\tvalue\tfootnotes\n"
               f" S{i} \t2010\tM13\t{i}.5\t\n S{i} \t2010\tM13\t{i}.5\t\n")
-    df = read_partitioned(spark, os.path.join(d, "la.data.*"),
+    df = read_partitioned(spark, os.path.join(d, "values.*"),
                           "sid string, year int, period string, value double, footnotes string", trim=["sid"])
     assert df.count() == 6  # duplicates kept
     assert sorted({r.sid for r in df.collect()}) == ["S0", "S1", "S2"]

@@ -25,7 +25,9 @@ adjacency        sectioned text: each unit with its key neighbours (k-1,
 
 from __future__ import annotations
 
+import hashlib
 import os
+import re
 from functools import cached_property
 
 from pyspark import StorageLevel
@@ -57,6 +59,25 @@ DURABLE_CONF = "spark.affinity.durableIndex"
 _SHARED: dict[tuple[str, str], "Binding"] = {}
 
 
+def _tag(root: str) -> str:
+    return hashlib.sha1(os.path.abspath(root).encode()).hexdigest()[:12]
+
+
+def write_bucketed(spark: SparkSession, df: DataFrame, name: str, key: str,
+                   buckets: int | None = None) -> DataFrame:
+    """Write ``df`` as a parquet table bucketed and sorted by ``key`` under
+    the shared checkpoint folder and return it read back.  The number of
+    buckets follows ``spark.sql.shuffle.partitions`` so joins with shuffled
+    sides line up bucket to bucket."""
+    folder = ensure_checkpoint_dir(spark).rstrip("/")
+    app = re.sub(r"[^0-9A-Za-z]", "_", spark.sparkContext.applicationId)
+    table = f"affinity_{name}_{app}"
+    n = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    (df.write.mode("overwrite").bucketBy(n, key).sortBy(key)
+       .option("path", f"{folder}/affinity/{table}").saveAsTable(table))
+    return spark.table(table)
+
+
 def binding_for(spark: SparkSession, root: str, keep: bool = True) -> "Binding":
     """One binding per (Spark application, root), so every query of a
     session reuses the same persisted edge and unit tables."""
@@ -114,10 +135,11 @@ class Binding:
     def raw_index(self) -> DataFrame:
         idx = connectivity_index(self.incidence, "order", "unit", include_self=True)
         if self.durable:
-            # written once to the shared checkpoint folder: lineage is cut,
-            # so a lost executor never forces the self-join to run again
-            ensure_checkpoint_dir(self.spark)
-            return idx.checkpoint(eager=True)
+            # written once to the shared checkpoint folder as a table bucketed
+            # by u1: lineage is cut (a lost executor never re-runs the pair
+            # self-join), scans prune columns, and per-unit aggregations and
+            # joins on u1 need no exchange of the index
+            return write_bucketed(self.spark, idx, f"index_{_tag(self.root)}", "u1")
         return self._keep(idx)
 
     @cached_property

@@ -42,6 +42,10 @@ def test_durable_index_cuts_lineage(spark):
     assert cached.exceptAll(durable).count() == 0 and durable.exceptAll(cached).count() == 0
     plan = durable._jdf.queryExecution().optimizedPlan().toString()
     assert "lineitem" not in plan  # read back from the checkpoint folder, not recomputed
+    # bucketed by u1: the per-unit aggregation needs no exchange of the index
+    from affinity.operators.edges import unit_score
+    agg_plan = unit_score(durable, "avg")._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange hashpartitioning(u1" not in agg_plan
 
 
 def test_longest_title_match_gives_one_level_per_unit(spark):
@@ -59,3 +63,29 @@ def test_longest_title_match_gives_one_level_per_unit(spark):
 def test_scale_sf01_edge_count(spark):
     b = Binding(spark, "/root/testdata/sf0.1", keep=False)
     assert b.edges.count() == 907176
+
+
+def test_durable_mode_gives_the_same_results(spark):
+    from affinity.plans import catalog
+    from conftest import SF001
+    cached, durable = Binding(spark, SF001, keep=True), Binding(spark, SF001, durable=True)
+    for name in ("avg_connectivity_coords", "border_effect", "pair_features", "hist_weight"):
+        a, b = catalog.run(name, cached), catalog.run(name, durable)
+        assert a.count() == b.count() and a.exceptAll(b).count() == 0, name
+
+
+def test_bucketed_index_joins_large_unit_table_without_moving_edges(spark, monkeypatch):
+    from affinity.operators import edges as E
+    from conftest import SF001
+    b = Binding(spark, SF001, durable=True)
+    monkeypatch.setattr(E, "UNIT_BROADCAST_ROWS", 3)  # force the shuffle-join path
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
+    try:
+        j = E.attach_endpoint(b.edges, b.coords, "u1", "1", cols=["lat"])
+        plan = j._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" in plan
+        assert plan.count("Exchange hashpartitioning") == 1  # only the unit side moves
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.unset("spark.sql.adaptive.autoBroadcastJoinThreshold")

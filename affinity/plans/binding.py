@@ -66,14 +66,20 @@ def _tag(root: str) -> str:
 def write_bucketed(spark: SparkSession, df: DataFrame, name: str, key: str,
                    buckets: int | None = None) -> DataFrame:
     """Write ``df`` as a parquet table bucketed and sorted by ``key`` under
-    the shared checkpoint folder and return it read back.  The number of
-    buckets follows ``spark.sql.shuffle.partitions`` so joins with shuffled
-    sides line up bucket to bucket."""
+    the shared checkpoint folder and return it read back.
+
+    The number of buckets is ``spark.affinity.indexBuckets`` if set, else
+    ``spark.sql.shuffle.partitions``, so joins with shuffled sides line up
+    bucket to bucket.  Rows are first hash-partitioned on ``key`` into
+    exactly that many partitions (the same hash the bucketing uses), so each
+    task writes one bucket file instead of one file per bucket it holds.
+    """
     folder = ensure_checkpoint_dir(spark).rstrip("/")
     app = re.sub(r"[^0-9A-Za-z]", "_", spark.sparkContext.applicationId)
     table = f"affinity_{name}_{app}"
-    n = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    (df.write.mode("overwrite").bucketBy(n, key).sortBy(key)
+    n = buckets or int(spark.conf.get("spark.affinity.indexBuckets",
+                                      spark.conf.get("spark.sql.shuffle.partitions")))
+    (df.repartition(n, key).write.mode("overwrite").bucketBy(n, key).sortBy(key)
        .option("path", f"{folder}/affinity/{table}").saveAsTable(table))
     return spark.table(table)
 

@@ -1,4 +1,5 @@
 """Benchmark: run the headline queries at $BENCH_SF_DIR on local[$BENCH_CPUS]
+(shuffle partitions: $BENCH_SHUFFLE_PARTITIONS, default 2 x CPUs)
 and print one JSON line with per-query seconds.
 
 Each query is executed in full through the ``noop`` sink (every row is
@@ -46,7 +47,7 @@ def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
     names = sys.argv[1:] or HEADLINE
-    spark = build_session(master=f"local[{cpus}]", shuffle_partitions=int(cpus) * 2)
+    spark = build_session(master=f"local[{cpus}]", shuffle_partitions=int(os.environ.get("BENCH_SHUFFLE_PARTITIONS", int(cpus) * 2)))
     reg = registry()
     # warm-up on the next smaller tables (JVM JIT, codegen caches), not
     # timed; it uses its own binding, so nothing of the timed scale is cached

@@ -29,10 +29,11 @@ from affinity.operators import pairs as P
 from affinity.operators import plotdata as V
 from affinity.operators import units as U
 from affinity.plans.binding import binding_for
+from affinity.plans.inputs import Inputs
 
 DIGITS = 6
 
-Body = Callable[[object], DataFrame]
+Body = Callable[[Inputs], DataFrame]
 Query = Callable[[SparkSession, str], DataFrame]
 _BODIES: dict[str, Body] = {}
 
@@ -42,7 +43,7 @@ def query(fn: Body) -> Body:
     return fn
 
 
-def run(name: str, inputs) -> DataFrame:
+def run(name: str, inputs: Inputs) -> DataFrame:
     """Run one registered query on any inputs object."""
     return _BODIES[name](inputs)
 

@@ -107,3 +107,11 @@ def test_file_values(inputs):
     assert len(parsed) == 7 and "2013" not in {r.fips for r in catalog.run("exclude_groups", inputs).collect()}
     be = {r.unit: r for r in catalog.run("border_effect", inputs).collect()}
     assert be["01001"].avg_same > be["01001"].avg_cross
+
+
+def test_both_input_kinds_satisfy_the_interface(spark, inputs):
+    from affinity.plans.binding import Binding
+    from affinity.plans.inputs import Inputs
+    from conftest import SF001
+    assert isinstance(inputs, Inputs)
+    assert isinstance(Binding(spark, SF001, keep=False), Inputs)

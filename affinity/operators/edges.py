@@ -26,6 +26,9 @@ UNIT_BROADCAST_ROWS = 2_000_000
 # from one task); a split group emits about HOT_BUCKET_UNITS^2 per task.
 HOT_GROUP_UNITS = 2_000
 HOT_BUCKET_UNITS = 1_000
+# Cap on buckets per side (at most HOT_MAX_BUCKETS^2 cells for one group):
+# bounds the replication when a group's raw rows are mostly duplicates.
+HOT_MAX_BUCKETS = 1_024
 
 
 def connectivity_index(incidence: DataFrame, group_col: str, unit_col: str,
@@ -52,8 +55,9 @@ def connectivity_index(incidence: DataFrame, group_col: str, unit_col: str,
     into S = ceil(m / hot_bucket_units) buckets by unit, each row is
     replicated across the other side's buckets, and the join key becomes
     (group, bucket1, bucket2).  Every pair is still produced exactly once,
-    by one of S^2 tasks.  Hot groups are found by a partial aggregation;
-    there are at most links / hot_group_units of them.
+    by one of S^2 tasks.  Hot groups are found by a partial aggregation of
+    the raw rows per group; there are at most rows / hot_group_units of
+    them.
     """
     links = (incidence
              .select(F.col(group_col).alias("g"), F.col(unit_col).alias("u"))
@@ -62,9 +66,14 @@ def connectivity_index(incidence: DataFrame, group_col: str, unit_col: str,
     degree = links.groupBy("u").agg(F.count(F.lit(1)).alias("n"))
     links_n = links.join(degree, "u")
 
-    sizes = links.groupBy("g").agg(F.count(F.lit(1)).alias("m"))
-    hot = sizes.where(F.col("m") > F.lit(hot_group_units)).select(
-        "g", F.ceil(F.col("m") / F.lit(hot_bucket_units)).cast("int").alias("s"))
+    # group sizes from the raw incidence rows: an upper bound on the
+    # distinct units per group, which is all the split decision needs; read
+    # straight from the scan, and when a group's rows sit together in the
+    # input the map-side combine leaves about one record per group
+    sizes = (incidence.where(F.col(group_col).isNotNull() & F.col(unit_col).isNotNull())
+             .groupBy(F.col(group_col).alias("g")).agg(F.count(F.lit(1)).alias("m")))
+    buckets = F.least(F.ceil(F.col("m") / F.lit(hot_bucket_units)), F.lit(HOT_MAX_BUCKETS))
+    hot = sizes.where(F.col("m") > F.lit(hot_group_units)).select("g", buckets.cast("int").alias("s"))
     # no hint: a small hot list is broadcast by the planner / AQE
     tagged = links_n.join(hot, "g", "left")
 

@@ -115,3 +115,14 @@ def test_both_input_kinds_satisfy_the_interface(spark, inputs):
     from conftest import SF001
     assert isinstance(inputs, Inputs)
     assert isinstance(Binding(spark, SF001, keep=False), Inputs)
+
+
+def test_command_line_on_file_inputs(spark, inputs, tmp_path):
+    import json
+    from affinity.__main__ import main
+    cfg = tmp_path / "paths.json"
+    cfg.write_text(json.dumps(dataclasses.asdict(inputs.paths)))
+    out = str(tmp_path / "out")
+    assert main(["--files", str(cfg), "--out", out, "avg_connectivity", "level_by_unit"]) == 0
+    assert spark.read.parquet(f"{out}/avg_connectivity").count() == 7
+    assert spark.read.parquet(f"{out}/level_by_unit").count() == 6

@@ -3,6 +3,7 @@
     python -m affinity --root /data/tables --out /results avg_connectivity_coords unit_profile
     python -m affinity --files paths.json --out /results border_effect
     python -m affinity --root /data/tables --explain pair_features
+    python -m affinity --files paths.json --param fanout_unit='"01001"' --out /results one_unit_fanout
     python -m affinity --list
 
 ``--root`` reads the test-table layout (one parquet per table); ``--files``
@@ -29,6 +30,8 @@ def main(argv: list[str] | None = None) -> int:
     ap.add_argument("--out", help="output folder; each query is written to <out>/<query>")
     ap.add_argument("--explain", action="store_true", help="print the formatted plan instead of writing")
     ap.add_argument("--list", action="store_true", help="list the registered queries")
+    ap.add_argument("--param", action="append", default=[], metavar="NAME=VALUE",
+                    help="override an analysis parameter, e.g. level_year=2010 or fanout_unit='\"01001\"'")
     args = ap.parse_args(argv)
 
     if args.list:
@@ -44,12 +47,24 @@ def main(argv: list[str] | None = None) -> int:
     from pyspark.sql import SparkSession
     spark = SparkSession.builder.getOrCreate()
     if args.root:
-        from affinity.plans.binding import binding_for
-        inputs = binding_for(spark, args.root)
+        from affinity.plans.binding import Binding
+        inputs = Binding(spark, args.root)  # own instance: --param must not touch a shared one
     else:
         from affinity.plans.files import FileInputs, FilePaths
         with open(args.files, encoding="utf-8") as f:
             inputs = FileInputs(spark, FilePaths(**json.load(f)))
+    if args.param:
+        import dataclasses
+        updates = {}
+        for item in args.param:
+            key, _, raw = item.partition("=")
+            try:
+                updates[key] = json.loads(raw)
+            except ValueError:
+                updates[key] = raw
+            if isinstance(updates[key], list):
+                updates[key] = tuple(updates[key])
+        inputs.params = dataclasses.replace(inputs.params, **updates)
     for name in args.queries:
         df = catalog.run(name, inputs)
         if args.explain:

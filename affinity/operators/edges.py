@@ -132,6 +132,8 @@ def score_with_coords(edges: DataFrame, coords: DataFrame, how: str = "avg",
 def one_unit_fanout(edges: DataFrame, coords: DataFrame, unit, box: Box | None = BOX_CONTIGUOUS
                     ) -> DataFrame:
     """All partners of one unit with their coordinates and the pair score."""
+    if unit is None:
+        raise ValueError("one_unit_fanout needs a unit (params.fanout_unit)")
     e = edges.where(F.col("u1") == F.lit(unit)).select("u2", "w")
     c = coords.select(F.col("unit").alias("u2"), "lon", "lat")
     if box is not None:

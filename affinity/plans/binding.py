@@ -269,12 +269,14 @@ class Binding:
     @cached_property
     def level(self) -> DataFrame:
         return self._keep(level_by_unit(self.series, self.dictionary, self.region_names, self.names,
-                                        LEVEL_YEAR, MEASURE_LEVEL, alias="level"))
+                                        LEVEL_YEAR, MEASURE_LEVEL, alias="level",
+                                        match=self.params.title_match))
 
     @cached_property
     def rate(self) -> DataFrame:
         return self._keep(level_by_unit(self.series, self.dictionary, self.region_names, self.names,
-                                        LEVEL_YEAR, MEASURE_RATE, alias="rate"))
+                                        LEVEL_YEAR, MEASURE_RATE, alias="rate",
+                                        match=self.params.title_match))
 
     # ------------------------------------------------------------ text
     @cached_property

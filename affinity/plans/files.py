@@ -150,12 +150,14 @@ class FileInputs:
     @cached_property
     def level(self) -> DataFrame:
         return self._keep(level_by_unit(self.series, self.dictionary, self.region_names, self.names,
-                                        self.params.level_year, MEASURE_LEVEL, alias="level"))
+                                        self.params.level_year, MEASURE_LEVEL, alias="level",
+                                        match=self.params.title_match))
 
     @cached_property
     def rate(self) -> DataFrame:
         return self._keep(level_by_unit(self.series, self.dictionary, self.region_names, self.names,
-                                        self.params.level_year, MEASURE_RATE, alias="rate"))
+                                        self.params.level_year, MEASURE_RATE, alias="rate",
+                                        match=self.params.title_match))
 
     def adjacency(self) -> DataFrame:
         if not self.paths.adjacency:

@@ -15,6 +15,7 @@ class Params:
     excluded_groups: tuple = ()          # groups dropped from the result rows
     hist_weight: tuple = (1000.0, 1000000.0, 1000.0)   # (first edge, last edge, step), all scores
     hist_max: tuple = (1.0, 69000001.0, 1000000.0)     # same, per-unit maxima
+    title_match: str = "all"             # 'all' matches (as the original) or 'longest' per title
 
 
 # Fixed values of the original analysis: year 2010, mask threshold 0.5,

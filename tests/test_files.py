@@ -126,3 +126,25 @@ def test_command_line_on_file_inputs(spark, inputs, tmp_path):
     assert main(["--files", str(cfg), "--out", out, "avg_connectivity", "level_by_unit"]) == 0
     assert spark.read.parquet(f"{out}/avg_connectivity").count() == 7
     assert spark.read.parquet(f"{out}/level_by_unit").count() == 6
+
+
+def test_command_line_parameters(spark, inputs, tmp_path):
+    import json
+    from affinity.__main__ import main
+    cfg = tmp_path / "paths.json"
+    cfg.write_text(json.dumps(dataclasses.asdict(inputs.paths)))
+    out = str(tmp_path / "out")
+    assert main(["--files", str(cfg), "--param", 'fanout_unit="01003"', "--param", "level_year=2009",
+                 "--out", out, "one_unit_fanout", "level_by_unit"]) == 0
+    fan = spark.read.parquet(f"{out}/one_unit_fanout").collect()
+    assert sorted(r.u2 for r in fan) == ["01001", "01005", "13001", "13003"]
+    lv = {r.unit: r.level for r in spark.read.parquet(f"{out}/level_by_unit").collect()}
+    assert lv["01001"] == 10001.0  # the 2009 values
+
+
+def test_fanout_without_unit_is_an_error(spark, inputs):
+    from affinity.plans import catalog
+    from affinity.plans.files import FileInputs
+    bare = FileInputs(spark, inputs.paths)  # original defaults: no fan-out unit
+    with pytest.raises(ValueError):
+        catalog.run("one_unit_fanout", bare)

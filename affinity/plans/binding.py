@@ -35,6 +35,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from affinity.operators.edges import connectivity_index, drop_self_pairs
+from affinity.operators.pairs import wide_units
 from affinity.operators.units import (MEASURE_LEVEL, MEASURE_RATE, PERIOD_ANNUAL, level_by_unit,
                                       parse_coordinates)
 from affinity.plans.params import TEST_TABLES
@@ -126,7 +127,7 @@ class Binding:
         if "raw_index" in self.__dict__ and not self.durable:
             self.__dict__["raw_index"].unpersist()
         self.__dict__.pop("raw_index", None)
-        for name in ("series", "monthly", "coords", "attitudes", "results", "names", "level", "rate"):
+        for name in ("units_wide", "series", "monthly", "coords", "attitudes", "results", "names", "level", "rate"):
             if name in self.__dict__:
                 self.__dict__[name].unpersist()
                 del self.__dict__[name]
@@ -173,6 +174,12 @@ class Binding:
         """Coordinates used for pair distances (one set of centres here)."""
         return self.coords
 
+    @cached_property
+    def units_wide(self) -> DataFrame:
+        """One row per unit (per title match) with every attribute the pair
+        features need; kept, since all pair queries attach it to the index."""
+        return self._keep(wide_units(self.pair_coords, self.rate, self.results, self.attitudes))
+
     @cached_property
     def attitudes(self) -> DataFrame:
         li = self.table("lineitem").select(F.col("l_orderkey").alias("order"),

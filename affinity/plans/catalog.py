@@ -264,7 +264,8 @@ def split_assignment(b):
 # ---------------------------------------------------------- pairs
 
 def _units_wide(b) -> DataFrame:
-    return P.wide_units(b.pair_coords, b.rate, b.results, b.attitudes)
+    kept = getattr(b, "units_wide", None)  # inputs may keep it for all pair queries
+    return kept if kept is not None else P.wide_units(b.pair_coords, b.rate, b.results, b.attitudes)
 
 
 def _features(b) -> DataFrame:

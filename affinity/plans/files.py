@@ -35,6 +35,7 @@ from pyspark.sql import functions as F
 
 from affinity.functions.numeric import to_double
 from affinity.operators.edges import drop_self_pairs
+from affinity.operators.pairs import wide_units
 from affinity.operators.units import MEASURE_LEVEL, MEASURE_RATE, level_by_unit
 from affinity.plans.params import REFERENCE, Params
 from affinity.sources import (normalize_id, read_delimited, read_partitioned, read_results, read_sections,
@@ -106,6 +107,10 @@ class FileInputs:
         return self._keep(c.select(self._id("fips").alias("unit"), to_double("pclat10").alias("lat"),
                                    to_double("pclon10").alias("lon")))
 
+    @cached_property
+    def units_wide(self) -> DataFrame:
+        return self._keep(wide_units(self.pair_coords, self.rate, self.results, self.attitudes))
+
     @cached_property
     def attitudes(self) -> DataFrame:
         m = read_delimited(self.spark, self.paths.attitudes, ATTITUDE_SCHEMA, sep=",")

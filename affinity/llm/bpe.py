@@ -22,6 +22,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 CHUNK = 32_768          # characters a chunk answers for
 OVERLAP = 1_024         # characters a chunk reads on into the next one
@@ -160,14 +161,24 @@ class Codec:
                 offer(before[i])
         return [ranks[p] for p in part if p is not None]
 
-    def encode(self, texts: list[str]) -> list[bytes]:
-        """Ids of texts (or of parts between piece boundaries)."""
+    def part_pieces(self, text: str, ahead: str) -> list[str]:
+        """Pieces of a part that ends at a piece boundary, before ``ahead``:
+        where a piece ends may hang on what follows it."""
+        pieces = self.pieces(text + ahead)
+        size = len(text) + len(ahead)
+        while size > len(text):
+            size -= len(pieces.pop())
+        return pieces
+
+    def encode(self, texts: list[str], ahead: list[str] | None = None) -> list[bytes]:
+        """Ids of texts, or of parts that end at a piece boundary."""
+        ahead = ahead or [""] * len(texts)
         cache = self.cache
         if len(cache) > CACHE:
             cache.clear()
         out: list[bytes] = []
         for lo in range(0, len(texts), 64):
-            cut = [self.pieces(t) for t in texts[lo:lo + 64]]
+            cut = [self.part_pieces(t, a) if a else self.pieces(t) for t, a in zip(texts[lo:lo + 64], ahead[lo:lo + 64])]
             new = {p for pieces in cut for p in pieces if p not in cache}
             local = {}
             if new:
@@ -236,10 +247,11 @@ def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str, text: str = "
         c = codec(shared)
         return pa.RecordBatch.from_arrays(
             [batch.column("row"), batch.column("doc_id"), batch.column("seg"),
-             pa.array(c.encode(texts), pa.binary())], names=["row", "doc_id", "seg", "ids"])
+             pa.array(c.encode(texts, batch.column("ahead").to_pylist()), pa.binary())], names=["row", "doc_id", "seg", "ids"])
     id_type = docs.schema["doc_id"].dataType.simpleString()
     schema = f"row long, doc_id {id_type}, seg int, ids binary"
-    whole = _over(d.filter(short).withColumn("seg", F.lit(0)), "part", schema, encoded)
+    whole = _over(d.filter(short).select("row", "doc_id", F.lit(0).alias("seg"), "part", F.lit("").alias("ahead")),
+                  "part", schema, encoded)
     cuts = _cut_long(d.filter(~short), shared, chunk, overlap)
     parts = _over(cuts, "part", schema, encoded)
     # ids of one text come together only here; a text is one row anyway
@@ -251,7 +263,8 @@ def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str, text: str = "
 
 
 def _cut_long(long: DataFrame, shared, chunk: int, overlap: int) -> DataFrame:
-    """Cut long texts at resynchronisation points: (row, doc_id, seg, part)."""
+    """Cut long texts at resynchronisation points: (row, doc_id, seg, part,
+    ahead: the characters after it)."""
     n = F.length("part")
     last = F.floor((n - 1) / chunk).cast("int")
     ch = long.select("row", "doc_id", F.posexplode(F.sequence(F.lit(0), last)).alias("i", "_i"), "part").select(
@@ -288,11 +301,12 @@ def _cut_long(long: DataFrame, shared, chunk: int, overlap: int) -> DataFrame:
     first = F.coalesce(F.col("start"), F.lit(0))
     size = F.when(F.col("stop").isNotNull(), F.lit(chunk) + F.col("stop") - first).otherwise(
         F.when(F.col("end"), F.length("part")).otherwise(F.lit(chunk) - first))
-    j = j.select("row", "doc_id", "i", "seg", F.col("part").substr(first + 1, size).alias("part"))
-    return j.groupBy("row", "seg").agg(
-        F.first("doc_id").alias("doc_id"),
-        F.array_join(F.expr("transform(sort_array(collect_list(struct(i, part))), x -> x.part)"), "").alias("part")
-    ).select("row", "doc_id", "seg", "part")
+    j = j.select("row", "doc_id", "i", "seg", F.col("part").substr(first + 1, size).alias("part"),
+                 F.col("part").substr(first + 1 + size, F.lit(MARGIN)).alias("ahead"))
+    parts = F.sort_array(F.collect_list(F.struct("i", "part", "ahead")))
+    return j.groupBy("row", "seg").agg(F.first("doc_id").alias("doc_id"), parts.alias("p")).select(
+        "row", "doc_id", "seg", F.array_join(F.col("p.part"), "").alias("part"),
+        F.element_at("p", -1)["ahead"].alias("ahead"))
 
 
 def decode(encoded: DataFrame, ranks: dict[bytes, int], ids: str = "ids", out: str = "bytes") -> DataFrame:
@@ -300,14 +314,14 @@ def decode(encoded: DataFrame, ranks: dict[bytes, int], ids: str = "ids", out: s
     Null ids give empty bytes."""
     spark = encoded.sparkSession
     shared = share(spark, ranks, "")
-    schema = encoded.schema
+    schema = StructType(list(encoded.schema.fields)).add(out, "binary")
 
     def run(batches):
         c = codec(shared)
         for batch in batches:
             new = pa.array([c.decode(x) if x else b"" for x in batch.column(ids).to_pylist()], pa.binary())
             yield pa.RecordBatch.from_arrays([*batch.columns, new], names=[*batch.schema.names, out])
-    return encoded.mapInArrow(run, f"{', '.join(f'`{f.name}` {f.dataType.simpleString()}' for f in schema)}, `{out}` binary")
+    return encoded.mapInArrow(run, schema)
 
 
 def digests(decoded: DataFrame) -> DataFrame:

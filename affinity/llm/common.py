@@ -26,6 +26,27 @@ def prepare(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+def free_name(df: DataFrame, name: str) -> str:
+    """``name``, or ``name`` with underscores before it, that no column has."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name = "_" + name
+    return name
+
+
+def pick_rows(df: DataFrame, chosen: DataFrame, copies: bool = False) -> DataFrame:
+    """The rows of ``df`` whose number in the scan is a ``row`` of ``chosen``
+    (each row once there), with the columns of ``df``; with ``copies``, as
+    often as that column of ``chosen`` says.  The number is the same for
+    every scan of the same files.  The columns travel as one struct, so none
+    can clash."""
+    d = df.select(F.monotonically_increasing_id().alias("row"), F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("doc"))
+    if not copies:
+        return d.join(chosen.select("row"), "row", "left_semi").select("doc.*")
+    d = d.join(chosen.select("row", F.col("copies").cast("long").alias("copies")), "row")
+    return d.withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), "copies"))).select("doc.*")
+
+
 def cut(df: DataFrame) -> DataFrame:
     """Cut the lineage: write ``df`` to the shared checkpoint folder once.
     Later reads come from there, also after an executor is lost; the files

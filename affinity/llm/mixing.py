@@ -19,13 +19,14 @@ import math
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from affinity.llm.common import cut, running_total
+from affinity.llm.common import cut, pick_rows, running_total
 from affinity.llm.text import WORD
 
 MAX_REPEATS = 3
 WEIGHTS = (1, 2, 3)
 SEED = 20
 BUCKET_ROWS = 20_000
+BROADCAST_SOURCES = 50_000     # with fewer sources than this their table is broadcast, else joined
 
 
 def source_targets(sizes: DataFrame, weights=WEIGHTS, max_repeats: int = MAX_REPEATS) -> DataFrame:
@@ -55,6 +56,12 @@ def source_targets(sizes: DataFrame, weights=WEIGHTS, max_repeats: int = MAX_REP
     return s.withColumn("target", target).drop("cap")
 
 
+def small(sources: DataFrame, n: int) -> DataFrame:
+    """Broadcast a table of one narrow row per source if its counted rows are
+    few; a larger one is left to a shuffled join."""
+    return F.broadcast(sources) if n <= BROADCAST_SOURCES else sources
+
+
 def document_sizes(docs: DataFrame, text: str = "text", source: str = "source") -> DataFrame:
     """Narrow rows (row, doc_id, source, size), in the shared folder.  ``row``
     numbers the rows of the scan, so repeated rows stay apart; size is the
@@ -71,12 +78,12 @@ def mixture(sizes: DataFrame, targets: DataFrame, max_repeats: int = MAX_REPEATS
     out.  The sequence is range-partitioned and sorted by finish time."""
     spark = sizes.sparkSession
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    top, budget = targets.agg(F.max("source_rows"), F.sum("target")).first()
+    top, budget, n_sources = targets.agg(F.max("source_rows"), F.sum("target"), F.count(F.lit(1))).first()
     bits = max(0, math.ceil(math.log2(max(1, (top or 1) / BUCKET_ROWS))))
-    t = targets.filter("target > 0").select(F.col("source").alias("_s"), "source_rank", "source_size", "target")
+    t = small(targets.filter("target > 0").select(F.col("source").alias("_s"), "source_rank", "source_size", "target"), n_sources)
     # seeded shuffle; equal hashes are ordered by id and row
-    d = sizes.withColumn("h", F.xxhash64(F.lit(seed), F.col("doc_id")))
-    d = d.withColumn("b", F.shiftrightunsigned(F.col("h"), 64 - bits) if bits else F.lit(0).cast("long"))
+    d = sizes.withColumn("h", F.shiftrightunsigned(F.xxhash64(F.lit(seed), F.col("doc_id")), 1))
+    d = d.withColumn("b", F.shiftright(F.col("h"), 63 - bits))
     d = running_total(d, ["source"], "b", ["h", "doc_id", "row"], "size", "cum")
     d = d.join(t, F.col("source").eqNullSafe(F.col("_s")))
     epochs = F.least(F.lit(max_repeats), (F.floor(F.col("target") / F.col("source_size")) + 1).cast("int"))
@@ -109,7 +116,7 @@ def mix_sources(docs: DataFrame, weights=WEIGHTS, max_repeats: int = MAX_REPEATS
     targets = source_targets(sizes, weights, max_repeats)
     seq = mixture(sizes, targets, max_repeats, seed)
     copies = seq.groupBy("row").agg(F.count(F.lit(1)).alias("copies"))
-    t = targets.select(F.col("source").alias("_s"), "source_size", "target")
+    t = small(targets.select(F.col("source").alias("_s"), "source_size", "target"), targets.count())
     return (sizes.join(copies, "row", "left").join(t, F.col("source").eqNullSafe(F.col("_s")))
             .withColumn("copies", F.coalesce("copies", F.lit(0)))
             .select("row", "doc_id", "size", "source_size", "target", "copies",
@@ -117,11 +124,5 @@ def mix_sources(docs: DataFrame, weights=WEIGHTS, max_repeats: int = MAX_REPEATS
 
 
 def mixed_documents(docs: DataFrame, **kw) -> DataFrame:
-    """The documents themselves, once per copy taken, with the columns of
-    ``docs``.  Rows are matched by their number in the scan, which is the
-    same for every scan of the same files."""
-    cols = docs.columns
-    taken = mix_sources(docs, **kw).filter("copies > 0").select(F.col("row").alias("_row"), F.col("copies").alias("_copies"))
-    return (docs.withColumn("_row", F.monotonically_increasing_id()).join(taken, "_row")
-            .withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_copies"))))
-            .select(*[F.col(f"`{c}`") for c in cols]))
+    """The documents themselves, once per copy taken, with the columns of ``docs``."""
+    return pick_rows(docs, mix_sources(docs, **kw).filter("copies > 0"), copies=True)

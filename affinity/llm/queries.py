@@ -9,16 +9,21 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from affinity.llm import bpe, mixing
+from affinity.llm import ann, bpe, html, jaccard, licenses, mixing, quality, rules, substring, warc
 from affinity.llm.common import table_query
 
-op4_mix_sources = table_query("documents", lambda d: mixing.mix_sources(d).select(
-    "doc_id", "size", "source_size", "target", "taken", "copies"))
-op5_bpe = table_query("documents", bpe.encode_and_decode)
-
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    "op4_mix_sources": op4_mix_sources,
-    "op5_bpe": op5_bpe,
+    "op1_quality": quality.quality_query,
+    "op2_jaccard": table_query("documents", jaccard.near_duplicates),
+    "op3_substring": table_query("documents", substring.substring_dedup),
+    "op4_mix_sources": table_query("documents", lambda d: mixing.mix_sources(d).select(
+        "doc_id", "size", "source_size", "target", "taken", "copies")),
+    "op5_bpe": table_query("documents", bpe.encode_and_decode),
+    "op6_warc": table_query("pages", warc.round_trip),
+    "op7_licenses": table_query("documents", licenses.scan_licenses),
+    "op8_rules": table_query("documents", rules.quality_rules),
+    "op9_html": table_query("pages", html.extract),
+    "op10_ann": table_query("embeddings", ann.nearest_neighbours),
 }
 
 ORACLES: dict[str, str] = {}

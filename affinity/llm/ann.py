@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from affinity.llm.common import cut, prepare
+from affinity.llm.common import cut, prepare, stable
 
 K = 20
 QUERY_EVERY = 20
@@ -162,7 +162,7 @@ def usable(vectors: DataFrame, vec: str) -> DataFrame:
     """Rows (row, vec_id, v) whose vector takes part: not null, not empty, all
     components finite, not all zero, and of the length most rows have."""
     v = F.col("v")
-    d = vectors.select(F.monotonically_increasing_id().alias("row"), "vec_id", F.col(vec).cast("array<double>").alias("v"))
+    d = stable(vectors).select(F.monotonically_increasing_id().alias("row"), "vec_id", F.col(vec).cast("array<double>").alias("v"))
     finite = F.forall(v, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < F.lit(float("inf"))))
     d = d.filter(F.col("vec_id").isNotNull() & v.isNotNull() & finite & F.exists(v, lambda x: x != 0))
     lengths = d.groupBy(F.size("v").alias("n")).count().orderBy(F.desc("count"), "n").limit(1).collect()

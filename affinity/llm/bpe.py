@@ -24,6 +24,8 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from affinity.llm.common import stable
+
 CHUNK = 32_768          # characters a chunk answers for
 OVERLAP = 1_024         # characters a chunk reads on into the next one
 MARGIN = 4              # boundaries this near to a cut-off end are not trusted
@@ -239,7 +241,7 @@ def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str, text: str = "
     megabyte), broadcast once."""
     spark = docs.sparkSession
     shared = share(spark, ranks, pattern)
-    d = docs.select(F.monotonically_increasing_id().alias("row"), "doc_id",
+    d = stable(docs).select(F.monotonically_increasing_id().alias("row"), "doc_id",
                     F.coalesce(F.col(text), F.lit("")).alias("part"))
     short = F.length("part") <= chunk + overlap
 

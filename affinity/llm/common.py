@@ -26,6 +26,20 @@ def prepare(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+# Plan nodes that give the same rows in the same order each time they run,
+# whichever columns are read.
+_STEADY = {"Project", "Filter", "Relation", "LocalRelation", "LogicalRDD", "SubqueryAlias", "ResolvedHint", "Union"}
+
+
+def stable(df: DataFrame) -> DataFrame:
+    """``df``, fit to have its rows numbered in each of several passes: a scan
+    of files as it is, and anything with a shuffle, limit or the like below
+    it kept in the shared folder first."""
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    nodes = {line.lstrip(" :+-").split(" ")[0].split("(")[0] for line in plan.splitlines() if line.strip()}
+    return df if all(n.split("[")[0] in _STEADY or n.startswith("Relation") for n in nodes) else cut(df)
+
+
 def free_name(df: DataFrame, name: str) -> str:
     """``name``, or ``name`` with underscores before it, that no column has."""
     taken = {c.lower() for c in df.columns}

@@ -12,12 +12,14 @@ the order and L, never the result.  Texts of equal sets are one node.
 Prefix shingles that no other node has are sorted out by packed exchange
 before rows are made of them.
 
-Links are only needed as far as they join components.  So a shingle's
-postings are not paired with each other: in rounds, each is paired with one
-hub, the pairs that pass are verified, and linked nodes become components;
-what then remains are pairs between different components, which are counted
-first and, once few, all verified.  No link between components is lost, and
-a family of near copies costs as many pairs as it has members.
+Links are only needed as far as they join components, and a family of near
+copies must not be paired with itself.  Where many nodes share a shingle,
+each is measured against one hub of them (the one with least of its own).
+Those linked with it are one component.  The others near it are compared by
+their differences from the hub: by the triangle inequality, and because a
+linked pair has to share part of these differences, few pairs are left, and
+they are verified.  What is not near the hub goes on to another hub; at
+last, the pairs left of different components are verified by the rule above.
 """
 
 from __future__ import annotations
@@ -31,7 +33,7 @@ from pyspark.sql import functions as F
 
 from affinity.llm import packing as P
 from affinity.llm import text as T
-from affinity.llm.common import cut, pick_rows, prepare
+from affinity.llm.common import cut, pick_rows, prepare, stable
 from affinity.llm.components import components
 
 SHINGLE = 5
@@ -41,7 +43,8 @@ SKETCH_BITS = 18           # cells of the count sketch: 2**18, one megabyte
 SEGMENTS = 16
 VERIFY_COST = 4.0          # of a candidate, in postings
 BUCKETS_PER_CHUNK = 2
-RESIDUAL = 4               # hub rounds end when the pairs left are this many per posting
+SMALL = 64                 # nodes at one shingle that are simply paired with each other
+WORTH = 0.1                # share of postings that a round of hubs has to settle to be followed by another
 
 
 def shingles(texts, size: int) -> Iterator[tuple[int, np.ndarray]]:
@@ -194,39 +197,112 @@ def _sets(docs: DataFrame, rows: DataFrame, size: int) -> DataFrame:
     return cut(docs.select("row", "text").join(rows, "row").select("node", "text").mapInArrow(run, "node long, set binary"))
 
 
+def _with_sets(pairs: DataFrame, sets: DataFrame, a: str, b: str) -> DataFrame:
+    """Adds set_a and set_b.  Sets are one row a node, so where many pairs
+    share a node AQE splits the pairs."""
+    for side, name in ((b, "set_b"), (a, "set_a")):
+        pairs = pairs.join(sets.select(F.col("node").alias(side), F.col("set").alias(name)), side)
+    return pairs
+
+
+def _hashes(value: pa.Scalar) -> np.ndarray:
+    return np.frombuffer(value.as_buffer(), dtype="<u8")
+
+
 def _verified(pairs: DataFrame, sets: DataFrame, pct: int) -> DataFrame:
     """The pairs (a, b) that reach the threshold."""
     def run(batches):
         for batch in batches:
-            keep, last, left = [], None, None
-            for x, a, b in zip(batch.column("a").to_pylist(), batch.column("set_a"), batch.column("set_b")):
-                if x != last:
-                    last, left = x, np.frombuffer(a.as_buffer(), dtype="<u8")
-                right = np.frombuffer(b.as_buffer(), dtype="<u8")
-                both = np.concatenate([left, right])
+            keep = []
+            for a, b in zip(batch.column("set_a"), batch.column("set_b")):
+                both = np.concatenate([_hashes(a), _hashes(b)])
                 both.sort()
                 shared = int((both[1:] == both[:-1]).sum())
                 keep.append(100 * shared >= pct * (len(both) - shared))
             yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b")], names=["a", "b"]).filter(pa.array(keep))
-    j = pairs.join(sets.select(F.col("node").alias("b"), F.col("set").alias("set_b")), "b")
-    j = j.join(sets.select(F.col("node").alias("a"), F.col("set").alias("set_a")), "a")
-    return j.select("a", "b", "set_a", "set_b").mapInArrow(run, "a long, b long")
-
-
-def _candidates(left: DataFrame, right: DataFrame, pct: int, once: bool = False) -> DataFrame:
-    """Pairs of nodes of different components, of compatible sizes, that
-    share as many prefix shingles as the smaller of their two L."""
-    j = left.join(right, "tok").filter(
-        (F.col("comp") != F.col("comp_b"))
-        & (100 * F.least("n", "n_b") >= pct * F.greatest("n", "n_b")))
-    if once:
-        j = j.filter("node < node_b")
-    return j.groupBy(F.least("node", "node_b").alias("a"), F.greatest("node", "node_b").alias("b")).agg(
+    return _with_sets(pairs, sets, "a", "b").select("a", "b", "set_a", "set_b").mapInArrow(run, "a long, b long")
+
+
+def difference_prefixes(size_h: int, size_x: int, difference: int, pct: int) -> tuple[int, int]:
+    """How many of a node's ``difference`` from its hub h, in order, have to
+    be looked at for a partner that is not linked with h (short), and, if
+    the node itself is not, for a partner that is (long).
+
+    Two sets link only if they differ from each other in at most
+    c = (100 - pct) / (100 + pct) of their joint size, and what two nodes
+    differ in is the symmetric difference of their differences from h.  So a
+    node not linked with h and a partner share more than half of (the
+    partner's difference plus c times (size of h less the partner's))."""
+    twice = 2 * (100 + pct)
+    short = max(1, ((100 + pct) * difference + (100 - pct) * (size_h - size_x)) // twice + 1)
+    long = max(1, -(-((100 + pct) * difference - (100 - pct) * (size_h + size_x)) // twice))
+    return max(0, difference - short + 1), max(0, difference - long + 1)
+
+
+def _measured(pairs: DataFrame, sets: DataFrame, pct: int) -> DataFrame:
+    """Every node against its hub: (h, x, n, ring, short, deltas).  Ring 0 is
+    linked with h, ring 1 within twice, ring 2 within three times the
+    threshold's distance, ring 3 beyond.  By the triangle inequality of the
+    Jaccard distance, nodes link only with their own and neighbouring rings."""
+    def run(batches):
+        for batch in batches:
+            n, rings, shorts, deltas = [], [], [], []
+            for a, b in zip(batch.column("set_a"), batch.column("set_b")):
+                hub, own = _hashes(a), _hashes(b)
+                extra = np.setdiff1d(own, hub, assume_unique=True)
+                missing = np.setdiff1d(hub, own, assume_unique=True)
+                shared = len(own) - len(extra)
+                union = len(hub) + len(extra)
+                ring = next((r for r in range(3) if 100 * shared >= ((r + 1) * pct - 100 * r) * union), 3)
+                short, long = difference_prefixes(len(hub), len(own), len(extra) + len(missing), pct)
+                # what the hub lacks comes first: it is rarer
+                d = np.concatenate([extra, missing])[:(short, max(short, long), short, 0)[ring]]
+                n.append(len(own))
+                rings.append(ring)
+                shorts.append(short)
+                deltas.append(d.view(np.int64))
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("h"), batch.column("x"), pa.array(n, pa.int32()), pa.array(rings, pa.int32()),
+                 pa.array(shorts, pa.int32()), pa.array(deltas, pa.list_(pa.int64()))],
+                names=["h", "x", "n", "ring", "short", "deltas"])
+    return _with_sets(pairs, sets, "h", "x").select("h", "x", "set_a", "set_b").mapInArrow(
+        run, "h long, x long, n int, ring int, short int, deltas array<long>")
+
+
+def _pairs(j: DataFrame, pct: int) -> DataFrame:
+    """Condition on sizes that any link meets."""
+    return j.filter(100 * F.least("n", "n_b") >= pct * F.greatest("n", "n_b"))
+
+
+def _renamed(df: DataFrame, keys: list[str]) -> DataFrame:
+    return df.select(*keys, *[F.col(c).alias(f"{c}_b") for c in df.columns if c not in keys])
+
+
+def _ring_candidates(measured: DataFrame, pct: int) -> DataFrame:
+    """Pairs of ring 1 with rings 0, 1 and 2 of the same hub that share a
+    difference from it inside their prefixes."""
+    d = measured.filter("ring < 3").select("h", "x", "n", "ring", "short", F.posexplode("deltas").alias("i", "delta"))
+    d = d.select("h", "delta", "x", "n", "ring", (F.col("i") < F.col("short")).alias("early"))
+    left, right = d.filter("ring = 1"), _renamed(d.filter("early"), ["h", "delta"])
+    j = left.join(right, ["h", "delta"]).filter(
+        (F.col("ring_b") == 0) | F.col("early") & ((F.col("ring_b") == 2) | (F.col("x") < F.col("x_b"))))
+    return _pairs(j, pct).select(F.least("x", "x_b").alias("a"), F.greatest("x", "x_b").alias("b")).distinct()
+
+
+def _prefix_candidates(postings: DataFrame, pct: int) -> DataFrame:
+    """Pairs of different components that share as many prefix shingles as
+    the smaller of their two L."""
+    j = postings.join(_renamed(postings, ["tok"]), "tok").filter(
+        (F.col("node") < F.col("node_b")) & (F.col("comp") != F.col("comp_b")))
+    return _pairs(j, pct).groupBy(F.col("node").alias("a"), F.col("node_b").alias("b")).agg(
         F.count(F.lit(1)).alias("shared"), F.first(F.least("l", "l_b")).alias("l")).filter("shared >= l").select("a", "b")
 
 
-def _as_b(df: DataFrame) -> DataFrame:
-    return df.select("tok", *[F.col(c).alias(f"{c}_b") for c in ("node", "n", "l", "comp")])
+def _in_components(df: DataFrame, labels: DataFrame | None, node: str, out: str) -> DataFrame:
+    if labels is None:
+        return df.withColumn(out, F.col(node))
+    own = labels.select(F.col("node").alias(node), F.col("comp").alias("_comp"))
+    return df.join(own, node, "left").withColumn(out, F.coalesce("_comp", node)).drop("_comp")
 
 
 def node_components(docs: DataFrame, first: DataFrame, size: int, pct: int, chunks: int) -> DataFrame | None:
@@ -234,40 +310,40 @@ def node_components(docs: DataFrame, first: DataFrame, size: int, pct: int, chun
     live = _live_postings(docs, _sketch(first), size, pct, chunks)
     rows = first.filter("node is not null").groupBy("node").agg(F.min("row").alias("row"))
     sets = _sets(docs, rows.join(live.select("node").distinct(), "node"), size)
-    links = labels = tried = None
-    round_ = found = 0
-    while True:
-        if labels is None:
-            now = live.withColumn("comp", F.col("node"))
-        else:
-            now = live.join(labels.withColumnRenamed("comp", "_c"), "node", "left").withColumn(
-                "comp", F.coalesce("_c", "node")).drop("_c")
-        now = cut(now)
-        held = now.groupBy("tok", "comp").agg(F.count(F.lit(1)).cast("double").alias("c"))
-        held = held.groupBy("tok").agg(F.sum("c").alias("s"), F.sum(F.col("c") * F.col("c")).alias("q"))
-        left, postings = held.agg(F.sum((F.col("s") * F.col("s") - F.col("q")) / 2), F.sum("s")).first()
-        if not left:
-            break
-        last = round_ > 0 and (left <= RESIDUAL * postings or found == 0)
-        if last:
-            # each pair once
-            pairs = _candidates(now, _as_b(now), pct, once=True)
-        else:
-            hub = now.groupBy("tok").agg(F.min(F.struct(
-                F.xxhash64(F.lit(round_), F.col("node")).alias("order"), "node", "n", "l", "comp")).alias("h"))
-            pairs = _candidates(now, _as_b(hub.select("tok", "h.node", "h.n", "h.l", "h.comp")), pct)
-        if tried is not None:
-            pairs = pairs.join(tried, ["a", "b"], "left_anti")
-        pairs = cut(pairs)
-        new = cut(_verified(pairs, sets, pct))
-        found = new.count()
+    # a hub should have little of its own: most of its prefix is shared
+    prefix = F.col("n") - F.ceil(F.col("n") * pct / 100) + F.col("l")
+    rank = live.groupBy("node").agg((-F.count(F.lit(1)) / F.first(prefix)).alias("rank"))
+    open_ = cut(live.join(rank, "node"))
+    links = labels = None
+
+    def link(new: DataFrame) -> None:
+        nonlocal links, labels
         links = new if links is None else links.unionByName(new)
-        if found:
-            labels = cut(components(links))
-        if last:
+        labels = cut(components(links))
+    while True:
+        hubs = open_.groupBy("tok").agg(F.count(F.lit(1)).alias("held"), F.min(F.struct(
+            "rank", F.xxhash64("node").alias("order"), "node")).alias("hub"))
+        hubs = hubs.filter(F.col("held") > SMALL).select("tok", F.col("hub.node").alias("h"))
+        families = cut(open_.join(hubs, "tok").select("tok", "h", F.col("node").alias("x")))
+        postings = families.count()
+        if not postings:
             break
-        tried = pairs if tried is None else tried.unionByName(pairs)
-        round_ += 1
+        measured = cut(_measured(families.filter("h != x").select("h", "x").distinct(), sets, pct))
+        link(measured.filter("ring = 0").select(F.col("h").alias("a"), F.col("x").alias("b")))
+        pairs = _in_components(_in_components(_ring_candidates(measured, pct), labels, "a", "_a"), labels, "b", "_b")
+        new = cut(_verified(cut(pairs.filter("_a != _b").select("a", "b")), sets, pct))
+        if not new.isEmpty():
+            link(new)
+        # hubs, ring 0 and ring 1 have met all they could link with at this shingle
+        done = families.join(measured.filter("ring < 2").select("h", "x", F.lit(True).alias("_done")), ["h", "x"], "left")
+        done = done.filter(F.coalesce("_done", F.col("h") == F.col("x"))).select("tok", F.col("x").alias("node"))
+        open_ = cut(open_.join(done, ["tok", "node"], "left_anti"))
+        if done.count() < WORTH * postings:
+            break                      # mostly unrelated texts: hubs tell little about them
+    now = cut(_in_components(open_.drop("rank"), labels, "node", "comp"))
+    new = cut(_verified(cut(_prefix_candidates(now, pct)), sets, pct))
+    if not new.isEmpty():
+        link(new)
     return labels
 
 
@@ -283,7 +359,7 @@ def jaccard_components(docs: DataFrame, size: int = SHINGLE, pct: int = THRESHOL
     Empty table: no rows.  Other columns are not read."""
     spark = docs.sparkSession
     chunks = prepare(spark)
-    d = docs.select(F.monotonically_increasing_id().alias("row"), "doc_id", F.col(text).alias("text"))
+    d = stable(docs).select(F.monotonically_increasing_id().alias("row"), "doc_id", F.col(text).alias("text"))
     first = _first_pass(d, size)
     rows = first.filter("seg is null").select("row", "doc_id", "n", "node")
     labels = node_components(d, first, size, pct, chunks)
@@ -312,4 +388,5 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 def keep_one(docs: DataFrame, size: int = SHINGLE, pct: int = THRESHOLD_PCT) -> DataFrame:
     """``docs`` with one row of each component, that of the smallest doc_id;
     texts without shingles all stay.  Same columns."""
+    docs = stable(docs)
     return pick_rows(docs, jaccard_components(docs, size, pct).filter("row = keeper"))

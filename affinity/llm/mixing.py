@@ -19,7 +19,7 @@ import math
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from affinity.llm.common import cut, pick_rows, running_total
+from affinity.llm.common import cut, pick_rows, running_total, stable
 from affinity.llm.text import WORD
 
 MAX_REPEATS = 3
@@ -112,7 +112,7 @@ def mix_sources(docs: DataFrame, weights=WEIGHTS, max_repeats: int = MAX_REPEATS
     Null text: size 0, taken 0.  Null source: a source of its own, last.
     Repeated rows: each counts and is taken by itself.  Empty table: no
     rows.  Other columns are not read.  Reruns over the same files agree."""
-    sizes = document_sizes(docs)
+    sizes = document_sizes(stable(docs))
     targets = source_targets(sizes, weights, max_repeats)
     seq = mixture(sizes, targets, max_repeats, seed)
     copies = seq.groupBy("row").agg(F.count(F.lit(1)).alias("copies"))
@@ -125,4 +125,5 @@ def mix_sources(docs: DataFrame, weights=WEIGHTS, max_repeats: int = MAX_REPEATS
 
 def mixed_documents(docs: DataFrame, **kw) -> DataFrame:
     """The documents themselves, once per copy taken, with the columns of ``docs``."""
+    docs = stable(docs)
     return pick_rows(docs, mix_sources(docs, **kw).filter("copies > 0"), copies=True)

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from affinity.llm.common import cut, prepare
+from affinity.llm.common import cut, prepare, stable
 
 ARCHIVE_BYTES = 1 << 30      # an archive is closed beyond this size
 MIN_REVISIT = 0              # payloads of at least so many bytes may be revisits
@@ -112,7 +112,7 @@ def revisits(pages: DataFrame, min_bytes: int = MIN_REVISIT) -> DataFrame:
     nothing further.  The join that adds the verdicts moves each payload
     once; a digest that a third of all rows share is split by AQE, since its
     side of the join has one row."""
-    p = pages.select(F.monotonically_increasing_id().alias("row"), "page_id", "url",
+    p = stable(pages).select(F.monotonically_increasing_id().alias("row"), "page_id", "url",
                      F.coalesce(F.col("html"), F.lit("")).cast("binary").alias("payload"))
     p = p.withColumn("sha1", F.sha1("payload"))
     groups = p.filter(F.octet_length("payload") >= min_bytes).groupBy("sha1").agg(

@@ -63,12 +63,41 @@ def test_families_of_near_copies(spark):
     assert rows_of(jaccard.near_duplicates(d.repartition(5))) == want
 
 
-def test_rounds_end_with_the_same_components(spark, monkeypatch):
-    rows = families(3, 15)
-    d = spark.createDataFrame(rows, "doc_id long, text string")
-    want = brute(rows)
-    monkeypatch.setattr(jaccard, "RESIDUAL", 0)       # hub rounds until one finds nothing
-    assert rows_of(jaccard.near_duplicates(d)) == want
+def test_hubs_find_the_same_components(spark, monkeypatch):
+    for seed, small, worth in ((3, 2, 0.1), (4, 1, 0.0), (5, 5, 0.9)):
+        rows = families(seed, 25)
+        d = spark.createDataFrame(rows, "doc_id long, text string")
+        monkeypatch.setattr(jaccard, "SMALL", small)
+        monkeypatch.setattr(jaccard, "WORTH", worth)
+        assert rows_of(jaccard.near_duplicates(d)) == brute(rows), seed
+
+
+def test_difference_prefixes_keep_every_link():
+    """Nodes that link share a difference from the hub inside their prefixes."""
+    rng = np.random.default_rng(6)
+    seen = 0
+    for _ in range(4000):
+        hub = set(range(60))
+
+        def near(k, base):
+            s = set(base)
+            for x in rng.choice(60, k, replace=False):
+                s.discard(int(x))
+            return s | {100 + int(x) for x in rng.choice(30, int(rng.integers(0, k + 1)), replace=False)}
+        x = near(int(rng.integers(4, 10)), hub)
+        y = near(int(rng.integers(1, 4)), x) if rng.random() < 0.5 else near(int(rng.integers(1, 10)), hub)
+
+        def links(a, b):
+            return 100 * len(a & b) >= 85 * len(a | b)
+        if links(x, hub) or x == y or not links(x, y) or y == hub:
+            continue
+        seen += 1
+        dx, dy = ([*sorted(s - hub), *sorted(hub - s)] for s in (x, y))
+        short_x, long_x = jaccard.difference_prefixes(len(hub), len(x), len(dx), 85)
+        short_y, _ = jaccard.difference_prefixes(len(hub), len(y), len(dy), 85)
+        first = set(dx[:long_x]) if links(y, hub) else set(dx[:short_x])
+        assert first & set(dy[:short_y])
+    assert seen > 100
 
 
 def test_whole_table(spark):

@@ -38,10 +38,13 @@ from affinity.llm.components import components
 
 SHINGLE = 5
 THRESHOLD_PCT = 80
-MAX_L = 8
+MAX_L = 16
 SKETCH_BITS = 18           # cells of the count sketch: 2**18, one megabyte
 SEGMENTS = 16
-VERIFY_COST = 4.0          # of a candidate, in postings
+USUAL = 0.1                # further holders of a shingle that estimates show none for
+FALL = 0.5                 # candidates left with each further shingle asked for
+VERIFY_COST = 0.3          # of a candidate, in postings per shingle of the text
+BROADCAST_ROWS = 500_000   # rows of two numbers that are broadcast if they are no more
 BUCKETS_PER_CHUNK = 2
 SMALL = 64                 # nodes at one shingle that are simply paired with each other
 WORTH = 0.1                # share of postings that a round of hubs has to settle to be followed by another
@@ -78,8 +81,8 @@ def prefix_choice(excess: np.ndarray, n: int, pct: int) -> tuple[int, int]:
     need = needed_overlap(n, pct)
     choices = np.arange(1, min(MAX_L, need) + 1)
     lengths = n - need + choices
-    visits = np.cumsum(excess)[lengths - 1]
-    cost = lengths + visits + VERIFY_COST * visits / choices
+    holders = np.cumsum(excess + USUAL)[lengths - 1]
+    cost = lengths + holders + VERIFY_COST * n * holders * FALL ** (choices - 1)
     best = int(np.argmin(cost))
     return int(choices[best]), int(lengths[best])
 
@@ -188,28 +191,32 @@ def _live_postings(docs: DataFrame, excess: np.ndarray, size: int, pct: int, chu
     return cut(dealt.groupBy("chunk").cogroup(met.groupBy("chunk")).applyInArrow(pick, "tok long, node long, n int, l int"))
 
 
-def _sets(docs: DataFrame, rows: DataFrame, size: int) -> DataFrame:
-    """(node, set) of the wanted texts (row, node): the sorted hashes, packed."""
-    def run(batches):
-        for b in batches:
-            sets = [u.astype("<u8").tobytes() for _, u in shingles(b.column("text"), size)]
-            yield pa.RecordBatch.from_arrays([b.column("node"), pa.array(sets, pa.binary())], names=["node", "set"])
-    return cut(docs.select("row", "text").join(rows, "row").select("node", "text").mapInArrow(run, "node long, set binary"))
+def _few(df: DataFrame) -> DataFrame:
+    """Broadcast a kept table of a few numbers a row if its counted rows are
+    few; a larger one is left to a shuffled join."""
+    return F.broadcast(df) if df.count() <= BROADCAST_ROWS else df
 
 
-def _with_sets(pairs: DataFrame, sets: DataFrame, a: str, b: str) -> DataFrame:
-    """Adds set_a and set_b.  Sets are one row a node, so where many pairs
-    share a node AQE splits the pairs."""
-    for side, name in ((b, "set_b"), (a, "set_a")):
-        pairs = pairs.join(sets.select(F.col("node").alias(side), F.col("set").alias(name)), side)
-    return pairs
+def _with_sets(pairs: DataFrame, docs: DataFrame, rows: DataFrame, size: int, a: str, b: str) -> DataFrame:
+    """Adds set_a and set_b, the sorted hashes of both nodes, to kept pairs.
+    Only texts of nodes in a pair are read.  Sets are one row a node, so
+    where many pairs share a node AQE splits the pairs."""
+    def run(batches):
+        for batch in batches:
+            found = [u.astype("<u8").tobytes() for _, u in shingles(batch.column("text"), size)]
+            yield pa.RecordBatch.from_arrays([batch.column("node"), pa.array(found, pa.binary())], names=["node", "set"])
+    nodes = pairs.select(F.col(a).alias("node")).union(pairs.select(F.col(b).alias("node"))).distinct()
+    wanted = _few(cut(rows.join(nodes, "node").select("row", "node")))
+    sets = cut(docs.select("row", "text").join(wanted, "row").select("node", "text").mapInArrow(run, "node long, set binary"))
+    one = sets.select(F.col("node").alias(b), F.col("set").alias("set_b")).join(_few(pairs), b)
+    return one.join(sets.select(F.col("node").alias(a), F.col("set").alias("set_a")), a)
 
 
 def _hashes(value: pa.Scalar) -> np.ndarray:
     return np.frombuffer(value.as_buffer(), dtype="<u8")
 
 
-def _verified(pairs: DataFrame, sets: DataFrame, pct: int) -> DataFrame:
+def _verified(pairs: DataFrame, with_sets, pct: int) -> DataFrame:
     """The pairs (a, b) that reach the threshold."""
     def run(batches):
         for batch in batches:
@@ -220,7 +227,7 @@ def _verified(pairs: DataFrame, sets: DataFrame, pct: int) -> DataFrame:
                 shared = int((both[1:] == both[:-1]).sum())
                 keep.append(100 * shared >= pct * (len(both) - shared))
             yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b")], names=["a", "b"]).filter(pa.array(keep))
-    return _with_sets(pairs, sets, "a", "b").select("a", "b", "set_a", "set_b").mapInArrow(run, "a long, b long")
+    return with_sets(pairs, "a", "b").select("a", "b", "set_a", "set_b").mapInArrow(run, "a long, b long")
 
 
 def difference_prefixes(size_h: int, size_x: int, difference: int, pct: int) -> tuple[int, int]:
@@ -239,7 +246,7 @@ def difference_prefixes(size_h: int, size_x: int, difference: int, pct: int) ->
     return max(0, difference - short + 1), max(0, difference - long + 1)
 
 
-def _measured(pairs: DataFrame, sets: DataFrame, pct: int) -> DataFrame:
+def _measured(pairs: DataFrame, with_sets, pct: int) -> DataFrame:
     """Every node against its hub: (h, x, n, ring, short, deltas).  Ring 0 is
     linked with h, ring 1 within twice, ring 2 within three times the
     threshold's distance, ring 3 beyond.  By the triangle inequality of the
@@ -265,7 +272,7 @@ def _measured(pairs: DataFrame, sets: DataFrame, pct: int) -> DataFrame:
                 [batch.column("h"), batch.column("x"), pa.array(n, pa.int32()), pa.array(rings, pa.int32()),
                  pa.array(shorts, pa.int32()), pa.array(deltas, pa.list_(pa.int64()))],
                 names=["h", "x", "n", "ring", "short", "deltas"])
-    return _with_sets(pairs, sets, "h", "x").select("h", "x", "set_a", "set_b").mapInArrow(
+    return with_sets(pairs, "h", "x").select("h", "x", "set_a", "set_b").mapInArrow(
         run, "h long, x long, n int, ring int, short int, deltas array<long>")
 
 
@@ -309,7 +316,9 @@ def node_components(docs: DataFrame, first: DataFrame, size: int, pct: int, chun
     """(node, comp) of all linked nodes; None without any link."""
     live = _live_postings(docs, _sketch(first), size, pct, chunks)
     rows = first.filter("node is not null").groupBy("node").agg(F.min("row").alias("row"))
-    sets = _sets(docs, rows.join(live.select("node").distinct(), "node"), size)
+
+    def with_sets(pairs: DataFrame, a: str, b: str) -> DataFrame:
+        return _with_sets(pairs, docs, rows, size, a, b)
     # a hub should have little of its own: most of its prefix is shared
     prefix = F.col("n") - F.ceil(F.col("n") * pct / 100) + F.col("l")
     rank = live.groupBy("node").agg((-F.count(F.lit(1)) / F.first(prefix)).alias("rank"))
@@ -328,10 +337,10 @@ def node_components(docs: DataFrame, first: DataFrame, size: int, pct: int, chun
         postings = families.count()
         if not postings:
             break
-        measured = cut(_measured(families.filter("h != x").select("h", "x").distinct(), sets, pct))
+        measured = cut(_measured(cut(families.filter("h != x").select("h", "x").distinct()), with_sets, pct))
         link(measured.filter("ring = 0").select(F.col("h").alias("a"), F.col("x").alias("b")))
         pairs = _in_components(_in_components(_ring_candidates(measured, pct), labels, "a", "_a"), labels, "b", "_b")
-        new = cut(_verified(cut(pairs.filter("_a != _b").select("a", "b")), sets, pct))
+        new = cut(_verified(cut(pairs.filter("_a != _b").select("a", "b")), with_sets, pct))
         if not new.isEmpty():
             link(new)
         # hubs, ring 0 and ring 1 have met all they could link with at this shingle
@@ -341,7 +350,7 @@ def node_components(docs: DataFrame, first: DataFrame, size: int, pct: int, chun
         if done.count() < WORTH * postings:
             break                      # mostly unrelated texts: hubs tell little about them
     now = cut(_in_components(open_.drop("rank"), labels, "node", "comp"))
-    new = cut(_verified(cut(_prefix_candidates(now, pct)), sets, pct))
+    new = cut(_verified(cut(_prefix_candidates(now, pct)), with_sets, pct))
     if not new.isEmpty():
         link(new)
     return labels

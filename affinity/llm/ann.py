@@ -4,15 +4,18 @@ Vectors are clustered on a bounded sample by splitting clusters until each
 is small, so lists are balanced.  Every vector goes to its nearest list and,
 if it lies near a border, to further lists whose distance is within a ratio
 of the nearest.  Centroids (a bounded number) are searched through a graph
-of their neighbours held in memory.  A query looks into the lists whose
-centroids are within a distance ratio of its nearest one.
+of their neighbours held in memory.  A query looks into all lists whose
+centroids are within a distance ratio of its nearest one.  That ratio is
+measured: it is the one that finds ``RECALL`` of the nearest neighbours
+inside the sample, so data without clusters costs more, not recall.
 
 Largest inner product is turned into smallest distance by one more
 component that gives all indexed vectors the same norm.
 
 Equal vectors are one entry: all have the same score for any query, so of
-their ids only the smallest ``k + 1`` can be in a result.  Lists are read in
-blocks of bounded size, so a long list is not one task's work.
+their ids only the smallest ``k + 1`` can be in a result.  Lists are dealt
+to shards of bounded size, and a long list to several, so no list is one
+task's work.
 """
 
 from __future__ import annotations
@@ -26,19 +29,20 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from affinity.llm.common import cut, prepare, stable
+from affinity.llm.common import cut, hash_sample, prepare, stable
 
 K = 20
 QUERY_EVERY = 20
 SAMPLE = 20_000            # vectors the clustering is fitted to
 LIST_ROWS = 160            # entries aimed at per list
 MAX_LISTS = 16_384         # centroids held in memory
-REPLICAS = 6               # lists a border vector goes to at most
-REPLICA_RATIO = 1.08       # of its distance to the nearest list
-PROBE = 48                 # lists a query looks into at most, while it has enough
-PROBE_RATIO = 1.35
+REPLICAS = 4               # lists a border vector goes to at most
+REPLICA_RATIO = 1.03       # of its distance to the nearest list
+RECALL = 0.97              # aimed at on the sample
+CALIBRATION = 400          # sample vectors used as queries for that
 DEGREE, BEAM, ENTRIES = 24, 64, 64
-BLOCK = 2048               # entries, and queries, of one unit of search
+SHARD = 16_384             # entries of one unit of search
+QUERY_BLOCK = 4_096        # queries of one unit of search
 SEED = 7
 
 
@@ -70,7 +74,11 @@ class Lists:
         c = self.centroids
         norms = (c * c).sum(axis=1)
         own = (x * x).sum(axis=1)
-        beam = min(beam, len(c))
+        if beam >= len(c):                        # all of them
+            d = np.maximum(norms - 2 * x @ c.T + own[:, None], 0.0)
+            order = np.argsort(d, axis=1, kind="stable")
+            return order, np.sqrt(np.take_along_axis(d, order, 1))
+        width = max(4, beam // 8)
         rows = np.arange(len(x))[:, None]
 
         def distance(ids):
@@ -84,7 +92,7 @@ class Lists:
         while True:
             order = np.argsort(near, axis=1, kind="stable")[:, :beam]
             found, near, done = (np.take_along_axis(a, order, 1) for a in (found, near, done))
-            step = np.argsort(done * 1e9 + near, axis=1, kind="stable")[:, :4]     # the nearest not yet expanded
+            step = np.argsort(done * 1e9 + near, axis=1, kind="stable")[:, :width]     # the nearest not yet expanded
             open_ = ~np.take_along_axis(done, step, 1) & np.isfinite(np.take_along_axis(near, step, 1))
             if not open_.any():
                 break
@@ -101,6 +109,52 @@ class Lists:
             done = np.concatenate([done, ~new], axis=1)
         return np.where(np.isfinite(near), found, -1), np.sqrt(near)
 
+    def homes(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Lists of each lifted vector, nearest first, and which of them it
+        goes to: the nearest, and others within the ratio that are not
+        nearer to one already taken than to the vector."""
+        c = self.centroids
+        ids, d = self.nearest(x, min(len(c), 4 * REPLICAS))
+        take = (ids >= 0) & (d <= np.maximum(d[:, :1] * REPLICA_RATIO, 1e-12))
+        take[:, REPLICAS:] = False
+        for j in range(1, min(REPLICAS, ids.shape[1])):
+            for i in range(j):
+                gap = np.sqrt(((c[ids[:, j]] - c[ids[:, i]]) ** 2).sum(axis=1))
+                take[:, j] &= ~(take[:, i] & (gap < d[:, j] * 0.5))
+        take[:, 0] = True
+        return ids, take
+
+    def within(self, x: np.ndarray, ratio: float) -> tuple[np.ndarray, np.ndarray]:
+        """Lists of each lifted query, nearest first, and their distances:
+        all that are within ``ratio`` of the nearest, and some more."""
+        beam = BEAM
+        while True:
+            ids, d = self.nearest(x, beam)
+            if beam >= len(self.centroids) or (d[:, -1] > ratio * d[:, 0]).all():
+                return ids, d
+            beam *= 4
+
+
+def calibrated_ratio(lists: Lists, x: np.ndarray, total: int, k: int) -> float:
+    """Distance ratio within which queries find RECALL of their nearest
+    neighbours, measured inside the sample ``x``: the neighbours of a sampled
+    query there are as far as its nearest k among all ``total`` vectors."""
+    if len(x) < 3 or len(lists.centroids) < 2:
+        return math.inf
+    near = max(1, min(len(x) - 1, round(k * len(x) / total)))
+    asked = np.arange(0, len(x), max(1, len(x) // CALIBRATION))
+    score = x[asked] @ x.T
+    score[np.arange(len(asked)), asked] = -np.inf
+    best = np.argpartition(-score, near - 1, axis=1)[:, :near]
+    q = lists.lift_queries(x[asked])
+    c = lists.centroids
+    d = np.sqrt(np.maximum((c * c).sum(axis=1) - 2 * q @ c.T + (q * q).sum(axis=1)[:, None], 0.0))
+    ids, take = lists.homes(lists.lift(x[best.ravel()]))
+    owner = np.repeat(np.arange(len(asked)), near)[:, None]
+    to = np.where(take, d[owner, np.maximum(ids, 0)], np.inf).min(axis=1)
+    needed = to / np.maximum(d.min(axis=1)[owner[:, 0]], 1e-12)
+    return float(np.quantile(needed, RECALL)) * (1 + 1e-6)
+
 
 def _means(x: np.ndarray, k: int, rng, rounds: int = 8) -> np.ndarray:
     """Index of the cluster of each row (Lloyd's rounds)."""
@@ -170,8 +224,8 @@ def usable(vectors: DataFrame, vec: str) -> DataFrame:
     return d.filter(F.size("v") == (lengths[0].n if lengths else 0)).withColumn("v", F.transform(v, lambda x: x + F.lit(0.0)))
 
 
-def build_index(rows: DataFrame, k: int = K) -> tuple[DataFrame, "pa.Table | None", Lists | None, DataFrame | None]:
-    """Entries, list sizes and postings of usable rows."""
+def build_index(rows: DataFrame, k: int = K):
+    """Entries, list sizes, lists, probe ratio and postings of usable rows."""
     spark = rows.sparkSession
     first = Window.partitionBy("v").orderBy("vec_id", "row")
     # the limit is applied map-side before the exchange, so a vector that a third of the rows have stays small
@@ -180,25 +234,17 @@ def build_index(rows: DataFrame, k: int = K) -> tuple[DataFrame, "pa.Table | Non
     entries = cut(entries.select(F.col("members")[0]["row"].alias("entry"), "v", "members"))
     total, extra = entries.agg(F.count(F.lit(1)), F.max(F.aggregate("v", F.lit(0.0), lambda s, x: s + x * x))).first()
     if not total:
-        return entries, None, None, None
-    sample = entries.select("v").orderBy(F.xxhash64(F.lit(SEED), "entry")).limit(SAMPLE).toArrow()
-    lists = build_lists(_matrix(sample.column("v")), min(MAX_LISTS, -(-total // LIST_ROWS)), float(extra))
+        return entries, None, None, None, None
+    sample = hash_sample(entries, "entry", SAMPLE, SEED).select("v").toArrow()
+    x = _matrix(sample.column("v"))
+    lists = build_lists(x, min(MAX_LISTS, -(-total // LIST_ROWS)), float(extra))
+    ratio = calibrated_ratio(lists, x, total, k)
     shared = spark.sparkContext.broadcast(lists)
 
     def assign(batches):
         index = shared.value
-        c = index.centroids
         for b in batches:
-            x = index.lift(_matrix(b.column("v")))
-            ids, d = index.nearest(x, min(BEAM, 4 * REPLICAS))
-            take = (ids >= 0) & (d <= np.maximum(d[:, :1] * REPLICA_RATIO, 1e-12))
-            take[:, REPLICAS:] = False
-            # a list nearer to one already taken than to the vector adds nothing
-            for j in range(1, min(REPLICAS, ids.shape[1])):
-                for i in range(j):
-                    gap = np.sqrt(((c[ids[:, j]] - c[ids[:, i]]) ** 2).sum(axis=1))
-                    take[:, j] &= ~(take[:, i] & (gap < d[:, j] * 0.5))
-            take[:, 0] = True
+            ids, take = index.homes(index.lift(_matrix(b.column("v"))))
             at, col = np.nonzero(take)
             yield pa.RecordBatch.from_arrays(
                 [pa.array(ids[at, col].astype(np.int32)), pa.array(col == 0), *[b.column(n).take(pa.array(at))
@@ -207,7 +253,7 @@ def build_index(rows: DataFrame, k: int = K) -> tuple[DataFrame, "pa.Table | Non
     postings = cut(entries.select("entry", "v", "members").mapInArrow(
         assign, "list int, main boolean, entry long, v array<double>, members array<struct<vec_id:bigint,row:bigint>>"))
     sizes = postings.groupBy("list").agg(F.count(F.lit(1)).alias("n"), F.count_if("main").alias("main"))
-    return entries, sizes.toArrow(), lists, postings
+    return entries, sizes.toArrow(), lists, ratio, postings
 
 
 def _best(score: np.ndarray, k: int) -> np.ndarray:
@@ -231,7 +277,7 @@ def search(vectors: DataFrame, queries, k: int = K, vec: str = "embedding") -> D
     spark = vectors.sparkSession
     parts = prepare(spark)
     rows = usable(vectors, vec)
-    entries, sizes, lists, postings = build_index(rows, k)
+    entries, sizes, lists, ratio, postings = build_index(rows, k)
     schema = "query_id long, rank int, vec_id long, score double"
     if postings is None:
         return spark.createDataFrame([], schema)
@@ -239,39 +285,49 @@ def search(vectors: DataFrame, queries, k: int = K, vec: str = "embedding") -> D
     n, main = np.zeros(n_lists, np.int64), np.zeros(n_lists, np.int64)
     n[sizes.column("list").to_numpy()] = sizes.column("n").to_numpy()
     main[sizes.column("list").to_numpy()] = sizes.column("main").to_numpy()
-    shared = spark.sparkContext.broadcast((lists, n, main))
+    # blocks of each list, and the shard of each block: neighbouring blocks fill a shard
+    blocks = np.maximum(1, -(-n // SHARD))
+    first = np.cumsum(blocks) - blocks
+    rows_of = np.repeat(n / blocks, blocks)
+    shard = (np.cumsum(rows_of) - rows_of) // SHARD
     asked = rows.filter(queries).select("row", "vec_id", "v")
+    # one search per distinct query vector
+    wanted = cut(entries.select("entry", "v").join(asked.select("v").distinct(), "v", "left_semi").select("entry", "v"))
+    shared = spark.sparkContext.broadcast((lists, ratio, main, blocks, first, shard.astype(np.int32)))
 
     def probe(batches):
-        index, n, main = shared.value
+        index, ratio, main, blocks, first, shard = shared.value
         for b in batches:
-            ids, d = index.nearest(index.lift_queries(_matrix(b.column("v"))))
+            ids, d = index.within(index.lift_queries(_matrix(b.column("v"))), ratio)
             some = ids >= 0
-            count = np.where(some, main[ids], 0).cumsum(axis=1)
-            enough = np.concatenate([np.zeros((len(ids), 1), bool), count[:, :-1] > 2 * (k + 1)], axis=1)
-            near = d <= d[:, :1] * PROBE_RATIO
-            near[:, PROBE:] = False
-            take = some & (near | ~enough)
-            at, col = np.nonzero(take)
+            before = np.where(some, main[np.maximum(ids, 0)], 0).cumsum(axis=1)
+            enough = np.concatenate([np.zeros((len(ids), 1), bool), before[:, :-1] > 2 * (k + 1)], axis=1)
+            at, col = np.nonzero(some & ((d <= d[:, :1] * ratio) | ~enough))
             chosen = ids[at, col]
-            blocks = -(-n[chosen] // BLOCK)
-            where = np.repeat(np.arange(len(at)), blocks)
-            block = np.arange(len(where)) - np.repeat(np.cumsum(blocks) - blocks, blocks)
+            each = blocks[chosen]
+            at, chosen = np.repeat(at, each), np.repeat(chosen, each)
+            block = np.arange(len(at)) - np.repeat(np.cumsum(each) - each, each)
+            to = shard[first[chosen] + block]
+            order = np.lexsort((chosen, to, at))
+            at, chosen, to = at[order], chosen[order], to[order]
+            new = np.flatnonzero(np.append(True, (at[1:] != at[:-1]) | (to[1:] != to[:-1]))) if len(at) else at
+            lists_of = pa.ListArray.from_arrays(pa.array(np.append(new, len(at)).astype(np.int32)),
+                                                pa.array(chosen.astype(np.int32)))
             yield pa.RecordBatch.from_arrays(
-                [pa.array(chosen[where].astype(np.int32)), pa.array(block.astype(np.int32)),
-                 *[b.column(c).take(pa.array(at[where])) for c in ("entry", "v")]], names=["list", "block", "entry", "v"])
-    # one search per distinct query vector
-    wanted = entries.select("entry", "v").join(asked.select("v").distinct(), "v", "left_semi").select("entry", "v")
-    probes = wanted.repartition(parts).mapInArrow(probe, "list int, block int, entry long, v array<double>")
-    probes = cut(probes)
-    # queries of one list in blocks too: (list, block of entries, block of queries)
-    q_blocks = probes.filter("block = 0").groupBy("list").agg((F.floor((F.count(F.lit(1)) - 1) / BLOCK) + 1).alias("qb"))
-    probes = probes.join(q_blocks, "list").withColumn("qblock", F.pmod(F.xxhash64("entry"), F.col("qb")).cast("int"))
-    s = spark.createDataFrame(sizes.to_pandas()[["list", "n"]].astype({"list": "int32"}), "list int, n long")
-    spread = postings.join(F.broadcast(s), "list").join(q_blocks, "list").withColumn(
-        "block", F.pmod(F.xxhash64("entry"), F.ceil(F.col("n") / BLOCK)).cast("int"))
-    spread = spread.withColumn("qblock", F.explode(F.sequence(F.lit(0), (F.col("qb") - 1).cast("int"))))
-    keys = ["list", "block", "qblock"]
+                [pa.array(to[new]), lists_of, *[b.column(c).take(pa.array(at[new])) for c in ("entry", "v")]],
+                names=["shard", "lists", "entry", "v"])
+    probes = cut(wanted.repartition(parts).mapInArrow(probe, "shard int, lists array<int>, entry long, v array<double>"))
+    # queries of one shard in blocks too
+    q_blocks = probes.groupBy("shard").agg((F.floor((F.count(F.lit(1)) - 1) / QUERY_BLOCK) + 1).cast("int").alias("qb"))
+    probes = probes.join(q_blocks, "shard").withColumn("qblock", F.pmod(F.xxhash64("entry"), F.col("qb")).cast("int"))
+    places = spark.createDataFrame(
+        [(i, int(blocks[i]), shard[first[i]:first[i] + blocks[i]].astype(int).tolist()) for i in range(n_lists)],
+        "list int, blocks int, shards array<int>")
+    # at most MAX_LISTS lists, so their table is broadcast
+    spread = postings.join(F.broadcast(places), "list").withColumn(
+        "shard", F.get("shards", F.pmod(F.xxhash64("entry"), F.col("blocks")).cast("int"))).join(q_blocks, "shard")
+    spread = spread.withColumn("qblock", F.explode(F.sequence(F.lit(0), F.col("qb") - 1)))
+    keys = ["shard", "qblock"]
     out = "q long, entry long, score double, members array<struct<vec_id:bigint,row:bigint>>"
 
     def compare(key, p, q):
@@ -280,16 +336,41 @@ def search(vectors: DataFrame, queries, k: int = K, vec: str = "embedding") -> D
         if not p.num_rows or not q.num_rows:
             return pa.table([pa.array([], t) for t in (pa.int64(), pa.int64(), pa.float64(), member_type)], names=names)
         x, y = _matrix(p.column("v")), _matrix(q.column("v"))
-        at, col = np.nonzero(_best(y @ x.T, k + 1))
+        entry, home = p.column("entry").to_numpy(), p.column("list").to_numpy()
+        by_list = np.argsort(home, kind="stable")
+        edges = np.flatnonzero(np.append(True, home[by_list][1:] != home[by_list][:-1]))
+        wants = q.column("lists").combine_chunks()
+        asked_by = np.repeat(np.arange(q.num_rows), np.diff(wants.offsets.to_numpy()))
+        asked_for = wants.flatten().to_numpy()
+        found = []
+        for lo, hi in zip(edges, np.append(edges[1:], len(home))):
+            members = by_list[lo:hi]
+            who = asked_by[asked_for == home[members[0]]]
+            if len(who):
+                at, col = np.nonzero(_best(y[who] @ x[members].T, k + 1))
+                found.append((who[at], members[col]))
+        if not found:
+            return pa.table([pa.array([], t) for t in (pa.int64(), pa.int64(), pa.float64(), member_type)], names=names)
+        at, col = (np.concatenate(z) for z in zip(*found))
         exact = (y[at] * x[col]).sum(axis=1)       # row by row, so equal vectors have equal scores
+        # once per query and entry, then each query's best of the whole shard, ties included
+        order = np.lexsort((entry[col], -exact, at))
+        at, col, exact = at[order], col[order], exact[order]
+        new = np.append(True, (at[1:] != at[:-1]) | (entry[col[1:]] != entry[col[:-1]]))
+        at, col, exact = at[new], col[new], exact[new]
+        start = np.flatnonzero(np.append(True, at[1:] != at[:-1]))
+        size = np.diff(np.append(start, len(at)))
+        last = np.repeat(exact[start + np.minimum(size, k + 1) - 1], size)
+        keep = exact >= last
+        at, col, exact = at[keep], col[keep], exact[keep]
         pick = pa.array(col)
         return pa.table([q.column("entry").take(pa.array(at)), p.column("entry").take(pick), pa.array(exact),
                          p.column("members").take(pick).cast(member_type)], names=names)
-    found = spread.select(*keys, "entry", "v", "members").groupBy(*keys).cogroup(
-        probes.select(*keys, "entry", "v").groupBy(*keys)).applyInArrow(compare, out)
+    found = spread.select(*keys, "list", "entry", "v", "members").groupBy(*keys).cogroup(
+        probes.select(*keys, "lists", "entry", "v").groupBy(*keys)).applyInArrow(compare, out)
     order = [F.col("score").desc(), F.col("vec_id"), F.col("row")]
     best = Window.partitionBy("q").orderBy(*order)
-    # the same entry may come from several lists; of an entry's members only the first k + 1 count
+    # the same entry may come from lists of several shards; of an entry's members only the first k + 1 count
     top = found.groupBy("q", "entry").agg(F.max("score").alias("score"), F.first("members").alias("members"))
     top = top.select("q", "score", F.explode("members").alias("m")).select("q", "score", "m.vec_id", "m.row")
     top = top.withColumn("r", F.row_number().over(best)).filter(F.col("r") <= k + 1)

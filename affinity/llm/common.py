@@ -40,6 +40,18 @@ def stable(df: DataFrame) -> DataFrame:
     return df if all(n.split("[")[0] in _STEADY or n.startswith("Relation") for n in nodes) else cut(df)
 
 
+def hash_sample(df: DataFrame, key: str, most: int, seed: int) -> DataFrame:
+    """At most ``most`` rows of a kept table, those of the smallest hashes of
+    ``key``: a sample that depends neither on order nor on partitions.  A
+    threshold first leaves about as many rows as wanted, so that no
+    partition sends more than its share."""
+    n = df.count()
+    h = F.xxhash64(F.lit(seed), key)
+    if n > most:
+        df = df.filter(F.pmod(h, F.lit(1 << 30)) < int((1 << 30) * min(1.0, 1.2 * most / n + 1000 / n)))
+    return df.orderBy(F.pmod(h, F.lit(1 << 30)), h).limit(most)
+
+
 def free_name(df: DataFrame, name: str) -> str:
     """``name``, or ``name`` with underscores before it, that no column has."""
     taken = {c.lower() for c in df.columns}

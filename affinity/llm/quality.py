@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from affinity.llm import text as T
-from affinity.llm.common import cut, prepare
+from affinity.llm.common import cut, hash_sample, prepare
 from affinity.sources.tables import read_table
 
 MAX_TRAIN = 40_000       # labelled rows that reach the driver at most
@@ -234,8 +234,7 @@ def train(stats: DataFrame, labels: DataFrame, max_train: int = MAX_TRAIN) -> Tr
     depend on order or partitions.  Rows without label, and labels without
     row, are left out."""
     y = labels.filter(F.col("quality").isNotNull() & ~held_out()).groupBy("doc_id").agg(F.max("quality").alias("quality"))
-    rows = stats.join(y, "doc_id").select("quality", "stats", F.xxhash64(F.lit(1), "doc_id").alias("h"))
-    got = rows.orderBy("h").limit(max_train).toArrow()
+    got = hash_sample(stats.join(y, "doc_id"), "doc_id", max_train, seed=1).select("quality", "stats").toArrow()
     if not got.num_rows:
         return fit(np.zeros((0, len(STATISTICS)), np.float32), np.zeros(0))
     return fit(unpack(got.column("stats").to_pylist()), (got.column("quality").to_numpy() > 0).astype(float))

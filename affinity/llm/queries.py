@@ -1,16 +1,20 @@
 """The checked queries: each applies one operator, with its production
-parameters, to its whole table.  ``ORACLES`` holds the DuckDB statements of
-those that SQL can express; the others are tested against brute force in
-tests/llm."""
+parameters, to its whole table.  ``ORACLES`` (see oracles.py) holds the
+DuckDB statements of those that SQL can express; the others are tested
+against brute force in tests/llm."""
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from affinity.llm import ann, bpe, html, jaccard, licenses, mixing, quality, rules, substring, warc
 from affinity.llm.common import table_query
+from affinity.llm.oracles import ORACLES
+
+__all__ = ["ORACLES", "QUERIES"]
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality": quality.quality_query,
@@ -21,9 +25,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_bpe": table_query("documents", bpe.encode_and_decode),
     "op6_warc": table_query("pages", warc.round_trip),
     "op7_licenses": table_query("documents", licenses.scan_licenses),
-    "op8_rules": table_query("documents", rules.quality_rules),
+    "op8_rules": table_query("documents", lambda d: rules.quality_rules(d).withColumn(
+        "host_rate", F.round("host_rate", 9))),
     "op9_html": table_query("pages", html.extract),
     "op10_ann": table_query("embeddings", ann.nearest_neighbours),
 }
-
-ORACLES: dict[str, str] = {}

@@ -80,9 +80,44 @@ def test_small_and_empty_tables(spark):
     assert ann.nearest_neighbours(d.limit(1)).count() == 0
 
 
-def test_long_lists_are_cut_into_blocks(spark, monkeypatch):
-    monkeypatch.setattr(ann, "BLOCK", 16)
+def test_shards_and_blocks_do_not_change_the_result(spark, monkeypatch):
     e = spark.read.parquet(f"{SF01}/embeddings.parquet")
-    one = results(ann.nearest_neighbours(e))
-    monkeypatch.setattr(ann, "BLOCK", 4096)
-    assert one == results(ann.nearest_neighbours(e))
+    want = results(ann.nearest_neighbours(e))
+    for shard, block in ((16, 7), (100, 4096)):
+        monkeypatch.setattr(ann, "SHARD", shard)
+        monkeypatch.setattr(ann, "QUERY_BLOCK", block)
+        assert want == results(ann.nearest_neighbours(e))
+
+
+def test_ratio_is_measured():
+    """Vectors without clusters need a wide ratio, clustered ones a narrow one,
+    and either finds its neighbours."""
+    rng = np.random.default_rng(9)
+    flat = rng.normal(size=(3000, 16))
+    tight = rng.normal(size=(60, 16))[rng.integers(0, 60, 3000)] * 3 + rng.normal(size=(3000, 16)) * 0.1
+    shares = []
+    for x in (flat, tight):
+        x = x / np.linalg.norm(x, axis=1, keepdims=True)
+        lists = ann.build_lists(x, 60, float((x * x).sum(axis=1).max()))
+        ratio = ann.calibrated_ratio(lists, x, len(x), 20)
+        asked = np.arange(1, 3000, 50)
+        ids, d = lists.within(lists.lift_queries(x[asked]), ratio)
+        chosen = [set(i[(i >= 0) & (r <= ratio * r[0])].tolist()) for i, r in zip(ids, d)]
+        home, take = lists.homes(lists.lift(x))
+        score = x[asked] @ x.T
+        score[np.arange(len(asked)), asked] = -9
+        best = np.argsort(-score, axis=1)[:, :20]
+        hit = np.mean([any(h in c for h in home[j][take[j]]) for c, b in zip(chosen, best) for j in b])
+        assert hit > 0.93
+        shares.append(np.mean([len(c) for c in chosen]) / len(lists.centroids))
+    assert shares[1] < shares[0] / 2
+
+
+def test_graph_finds_the_nearest_centroids():
+    rng = np.random.default_rng(2)
+    x = rng.normal(size=(4000, 12))
+    lists = ann.build_lists(x, 300, float((x * x).sum(axis=1).max()))
+    q = lists.lift(x[:200])
+    ids, _ = lists.nearest(q, 64)
+    exact = ((lists.centroids[None] - q[:, None]) ** 2).sum(axis=2).argmin(axis=1)
+    assert np.mean(ids[:, 0] == exact) > 0.95

@@ -20,6 +20,12 @@ def safe_ln(x) -> Column:
     return F.when(x > 0, F.ln(x))
 
 
+def strip_text(x) -> Column:
+    """Text without leading and trailing blanks and control characters
+    (``0x00-0x20``), carriage returns of CRLF files included."""
+    return F.regexp_replace(_c(x), r"^[\x00-\x20]+|[\x00-\x20]+$", "")
+
+
 def to_double(x) -> Column:
     """Lenient string -> double: non-numeric text (e.g. ``NA``) becomes null
     instead of failing the query under ANSI mode."""

@@ -12,29 +12,29 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from affinity.functions.geo import BOX_CONTIGUOUS, Box, in_box
-from affinity.operators.sizing import fits_broadcast
+from affinity.operators.sizing import maybe_broadcast
 
 SCORE_SCALE = 1_000_000_000
-# Largest unit table attached to edges by broadcast (rows).  A unit row is a
-# key plus a few doubles, so this stays in the tens of MB.  Above it, the
-# attribute join becomes a shuffle join.
-UNIT_BROADCAST_ROWS = 2_000_000
-
 
 # Groups with more distinct units than this are split across tasks in the
-# pair self-join (a plain group emits at most HOT_GROUP_UNITS^2 = 4e6 pairs
-# from one task); a split group emits about HOT_BUCKET_UNITS^2 per task.
+# pair self-join (a plain group emits at most HOT_GROUP_UNITS^2 / 2 = 2e6
+# pairs from one task); a split group emits about HOT_BUCKET_UNITS^2 per task.
 HOT_GROUP_UNITS = 2_000
 HOT_BUCKET_UNITS = 1_000
-# Cap on buckets per side (at most HOT_MAX_BUCKETS^2 cells for one group):
-# bounds the replication when a group's raw rows are mostly duplicates.
-HOT_MAX_BUCKETS = 1_024
+
+
+def distinct_links(incidence: DataFrame, group_col: str, unit_col: str) -> DataFrame:
+    """Distinct ``(g, u)`` of incidence rows with both ends."""
+    return (incidence
+            .select(F.col(group_col).alias("g"), F.col(unit_col).alias("u"))
+            .where(F.col("g").isNotNull() & F.col("u").isNotNull())
+            .distinct())
 
 
 def connectivity_index(incidence: DataFrame, group_col: str, unit_col: str,
                        scale: float = SCORE_SCALE, include_self: bool = True,
                        hot_group_units: int = HOT_GROUP_UNITS,
-                       hot_bucket_units: int = HOT_BUCKET_UNITS) -> DataFrame:
+                       hot_bucket_units: int = HOT_BUCKET_UNITS, small_units: bool = False) -> DataFrame:
     """Connectivity index from raw links.
 
     ``incidence`` holds (group, unit) rows, e.g. (order, supplier): a unit
@@ -43,63 +43,59 @@ def connectivity_index(incidence: DataFrame, group_col: str, unit_col: str,
     With ``include_self`` the diagonal (``c_ii = n_i``) is kept, as in a
     complete published index; :func:`drop_self_pairs` removes it.
 
-    Plan: distinct links (partial aggregation before the shuffle); unit
-    degrees by a partial aggregation, attached to the *links* (linear size),
-    not to the quadratic pair table; a self-join on the group key; pair
-    counts combined map-side right after the join.
+    Plan: distinct links (partial aggregation before the shuffle); a
+    self-join on the group key that gives each pair once (u1 < u2); pair
+    counts combined map-side right after the join, keyed by the pair alone;
+    unit degrees attached to the counted pairs, which are then mirrored.  The
+    diagonal comes from the degrees.  ``small_units`` says that the degrees
+    fit a broadcast (see :mod:`affinity.operators.sizing`).
 
-    Hot groups: a group with m units yields m^2 pairs, all from one task
+    Hot groups: a group with m units yields m^2 / 2 pairs, all from one task
     in a plain self-join, and its input partition is small, so runtime
     skew detection would not see it.  Groups with more than
     ``hot_group_units`` units are therefore split: both sides are hashed
     into S = ceil(m / hot_bucket_units) buckets by unit, each row is
     replicated across the other side's buckets, and the join key becomes
     (group, bucket1, bucket2).  Every pair is still produced exactly once,
-    by one of S^2 tasks.  Hot groups are found by a partial aggregation of
-    the raw rows per group; there are at most rows / hot_group_units of
-    them.
+    by one of S^2 tasks.  m counts distinct links, so S follows the pairs.
     """
-    links = (incidence
-             .select(F.col(group_col).alias("g"), F.col(unit_col).alias("u"))
-             .where(F.col("g").isNotNull() & F.col("u").isNotNull())
-             .distinct())
+    links = distinct_links(incidence, group_col, unit_col)
     degree = links.groupBy("u").agg(F.count(F.lit(1)).alias("n"))
-    links_n = links.join(degree, "u")
-
-    # group sizes from the raw incidence rows: an upper bound on the
-    # distinct units per group, which is all the split decision needs; read
-    # straight from the scan, and when a group's rows sit together in the
-    # input the map-side combine leaves about one record per group
-    sizes = (incidence.where(F.col(group_col).isNotNull() & F.col(unit_col).isNotNull())
-             .groupBy(F.col(group_col).alias("g")).agg(F.count(F.lit(1)).alias("m")))
-    buckets = F.least(F.ceil(F.col("m") / F.lit(hot_bucket_units)), F.lit(HOT_MAX_BUCKETS))
-    hot = sizes.where(F.col("m") > F.lit(hot_group_units)).select("g", buckets.cast("int").alias("s"))
+    sizes = links.groupBy("g").agg(F.count(F.lit(1)).alias("m"))
+    hot = sizes.where(F.col("m") > F.lit(hot_group_units)).select(
+        "g", F.ceil(F.col("m") / F.lit(hot_bucket_units)).cast("int").alias("s"))
     # no hint: a small hot list is broadcast by the planner / AQE
-    tagged = links_n.join(hot, "g", "left")
+    tagged = links.join(hot, "g", "left")
 
     # ordinary groups: plain self-join on g; both sides are the same plan,
     # so one exchange of the links serves both
     plain = tagged.where(F.col("s").isNull())
-    pairs = (plain.select("g", F.col("u").alias("u1"), F.col("n").alias("n1"))
-             .join(plain.select("g", F.col("u").alias("u2"), F.col("n").alias("n2")), "g"))
+    pairs = (plain.select("g", F.col("u").alias("u1"))
+             .join(plain.select("g", F.col("u").alias("u2")), "g").where(F.col("u1") < F.col("u2")))
 
     # hot groups: (group, bucket1, bucket2) cells, each pair in exactly one
     split = tagged.where(F.col("s").isNotNull())
     every = F.explode(F.sequence(F.lit(0), F.col("s") - 1))
     bucket = F.pmod(F.xxhash64("u"), F.col("s")).cast("int")
-    left = split.select("g", F.col("u").alias("u1"), F.col("n").alias("n1"), bucket.alias("b1"), every.alias("b2"))
-    right = split.select("g", F.col("u").alias("u2"), F.col("n").alias("n2"), every.alias("b1"), bucket.alias("b2"))
-    hot_pairs = left.join(right, ["g", "b1", "b2"]).drop("b1", "b2")
+    left = split.select("g", F.col("u").alias("u1"), bucket.alias("b1"), every.alias("b2"))
+    right = split.select("g", F.col("u").alias("u2"), every.alias("b1"), bucket.alias("b2"))
+    hot_pairs = left.join(right, ["g", "b1", "b2"]).where(F.col("u1") < F.col("u2"))
 
-    pairs = pairs.unionByName(hot_pairs)
-    if not include_self:
-        pairs = pairs.where(F.col("u1") != F.col("u2"))
-    counted = pairs.groupBy("u1", "u2", "n1", "n2").agg(F.count(F.lit(1)).alias("c"))
+    counted = (pairs.select("u1", "u2").unionByName(hot_pairs.select("u1", "u2"))
+               .groupBy("u1", "u2").agg(F.count(F.lit(1)).alias("c")))
     # in double: n1 * n2 may exceed 64 bits for very hot units; below 2^53
     # it equals the exact product
-    w = F.floor(F.lit(float(scale)) * F.col("c")
-                / (F.col("n1").cast("double") * F.col("n2").cast("double"))).cast("bigint")
-    return counted.select("u1", "u2", w.alias("w"))
+    def score(c, n1, n2):
+        return F.floor(F.lit(float(scale)) * F.col(c)
+                       / (F.col(n1).cast("double") * F.col(n2).cast("double"))).cast("bigint").alias("w")
+    for end, n in (("u1", "n1"), ("u2", "n2")):
+        of_end = degree.select(F.col("u").alias(end), F.col("n").alias(n))
+        counted = counted.join(maybe_broadcast(of_end, small_units), end)
+    both = F.inline(F.array(F.struct(F.col("u1"), F.col("u2")), F.struct(F.col("u2").alias("u1"), F.col("u1").alias("u2"))))
+    edges = counted.select("u1", "u2", score("c", "n1", "n2")).select(both, "w")
+    if not include_self:
+        return edges
+    return edges.unionByName(degree.select(F.col("u").alias("u1"), F.col("u").alias("u2"), score("n", "n", "n")))
 
 
 def drop_self_pairs(edges: DataFrame, u1: str = "u1", u2: str = "u2") -> DataFrame:
@@ -142,36 +138,31 @@ def one_unit_fanout(edges: DataFrame, coords: DataFrame, unit, box: Box | None =
 
 
 def attach_endpoint(edges: DataFrame, units: DataFrame, end: str, suffix: str,
-                    key: str = "unit", cols: list[str] | None = None,
-                    broadcast: bool | None = None) -> DataFrame:
+                    key: str = "unit", cols: list[str] | None = None, small: bool = False) -> DataFrame:
     """Attach a unit table to one endpoint of each edge (inner join),
     renaming its attribute columns with ``suffix``.
 
-    The unit side is broadcast when it is known to be small (``broadcast``
-    given by the caller, or checked here against ``UNIT_BROADCAST_ROWS``),
-    so the edge table is joined where it lies and never shuffled for
-    attributes.  A larger unit table falls back to a shuffle join.
+    With ``small`` (the caller has checked the size of the unit source, see
+    :mod:`affinity.operators.sizing`) the unit side is broadcast, so the edge
+    table is joined where it lies and never shuffled for attributes.
+    Otherwise the planner and AQE choose the join.
     """
     cols = cols if cols is not None else [c for c in units.columns if c != key]
-    if broadcast is None:
-        broadcast = fits_broadcast(units, UNIT_BROADCAST_ROWS)
     u = units.select(F.col(key).alias(end), *[F.col(c).alias(f"{c}{suffix}") for c in cols])
-    return edges.join(F.broadcast(u) if broadcast else u, end)
+    return edges.join(maybe_broadcast(u, small), end)
 
 
 def attach_both_endpoints(edges: DataFrame, units: DataFrame, key: str = "unit",
-                          cols: list[str] | None = None) -> DataFrame:
-    """Same unit table on both endpoints: columns ``<c>1`` and ``<c>2``.
-    The size check runs once for both joins."""
+                          cols: list[str] | None = None, small: bool = False) -> DataFrame:
+    """Same unit table on both endpoints: columns ``<c>1`` and ``<c>2``."""
     cols = cols if cols is not None else [c for c in units.columns if c != key]
-    small = fits_broadcast(units.select(key, *cols), UNIT_BROADCAST_ROWS)
-    once = attach_endpoint(edges, units, "u1", "1", key, cols, broadcast=small)
-    return attach_endpoint(once, units, "u2", "2", key, cols, broadcast=small)
+    once = attach_endpoint(edges, units, "u1", "1", key, cols, small)
+    return attach_endpoint(once, units, "u2", "2", key, cols, small)
 
 
-def same_group_pairs(edges: DataFrame, groups: DataFrame, group_col: str = "grp") -> DataFrame:
+def same_group_pairs(edges: DataFrame, groups: DataFrame, group_col: str = "grp", small: bool = False) -> DataFrame:
     """Edges whose two endpoints are in the same group."""
-    g = attach_both_endpoints(edges, groups.select("unit", group_col), cols=[group_col])
+    g = attach_both_endpoints(edges, groups.select("unit", group_col), cols=[group_col], small=small)
     return g.where(F.col(f"{group_col}1") == F.col(f"{group_col}2")).select("u1", "u2", "w")
 
 
@@ -183,11 +174,17 @@ def same_prefix(u1: str | Column, u2: str | Column, n: int = 2) -> Column:
     return F.substring(a, 1, n) == F.substring(b, 1, n)
 
 
-def border_effect(edges: DataFrame, groups: DataFrame, group_col: str = "grp") -> DataFrame:
+def same_prefix_pairs(edges: DataFrame, n: int = 2) -> DataFrame:
+    """Edges whose two ids begin with the same ``n`` characters.  No join, so
+    no unit is lost for want of a group row."""
+    return edges.where(same_prefix(F.col("u1").cast("string"), F.col("u2").cast("string"), n)).select("u1", "u2", "w")
+
+
+def border_effect(edges: DataFrame, groups: DataFrame, group_col: str = "grp", small: bool = False) -> DataFrame:
     """Per source unit: mean score to partners in its own group vs. in other
     groups, with pair counts and their ratio.  One aggregation over edges
     with conditional aggregates (no second pass)."""
-    g = attach_both_endpoints(edges, groups.select("unit", group_col), cols=[group_col])
+    g = attach_both_endpoints(edges, groups.select("unit", group_col), cols=[group_col], small=small)
     same = F.col(f"{group_col}1") == F.col(f"{group_col}2")
     out = g.groupBy(F.col("u1").alias("unit")).agg(
         F.avg(F.when(same, F.col("w"))).alias("avg_same"),
@@ -198,9 +195,9 @@ def border_effect(edges: DataFrame, groups: DataFrame, group_col: str = "grp") -
     return out.withColumn("ratio", F.try_divide(F.col("avg_same"), F.col("avg_cross")))
 
 
-def border_effect_overall(edges: DataFrame, groups: DataFrame, group_col: str = "grp") -> DataFrame:
+def border_effect_overall(edges: DataFrame, groups: DataFrame, group_col: str = "grp", small: bool = False) -> DataFrame:
     """Whole-table version of :func:`border_effect` (one row)."""
-    g = attach_both_endpoints(edges, groups.select("unit", group_col), cols=[group_col])
+    g = attach_both_endpoints(edges, groups.select("unit", group_col), cols=[group_col], small=small)
     same = F.col(f"{group_col}1") == F.col(f"{group_col}2")
     out = g.agg(
         F.avg(F.when(same, F.col("w"))).alias("avg_same"),

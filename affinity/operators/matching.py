@@ -18,21 +18,20 @@ from typing import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from affinity.operators.sizing import bounded_broadcast
-
-# Pattern tables up to this many rows are broadcast (after a count), so the
-# texts and their substrings are never shuffled; larger ones are shuffled
-# on (keys, substring), where AQE splits skewed partitions.
-PATTERN_BROADCAST_ROWS = 2_000_000
-
+from affinity.operators.sizing import maybe_broadcast
 
 def contains_join(texts: DataFrame, patterns: DataFrame, text_col: str, pattern_col: str,
-                  on: Sequence[tuple[str, str]] = ()) -> DataFrame:
+                  on: Sequence[tuple[str, str]] = (), small: bool = False) -> DataFrame:
     """Inner join of ``texts`` and ``patterns`` where ``text_col`` contains
     ``pattern_col`` and each ``(text_key, pattern_key)`` pair in ``on`` is
     equal.  Every matching (text row, pattern row) pair appears once, as in
     the nested-loop form; multi-matches are kept.
 
+    With ``small`` (the caller has checked the size of the patterns' source)
+    the patterns are broadcast, so the texts and their substrings are never
+    shuffled; otherwise the planner and AQE choose, and AQE splits skewed
+    partitions.
+
     Column names of the two inputs must not overlap, except that an ``on``
     pair may use the same name on both sides (it then appears once).
     """
@@ -47,9 +46,8 @@ def contains_join(texts: DataFrame, patterns: DataFrame, text_col: str, pattern_
                .distinct())
     t = texts.select("*", *[F.col(c).alias(k) for c, k in zip(tkeys, kn)])
     if kn:
-        # one row per (text row, pattern length present in its key group);
-        # at most groups x distinct lengths rows, checked before broadcast
-        tl = t.join(bounded_broadcast(lengths, PATTERN_BROADCAST_ROWS), kn)
+        # one row per (text row, pattern length present in its key group)
+        tl = t.join(maybe_broadcast(lengths, small), kn)
     else:
         # no key: the distinct lengths are a handful of small integers
         # (bounded by the longest pattern), carried as a literal array
@@ -64,6 +62,6 @@ def contains_join(texts: DataFrame, patterns: DataFrame, text_col: str, pattern_
     p = patterns.select("*", *[F.col(c).alias(k) for c, k in zip(pkeys, kn)],
                         F.col(pattern_col).alias("_sub"))
     same = [a for a, b in on if a == b]
-    p = bounded_broadcast(p.drop(*same), PATTERN_BROADCAST_ROWS)
+    p = maybe_broadcast(p.drop(*same), small)
     out = cut.join(p, kn + ["_sub"])
     return out.drop(*kn, "_sub")

@@ -4,55 +4,61 @@ naive Bayes, and their evaluation, all through MLlib estimators.
 Fitting is distributed in MLlib: linear regression with the normal-equation
 solver aggregates X'X and X'y in one pass (a (F+1)^2 matrix reaches the
 driver), naive Bayes aggregates per-class feature sums (C x F numbers).
-Nothing edge-sized is collected.
+Nothing edge-sized is collected, and no vector table is kept.
 """
 
 from __future__ import annotations
 
 from typing import Sequence
 
-from pyspark import StorageLevel
 from pyspark.ml.classification import NaiveBayes, NaiveBayesModel
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import LinearRegression, LinearRegressionModel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType, LongType, StructField, StructType
+from pyspark.sql.types import DoubleType, StructField, StructType
 
 # Feature sets of the reference's models.
 FEATURES_ATTITUDE = ("avg", "level", "result")
 FEATURES_CONNECTIVITY = ("level", "never", "rarely", "sometimes", "freq", "always", "result")
 FEATURES_PAIR_ONE = ("gap_att",)
+FEATURES_PAIR_DISTANCE = ("ln_km",)
+FEATURES_PAIR_RESULT = ("gap_result",)
 FEATURES_PAIR_FULL = ("ln_km", "gap_rate", "gap_result", "gap_att")
 
 
-def _key(col: str, modulus: int = 1000) -> Column:
-    """Integer key for the split, reduced modulo ``modulus``: the id itself
-    when it is numeric (also numeric text such as ``01001``), else a 64-bit
-    hash of it.  Reducing first keeps the arithmetic below 64 bits for any
-    id and gives the same flag as the unreduced formula for non-negative
-    ids, since (k*m + o) mod M = ((k mod M)*m + o) mod M."""
+# The split mixes the whole id: times a multiplier, modulo a large prime, and
+# only then modulo 1000.  All products stay below 2^63.
+SPLIT_PRIME = 998_244_353
+SPLIT_UNIT = (1_103_515_245, 104_729)
+SPLIT_PAIR = (1_103_515_245, 630_360_016)
+SPLIT_PARTS = 1000
+
+
+def _key(col: str) -> Column:
+    """Integer key for the split, below the prime: the id itself when it is
+    numeric (also numeric text such as ``01001``), else a 64-bit hash of it."""
     c = F.col(col)
-    return F.pmod(F.coalesce(c.try_cast("bigint"), F.xxhash64(c)), F.lit(modulus))
+    return F.pmod(F.coalesce(c.try_cast("bigint"), F.xxhash64(c)), F.lit(SPLIT_PRIME))
 
 
-def hash_split(key: Column, multiplier: int, offset: int, train_below: int, modulus: int = 1000) -> Column:
-    """Deterministic train/test flag from integer arithmetic on the key.
+def _below(mixed: Column, train_below: int) -> Column:
+    """Deterministic train/test flag from integer arithmetic on the ids.
 
     ``randomSplit`` with a seed depends on the input partitioning; this rule
     does not, and any engine computes the same flag.
     """
-    return F.pmod(key * F.lit(multiplier) + F.lit(offset), F.lit(modulus)) < F.lit(train_below)
+    return F.pmod(mixed, F.lit(SPLIT_PRIME)) % SPLIT_PARTS < F.lit(train_below)
 
 
 def unit_split(unit: str = "unit", train_below: int = 700) -> Column:
-    """70/30 by default: ``(unit * 7919 + 104729) % 1000 < 700``."""
-    return hash_split(_key(unit), 7919, 104729, train_below)
+    """70/30 by default."""
+    return _below(_key(unit) * SPLIT_UNIT[0] + SPLIT_UNIT[1], train_below)
 
 
 def pair_split(u1: str = "u1", u2: str = "u2", train_below: int = 800) -> Column:
-    """80/20 by default: ``(u1 * 1000003 + u2 * 7919) % 1000 < 800``."""
-    return F.pmod(_key(u1) * F.lit(1000003) + _key(u2) * F.lit(7919), F.lit(1000)) < F.lit(train_below)
+    """80/20 by default."""
+    return _below(_key(u1) * SPLIT_PAIR[0] + _key(u2) * SPLIT_PAIR[1], train_below)
 
 
 def assemble(df: DataFrame, features: Sequence[str], out: str = "features") -> DataFrame:
@@ -62,23 +68,6 @@ def assemble(df: DataFrame, features: Sequence[str], out: str = "features") -> D
     return VectorAssembler(inputCols=list(features), outputCol=out).transform(clean)
 
 
-def _fit_persisted(estimator, data: DataFrame):
-    """Fit with the (small, projected) training table persisted: the
-    estimator and its training summary pass over it several times, and
-    without this each pass would recompute the whole input plan."""
-    data = data.select(*[c for c in data.columns if c in (estimator.getFeaturesCol(), estimator.getLabelCol())])
-    data = data.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        model = estimator.fit(data)
-        if hasattr(model, "summary") and getattr(model, "hasSummary", False):
-            # materialise the lazy training metrics while the data is cached
-            model.summary.rootMeanSquaredError  # noqa: B018
-            model.summary.numInstances  # noqa: B018
-        return model
-    finally:
-        data.unpersist()
-
-
 # ---------------------------------------------------------------- regression
 
 def fit_linear(train: DataFrame, features: Sequence[str], label: str, max_iter: int = 10,
@@ -86,26 +75,26 @@ def fit_linear(train: DataFrame, features: Sequence[str], label: str, max_iter:
     """Unregularised least squares with intercept (normal equations)."""
     lr = LinearRegression(featuresCol="features", labelCol=label, predictionCol=prediction_col,
                           maxIter=max_iter, regParam=0.0, elasticNetParam=0.0, solver="normal")
-    return _fit_persisted(lr, assemble(train, features))
+    return lr.fit(assemble(train, features).select("features", label))
 
 
-def linear_report(spark: SparkSession, model: LinearRegressionModel, features: Sequence[str],
+def linear_report(model: LinearRegressionModel, train: DataFrame, features: Sequence[str], label: str,
                   digits: int | None = None) -> DataFrame:
     """One row: ``coef_<feature>`` per feature, ``intercept``, training
-    ``rmse`` and row count ``n``."""
-    def r(x):
-        return round(float(x), digits) if digits is not None else float(x)
-    s = model.summary
-    vals = [r(c) for c in model.coefficients] + [r(model.intercept), r(s.rootMeanSquaredError),
-                                                 int(s.numInstances)]
-    fields = ([StructField(f"coef_{f}", DoubleType()) for f in features]
-              + [StructField("intercept", DoubleType()), StructField("rmse", DoubleType()),
-                 StructField("n", LongType())])
-    return spark.createDataFrame([tuple(vals)], StructType(fields))
+    ``rmse`` and row count ``n``.  The fit has read the training rows once;
+    this reads them once more, as plain columns."""
+    def r(c):
+        return F.round(c, digits) if digits is not None else c
+    scored = predict_linear(model, train, features)
+    return rmse(scored, label).select(
+        *[r(F.lit(float(c))).alias(f"coef_{f}") for f, c in zip(features, model.coefficients)],
+        r(F.lit(float(model.intercept))).alias("intercept"), r(F.col("rmse")).alias("rmse"), "n")
 
 
-def predict_linear(model: LinearRegressionModel, df: DataFrame, features: Sequence[str]) -> DataFrame:
-    return model.transform(assemble(df, features)).drop("features")
+def predict_linear(model: LinearRegressionModel, df: DataFrame, features: Sequence[str],
+                   prediction: str = "prediction") -> DataFrame:
+    """Rows with all features, and the fitted linear form as a column."""
+    return df.dropna(subset=list(features)).withColumn(prediction, linear_form(model, features))
 
 
 def linear_form(model: LinearRegressionModel, features: Sequence[str]) -> Column:
@@ -129,7 +118,7 @@ def fit_naive_bayes(train: DataFrame, features: Sequence[str], label: str,
     magnitudes are used as given (large features dominate)."""
     nb = NaiveBayes(featuresCol="features", labelCol=label, predictionCol="prediction",
                     smoothing=smoothing, modelType="multinomial")
-    return _fit_persisted(nb, assemble(train, features))
+    return nb.fit(assemble(train, features).select("features", label))
 
 
 def naive_bayes_report(spark: SparkSession, model: NaiveBayesModel, features: Sequence[str],

@@ -5,8 +5,7 @@ All of them use the *wide unit* form: attribute tables are joined once into
 one unit table, and that table is attached to both endpoints of each edge
 (two joins against a unit-sized side).  Edges are never joined to edges.
 The composite-key chain of four edge-sized relations gives the same rows
-when edge pairs are unique; :func:`pair_features_chain` keeps that form for
-comparison.
+when edge pairs are unique (held against it in tests).
 """
 
 from __future__ import annotations
@@ -21,18 +20,18 @@ from affinity.functions.numeric import safe_ln
 from affinity.operators.edges import attach_both_endpoints
 
 
-def pair_distance(edges: DataFrame, coords: DataFrame) -> DataFrame:
+def pair_distance(edges: DataFrame, coords: DataFrame, small: bool = False) -> DataFrame:
     """Great-circle distance (km) per edge; pairs with a missing coordinate
     drop out (inner joins + null filter)."""
     c = coords.select("unit", "lat", "lon").where(F.col("lat").isNotNull() & F.col("lon").isNotNull())
-    p = attach_both_endpoints(edges, c, cols=["lat", "lon"])
+    p = attach_both_endpoints(edges, c, cols=["lat", "lon"], small=small)
     return p.select("u1", "u2", "w", great_circle_km("lat1", "lon1", "lat2", "lon2").alias("dist_km"))
 
 
-def pair_gap(edges: DataFrame, units: DataFrame, value: str, alias: str = "gap") -> DataFrame:
+def pair_gap(edges: DataFrame, units: DataFrame, value: str, alias: str = "gap", small: bool = False) -> DataFrame:
     """|value(u1) - value(u2)| per edge."""
     u = units.select("unit", value).where(F.col(value).isNotNull())
-    p = attach_both_endpoints(edges, u, cols=[value])
+    p = attach_both_endpoints(edges, u, cols=[value], small=small)
     return p.select("u1", "u2", "w", F.abs(F.col(f"{value}1") - F.col(f"{value}2")).alias(alias))
 
 
@@ -49,7 +48,7 @@ def wide_units(coords: DataFrame, rate: DataFrame, results: DataFrame, attitude:
             .join(att, "unit"))
 
 
-def pair_features(edges: DataFrame, units: DataFrame) -> DataFrame:
+def pair_features(edges: DataFrame, units: DataFrame, small: bool = False) -> DataFrame:
     """Regression table keyed by (u1, u2)::
 
         ln_w       = ln(w)             ln_km      = ln(great-circle km)
@@ -58,7 +57,7 @@ def pair_features(edges: DataFrame, units: DataFrame) -> DataFrame:
 
     Pairs with w <= 0 or distance 0 have no logarithm and are dropped.
     """
-    p = attach_both_endpoints(edges, units, cols=["lat", "lon", "rate", "result", "att"])
+    p = attach_both_endpoints(edges, units, cols=["lat", "lon", "rate", "result", "att"], small=small)
     km = great_circle_km("lat1", "lon1", "lat2", "lon2")
     out = p.select(
         "u1", "u2",
@@ -71,21 +70,6 @@ def pair_features(edges: DataFrame, units: DataFrame) -> DataFrame:
     return out.where(F.col("ln_w").isNotNull() & F.col("ln_km").isNotNull())
 
 
-def pair_features_chain(edges: DataFrame, coords: DataFrame, rate: DataFrame, results: DataFrame,
-                        attitude: DataFrame) -> DataFrame:
-    """The reference's shape: four edge-sized relations joined on (u1, u2).
-    Same rows as :func:`pair_features` for unique edge pairs; kept only to
-    test that equivalence (it shuffles edges three times)."""
-    d = pair_distance(edges, coords).select("u1", "u2", "w", safe_ln("dist_km").alias("ln_km"))
-    ur = pair_gap(edges, rate, "rate", "gap_rate").select("u1", "u2", "gap_rate")
-    el = pair_gap(edges, results, "result", "gap_result").select("u1", "u2", "gap_result")
-    att = attitude.select("unit", (F.col("never") + F.col("rarely")).alias("att"))
-    cv = pair_gap(edges, att, "att", "gap_att").select("u1", "u2", "gap_att")
-    j = d.join(ur, ["u1", "u2"]).join(el, ["u1", "u2"]).join(cv, ["u1", "u2"])
-    return (j.select("u1", "u2", safe_ln("w").alias("ln_w"), "gap_att", "gap_result", "ln_km", "gap_rate")
-            .where(F.col("ln_w").isNotNull() & F.col("ln_km").isNotNull()))
-
-
 def gap_correlation(features: DataFrame, target: str = "ln_w",
                     gaps: Mapping[str, str] | None = None) -> DataFrame:
     """Pearson correlation of the target with each gap, one row."""

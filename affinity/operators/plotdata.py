@@ -22,27 +22,39 @@ def map_points(df: DataFrame, value: str, stops: Sequence[float] = STOPS_MEAN) -
 def scatter_series(df: DataFrame, x: str, ys: Mapping[str, str]) -> DataFrame:
     """Long form ``(x, y, series)``: one row per input row and series.  Each
     point stays with its own x, so series cannot drift out of order."""
-    parts = [df.select(F.col(x).cast("double").alias("x"), F.col(y).cast("double").alias("y"),
-                       F.lit(name).alias("series")) for name, y in ys.items()]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    point = F.inline(F.array(*[F.struct(F.col(x).cast("double").alias("x"), F.col(y).cast("double").alias("y"),
+                                        F.lit(name).alias("series")) for name, y in ys.items()]))
+    return df.select(point)
+
+
+def bucket_count(start: float, stop: float, step: float) -> int:
+    """Buckets between the edges ``start + i * step <= stop``."""
+    n = max(0, int((stop - start) // step))
+    # the quotient may round either way next to a whole number
+    while start + (n + 1) * step <= stop:
+        n += 1
+    while n and start + n * step > stop:
+        n -= 1
+    return n
 
 
 def histogram(df: DataFrame, col: str, start: float, stop: float, step: float) -> DataFrame:
-    """Histogram over equal-width edges ``start, start+step, ..., stop``.
+    """Histogram over equal-width edges ``start, start+step, ...`` as far as
+    they do not pass ``stop``.
 
     Buckets are ``[lo, hi)`` except the last, which is closed; values
-    outside ``[start, stop]`` and nulls/NaN are ignored.  Every bucket is
+    below the first or above the last edge and nulls/NaN are ignored.  Every bucket is
     returned, empty ones with count 0.  The bucket index is arithmetic (no
     UDF); counting is a partial + final aggregation over at most
     ``n_buckets`` keys.
     """
-    n = int(round((stop - start) / step))
+    n = bucket_count(start, stop, step)
+    if n < 1:
+        raise ValueError("a histogram needs two edges")
+    last = start + n * step
     x = F.col(col).cast("double")
     idx = F.least(F.floor((x - F.lit(start)) / F.lit(step)).cast("int"), F.lit(n - 1))
-    counts = (df.where((x >= F.lit(start)) & (x <= F.lit(stop)) & ~F.isnan(x))
+    counts = (df.where((x >= F.lit(start)) & (x <= F.lit(last)) & ~F.isnan(x))
               .groupBy(idx.alias("bucket")).agg(F.count(F.lit(1)).alias("count")))
     spark = df.sparkSession
     buckets = spark.range(n).select(F.col("id").cast("int").alias("bucket"))

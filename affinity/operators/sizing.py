@@ -1,12 +1,12 @@
-"""Join-side sizing.
-
-Broadcast hints are only placed after a size check.  Joins of unit tables
-onto the (large) edge table check the unit table's row count against a
-bound and broadcast it below the bound, so edges are never shuffled for
-attributes; above the bound the join is a shuffle join.  All other joins
-are left to Spark: it broadcasts a side known to be small, statically from
-file sizes for scans and at run time under AQE from the measured size of a
-finished shuffle stage, and AQE splits skewed partitions of shuffle joins.
+"""Join-side sizing without jobs.
+
+A unit table may be broadcast onto the (large) edge table, so that edges are
+joined where they lie, if its size is known to be small: the source of the
+units is a file scan, and Catalyst knows the bytes of its files.  The bound
+is checked on that number when a query is built; no job runs for it.  Above
+the bound, or where the size is not known, no hint is given: the join is
+left to the planner and to AQE, which works from measured shuffle sizes and
+splits skewed partitions.
 """
 
 from __future__ import annotations
@@ -14,18 +14,22 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+# Largest unit source (bytes of its files) whose unit tables are broadcast.
+# A unit is some twenty bytes there, and a row of at most a hundred in a unit
+# table, so a broadcast stays in the tens of MB.
+UNIT_SOURCE_BYTES = 8 << 20
 
-def fits_broadcast(df: DataFrame, max_rows: int) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows.  Counts at most
-    ``max_rows + 1`` rows, so the check stops early on a large input."""
-    return df.limit(max_rows + 1).count() <= max_rows
 
+def source_bytes(df: DataFrame) -> int:
+    """Catalyst's size estimate of ``df``: for a file scan, from the sizes of
+    its files.  No job."""
+    return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
 
-def bounded_broadcast(df: DataFrame, max_rows: int) -> DataFrame:
-    """Broadcast-hint ``df`` only if it has at most ``max_rows`` rows.
 
-    Counting runs a job, so use it on small, reused sides (unit tables),
-    ideally already persisted.  Above the bound the plain DataFrame is
-    returned and the planner picks a shuffle join.
-    """
-    return F.broadcast(df) if fits_broadcast(df, max_rows) else df
+def is_small(source: DataFrame, max_bytes: int = UNIT_SOURCE_BYTES) -> bool:
+    return source_bytes(source) <= max_bytes
+
+
+def maybe_broadcast(df: DataFrame, small: bool) -> DataFrame:
+    """Broadcast-hint ``df`` if the caller knows it to be small."""
+    return F.broadcast(df) if small else df

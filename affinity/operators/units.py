@@ -18,6 +18,8 @@ MEASURE_LEVEL = "06"
 MEASURE_RATE = "03"
 PERIOD_ANNUAL = "M13"
 AREA_TYPE_UNIT = "F"
+# The five attitude shares.
+SHARES = ("never", "rarely", "sometimes", "freq", "always")
 
 
 def parse_coordinates(centers: DataFrame, lat: str = "lat_s", lon: str = "lon_s") -> DataFrame:
@@ -45,7 +47,7 @@ def series_titles(values: DataFrame, dictionary: DataFrame, region_names: DataFr
     return v.join(region_names.select("srd", "state"), "srd").select("value", "title", "state")
 
 
-def match_titles(titled: DataFrame, names: DataFrame, match: str = "all") -> DataFrame:
+def match_titles(titled: DataFrame, names: DataFrame, match: str = "all", small: bool = False) -> DataFrame:
     """Units whose name occurs in a series title of the same state/group.
 
     ``match='all'`` keeps every match, as the inner join does: one unit can
@@ -55,7 +57,7 @@ def match_titles(titled: DataFrame, names: DataFrame, match: str = "all") -> Dat
     group holding only that title's few matches.
     """
     n = names.select("unit", "name", F.col("grp"))
-    out = contains_join(titled, n, "title", "name", on=[("state", "grp")])
+    out = contains_join(titled, n, "title", "name", on=[("state", "grp")], small=small)
     if match == "all":
         return out
     if match != "longest":
@@ -67,11 +69,12 @@ def match_titles(titled: DataFrame, names: DataFrame, match: str = "all") -> Dat
 
 def level_by_unit(values: DataFrame, dictionary: DataFrame, region_names: DataFrame,
                   names: DataFrame, year: int, measure: str = MEASURE_LEVEL,
-                  period: str = PERIOD_ANNUAL, alias: str = "level", match: str = "all") -> DataFrame:
+                  period: str = PERIOD_ANNUAL, alias: str = "level", match: str = "all",
+                  small: bool = False) -> DataFrame:
     """Star chain: series values -> dictionary -> region -> unit names,
     ending at ``(unit, <alias>)``."""
     titled = series_titles(series_at(values, year, period, measure), dictionary, region_names)
-    return match_titles(titled, names, match).select("unit", F.col("value").alias(alias))
+    return match_titles(titled, names, match, small).select("unit", F.col("value").alias(alias))
 
 
 def unit_profile(edges: DataFrame, coords: DataFrame, level: DataFrame, attitudes: DataFrame,
@@ -80,10 +83,9 @@ def unit_profile(edges: DataFrame, coords: DataFrame, level: DataFrame, attitude
     share and the five attitude shares.  All inner joins on ``unit``."""
     avg = score_with_coords(edges, coords, how="avg", box=box, alias="avg")
     prof = (avg.join(level, "unit")
-            .join(attitudes.select("unit", "never", "rarely", "sometimes", "freq", "always"), "unit")
+            .join(attitudes.select("unit", *SHARES), "unit")
             .join(results.select("unit", "result"), "unit"))
-    return prof.select("unit", "lon", "lat", "avg", "level", "result",
-                       "never", "rarely", "sometimes", "freq", "always")
+    return prof.select("unit", "lon", "lat", "avg", "level", "result", *SHARES)
 
 
 def attitude_class(profile: DataFrame, threshold: float = 0.5) -> DataFrame:
@@ -91,7 +93,7 @@ def attitude_class(profile: DataFrame, threshold: float = 0.5) -> DataFrame:
     else 1.0; the five shares are dropped."""
     low = F.col("never") + F.col("rarely") + F.col("sometimes") > F.lit(threshold)
     return (profile.withColumn("attitude_class", F.when(low, F.lit(0.0)).otherwise(F.lit(1.0)))
-            .drop("never", "rarely", "sometimes", "freq", "always"))
+            .drop(*SHARES))
 
 
 def connectivity_class(profile: DataFrame, threshold=15000.0) -> DataFrame:

@@ -34,24 +34,27 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from affinity.operators.edges import connectivity_index, drop_self_pairs
+from affinity.operators.edges import connectivity_index, distinct_links, drop_self_pairs
 from affinity.operators.pairs import wide_units
-from affinity.operators.units import (MEASURE_LEVEL, MEASURE_RATE, PERIOD_ANNUAL, level_by_unit,
+from affinity.operators.sizing import is_small
+from affinity.operators.units import (MEASURE_LEVEL, MEASURE_RATE, PERIOD_ANNUAL, SHARES, level_by_unit,
                                       parse_coordinates)
 from affinity.plans.params import TEST_TABLES
 from affinity.session import ensure_checkpoint_dir
-from affinity.sources.delimited import parse_delimited, split_lines, union_all
-from affinity.sources.results import parse_results_lines
+from affinity.sources.delimited import malformed_lines, pad_id, parse_delimited, split_lines, union_all
+from affinity.sources.results import malformed_results, parse_results_lines
 from affinity.sources.sectioned import parse_sections
 from affinity.sources.tables import read_table
 
 # Fixed values of the binding (see FIXTURES.md §3); analysis parameters are
 # in affinity.plans.params.TEST_TABLES.
-LEVEL_YEAR = TEST_TABLES.level_year
 NA_EVERY = 25
 LAT_MULT, LAT_MOD = 7919, 3200
 LON_MULT, LON_MOD = 104729, 7500
-PRIORITIES = ("never", "rarely", "sometimes", "freq", "always")  # o_orderpriority 1..5
+PRIORITIES = SHARES  # o_orderpriority 1..5
+ID_WIDTH = 6                 # ids are padded to at least this many characters; longer ones stay whole
+DICTIONARY_HEADER = "series_id"
+BAD_EVERY = 7                # units whose line is spoilt in the texts with malformed rows
 # Set ``spark.affinity.durableIndex=true`` on a cluster to checkpoint the
 # connectivity index into spark.checkpoint.dir instead of caching it.
 DURABLE_CONF = "spark.affinity.durableIndex"
@@ -64,10 +67,15 @@ def _tag(root: str) -> str:
     return hashlib.sha1(os.path.abspath(root).encode()).hexdigest()[:12]
 
 
+_TABLE_USERS: dict[str, int] = {}
+
+
 def write_bucketed(spark: SparkSession, df: DataFrame, name: str, key: str,
-                   buckets: int | None = None) -> DataFrame:
-    """Write ``df`` as a parquet table bucketed and sorted by ``key`` under
-    the shared checkpoint folder and return it read back.
+                   buckets: int | None = None) -> tuple[DataFrame, str]:
+    """``df`` as a parquet table bucketed and sorted by ``key`` under the
+    shared checkpoint folder: (read back, table name).  A table of that name
+    which this application has written and still uses is read, not written
+    again; :func:`drop_bucketed` ends a use, and the last one drops it.
 
     The number of buckets is ``spark.affinity.indexBuckets`` if set, else
     ``spark.sql.shuffle.partitions``, so joins with shuffled sides line up
@@ -78,11 +86,23 @@ def write_bucketed(spark: SparkSession, df: DataFrame, name: str, key: str,
     folder = ensure_checkpoint_dir(spark).rstrip("/")
     app = re.sub(r"[^0-9A-Za-z]", "_", spark.sparkContext.applicationId)
     table = f"affinity_{name}_{app}"
-    n = buckets or int(spark.conf.get("spark.affinity.indexBuckets",
-                                      spark.conf.get("spark.sql.shuffle.partitions")))
-    (df.repartition(n, key).write.mode("overwrite").bucketBy(n, key).sortBy(key)
-       .option("path", f"{folder}/affinity/{table}").saveAsTable(table))
-    return spark.table(table)
+    if not _TABLE_USERS.get(table):
+        n = buckets or int(spark.conf.get("spark.affinity.indexBuckets",
+                                          spark.conf.get("spark.sql.shuffle.partitions")))
+        (df.repartition(n, key).write.mode("overwrite").bucketBy(n, key).sortBy(key)
+           .option("path", f"{folder}/affinity/{table}").saveAsTable(table))
+    _TABLE_USERS[table] = _TABLE_USERS.get(table, 0) + 1
+    return spark.table(table), table
+
+
+def drop_bucketed(spark: SparkSession, table: str) -> None:
+    """End a use of a table; the last one drops it with its files."""
+    _TABLE_USERS[table] = _TABLE_USERS.get(table, 1) - 1
+    if _TABLE_USERS[table] > 0:
+        return
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{ensure_checkpoint_dir(spark).rstrip('/')}/affinity/{table}")
+    spark.sql(f"DROP TABLE IF EXISTS {table}")
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def binding_for(spark: SparkSession, root: str, keep: bool = True) -> "Binding":
@@ -99,7 +119,8 @@ def binding_for(spark: SparkSession, root: str, keep: bool = True) -> "Binding":
 
 class Binding:
     """Lazily built, per (session, root) relations.  Nothing is computed
-    until a query runs an action.
+    until a query runs an action (but for the durable index, if it is asked
+    for: a table is written when it is first needed).
 
     With ``keep`` the relations every analysis reuses (the edge table and
     the unit tables) are persisted with MEMORY_AND_DISK on first use: a
@@ -115,6 +136,7 @@ class Binding:
         if durable is None:
             durable = spark.conf.get(DURABLE_CONF, "false").lower() == "true"
         self.durable = durable
+        self._index_table: str | None = None
 
     def table(self, name: str) -> DataFrame:
         return read_table(self.spark, self.root, name)
@@ -123,14 +145,26 @@ class Binding:
         return df.persist(StorageLevel.MEMORY_AND_DISK) if self.keep else df
 
     def release(self) -> None:
-        """Unpersist every kept relation of this binding."""
-        if "raw_index" in self.__dict__ and not self.durable:
+        """Let go of every kept relation of this binding."""
+        if "raw_index" in self.__dict__ and self._index_table is None:
             self.__dict__["raw_index"].unpersist()
+        if self._index_table is not None:
+            drop_bucketed(self.spark, self._index_table)
+            self._index_table = None
         self.__dict__.pop("raw_index", None)
-        for name in ("units_wide", "series", "monthly", "coords", "attitudes", "results", "names", "level", "rate"):
+        self.__dict__.pop("edges", None)
+        for name in ("units_wide", "monthly", "coords", "attitudes", "results", "names", "level", "rate"):
             if name in self.__dict__:
                 self.__dict__[name].unpersist()
                 del self.__dict__[name]
+        for name in ("series", "result_lines", "index_lines", "noisy_index_lines", "noisy_result_lines"):
+            self.__dict__.pop(name, None)
+
+    @cached_property
+    def small_units(self) -> bool:
+        """Whether unit tables may be broadcast: known from the file size of
+        the units' source, without a job."""
+        return is_small(self.table("supplier"))
 
     # ----------------------------------------------------------- edges
     @cached_property
@@ -140,13 +174,14 @@ class Binding:
 
     @cached_property
     def raw_index(self) -> DataFrame:
-        idx = connectivity_index(self.incidence, "order", "unit", include_self=True)
+        idx = connectivity_index(self.incidence, "order", "unit", include_self=True, small_units=self.small_units)
         if self.durable:
             # written once to the shared checkpoint folder as a table bucketed
             # by u1: lineage is cut (a lost executor never re-runs the pair
             # self-join), scans prune columns, and per-unit aggregations and
             # joins on u1 need no exchange of the index
-            return write_bucketed(self.spark, idx, f"index_{_tag(self.root)}", "u1")
+            out, self._index_table = write_bucketed(self.spark, idx, f"index_{_tag(self.root)}", "u1")
+            return out
         return self._keep(idx)
 
     @cached_property
@@ -182,11 +217,11 @@ class Binding:
 
     @cached_property
     def attitudes(self) -> DataFrame:
-        li = self.table("lineitem").select(F.col("l_orderkey").alias("order"),
-                                           F.col("l_suppkey").alias("unit"))
+        links = distinct_links(self.incidence, "order", "unit").select(F.col("g").alias("order"), F.col("u").alias("unit"))
         od = self.table("orders").select(F.col("o_orderkey").alias("order"),
                                          F.substring("o_orderpriority", 1, 1).alias("prio"))
-        links = li.join(od, "order").distinct()
+        # an order and its priority once, should orders repeat
+        links = links.join(od.distinct(), "order")
         shares = [F.avg((F.col("prio") == F.lit(str(i + 1))).cast("double")).alias(name)
                   for i, name in enumerate(PRIORITIES)]
         return self._keep(links.groupBy("unit").agg(*shares))
@@ -218,7 +253,8 @@ class Binding:
     # ---------------------------------------------------------- series
     @staticmethod
     def _sid(unit_col, measure: str):
-        return F.concat(F.lpad(unit_col.cast("string"), 6, "0"), F.lit(measure))
+        """Series id: the unit, padded but never cut, and the measure code."""
+        return F.concat(pad_id(unit_col.cast("string"), ID_WIDTH), F.lit(measure))
 
     @cached_property
     def monthly(self) -> DataFrame:
@@ -255,9 +291,22 @@ class Binding:
         rate = yearly.select(self._sid(F.col("unit"), MEASURE_RATE).alias("sid"), "year",
                              F.lit(PERIOD_ANNUAL).alias("period"),
                              (F.col("n_open") / F.col("n")).alias("value"))
-        # kept: both unit chains and the series query read it, and filters
-        # on the derived columns cannot reach the lineitem scan anyway
-        return self._keep(union_all([monthly, level, rate]))
+        return union_all([monthly, level, rate])
+
+    def _annual(self, measure: str) -> DataFrame:
+        """The annual values of one measure in the analysis year, in the form
+        of ``series``.  The year is a date range on the scan, so other years
+        are not read."""
+        li = self.table("lineitem")
+        kind = li.schema["l_shipdate"].dataType
+        year = self.params.level_year
+        li = li.where((F.col("l_shipdate") >= F.lit(f"{year}-01-01").cast(kind))
+                      & (F.col("l_shipdate") < F.lit(f"{year + 1}-01-01").cast(kind)))
+        value = (F.sum("l_quantity") / 12 if measure == MEASURE_LEVEL
+                 else F.count_if(F.col("l_linestatus") == F.lit("O")) / F.count(F.lit(1)))
+        return li.groupBy(F.col("l_suppkey").alias("unit")).agg(value.alias("value")).select(
+            self._sid(F.col("unit"), measure).alias("sid"), F.lit(year).alias("year"),
+            F.lit(PERIOD_ANNUAL).alias("period"), "value")
 
     @cached_property
     def dictionary(self) -> DataFrame:
@@ -275,25 +324,31 @@ class Binding:
 
     @cached_property
     def level(self) -> DataFrame:
-        return self._keep(level_by_unit(self.series, self.dictionary, self.region_names, self.names,
-                                        LEVEL_YEAR, MEASURE_LEVEL, alias="level",
-                                        match=self.params.title_match))
+        return self._keep(level_by_unit(self._annual(MEASURE_LEVEL), self.dictionary, self.region_names, self.names,
+                                        self.params.level_year, MEASURE_LEVEL, alias="level",
+                                        match=self.params.title_match, small=self.small_units))
 
     @cached_property
     def rate(self) -> DataFrame:
-        return self._keep(level_by_unit(self.series, self.dictionary, self.region_names, self.names,
-                                        LEVEL_YEAR, MEASURE_RATE, alias="rate",
-                                        match=self.params.title_match))
+        return self._keep(level_by_unit(self._annual(MEASURE_RATE), self.dictionary, self.region_names, self.names,
+                                        self.params.level_year, MEASURE_RATE, alias="rate",
+                                        match=self.params.title_match, small=self.small_units))
 
     # ------------------------------------------------------------ text
     @cached_property
     def result_lines(self) -> DataFrame:
-        """Comma text rows per unit (one line each) with quoted thousands
-        separators and a percent field, as a result file would hold."""
-        agg = self.monthly.groupBy("unit").agg(
-            F.sum("qty_r").cast("bigint").alias("d"),
-            F.sum("qty_nr").cast("bigint").alias("r"),
-            F.sum("qty").cast("bigint").alias("t"))
+        """Comma text rows per unit (one line each) and header lines (one per
+        nation), in the shapes a result file has: the difference without a
+        separator and unquoted, or quoted with one or two separators.  To get
+        them all, numbers of units k are divided by 100 (k % 3 = 0), taken as
+        they are (1) or multiplied by 1000 (2)."""
+        part = F.pmod(F.col("unit"), F.lit(3))
+
+        def scaled(c):
+            whole = F.sum(c).cast("bigint")
+            return F.when(part == 0, F.floor(whole / 100)).when(part == 1, whole).otherwise(whole * 1000).cast("bigint")
+        agg = self.monthly.groupBy("unit").agg(scaled("qty_r").alias("d"), scaled("qty_nr").alias("r"),
+                                               scaled("qty").alias("t"))
         j = agg.join(self.names, "unit")
         gap = F.abs(F.col("d") - F.col("r"))
         # percent in whole hundredths, integer arithmetic; a zero total gives
@@ -308,9 +363,29 @@ class Binding:
                            text(F.col("unit")), text(F.col("d")), text(F.col("r")), text(F.col("t")),
                            text(F.try_divide(F.col("d"), F.col("t"))),
                            text(F.try_divide(F.col("r"), F.col("t"))),
-                           F.concat(F.lit('"'), F.format_number(gap, 0), F.lit('"')),
+                           F.when(gap < 1000, text(gap)).otherwise(
+                               F.concat(F.lit('"'), F.format_number(gap, 0), F.lit('"'))),
                            text(pct), F.col("grp"), F.col("name"), text(F.col("unit")))
-        return j.select(line.alias("value"))
+        header = self.nation.select(F.concat(F.lit(",votes_dem,votes_gop,total_votes,"), F.col("n_name")).alias("value"))
+        return j.select(line.alias("value")).unionByName(header)
+
+    @cached_property
+    def noisy_result_lines(self) -> DataFrame:
+        """The result lines, with text in place of a number in those of every
+        seventh unit."""
+        v = F.col("value")
+        unit = F.get(F.split(v, ","), 0).try_cast("bigint")
+        spoilt = F.regexp_replace(v, r"^(\d+),[^,]*,", "$1,n/a,")
+        return self.result_lines.select(F.when(F.pmod(unit, F.lit(BAD_EVERY)) == 0, spoilt).otherwise(v).alias("value"))
+
+    @cached_property
+    def noisy_index_lines(self) -> DataFrame:
+        """The index lines, without a number as score where both ends are the
+        same unit, for every seventh unit."""
+        r = self.raw_index
+        bad = (F.col("u1") == F.col("u2")) & (F.pmod(F.col("u1"), F.lit(BAD_EVERY)) == 0)
+        return r.select(F.concat_ws("\t", F.col("u1").cast("string"), F.col("u2").cast("string"),
+                                    F.when(bad, F.lit("n/a")).otherwise(F.col("w").cast("string"))).alias("value"))
 
     @cached_property
     def index_lines(self) -> DataFrame:
@@ -324,13 +399,17 @@ class Binding:
     def dictionary_lines(self) -> DataFrame:
         """The series dictionary as padded tab-separated lines with seven
         fields: id, area type, area code, measure, seasonal flag, region
-        code, title."""
+        code, title; and its header row."""
         d = self.dictionary
         pad = F.lit(" ")
-        return d.select(F.concat_ws(
+        unit, measure = F.expr("left(sid, length(sid) - 2)"), F.expr("right(sid, 2)")
+        lines = d.select(F.concat_ws(
             "\t", F.concat(F.col("sid"), pad), F.col("area_type"),
-            F.concat(F.lit("CN"), F.substring("sid", 1, 6)), F.substring("sid", 7, 2), F.lit("U"),
+            F.concat(F.lit("CN"), unit), measure, F.lit("U"),
             F.concat(pad, F.col("srd")), F.concat(F.col("title"), pad)).alias("value"))
+        header = self.nation.where("n_nationkey = 0").select(F.lit(
+            f"{DICTIONARY_HEADER}\tarea_type_code\tarea_code\tmeasure_code\tseasonal\tsrd_code\tseries_title").alias("value"))
+        return lines.unionByName(header)
 
     # ------------------------------------------- text-source parses
     def text_edges(self) -> DataFrame:
@@ -346,7 +425,14 @@ class Binding:
 
     def dictionary_rows(self) -> DataFrame:
         return split_lines(self.dictionary_lines, {"sid": 0, "area_type": 1, "area_code": 2,
-                                                   "measure_code": 3, "srd": 5, "title": 6})
+                                                   "measure_code": 3, "srd": 5, "title": 6}, header=DICTIONARY_HEADER)
+
+    def malformed(self) -> DataFrame:
+        """Lines of the two kinds of text that do not parse: source, n_rows,
+        n_malformed."""
+        parts = (("index", malformed_lines(self.noisy_index_lines, "u1 bigint, u2 bigint, w bigint", sep="\t")),
+                 ("results", malformed_results(self.noisy_result_lines)))
+        return union_all([d.select(F.lit(name).alias("source"), "n_rows", "n_malformed") for name, d in parts])
 
     @cached_property
     def adjacency_sections(self) -> DataFrame:

@@ -19,6 +19,7 @@ from __future__ import annotations
 
 from typing import Callable
 
+from pyspark.errors import IllegalArgumentException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -121,20 +122,26 @@ def bbox_units(b):
 @query
 def same_group_pairs(b):
     """Pairs inside one group."""
-    return E.same_group_pairs(b.edges, b.names)
+    return E.same_group_pairs(b.edges, b.names, small=b.small_units)
+
+
+@query
+def same_prefix_pairs(b):
+    """Pairs whose ids begin with the same two characters."""
+    return E.same_prefix_pairs(b.edges, 2)
 
 
 @query
 def border_effect(b):
     """Own-group vs. other-group mean score per unit."""
-    out = E.border_effect(b.edges, b.names)
+    out = E.border_effect(b.edges, b.names, small=b.small_units)
     return out.select("unit", _r("avg_same"), _r("avg_cross"), "n_same", "n_cross", _r("ratio"))
 
 
 @query
 def border_effect_overall(b):
     """Whole-table own-group vs. other-group mean score."""
-    out = E.border_effect_overall(b.edges, b.names)
+    out = E.border_effect_overall(b.edges, b.names, small=b.small_units)
     return out.select(_r("avg_same"), _r("avg_cross"), "n_same", "n_cross", _r("ratio"))
 
 
@@ -173,6 +180,12 @@ def hist_max(b):
     return V.histogram(E.unit_score(b.edges, "max"), "max_score", *b.params.hist_max)
 
 
+@query
+def hist_edges(b):
+    """Histogram of all pair scores over explicit edges."""
+    return V.histogram_edges(b.edges, "w", b.params.hist_edges)
+
+
 # ------------------------------------------------------- units (J, P, D8)
 
 def _titled(b) -> DataFrame:
@@ -182,13 +195,13 @@ def _titled(b) -> DataFrame:
 @query
 def title_match(b):
     """Equal group and title contains the unit name (multi-matches)."""
-    return U.match_titles(_titled(b), b.names).select("unit", "sid", "title")
+    return U.match_titles(_titled(b), b.names, small=b.small_units).select("unit", "sid", "title")
 
 
 @query
 def title_match_longest(b):
     """J4 with match='longest': per title, only the longest matching names."""
-    return U.match_titles(_titled(b), b.names, match="longest").select("unit", "sid", "title")
+    return U.match_titles(_titled(b), b.names, match="longest", small=b.small_units).select("unit", "sid", "title")
 
 
 @query
@@ -206,7 +219,7 @@ def rate_by_unit(b):
 @query
 def edge_level(b):
     """Each edge with the level of its first endpoint."""
-    return E.attach_endpoint(b.edges, b.level, "u1", "", cols=["level"]).select("u1", "u2", "w", "level")
+    return E.attach_endpoint(b.edges, b.level, "u1", "", cols=["level"], small=b.small_units).select("u1", "u2", "w", "level")
 
 
 def _profile(b) -> DataFrame:
@@ -269,32 +282,32 @@ def _units_wide(b) -> DataFrame:
 
 
 def _features(b) -> DataFrame:
-    return P.pair_features(b.edges, _units_wide(b))
+    return P.pair_features(b.edges, _units_wide(b), small=b.small_units)
 
 
 @query
 def pair_distance(b):
     """Great-circle km per pair."""
-    return P.pair_distance(b.edges, b.pair_coords).select("u1", "u2", "w", _r("dist_km"))
+    return P.pair_distance(b.edges, b.pair_coords, small=b.small_units).select("u1", "u2", "w", _r("dist_km"))
 
 
 @query
 def pair_attitude_gap(b):
     """|(never+rarely)(u1) - (never+rarely)(u2)|."""
     att = b.attitudes.select("unit", (F.col("never") + F.col("rarely")).alias("att"))
-    return P.pair_gap(b.edges, att, "att").select("u1", "u2", "w", _r("gap"))
+    return P.pair_gap(b.edges, att, "att", small=b.small_units).select("u1", "u2", "w", _r("gap"))
 
 
 @query
 def pair_result_gap(b):
     """Result-share gap."""
-    return P.pair_gap(b.edges, b.results, "result").select("u1", "u2", "w", _r("gap"))
+    return P.pair_gap(b.edges, b.results, "result", small=b.small_units).select("u1", "u2", "w", _r("gap"))
 
 
 @query
 def pair_rate_gap(b):
     """Rate gap (rate per unit through the title match)."""
-    return P.pair_gap(b.edges, b.rate, "rate").select("u1", "u2", "w", _r("gap"))
+    return P.pair_gap(b.edges, b.rate, "rate", small=b.small_units).select("u1", "u2", "w", _r("gap"))
 
 
 @query
@@ -316,34 +329,63 @@ def _train_pairs(b, same_group: bool = False) -> DataFrame:
     f = _features(b)
     if same_group:
         grp = b.names.select("unit", "grp")
-        f = (E.attach_both_endpoints(f, grp, cols=["grp"])
+        f = (E.attach_both_endpoints(f, grp, cols=["grp"], small=b.small_units)
              .where(F.col("grp1") == F.col("grp2")).drop("grp1", "grp2"))
     return f.where(M.pair_split())
 
 
+def _regression(b, feats, same_group: bool = False) -> DataFrame:
+    """Coefficients, intercept, training RMSE and row count of ln score on
+    some features.  Without training rows (e.g. no same-group pairs) all but
+    the count are null."""
+    train = _train_pairs(b, same_group)
+    try:
+        model = M.fit_linear(train, feats, "ln_w")
+    except IllegalArgumentException:     # nothing to fit
+        nulls = [F.lit(None).cast("double").alias(c) for c in (*[f"coef_{f}" for f in feats], "intercept", "rmse")]
+        return b.spark.range(1).select(*nulls, F.lit(0).cast("bigint").alias("n"))
+    return M.linear_report(model, train, feats, "ln_w", DIGITS)
+
+
 @query
 def regression_one_coef(b):
     """M3 + M5 + G6: ln score on the attitude gap; coefficients, training RMSE."""
-    model = M.fit_linear(_train_pairs(b), M.FEATURES_PAIR_ONE, "ln_w")
-    return M.linear_report(b.spark, model, M.FEATURES_PAIR_ONE, DIGITS)
+    return _regression(b, M.FEATURES_PAIR_ONE)
+
+
+@query
+def regression_distance(b):
+    """M3 + M5 + G6: ln score on ln distance, all pairs."""
+    return _regression(b, M.FEATURES_PAIR_DISTANCE)
+
+
+@query
+def regression_distance_same_group(b):
+    """M3 + M5 + G6 + P11: ln score on ln distance, same-group pairs."""
+    return _regression(b, M.FEATURES_PAIR_DISTANCE, same_group=True)
+
+
+@query
+def regression_result(b):
+    """M3 + M5 + G6: ln score on the result gap."""
+    return _regression(b, M.FEATURES_PAIR_RESULT)
+
+
+def _predicted(b) -> DataFrame:
+    feats = M.FEATURES_PAIR_ONE
+    return M.predict_linear(M.fit_linear(_train_pairs(b), feats, "ln_w"), _features(b), feats)
 
 
 @query
 def regression_predictions(b):
     """M6 + F11: the one-feature model applied to every pair."""
-    feats = M.FEATURES_PAIR_ONE
-    model = M.fit_linear(_train_pairs(b), feats, "ln_w")
-    pred = M.predict_linear(model, _features(b), feats)
-    return pred.select("u1", "u2", _r("ln_w"), _r("prediction"))
+    return _predicted(b).select("u1", "u2", _r("ln_w"), _r("prediction"))
 
 
 @query
 def scatter_series(b):
     """V2: observed and predicted ln score against the fitted linear form."""
-    feats = M.FEATURES_PAIR_ONE
-    model = M.fit_linear(_train_pairs(b), feats, "ln_w")
-    pred = M.predict_linear(model, _features(b), feats).withColumn("fx", M.linear_form(model, feats))
-    s = V.scatter_series(pred, "fx", {"observed": "ln_w", "predicted": "prediction"})
+    s = V.scatter_series(_predicted(b), "prediction", {"observed": "ln_w", "predicted": "prediction"})
     return s.select(_r("x"), _r("y"), "series")
 
 
@@ -354,25 +396,16 @@ def scatter_distance(b):
     return s.select(_r("x"), _r("y"), "series")
 
 
-def _rmse_report(b, same_group: bool) -> DataFrame:
-    train = _train_pairs(b, same_group)
-    if train.isEmpty():  # e.g. no same-group pairs at all: nothing to fit
-        return b.spark.createDataFrame([(None, 0)], "rmse double, n bigint")
-    model = M.fit_linear(train, M.FEATURES_PAIR_FULL, "ln_w")
-    rep = M.linear_report(b.spark, model, M.FEATURES_PAIR_FULL, DIGITS)
-    return rep.select("rmse", "n")
-
-
 @query
 def regression_rmse(b):
     """M4 + G6: four-gap regression, training RMSE, all pairs."""
-    return _rmse_report(b, False)
+    return _regression(b, M.FEATURES_PAIR_FULL).select("rmse", "n")
 
 
 @query
 def regression_rmse_same_group(b):
     """M4 + G6 + P11: four-gap regression on same-group pairs."""
-    return _rmse_report(b, True)
+    return _regression(b, M.FEATURES_PAIR_FULL, same_group=True).select("rmse", "n")
 
 
 # ------------------------------------------------------- naive Bayes (M7-M9)
@@ -456,6 +489,12 @@ def parse_results_rows(b):
     return b.parsed_results()
 
 
+@query
+def malformed_rows(b):
+    """S1 + S5: lines of the text sources that do not parse, counted."""
+    return b.malformed()
+
+
 @query
 def exclude_groups(b):
     """Parsed result rows without the excluded groups."""

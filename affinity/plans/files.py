@@ -10,7 +10,7 @@ edges                  tab file ``fips1, fips2, score`` (header), self pairs
 coords / pair_coords   centers CSV (header): ``clat10/clon10`` for maps,
                        ``pclat10/pclon10`` (population centres) for distances;
                        text read as strings, then ``try_cast``
-attitudes              comma file ``fp, never, rarely, sometimes, freq,
+attitudes              comma file ``unit, never, rarely, sometimes, freq,
                        always`` (header)
 results / names        result rows with quoted thousands (groups in
                        ``excluded_groups`` dropped) joined to the state
@@ -21,7 +21,8 @@ region_names           ``srd -> state`` table (tab, header)
 adjacency              sectioned adjacency text
 =====================  ====================================================
 
-All unit ids are normalised to zero-padded 5-character text on load.
+All unit ids are stripped and padded with zeros to at least five characters
+on load; longer ids stay whole.
 """
 
 from __future__ import annotations
@@ -36,14 +37,17 @@ from pyspark.sql import functions as F
 from affinity.functions.numeric import to_double
 from affinity.operators.edges import drop_self_pairs
 from affinity.operators.pairs import wide_units
-from affinity.operators.units import MEASURE_LEVEL, MEASURE_RATE, level_by_unit
+from affinity.operators.sizing import is_small
+from affinity.operators.units import MEASURE_LEVEL, MEASURE_RATE, SHARES, level_by_unit
 from affinity.plans.params import REFERENCE, Params
-from affinity.sources import (normalize_id, read_delimited, read_partitioned, read_results, read_sections,
-                              read_split_lines)
+from affinity.sources import (malformed_lines, malformed_results, normalize_id, read_delimited, read_partitioned, read_results, read_sections,
+                              read_split_lines, union_all)
 
 EDGE_SCHEMA = "fips1 string, fips2 string, score bigint"
-ATTITUDE_SCHEMA = "fp string, never double, rarely double, sometimes double, freq double, always double"
-SERIES_SCHEMA = "sid string, year int, period string, value double, footnotes string"
+ATTITUDE_SCHEMA = "unit string, " + ", ".join(f"{s} double" for s in SHARES)
+SERIES_SCHEMA = "sid string, year int, period string, value double, notes string"
+# first field of the header row of the series dictionary file
+DICTIONARY_HEADER = "series_id"
 SERIES_FIELDS = {"sid": 0, "area_type": 1, "area_code": 2, "measure_code": 3, "srd": 5, "title": 6}
 
 
@@ -72,6 +76,20 @@ class FileInputs:
     def _keep(self, df: DataFrame) -> DataFrame:
         return df.persist(StorageLevel.MEMORY_AND_DISK) if self.keep else df
 
+    def release(self) -> None:
+        """Unpersist every kept relation."""
+        for name in ("raw_index", "coords", "pair_coords", "units_wide", "attitudes", "results", "names", "level", "rate"):
+            if name in self.__dict__:
+                self.__dict__[name].unpersist()
+                del self.__dict__[name]
+        self.__dict__.pop("edges", None)
+
+    @cached_property
+    def small_units(self) -> bool:
+        """Whether unit tables may be broadcast: known from the size of the
+        centers file, without a job."""
+        return is_small(self._centers)
+
     def _id(self, col: str):
         return normalize_id(col, self.id_width)
 
@@ -114,7 +132,7 @@ class FileInputs:
     @cached_property
     def attitudes(self) -> DataFrame:
         m = read_delimited(self.spark, self.paths.attitudes, ATTITUDE_SCHEMA, sep=",")
-        return self._keep(m.select(self._id("fp").alias("unit"), "never", "rarely", "sometimes", "freq", "always"))
+        return self._keep(m.select(self._id("unit").alias("unit"), *SHARES))
 
     def parsed_results(self, exclude: tuple = ()) -> DataFrame:
         return read_results(self.spark, self.paths.results, exclude_states=exclude)
@@ -142,11 +160,21 @@ class FileInputs:
     # ---------------------------------------------------------- series
     @cached_property
     def series(self) -> DataFrame:
-        return self._keep(read_partitioned(self.spark, self.paths.series_values, SERIES_SCHEMA, sep="\t",
-                                           trim=["sid"]).drop("footnotes"))
+        """All series files, not kept: the analyses filter them on the scan."""
+        return read_partitioned(self.spark, self.paths.series_values, SERIES_SCHEMA, sep="\t",
+                                trim=["sid"]).drop("notes")
+
+    def malformed(self) -> DataFrame:
+        """Lines that do not parse, of the edge file and of the result file."""
+        edges = self.spark.read.text(self.paths.edges)
+        first = "fips1"
+        edges = edges.where(~F.startswith(F.col("value"), F.lit(first)))
+        parts = (("index", malformed_lines(edges, EDGE_SCHEMA, sep="\t")),
+                 ("results", malformed_results(self.spark.read.text(self.paths.results))))
+        return union_all([d.select(F.lit(name).alias("source"), "n_rows", "n_malformed") for name, d in parts])
 
     def dictionary_rows(self) -> DataFrame:
-        return read_split_lines(self.spark, self.paths.series_dictionary, SERIES_FIELDS)
+        return read_split_lines(self.spark, self.paths.series_dictionary, SERIES_FIELDS, header=DICTIONARY_HEADER)
 
     @cached_property
     def dictionary(self) -> DataFrame:
@@ -156,13 +184,13 @@ class FileInputs:
     def level(self) -> DataFrame:
         return self._keep(level_by_unit(self.series, self.dictionary, self.region_names, self.names,
                                         self.params.level_year, MEASURE_LEVEL, alias="level",
-                                        match=self.params.title_match))
+                                        match=self.params.title_match, small=self.small_units))
 
     @cached_property
     def rate(self) -> DataFrame:
         return self._keep(level_by_unit(self.series, self.dictionary, self.region_names, self.names,
                                         self.params.level_year, MEASURE_RATE, alias="rate",
-                                        match=self.params.title_match))
+                                        match=self.params.title_match, small=self.small_units))
 
     def adjacency(self) -> DataFrame:
         if not self.paths.adjacency:

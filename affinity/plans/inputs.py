@@ -38,6 +38,7 @@ from affinity.plans.params import Params
 class Inputs(Protocol):
     spark: SparkSession
     params: Params
+    small_units: bool
     raw_index: DataFrame
     edges: DataFrame
     coords: DataFrame
@@ -58,3 +59,7 @@ class Inputs(Protocol):
     def adjacency(self) -> DataFrame: ...
 
     def dictionary_rows(self) -> DataFrame: ...
+
+    def malformed(self) -> DataFrame: ...
+
+    def release(self) -> None: ...

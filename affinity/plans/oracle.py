@@ -21,7 +21,14 @@ def km(a: str, b: str) -> str:
 
 
 def _sid(unit: str, measure: str) -> str:
-    return f"lpad(CAST({unit} AS VARCHAR), 6, '0') || '{measure}'"
+    """Series id: the unit padded with zeros to six digits, longer ids whole."""
+    text = f"CAST({unit} AS VARCHAR)"
+    return f"(CASE WHEN length({text}) < 6 THEN lpad({text}, 6, '0') ELSE {text} END) || '{measure}'"
+
+
+# The split: the whole id times a multiplier, modulo a prime, then modulo 1000.
+UNIT_TRAIN = "((((unit % 998244353) * 1103515245 + 104729) % 998244353) % 1000 < 700)"
+PAIR_TRAIN = "((((u1 % 998244353) * 1103515245 + (u2 % 998244353) * 630360016) % 998244353) % 1000 < 800)"
 
 
 def _level_cte(name: str, measure: str, alias: str) -> str:
@@ -98,7 +105,7 @@ PRELUDE = [
          ln({km('x', 'y')}) AS ln_km, abs(x.rate - y.rate) AS gap_rate
   FROM b_edges e JOIN b_wide x ON x.unit = e.u1 JOIN b_wide y ON y.unit = e.u2
   WHERE e.w > 0 AND {km('x', 'y')} > 0)""",
-    "b_pf_train AS (SELECT * FROM b_pf WHERE ((u1 * 1000003 + u2 * 7919) % 1000) < 800)",
+    f"b_pf_train AS (SELECT * FROM b_pf WHERE {PAIR_TRAIN})",
 ]
 
 
@@ -107,16 +114,19 @@ def sql(select: str, *extra: str) -> str:
 
 
 def _lines_cte() -> str:
-    return """b_lines AS (
+    def scaled(c: str) -> str:
+        return f"CASE unit % 3 WHEN 0 THEN {c} // 100 WHEN 1 THEN {c} ELSE {c} * 1000 END"
+    return f"""b_lines AS (
   SELECT q.unit AS line_num, q.d AS d_votes, q.r AS r_votes, q.t AS total_votes,
          q.d / q.t AS per_dem, q.r / q.t AS per_rep, abs(q.d - q.r) AS diff,
          ((abs(q.d - q.r) * 10000) // q.t) / 100 AS per_pt_diff,
          nm.grp AS state, nm.name AS county, CAST(q.unit AS VARCHAR) AS fips
-  FROM (SELECT l_suppkey AS unit,
-               CAST(sum(CASE WHEN l_returnflag = 'R' THEN l_quantity ELSE 0.0 END) AS BIGINT) AS d,
-               CAST(sum(CASE WHEN l_returnflag <> 'R' THEN l_quantity ELSE 0.0 END) AS BIGINT) AS r,
-               CAST(sum(l_quantity) AS BIGINT) AS t
-        FROM lineitem GROUP BY l_suppkey) q
+  FROM (SELECT unit, {scaled('d')} AS d, {scaled('r')} AS r, {scaled('t')} AS t
+        FROM (SELECT l_suppkey AS unit,
+                     CAST(sum(CASE WHEN l_returnflag = 'R' THEN l_quantity ELSE 0.0 END) AS BIGINT) AS d,
+                     CAST(sum(CASE WHEN l_returnflag <> 'R' THEN l_quantity ELSE 0.0 END) AS BIGINT) AS r,
+                     CAST(sum(l_quantity) AS BIGINT) AS t
+              FROM lineitem GROUP BY l_suppkey)) q
   JOIN b_names nm ON nm.unit = q.unit)"""
 
 
@@ -144,7 +154,7 @@ def _nb_sql(label_expr: str, label: str, features: list[str], extra_where: str =
     nb_pred (held-out rows with prediction)."""
     fsum = " + ".join(f"s_{f}" for f in features)
     data = f"""nb_data AS (SELECT *, {label_expr} AS {label},
-  ((unit * 7919 + 104729) % 1000) < 700 AS is_train FROM b_profile {extra_where})"""
+  {UNIT_TRAIN} AS is_train FROM b_profile {extra_where})"""
     cls = f"""nb_cls AS (SELECT {label} AS label, count(*) AS n_c, {', '.join(f'sum({f}) AS s_{f}' for f in features)}
   FROM nb_data WHERE is_train GROUP BY {label})"""
     tot = "nb_tot AS (SELECT sum(n_c) AS n_all, count(*) AS n_cls FROM nb_cls)"
@@ -185,6 +195,8 @@ def _oracles() -> dict[str, str]:
     o["same_group_pairs"] = sql(
         "SELECT e.u1, e.u2, e.w FROM b_edges e JOIN b_names a ON a.unit = e.u1 JOIN b_names b ON b.unit = e.u2 "
         "WHERE a.grp = b.grp")
+    o["same_prefix_pairs"] = sql(
+        "SELECT u1, u2, w FROM b_edges WHERE substr(CAST(u1 AS VARCHAR), 1, 2) = substr(CAST(u2 AS VARCHAR), 1, 2)")
     be = """SELECT {key} round(avg(CASE WHEN same THEN w END), {D}) AS avg_same,
   round(avg(CASE WHEN NOT same THEN w END), {D}) AS avg_cross,
   CAST(count_if(same) AS BIGINT) AS n_same, CAST(count_if(NOT same) AS BIGINT) AS n_cross,
@@ -218,17 +230,24 @@ FROM (SELECT c.unit, c.lon, c.lat, m.max_score FROM (SELECT u1 AS unit, max(w) A
 FROM (SELECT e.u2, c.lon, c.lat, e.w FROM b_edges e JOIN b_box c ON c.unit = e.u2 WHERE e.u1 = 1)""")
 
     def hist(src: str, col: str, start: float, stop: float, step: float) -> str:
-        n = int(round((stop - start) / step))
+        n = int((stop - start) // step)          # edges that do not pass stop
+        last = start + n * step
         return sql(f"""SELECT CAST(k.bucket AS INTEGER) AS bucket,
   CAST({start} AS DOUBLE) + k.bucket * CAST({step} AS DOUBLE) AS lo,
   CAST({start} AS DOUBLE) + (k.bucket + 1) * CAST({step} AS DOUBLE) AS hi, CAST(coalesce(c.cnt, 0) AS BIGINT) AS count
 FROM (SELECT range AS bucket FROM range({n})) k
 LEFT JOIN (SELECT least(CAST(floor((CAST({col} AS DOUBLE) - {start}) / {step}) AS INTEGER), {n - 1}) AS bucket,
                   count(*) AS cnt
-           FROM {src} WHERE {col} >= {start} AND {col} <= {stop} GROUP BY 1) c ON c.bucket = k.bucket""")
+           FROM {src} WHERE {col} >= {start} AND {col} <= {last} GROUP BY 1) c ON c.bucket = k.bucket""")
     o["hist_weight"] = hist("b_edges", "w", 1000.0, 1000000.0, 1000.0)
     o["hist_max"] = hist("(SELECT u1, max(w) AS max_score FROM b_edges GROUP BY u1)", "max_score",
-                         0.0, 1000000.0, 10000.0)
+                         0.0, 1004000.0, 10000.0)
+    edges = (0.0, 500.0, 20000.0, 300000.0, 1000000000.0)
+    rows = ", ".join(f"({i}, CAST({lo} AS DOUBLE), CAST({hi} AS DOUBLE))" for i, (lo, hi) in enumerate(zip(edges, edges[1:])))
+    o["hist_edges"] = sql(f"""SELECT CAST(k.bucket AS INTEGER) AS bucket, k.lo, k.hi, CAST(count(e.w) AS BIGINT) AS count
+FROM (VALUES {rows}) k(bucket, lo, hi)
+LEFT JOIN b_edges e ON e.w >= k.lo AND (e.w < k.hi OR (k.bucket = {len(edges) - 2} AND e.w = k.hi))
+GROUP BY k.bucket, k.lo, k.hi""")
 
     o["title_match"] = sql("""SELECT nm.unit, d.sid, d.title FROM b_dict d JOIN b_region r ON r.srd = d.srd
   JOIN b_names nm ON nm.grp = r.state AND contains(d.title, nm.name)""")
@@ -248,7 +267,7 @@ FROM b_profile""")
     o["class_counts"] = sql("""SELECT count(*) AS n_rows,
   CAST(count_if(never + rarely + sometimes > 0.6) AS BIGINT) AS n_attitude_low,
   CAST(count_if(avg < (SELECT avg(w) FROM b_edges)) AS BIGINT) AS n_conn_weak FROM b_profile""")
-    o["split_assignment"] = sql("SELECT unit, ((unit * 7919 + 104729) % 1000) < 700 AS is_train FROM b_names")
+    o["split_assignment"] = sql(f"SELECT unit, {UNIT_TRAIN} AS is_train FROM b_names")
 
     o["pair_distance"] = sql(f"""SELECT e.u1, e.u2, e.w, round({km('x', 'y')}, {D}) AS dist_km
 FROM b_edges e JOIN b_coords x ON x.unit = e.u1 JOIN b_coords y ON y.unit = e.u2
@@ -266,9 +285,18 @@ FROM b_edges e JOIN b_rate x ON x.unit = e.u1 JOIN b_rate y ON y.unit = e.u2""")
 
     one = ("b_one AS (SELECT regr_slope(ln_w, gap_att) AS b, regr_intercept(ln_w, gap_att) AS a, count(*) AS n "
            "FROM b_pf_train)")
-    o["regression_one_coef"] = sql(f"""SELECT round(b, {D}) AS coef_gap_att, round(a, {D}) AS intercept,
-  round(sqrt(avg((ln_w - (a + b * gap_att)) * (ln_w - (a + b * gap_att)))), {D}) AS rmse, n
-FROM b_pf_train, b_one GROUP BY a, b, n""", one)
+    def simple(feature: str, source: str, *extra: str) -> str:
+        fit = (f"b_fit AS (SELECT regr_slope(ln_w, {feature}) AS b, regr_intercept(ln_w, {feature}) AS a, count(*) AS n "
+               f"FROM {source})")
+        res = f"(ln_w - (a + b * {feature}))"
+        return sql(f"""SELECT round(b, {D}) AS coef_{feature}, round(a, {D}) AS intercept,
+  round(sqrt(avg({res} * {res})), {D}) AS rmse, n FROM {source}, b_fit GROUP BY a, b, n""", *extra, fit)
+    same = """b_pf_same AS (SELECT t.* FROM b_pf_train t JOIN b_names a ON a.unit = t.u1
+  JOIN b_names b ON b.unit = t.u2 WHERE a.grp = b.grp)"""
+    o["regression_one_coef"] = simple("gap_att", "b_pf_train")
+    o["regression_distance"] = simple("ln_km", "b_pf_train")
+    o["regression_distance_same_group"] = simple("ln_km", "b_pf_same", same)
+    o["regression_result"] = simple("gap_result", "b_pf_train")
     o["regression_predictions"] = sql(f"""SELECT u1, u2, round(ln_w, {D}) AS ln_w, round(a + b * gap_att, {D}) AS prediction
 FROM b_pf, b_one""", one)
     o["scatter_series"] = sql(f"""SELECT round(a + b * gap_att, {D}) AS x, round(ln_w, {D}) AS y, 'observed' AS series FROM b_pf, b_one
@@ -278,8 +306,6 @@ SELECT round(a + b * gap_att, {D}) AS x, round(a + b * gap_att, {D}) AS y, 'pred
     full = ["ln_km", "gap_rate", "gap_result", "gap_att"]
     sel, ctes = _mgs_rmse("b_pf_train", full)
     o["regression_rmse"] = sql(sel, *ctes)
-    same = """b_pf_same AS (SELECT t.* FROM b_pf_train t JOIN b_names a ON a.unit = t.u1
-  JOIN b_names b ON b.unit = t.u2 WHERE a.grp = b.grp)"""
     sel, ctes = _mgs_rmse("b_pf_same", full)
     o["regression_rmse_same_group"] = sql(sel, same, *ctes)
 
@@ -302,13 +328,17 @@ SELECT round(a + b * gap_att, {D}) AS x, round(a + b * gap_att, {D}) AS y, 'pred
     o["connectivity_nb_accuracy"] = nb_acc(CONN_LABEL, "conn_class", CONN_F)
 
     o["edges_from_text"] = sql("SELECT u1, u2, w FROM b_edges")
-    o["series_dictionary_rows"] = sql("""SELECT sid, area_type, 'CN' || substr(sid, 1, 6) AS area_code,
-  substr(sid, 7, 2) AS measure_code, srd, title FROM b_dict""")
+    o["series_dictionary_rows"] = sql("""SELECT sid, area_type, 'CN' || left(sid, length(sid) - 2) AS area_code,
+  right(sid, 2) AS measure_code, srd, title FROM b_dict""")
     o["adjacency_neighbors"] = sql("""SELECT CAST(a.unit AS VARCHAR) AS unit, a.name AS unit_name, CAST(b.unit AS VARCHAR) AS neighbor
 FROM (SELECT s_suppkey AS unit, s_nationkey AS nk, 'Unit ' || CAST(s_suppkey AS VARCHAR) AS name FROM supplier) a
 JOIN (SELECT s_suppkey AS unit, s_nationkey AS nk FROM supplier) b
   ON b.nk = a.nk AND (b.unit = a.unit - 1 OR b.unit = a.unit + 1)""")
     o["parse_results_rows"] = sql("SELECT * FROM b_lines", _lines_cte())
+    o["malformed_rows"] = sql("""SELECT 'index' AS source, count(*) AS n_rows,
+  CAST(count_if(u1 = u2 AND u1 % 7 = 0) AS BIGINT) AS n_malformed FROM b_raw
+UNION ALL
+SELECT 'results', count(*), CAST(count_if(line_num % 7 = 0) AS BIGINT) FROM b_lines""", _lines_cte())
     o["exclude_groups"] = sql("SELECT * FROM b_lines WHERE state <> 'NATION_23' AND state <> 'NATION_24'",
                               _lines_cte())
     o["union_partitions"] = sql("SELECT sid, year, period, value FROM b_series")

@@ -49,7 +49,6 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
     b = SparkSession.builder.master(master or f"local[{cpus}]").appName(app)
     conf = dict(SCALE_CONF)
     conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions or cpus)
-    conf.setdefault("spark.driver.memory", "16g")
     conf.update(extra or {})
     for k, v in conf.items():
         b = b.config(k, v)
@@ -72,7 +71,7 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if conf_dir:
         sc.setCheckpointDir(conf_dir)
         return sc.getCheckpointDir() or conf_dir
-    if not sc.master.startswith("local"):
+    if not (sc.master == "local" or sc.master.startswith("local[")):
         raise RuntimeError("set spark.checkpoint.dir to a folder shared by the cluster")
     local = tempfile.mkdtemp(prefix="affinity-ckpt-")
     sc.setCheckpointDir(local)

@@ -1,5 +1,5 @@
-"""Delimited text: fixed-schema scans, all-string scans with lenient casts,
-tab-split line scans, and unions of same-schema partition files."""
+"""Delimited text: fixed-schema scans, tab-split line scans, unions of
+same-schema partition files, and counts of lines that do not parse."""
 
 from __future__ import annotations
 
@@ -8,7 +8,9 @@ from typing import Iterable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType, StructField, StructType
+from pyspark.sql.types import StructType
+
+from affinity.functions.numeric import strip_text
 
 
 def read_delimited(spark: SparkSession, path: str, schema: StructType | str, sep: str = "\t",
@@ -30,35 +32,35 @@ def parse_delimited(lines: DataFrame, schema: str, sep: str = "\t", col: str = "
     return lines.select(rec).select("r.*")
 
 
-def read_strings(spark: SparkSession, path: str, columns: Sequence[str], sep: str = ",",
-                 header: bool = True) -> DataFrame:
-    """All-string scan.  Replaces schema inference: no extra pass over the
-    data, and a stray ``NA`` cannot change a column's type."""
-    schema = StructType([StructField(c, StringType(), True) for c in columns])
-    return spark.read.schema(schema).option("header", header).option("sep", sep).csv(path)
-
-
-def cast_columns(df: DataFrame, types: Mapping[str, str]) -> DataFrame:
-    """Lenient casts (``try_cast``): unparsable text becomes null."""
-    return df.withColumns({c: F.col(c).try_cast(t) for c, t in types.items()})
+def malformed_lines(lines: DataFrame, schema: str, sep: str = "\t", col: str = "value") -> DataFrame:
+    """One row: ``n_rows`` non-empty lines, and ``n_malformed`` of them in
+    which a field is there but does not parse as its type, which the parse
+    turns into a silent null."""
+    types = StructType.fromDDL(schema)
+    fields = F.split(F.col(col), sep)
+    bad = F.lit(False)
+    for i, f in enumerate(types.fields):
+        raw = strip_text(F.get(fields, i))
+        bad = bad | F.coalesce((F.length(raw) > 0) & raw.try_cast(f.dataType).isNull(), F.lit(False))
+    return (lines.where(F.length(strip_text(col)) > 0)
+            .agg(F.count(F.lit(1)).alias("n_rows"), F.count_if(bad).alias("n_malformed")))
 
 
 def read_split_lines(spark: SparkSession, path: str, fields: Mapping[str, int], sep: str = "\t",
-                     skip_header: bool = False) -> DataFrame:
+                     header: str | None = None) -> DataFrame:
     """Line scan, split on ``sep``, trim every field, project fields by
-    position (0-based).  Missing positions give null."""
-    return split_lines(spark.read.text(path), fields, sep, skip_header)
+    position (0-based).  Missing positions give null.  ``header`` is the first
+    field of the file's header row, which is dropped."""
+    return split_lines(spark.read.text(path), fields, sep, header)
 
 
 def split_lines(lines: DataFrame, fields: Mapping[str, int], sep: str = "\t",
-                skip_header: bool = False, col: str = "value") -> DataFrame:
+                header: str | None = None, col: str = "value") -> DataFrame:
     """:func:`read_split_lines` on a column of text lines."""
     parts = F.split(F.col(col), sep)
-    out = lines.select(*[F.trim(F.get(parts, i)).alias(name) for name, i in fields.items()])
-    if skip_header:
-        first = list(fields)[0]
-        out = out.where(F.col(first) != F.lit(first))
-    return out
+    if header is not None:
+        lines = lines.where(F.coalesce(strip_text(F.get(parts, 0)) != F.lit(header), F.lit(True)))
+    return lines.select(*[strip_text(F.get(parts, i)).alias(name) for name, i in fields.items()])
 
 
 def union_all(frames: Iterable[DataFrame], by_name: bool = True) -> DataFrame:
@@ -77,11 +79,18 @@ def read_partitioned(spark: SparkSession, paths: str | Sequence[str], schema: St
     """Many same-schema files as one relation: one scan over a glob or a
     path list instead of a union of per-file reads."""
     df = read_delimited(spark, paths if isinstance(paths, str) else list(paths), schema, sep, header)
-    return df.withColumns({c: F.trim(F.col(c)) for c in trim}) if trim else df
+    return df.withColumns({c: strip_text(c) for c in trim}) if trim else df
+
+
+def pad_id(c: Column, width: int) -> Column:
+    """Text id padded with zeros on the left to at least ``width``
+    characters; longer ids stay whole."""
+    return F.when(F.length(c) < width, F.lpad(c, width, "0")).otherwise(c)
 
 
 def normalize_id(col: str | Column, width: int = 5) -> Column:
-    """Canonical text id: trimmed and left-padded with zeros, so ``1001``,
-    ``01001`` and `` 1001`` name the same unit."""
+    """Canonical text id: stripped and padded, so ``1001``, ``01001`` and
+    `` 1001`` name the same unit.  Finer ids such as ``01001020100`` keep all
+    their characters."""
     c = F.col(col) if isinstance(col, str) else col
-    return F.lpad(F.trim(c.cast("string")), width, "0")
+    return pad_id(strip_text(c.cast("string")), width)

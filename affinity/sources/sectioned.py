@@ -16,6 +16,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from affinity.functions.numeric import strip_text
+
 SECTION_SEP = '\n"'
 
 
@@ -27,11 +29,11 @@ def read_sections(spark: SparkSession, path: str) -> DataFrame:
 def parse_sections(sections: DataFrame, col: str = "value") -> DataFrame:
     """One section per row -> exploded ``(unit, unit_name, neighbor)`` rows."""
     body = F.regexp_replace(F.col(col), r'^"', "")  # only the first record keeps its quote
-    lines = F.filter(F.split(body, "\n"), lambda l: F.length(F.trim(l)) > 0)
+    lines = F.filter(F.split(body, "\r?\n"), lambda l: F.length(strip_text(l)) > 0)
     head = F.split(F.get(lines, 0), "\t")
-    name = F.regexp_replace(F.get(head, 0), r'"$', "")
-    own = F.trim(F.get(head, 1))
-    nbrs = F.transform(lines, lambda l: F.trim(F.element_at(F.split(l, "\t"), -1)))
+    name = F.regexp_replace(strip_text(F.get(head, 0)), r'"$', "")
+    own = strip_text(F.get(head, 1))
+    nbrs = F.transform(lines, lambda l: strip_text(F.element_at(F.split(l, "\t"), -1)))
     return (sections
             .select(own.alias("unit"), name.alias("unit_name"), F.explode(nbrs).alias("neighbor"))
             .where(F.col("neighbor") != F.col("unit")))

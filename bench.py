@@ -47,7 +47,8 @@ def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
     names = sys.argv[1:] or HEADLINE
-    spark = build_session(master=f"local[{cpus}]", shuffle_partitions=int(os.environ.get("BENCH_SHUFFLE_PARTITIONS", int(cpus) * 2)))
+    spark = build_session(master=f"local[{cpus}]", shuffle_partitions=int(os.environ.get("BENCH_SHUFFLE_PARTITIONS", int(cpus) * 2)),
+                          extra={"spark.driver.memory": os.environ.get("BENCH_MEMORY", "8g")})
     reg = registry()
     # warm-up on the next smaller tables (JVM JIT, codegen caches), not
     # timed; it uses its own binding, so nothing of the timed scale is cached

@@ -13,7 +13,7 @@ SF01 = "/root/testdata/sf0.01"
 @pytest.fixture(scope="session")
 def spark():
     from affinity.session import build_session
-    s = build_session(master="local[4]", shuffle_partitions=4, app="affinity-tests")
+    s = build_session(master="local[4]", shuffle_partitions=4, app="affinity-tests", extra={"spark.driver.memory": "6g"})
     yield s
     s.stop()
 

@@ -50,12 +50,11 @@ def test_durable_index_cuts_lineage(spark):
 
 def test_longest_title_match_gives_one_level_per_unit(spark):
     from affinity.operators.units import level_by_unit
-    from affinity.plans.binding import LEVEL_YEAR
     b = Binding(spark, SF01, keep=False)
-    lv = level_by_unit(b.series, b.dictionary, b.region_names, b.names, LEVEL_YEAR, match="longest")
+    lv = level_by_unit(b.series, b.dictionary, b.region_names, b.names, b.params.level_year, match="longest")
     assert lv.count() == 100 and lv.select("unit").distinct().count() == 100
     # and each unit got its own series: the level equals its own annual level
-    own = (b.series.where((F.col("year") == LEVEL_YEAR) & (F.col("period") == "M13") & F.col("sid").endswith("06"))
+    own = (b.series.where((F.col("year") == b.params.level_year) & (F.col("period") == "M13") & F.col("sid").endswith("06"))
            .select(F.substring("sid", 1, 6).cast("bigint").alias("unit"), F.col("value").alias("own")))
     assert lv.join(own, "unit").where(F.col("level") != F.col("own")).count() == 0
 
@@ -74,11 +73,10 @@ def test_durable_mode_gives_the_same_results(spark):
         assert a.count() == b.count() and a.exceptAll(b).count() == 0, name
 
 
-def test_bucketed_index_joins_large_unit_table_without_moving_edges(spark, monkeypatch):
+def test_bucketed_index_joins_large_unit_table_without_moving_edges(spark):
     from affinity.operators import edges as E
     from conftest import SF001
     b = Binding(spark, SF001, durable=True)
-    monkeypatch.setattr(E, "UNIT_BROADCAST_ROWS", 3)  # force the shuffle-join path
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
     try:
@@ -89,3 +87,46 @@ def test_bucketed_index_joins_large_unit_table_without_moving_edges(spark, monke
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
         spark.conf.unset("spark.sql.adaptive.autoBroadcastJoinThreshold")
+
+
+def test_two_durable_bindings_share_one_table(spark):
+    from conftest import SF001
+    a, b = Binding(spark, SF001, durable=True), Binding(spark, SF001, durable=True)
+    n = a.raw_index.count()
+    assert b.raw_index.count() == n and a.raw_index.count() == n   # not written again under the reader
+    table = a._index_table
+    a.release()
+    assert b.raw_index.count() == n
+    b.release()
+    while spark.catalog.tableExists(table):                        # users of other tests, if any
+        from affinity.plans.binding import drop_bucketed
+        drop_bucketed(spark, table)
+    assert not spark.catalog.tableExists(table)
+
+
+def test_ids_beyond_six_digits_stay_whole(spark):
+    """Units 123456 and 1234567 in one group: a cut id would join them."""
+    from affinity.operators.units import level_by_unit
+    sid = Binding._sid
+    units = [(123456, 1.0), (1234567, 2.0), (42, 3.0)]
+    u = spark.createDataFrame(units, "unit long, value double")
+    series = u.select(sid(F.col("unit"), "06").alias("sid"), F.lit(1998).alias("year"), F.lit("M13").alias("period"), "value")
+    titles = u.select(sid(F.col("unit"), "06").alias("sid"), F.lit("F").alias("area_type"), F.lit("1").alias("srd"),
+                      F.concat(F.lit("Level: Unit "), F.col("unit").cast("string"), F.lit(", A")).alias("title"))
+    names = u.select("unit", F.concat(F.lit("Unit "), F.col("unit").cast("string"), F.lit(",")).alias("name"), F.lit("A").alias("grp"))
+    regions = spark.createDataFrame([("1", "A")], "srd string, state string")
+    got = {tuple(r) for r in level_by_unit(series, titles, regions, names, 1998).collect()}
+    assert got == set(units)
+    assert {r.sid for r in series.collect()} == {"12345606", "123456706", "00004206"}
+
+
+def test_annual_values_equal_those_of_the_series(spark):
+    from affinity.operators.units import MEASURE_LEVEL, MEASURE_RATE
+    from conftest import SF001
+    b = Binding(spark, SF001, keep=False)
+    for m in (MEASURE_LEVEL, MEASURE_RATE):
+        want = b.series.where((F.col("year") == b.params.level_year) & (F.col("period") == "M13") & F.col("sid").endswith(m))
+        got = b._annual(m).select(*want.columns)
+        assert got.exceptAll(want).count() == 0 and got.count() == want.count() > 0
+    plan = b._annual(MEASURE_LEVEL)._jdf.queryExecution().executedPlan().toString()
+    assert "GreaterThanOrEqual(l_shipdate" in plan      # the year reaches the scan

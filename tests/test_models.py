@@ -12,7 +12,17 @@ def test_hash_split_is_partitioning_independent(spark):
     a = {r.unit for r in df.repartition(3).where(M.unit_split()).collect()}
     b = {r.unit for r in df.repartition(7).where(M.unit_split()).collect()}
     assert a == b and 0.65 < len(a) / 5000 < 0.75
-    assert a == {u for u in range(5000) if (u * 7919 + 104729) % 1000 < 700}
+    p = M.SPLIT_PRIME
+    assert a == {u for u in range(5000) if (u % p * M.SPLIT_UNIT[0] + M.SPLIT_UNIT[1]) % p % 1000 < 700}
+
+
+def test_split_mixes_the_whole_id(spark):
+    """Ids with equal last digits (a county code in 50 states) fall on both sides."""
+    df = spark.createDataFrame([(f"{s:02d}{c:03d}",) for s in range(1, 51) for c in (1, 3, 77)], "unit string")
+    got = df.groupBy(F.substring("unit", 3, 3).alias("c")).agg(F.avg(M.unit_split().cast("double")).alias("share")).collect()
+    assert all(0.4 < r.share < 0.95 for r in got)
+    pairs = df.limit(40).crossJoin(df.select(F.col("unit").alias("u2")).limit(40)).withColumnRenamed("unit", "u1")
+    assert 0.7 < pairs.agg(F.avg(M.pair_split().cast("double"))).first()[0] < 0.9
 
 
 def test_ols_matches_normal_equations(spark):
@@ -25,8 +35,8 @@ def test_ols_matches_normal_equations(spark):
     beta, *_ = np.linalg.lstsq(A, y, rcond=None)
     assert np.allclose([model.intercept] + list(model.coefficients), beta, atol=1e-9)
     resid = y - A @ beta
-    assert math.isclose(model.summary.rootMeanSquaredError, math.sqrt(np.mean(resid ** 2)), rel_tol=1e-9)
-    rep = M.linear_report(spark, model, ["a", "b", "c"]).first()
+    rep = M.linear_report(model, df, ["a", "b", "c"], "y").first()
+    assert math.isclose(rep.rmse, math.sqrt(np.mean(resid ** 2)), rel_tol=1e-9)
     assert rep.n == 400 and math.isclose(rep.coef_b, beta[2], rel_tol=1e-9)
 
 

@@ -76,6 +76,9 @@ def test_groups_and_border_effect(spark):
     assert be[3].avg_same is None and be[3].n_cross == 1
     s = spark.createDataFrame([("01001", "01003"), ("01001", "02001")], "a string, b string")
     assert [r[0] for r in s.select(same_prefix("a", "b")).collect()] == [True, False]
+    from affinity.operators.edges import same_prefix_pairs
+    e = spark.createDataFrame([("02013", "02020", 5), ("02013", "01001", 6)], "u1 string, u2 string, w long")
+    assert [tuple(r) for r in same_prefix_pairs(e).collect()] == [("02013", "02020", 5)]
 
 
 @settings(max_examples=15, deadline=None)
@@ -115,6 +118,16 @@ def test_histogram_edges_semantics(spark):
     assert h3 == {0: 4, 1: 3, 2: 0, 3: 0}  # empty buckets reported as 0
 
 
+def test_histogram_step_that_does_not_divide_the_range(spark):
+    df = spark.createDataFrame([(v,) for v in (0.0, 2.9, 3.0, 8.9, 9.0, 9.5, 10.0)], "x double")
+    rows = [tuple(r) for r in histogram(df, "x", 0.0, 10.0, 3.0).orderBy("bucket").collect()]
+    # edges 0, 3, 6, 9: the last bucket ends at 9, closed; 9.5 and 10 are beyond
+    assert rows == [(0, 0.0, 3.0, 2), (1, 3.0, 6.0, 1), (2, 6.0, 9.0, 2)]
+    from affinity.operators.plotdata import bucket_count
+    assert bucket_count(1.0, 70_000_000.0, 1_000_000.0) == 69       # last edge 69,000,001
+    assert bucket_count(0.0, 0.3, 0.1) in (2, 3) and bucket_count(0.0, 1.0, 2.0) == 0
+
+
 def test_histogram_every_value_in_one_bucket(spark):
     rnd = random.Random(3)
     vals = [rnd.uniform(1000, 1_000_000) for _ in range(2000)] + [1000.0, 1_000_000.0, 2000.0]

@@ -1,16 +1,29 @@
 from pyspark.sql import functions as F
 
+from affinity.functions.numeric import safe_ln
 from affinity.operators import pairs as P
 from affinity.plans.binding import Binding
 from conftest import SF01
 
 
+def pair_features_chain(edges, coords, rate, results, attitude):
+    """The same table as four edge-sized relations joined on (u1, u2)."""
+    parts = [P.pair_distance(edges, coords).select("u1", "u2", safe_ln("w").alias("ln_w"), safe_ln("dist_km").alias("ln_km"))]
+    att = attitude.select("unit", (F.col("never") + F.col("rarely")).alias("att"))
+    for units, value in ((rate, "rate"), (results, "result"), (att, "att")):
+        parts.append(P.pair_gap(edges, units, value, f"gap_{value}").drop("w"))
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.join(p, ["u1", "u2"])
+    return out.where(F.col("ln_w").isNotNull() & F.col("ln_km").isNotNull())
+
+
 def test_wide_form_equals_chain_with_duplicated_units(spark):
     b = Binding(spark, SF01, keep=False)
     rate = b.rate  # title matches give some units several rates
     assert rate.groupBy("unit").count().where("count > 1").count() > 0
     wide = P.pair_features(b.edges, P.wide_units(b.coords, rate, b.results, b.attitudes))
-    chain = P.pair_features_chain(b.edges, b.coords, rate, b.results, b.attitudes)
+    chain = pair_features_chain(b.edges, b.coords, rate, b.results, b.attitudes)
     cols = ["u1", "u2", "ln_w", "gap_att", "gap_result", "ln_km", "gap_rate"]
     w = wide.select(*[F.round(c, 9).alias(c) if c not in ("u1", "u2") else c for c in cols])
     c = chain.select(*[F.round(c, 9).alias(c) if c not in ("u1", "u2") else c for c in cols])
@@ -33,12 +46,12 @@ def test_gap_correlation_bounds(spark):
 def test_shuffle_fallback_equals_broadcast_path(spark, monkeypatch):
     """Unit tables above the broadcast bound are joined by shuffle; the rows
     are the same, and the plan then has no broadcast of the unit side."""
-    from affinity.operators import edges as E
-    from affinity.plans import catalog
+    from affinity.plans import binding, catalog
     from conftest import SF001
     b = Binding(spark, SF001, keep=False)
     small = catalog.run("pair_features", b)
-    monkeypatch.setattr(E, "UNIT_BROADCAST_ROWS", 3)
+    assert b.small_units
+    monkeypatch.setattr(binding, "is_small", lambda df: False)
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
     try:
@@ -51,12 +64,10 @@ def test_shuffle_fallback_equals_broadcast_path(spark, monkeypatch):
         spark.conf.unset("spark.sql.adaptive.autoBroadcastJoinThreshold")
 
 
-def test_contains_join_shuffle_fallback(spark, monkeypatch):
-    from affinity.operators import matching
+def test_contains_join_shuffle_fallback(spark):
     from affinity.operators.units import match_titles
     b = Binding(spark, SF01, keep=False)
     titled = b.dictionary.join(b.region_names, "srd").select("sid", "title", "state")
-    want = match_titles(titled, b.names)
-    monkeypatch.setattr(matching, "PATTERN_BROADCAST_ROWS", 3)
-    got = match_titles(titled, b.names)
+    want = match_titles(titled, b.names, small=True)
+    got = match_titles(titled, b.names, small=False)
     assert got.count() == want.count() == 206 and got.exceptAll(want).count() == 0

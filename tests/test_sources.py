@@ -2,8 +2,8 @@ import os
 
 import pytest
 
-from affinity.sources import (cast_columns, normalize_id, read_delimited, read_partitioned, read_results,
-                              read_sections, read_split_lines, read_strings, union_all)
+from affinity.sources import (normalize_id, read_delimited, read_partitioned, read_results, read_sections,
+                              read_split_lines, union_all)
 from conftest import write
 
 
@@ -20,27 +20,18 @@ def test_failfast_raises_on_malformed(spark, scratch):
         read_delimited(spark, p, "a string, b string, c bigint", mode="FAILFAST").collect()
 
 
-def test_strings_then_lenient_cast(spark, scratch):
-    # ANSI mode would fail comparing "NA" with a number; try_cast gives null
-    p = write(os.path.join(scratch, "c.csv"), "fips,clon10,clat10\n1,-86.5,32.1\n2,NA,NA\n3,-60.5,21\n")
-    df = cast_columns(read_strings(spark, p, ["fips", "clon10", "clat10"]), {"clon10": "double", "clat10": "double"})
-    got = {r.fips: (r.clon10, r.clat10) for r in df.collect()}
-    assert got == {"1": (-86.5, 32.1), "2": (None, None), "3": (-60.5, 21.0)}
-    assert dict(df.dtypes)["clon10"] == "double"
-
-
 def test_split_lines_trim_and_positions(spark, scratch):
     p = write(os.path.join(scratch, "series.txt"),
               "series_id\tarea_type\tarea\tmeasure\tseasonal\tsrd\ttitle\n"
               " LAUCN010010000000006 \tF\tCN0100100000000\t06\tU\t01\t Labor force: Autauga County, AL \n")
     df = read_split_lines(spark, p, {"sid": 0, "area_type": 1, "area_code": 2, "measure_code": 3,
-                                     "srd": 5, "title": 6}, skip_header=False)
+                                     "srd": 5, "title": 6})
     rows = df.collect()
     assert len(rows) == 2  # header not skipped, as in a raw line scan
     data = [r for r in rows if r.sid != "series_id"][0]
     assert data.sid == "LAUCN010010000000006" and data.srd == "01"
     assert data.title == "Labor force: Autauga County, AL"
-    df2 = read_split_lines(spark, p, {"series_id": 0, "title": 6}, skip_header=True)
+    df2 = read_split_lines(spark, p, {"sid": 0, "title": 6}, header="series_id")
     assert df2.count() == 1
 
 
@@ -100,3 +91,24 @@ def test_normalize_id(spark):
     assert {r[0] for r in df.select(normalize_id("id")).collect()} == {"01001"}
     # the trap: numeric coercion would match, text comparison does not
     assert spark.sql("select '01001' = '1001'").first()[0] is False
+
+
+def test_longer_ids_stay_whole(spark):
+    ids = [("01001020100",), ("01001020200",), ("1001",), ("01001\r",)]
+    df = spark.createDataFrame(ids, "id string")
+    assert [r[0] for r in df.select(normalize_id("id")).collect()] == ["01001020100", "01001020200", "01001", "01001"]
+
+
+def test_crlf_files(spark, scratch):
+    def crlf(name, text):
+        p = os.path.join(scratch, name)
+        with open(p, "w", encoding="utf-8", newline="") as f:
+            f.write(text.replace("\n", "\r\n"))
+        return p
+    adj = sorted(tuple(r) for r in read_sections(spark, crlf("adj.txt", ADJ)).collect())
+    assert adj == [("01001", "Autauga County, AL", "01021"), ("01001", "Autauga County, AL", "01051"),
+                   ("01003", "Baldwin County, AL", "01025"), ("01005", "Barbour County, AL", "01011")]
+    rows = read_split_lines(spark, crlf("s.txt", "series_id\ttitle\nS1 \t x y \n"), {"sid": 0, "title": 1}, header="series_id")
+    assert [tuple(r) for r in rows.collect()] == [("S1", "x y")]
+    got = {r.line_num: r for r in read_results(spark, crlf("res.csv", RESULTS)).collect()}
+    assert sorted(got) == [0, 1, 2, 3, 4] and got[0].fips == "2013" and got[2].diff == 1234567

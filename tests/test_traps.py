@@ -73,6 +73,12 @@ def test_t10_malformed_numbers_are_null_in_permissive_mode(spark, scratch):
     p = write(os.path.join(scratch, "x.tsv"), "a\tb\nx\t1,234\ny\t7\n")
     got = {r.a: r.b for r in read_delimited(spark, p, "a string, b bigint").collect()}
     assert got == {"x": None, "y": 7}
+    # and they can be counted
+    from affinity.sources import malformed_lines, malformed_results
+    lines = spark.createDataFrame([("x\t1,234",), ("y\t7\r",), ("z\t",), ("",)], "value string")
+    assert tuple(malformed_lines(lines, "a string, b bigint").first()) == (3, 1)
+    res = spark.createDataFrame([(",a,b",), ('0,1,2,3,0.1,0.9,"1,234",5%,AK,A,1',), ('1,x,2,3,0.1,0.9,4,5%,AL,B,2',)], "value string")
+    assert tuple(malformed_results(res).first()) == (2, 1)
 
 
 def test_s7_index_and_unit_tables_persist_memory_and_disk(spark):
@@ -90,5 +96,7 @@ def test_split_has_no_overflow_for_large_or_text_ids(spark):
     df = spark.createDataFrame([(9_000_000_000_000_000_000, "x-17"), (12345, "01001")], "k bigint, s string")
     got = df.select(M.unit_split("k").alias("a"), M.unit_split("s").alias("b")).collect()
     assert len(got) == 2
-    assert got[1].a == (((12345 * 7919) + 104729) % 1000 < 700)
-    assert got[1].b == (((1001 * 7919) + 104729) % 1000 < 700)
+    p, (m, o) = M.SPLIT_PRIME, M.SPLIT_UNIT
+    assert got[0].a == ((9_000_000_000_000_000_000 % p * m + o) % p % 1000 < 700)
+    assert got[1].a == ((12345 * m + o) % p % 1000 < 700)
+    assert got[1].b == ((1001 * m + o) % p % 1000 < 700)

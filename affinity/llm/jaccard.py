@@ -38,16 +38,16 @@ from affinity.llm.components import components
 
 SHINGLE = 5
 THRESHOLD_PCT = 80
-MAX_L = 16
+MAX_L = 64
 SKETCH_BITS = 18           # cells of the count sketch: 2**18, one megabyte
 SEGMENTS = 16
 USUAL = 0.1                # further holders of a shingle that estimates show none for
-FALL = 0.5                 # candidates left with each further shingle asked for
+FALL = 0.8                 # candidates left with each further shingle asked for
 VERIFY_COST = 0.3          # of a candidate, in postings per shingle of the text
 BROADCAST_ROWS = 500_000   # rows of two numbers that are broadcast if they are no more
 BUCKETS_PER_CHUNK = 2
 SMALL = 64                 # nodes at one shingle that are simply paired with each other
-WORTH = 0.1                # share of postings that a round of hubs has to settle to be followed by another
+WORTH = 0.3                # share of postings that a round of hubs has to settle to be followed by another
 
 
 def shingles(texts, size: int) -> Iterator[tuple[int, np.ndarray]]:
@@ -297,10 +297,8 @@ def _ring_candidates(measured: DataFrame, pct: int) -> DataFrame:
 
 
 def _prefix_candidates(postings: DataFrame, pct: int) -> DataFrame:
-    """Pairs of different components that share as many prefix shingles as
-    the smaller of their two L."""
-    j = postings.join(_renamed(postings, ["tok"]), "tok").filter(
-        (F.col("node") < F.col("node_b")) & (F.col("comp") != F.col("comp_b")))
+    """Pairs that share as many prefix shingles as the smaller of their two L."""
+    j = postings.join(_renamed(postings, ["tok"]), "tok").filter(F.col("node") < F.col("node_b"))
     return _pairs(j, pct).groupBy(F.col("node").alias("a"), F.col("node_b").alias("b")).agg(
         F.count(F.lit(1)).alias("shared"), F.first(F.least("l", "l_b")).alias("l")).filter("shared >= l").select("a", "b")
 
@@ -319,10 +317,16 @@ def node_components(docs: DataFrame, first: DataFrame, size: int, pct: int, chun
 
     def with_sets(pairs: DataFrame, a: str, b: str) -> DataFrame:
         return _with_sets(pairs, docs, rows, size, a, b)
+    # shingles of many nodes, found by counts combined map-side, go through hubs
+    many = live.groupBy("tok").agg(F.count(F.lit(1)).alias("held")).filter(F.col("held") > SMALL).select("tok")
+    many = cut(many)
+    open_ = cut(live.join(_few(many), "tok"))
+    rest = live.join(_few(many), "tok", "left_anti")
     # a hub should have little of its own: most of its prefix is shared
     prefix = F.col("n") - F.ceil(F.col("n") * pct / 100) + F.col("l")
-    rank = live.groupBy("node").agg((-F.count(F.lit(1)) / F.first(prefix)).alias("rank"))
-    open_ = cut(live.join(rank, "node"))
+    rank = live.join(open_.select("node").distinct(), "node", "left_semi").groupBy("node").agg(
+        (-F.count(F.lit(1)) / F.first(prefix)).alias("rank"))
+    open_ = cut(open_.join(rank, "node"))
     links = labels = None
 
     def link(new: DataFrame) -> None:
@@ -331,13 +335,16 @@ def node_components(docs: DataFrame, first: DataFrame, size: int, pct: int, chun
         labels = cut(components(links))
     while True:
         hubs = open_.groupBy("tok").agg(F.count(F.lit(1)).alias("held"), F.min(F.struct(
-            "rank", F.xxhash64("node").alias("order"), "node")).alias("hub"))
-        hubs = hubs.filter(F.col("held") > SMALL).select("tok", F.col("hub.node").alias("h"))
-        families = cut(open_.join(hubs, "tok").select("tok", "h", F.col("node").alias("x")))
+            "rank", F.xxhash64("node").alias("order"), "node", "n")).alias("hub"))
+        hubs = hubs.filter(F.col("held") > SMALL).select("tok", F.col("hub.node").alias("h"), F.col("hub.n").alias("n_h"))
+        families = cut(open_.join(hubs, "tok").select("tok", "h", F.col("node").alias("x"), "n", "n_h"))
         postings = families.count()
         if not postings:
             break
-        measured = cut(_measured(cut(families.filter("h != x").select("h", "x").distinct()), with_sets, pct))
+        # sizes alone put the others beyond ring 2
+        near = families.filter("h != x").filter(
+            100 * F.least("n", "n_h") >= (3 * pct - 200) * F.greatest("n", "n_h")).select("h", "x").distinct()
+        measured = cut(_measured(cut(near), with_sets, pct))
         link(measured.filter("ring = 0").select(F.col("h").alias("a"), F.col("x").alias("b")))
         pairs = _in_components(_in_components(_ring_candidates(measured, pct), labels, "a", "_a"), labels, "b", "_b")
         new = cut(_verified(cut(pairs.filter("_a != _b").select("a", "b")), with_sets, pct))
@@ -349,8 +356,9 @@ def node_components(docs: DataFrame, first: DataFrame, size: int, pct: int, chun
         open_ = cut(open_.join(done, ["tok", "node"], "left_anti"))
         if done.count() < WORTH * postings:
             break                      # mostly unrelated texts: hubs tell little about them
-    now = cut(_in_components(open_.drop("rank"), labels, "node", "comp"))
-    new = cut(_verified(cut(_prefix_candidates(now, pct)), with_sets, pct))
+    pairs = cut(_prefix_candidates(rest.unionByName(open_.drop("rank")), pct))
+    pairs = _in_components(_in_components(pairs, labels, "a", "_a"), labels, "b", "_b")
+    new = cut(_verified(cut(pairs.filter("_a != _b").select("a", "b")), with_sets, pct))
     if not new.isEmpty():
         link(new)
     return labels

@@ -41,8 +41,9 @@ REPLICA_RATIO = 1.03       # of its distance to the nearest list
 RECALL = 0.97              # aimed at on the sample
 CALIBRATION = 400          # sample vectors used as queries for that
 DEGREE, BEAM, ENTRIES = 24, 64, 64
-SHARD = 16_384             # entries of one unit of search
-QUERY_BLOCK = 4_096        # queries of one unit of search
+SHARD = 8_192              # entries of one unit of search
+QUERY_BLOCK = 2_048        # queries of one unit of search
+WORK_BYTES = 64 << 20      # of vectors gathered at a time
 SEED = 7
 
 
@@ -79,6 +80,10 @@ class Lists:
             order = np.argsort(d, axis=1, kind="stable")
             return order, np.sqrt(np.take_along_axis(d, order, 1))
         width = max(4, beam // 8)
+        most = max(1, WORK_BYTES // (width * max(1, self.neighbours.shape[1]) * c.shape[1] * 4))
+        if len(x) > most:                         # fewer rows at a time
+            parts = [self.nearest(x[i:i + most], beam) for i in range(0, len(x), most)]
+            return tuple(np.concatenate(p) for p in zip(*parts))
         rows = np.arange(len(x))[:, None]
 
         def distance(ids):
@@ -124,23 +129,24 @@ class Lists:
         take[:, 0] = True
         return ids, take
 
-    def within(self, x: np.ndarray, ratio: float) -> tuple[np.ndarray, np.ndarray]:
+    def within(self, x: np.ndarray, ratio: float, beam: int = BEAM) -> tuple[np.ndarray, np.ndarray]:
         """Lists of each lifted query, nearest first, and their distances:
-        all that are within ``ratio`` of the nearest, and some more."""
-        beam = BEAM
+        all that are within ``ratio`` of the nearest, and some more.  Where
+        ``beam`` lists are not enough, more are looked for."""
         while True:
+            beam = len(self.centroids) if 2 * beam >= len(self.centroids) else beam
             ids, d = self.nearest(x, beam)
             if beam >= len(self.centroids) or (d[:, -1] > ratio * d[:, 0]).all():
                 return ids, d
             beam *= 4
 
 
-def calibrated_ratio(lists: Lists, x: np.ndarray, total: int, k: int) -> float:
-    """Distance ratio within which queries find RECALL of their nearest
+def calibrated_ratio(lists: Lists, x: np.ndarray, total: int, k: int) -> tuple[float, int]:
+    """(ratio, lists a query usually has within it): the distance ratio within which queries find RECALL of their nearest
     neighbours, measured inside the sample ``x``: the neighbours of a sampled
     query there are as far as its nearest k among all ``total`` vectors."""
     if len(x) < 3 or len(lists.centroids) < 2:
-        return math.inf
+        return math.inf, len(lists.centroids)
     near = max(1, min(len(x) - 1, round(k * len(x) / total)))
     asked = np.arange(0, len(x), max(1, len(x) // CALIBRATION))
     score = x[asked] @ x.T
@@ -153,7 +159,8 @@ def calibrated_ratio(lists: Lists, x: np.ndarray, total: int, k: int) -> float:
     owner = np.repeat(np.arange(len(asked)), near)[:, None]
     to = np.where(take, d[owner, np.maximum(ids, 0)], np.inf).min(axis=1)
     needed = to / np.maximum(d.min(axis=1)[owner[:, 0]], 1e-12)
-    return float(np.quantile(needed, RECALL)) * (1 + 1e-6)
+    ratio = float(np.quantile(needed, RECALL)) * (1 + 1e-6)
+    return ratio, int(np.quantile((d <= ratio * d.min(axis=1)[:, None]).sum(axis=1), 0.9))
 
 
 def _means(x: np.ndarray, k: int, rng, rounds: int = 8) -> np.ndarray:
@@ -225,7 +232,7 @@ def usable(vectors: DataFrame, vec: str) -> DataFrame:
 
 
 def build_index(rows: DataFrame, k: int = K):
-    """Entries, list sizes, lists, probe ratio and postings of usable rows."""
+    """Entries, list sizes, lists, (probe ratio, beam) and postings of usable rows."""
     spark = rows.sparkSession
     first = Window.partitionBy("v").orderBy("vec_id", "row")
     # the limit is applied map-side before the exchange, so a vector that a third of the rows have stays small
@@ -238,7 +245,8 @@ def build_index(rows: DataFrame, k: int = K):
     sample = hash_sample(entries, "entry", SAMPLE, SEED).select("v").toArrow()
     x = _matrix(sample.column("v"))
     lists = build_lists(x, min(MAX_LISTS, -(-total // LIST_ROWS)), float(extra))
-    ratio = calibrated_ratio(lists, x, total, k)
+    ratio, usual = calibrated_ratio(lists, x, total, k)
+    probing = ratio, max(BEAM, usual + usual // 4)
     shared = spark.sparkContext.broadcast(lists)
 
     def assign(batches):
@@ -253,7 +261,7 @@ def build_index(rows: DataFrame, k: int = K):
     postings = cut(entries.select("entry", "v", "members").mapInArrow(
         assign, "list int, main boolean, entry long, v array<double>, members array<struct<vec_id:bigint,row:bigint>>"))
     sizes = postings.groupBy("list").agg(F.count(F.lit(1)).alias("n"), F.count_if("main").alias("main"))
-    return entries, sizes.toArrow(), lists, ratio, postings
+    return entries, sizes.toArrow(), lists, probing, postings
 
 
 def _best(score: np.ndarray, k: int) -> np.ndarray:
@@ -277,7 +285,7 @@ def search(vectors: DataFrame, queries, k: int = K, vec: str = "embedding") -> D
     spark = vectors.sparkSession
     parts = prepare(spark)
     rows = usable(vectors, vec)
-    entries, sizes, lists, ratio, postings = build_index(rows, k)
+    entries, sizes, lists, probing, postings = build_index(rows, k)
     schema = "query_id long, rank int, vec_id long, score double"
     if postings is None:
         return spark.createDataFrame([], schema)
@@ -293,12 +301,12 @@ def search(vectors: DataFrame, queries, k: int = K, vec: str = "embedding") -> D
     asked = rows.filter(queries).select("row", "vec_id", "v")
     # one search per distinct query vector
     wanted = cut(entries.select("entry", "v").join(asked.select("v").distinct(), "v", "left_semi").select("entry", "v"))
-    shared = spark.sparkContext.broadcast((lists, ratio, main, blocks, first, shard.astype(np.int32)))
+    shared = spark.sparkContext.broadcast((lists, probing, main, blocks, first, shard.astype(np.int32)))
 
     def probe(batches):
-        index, ratio, main, blocks, first, shard = shared.value
+        index, (ratio, beam), main, blocks, first, shard = shared.value
         for b in batches:
-            ids, d = index.within(index.lift_queries(_matrix(b.column("v"))), ratio)
+            ids, d = index.within(index.lift_queries(_matrix(b.column("v"))), ratio, beam)
             some = ids >= 0
             before = np.where(some, main[np.maximum(ids, 0)], 0).cumsum(axis=1)
             enough = np.concatenate([np.zeros((len(ids), 1), bool), before[:, :-1] > 2 * (k + 1)], axis=1)
@@ -347,12 +355,23 @@ def search(vectors: DataFrame, queries, k: int = K, vec: str = "embedding") -> D
             members = by_list[lo:hi]
             who = asked_by[asked_for == home[members[0]]]
             if len(who):
-                at, col = np.nonzero(_best(y[who] @ x[members].T, k + 1))
-                found.append((who[at], members[col]))
+                score = y[who] @ x[members].T
+                at, col = np.nonzero(_best(score, k + 1))
+                found.append((who[at], members[col], score[at, col]))
         if not found:
             return pa.table([pa.array([], t) for t in (pa.int64(), pa.int64(), pa.float64(), member_type)], names=names)
-        at, col = (np.concatenate(z) for z in zip(*found))
-        exact = (y[at] * x[col]).sum(axis=1)       # row by row, so equal vectors have equal scores
+        at, col, score = (np.concatenate(z) for z in zip(*found))
+        # each query's best of all these lists; an entry may be in REPLICAS of them
+        order = np.lexsort((-score, at))
+        at, col, score = at[order], col[order], score[order]
+        start = np.flatnonzero(np.append(True, at[1:] != at[:-1]))
+        size = np.diff(np.append(start, len(at)))
+        last = np.repeat(score[start + np.minimum(size, REPLICAS * (k + 1)) - 1], size)
+        keep = score >= last - 1e-9 * np.maximum(1.0, np.abs(last))
+        at, col = at[keep], col[keep]
+        # row by row, so equal vectors have equal scores
+        step = max(1, WORK_BYTES // (8 * x.shape[1]))
+        exact = np.concatenate([(y[at[i:i + step]] * x[col[i:i + step]]).sum(axis=1) for i in range(0, len(at), step)])
         # once per query and entry, then each query's best of the whole shard, ties included
         order = np.lexsort((entry[col], -exact, at))
         at, col, exact = at[order], col[order], exact[order]

@@ -276,6 +276,66 @@ def _measured(pairs: DataFrame, with_sets, pct: int) -> DataFrame:
         run, "h long, x long, n int, ring int, short int, deltas array<long>")
 
 
+def _differences(homes: DataFrame, with_sets, pct: int) -> DataFrame:
+    """What every node x and its hub h differ in: (h, x, n, linked, delta)."""
+    def run(batches):
+        for batch in batches:
+            n, linked, deltas = [], [], []
+            for a, b in zip(batch.column("set_a"), batch.column("set_b")):
+                hub, own = _hashes(a), _hashes(b)
+                d = np.setxor1d(hub, own, assume_unique=True)
+                shared = (len(hub) + len(own) - len(d)) // 2
+                n.append(len(own))
+                linked.append(100 * shared >= pct * (shared + len(d)))
+                deltas.append(d.astype("<u8").tobytes())
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("h"), batch.column("x"), pa.array(n, pa.int32()), pa.array(linked, pa.bool_()),
+                 pa.array(deltas, pa.binary())], names=["h", "x", "n", "linked", "delta"])
+    return with_sets(homes, "h", "x").select("h", "x", "set_a", "set_b").mapInArrow(
+        run, "h long, x long, n int, linked boolean, delta binary")
+
+
+def _verified_by_differences(pairs: DataFrame, differences: DataFrame, pct: int) -> DataFrame:
+    """The pairs (a, b) of nodes with one hub that reach the threshold: two
+    nodes differ in the symmetric difference of what they differ from the hub
+    in, so the sets themselves need not be moved."""
+    def run(batches):
+        for batch in batches:
+            keep = []
+            for n_a, n_b, a, b in zip(batch.column("n_a").to_pylist(), batch.column("n_b").to_pylist(),
+                                      batch.column("d_a"), batch.column("d_b")):
+                apart = len(np.setxor1d(_hashes(a), _hashes(b), assume_unique=True))
+                shared = (n_a + n_b - apart) // 2
+                keep.append(100 * shared >= pct * (shared + apart))
+            yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b")], names=["a", "b"]).filter(pa.array(keep))
+    for side in ("a", "b"):
+        pairs = pairs.join(differences.select(F.col("x").alias(side), F.col("n").alias(f"n_{side}"),
+                                              F.col("delta").alias(f"d_{side}")), side)
+    return pairs.select("a", "b", "n_a", "n_b", "d_a", "d_b").mapInArrow(run, "a long, b long")
+
+
+def _verified_through_hubs(pairs: DataFrame, rank: DataFrame, with_sets, pct: int) -> DataFrame:
+    """The kept pairs (a, b) that reach the threshold, with each node's set
+    moved about once: every node is measured against the best ranked of its
+    partners, and pairs with the same hub are compared by differences."""
+    ends = pairs.select(F.col("a").alias("x"), F.col("b").alias("y")).union(pairs.select("b", "a"))
+    order = F.struct("rank", F.xxhash64("node").alias("order"), "node")
+    ranked = cut(rank.join(ends.select(F.col("x").alias("node")).distinct(), "node").select("node", order.alias("o")))
+    best = ends.join(ranked.select(F.col("node").alias("y"), "o"), "y").groupBy("x").agg(F.min("o").alias("o"))
+    homes = best.join(ranked.select(F.col("node").alias("x"), F.col("o").alias("own")), "x").select(
+        "x", F.least("o", "own")["node"].alias("h"))
+    homes = cut(homes)
+    differences = cut(_differences(cut(homes.filter("h != x")), with_sets, pct))
+    for side in ("a", "b"):
+        pairs = pairs.join(_few(homes.select(F.col("x").alias(side), F.col("h").alias(f"h_{side}"))), side)
+    pairs = cut(pairs.filter("h_a != b and h_b != a"))        # the others are measured already
+    same = pairs.filter("h_a = h_b").select("a", "b")
+    others = cut(pairs.filter("h_a != h_b").select("a", "b"))
+    return (differences.filter("linked").select(F.col("h").alias("a"), F.col("x").alias("b"))
+            .unionByName(_verified_by_differences(same, differences, pct))
+            .unionByName(_verified(others, with_sets, pct)))
+
+
 def _pairs(j: DataFrame, pct: int) -> DataFrame:
     """Condition on sizes that any link meets."""
     return j.filter(100 * F.least("n", "n_b") >= pct * F.greatest("n", "n_b"))
@@ -320,13 +380,11 @@ def node_components(docs: DataFrame, first: DataFrame, size: int, pct: int, chun
     # shingles of many nodes, found by counts combined map-side, go through hubs
     many = live.groupBy("tok").agg(F.count(F.lit(1)).alias("held")).filter(F.col("held") > SMALL).select("tok")
     many = cut(many)
-    open_ = cut(live.join(_few(many), "tok"))
     rest = live.join(_few(many), "tok", "left_anti")
     # a hub should have little of its own: most of its prefix is shared
     prefix = F.col("n") - F.ceil(F.col("n") * pct / 100) + F.col("l")
-    rank = live.join(open_.select("node").distinct(), "node", "left_semi").groupBy("node").agg(
-        (-F.count(F.lit(1)) / F.first(prefix)).alias("rank"))
-    open_ = cut(open_.join(rank, "node"))
+    rank = cut(live.groupBy("node").agg((-F.count(F.lit(1)) / F.first(prefix)).alias("rank")))
+    open_ = cut(live.join(_few(many), "tok").join(rank, "node"))
     links = labels = None
 
     def link(new: DataFrame) -> None:
@@ -358,7 +416,8 @@ def node_components(docs: DataFrame, first: DataFrame, size: int, pct: int, chun
             break                      # mostly unrelated texts: hubs tell little about them
     pairs = cut(_prefix_candidates(rest.unionByName(open_.drop("rank")), pct))
     pairs = _in_components(_in_components(pairs, labels, "a", "_a"), labels, "b", "_b")
-    new = cut(_verified(cut(pairs.filter("_a != _b").select("a", "b")), with_sets, pct))
+    pairs = cut(pairs.filter("_a != _b").select("a", "b"))
+    new = cut(_verified_through_hubs(pairs, rank, with_sets, pct))
     if not new.isEmpty():
         link(new)
     return labels

@@ -99,9 +99,9 @@ def test_ratio_is_measured():
     for x in (flat, tight):
         x = x / np.linalg.norm(x, axis=1, keepdims=True)
         lists = ann.build_lists(x, 60, float((x * x).sum(axis=1).max()))
-        ratio = ann.calibrated_ratio(lists, x, len(x), 20)
+        ratio, usual = ann.calibrated_ratio(lists, x, len(x), 20)
         asked = np.arange(1, 3000, 50)
-        ids, d = lists.within(lists.lift_queries(x[asked]), ratio)
+        ids, d = lists.within(lists.lift_queries(x[asked]), ratio, usual)
         chosen = [set(i[(i >= 0) & (r <= ratio * r[0])].tolist()) for i, r in zip(ids, d)]
         home, take = lists.homes(lists.lift(x))
         score = x[asked] @ x.T

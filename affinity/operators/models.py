@@ -30,8 +30,8 @@ FEATURES_PAIR_FULL = ("ln_km", "gap_rate", "gap_result", "gap_att")
 # The split mixes the whole id: times a multiplier, modulo a large prime, and
 # only then modulo 1000.  All products stay below 2^63.
 SPLIT_PRIME = 998_244_353
-SPLIT_UNIT = (1_103_515_245, 104_729)
-SPLIT_PAIR = (1_103_515_245, 630_360_016)
+SPLIT_UNIT = (134_775_813, 104_729)
+SPLIT_PAIR = (134_775_813, 630_360_016)
 SPLIT_PARTS = 1000
 
 

@@ -23,7 +23,7 @@ UNIT_SOURCE_BYTES = 8 << 20
 def source_bytes(df: DataFrame) -> int:
     """Catalyst's size estimate of ``df``: for a file scan, from the sizes of
     its files.  No job."""
-    return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
 
 
 def is_small(source: DataFrame, max_bytes: int = UNIT_SOURCE_BYTES) -> bool:

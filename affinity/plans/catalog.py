@@ -19,7 +19,7 @@ from __future__ import annotations
 
 from typing import Callable
 
-from pyspark.errors import IllegalArgumentException
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -341,7 +341,9 @@ def _regression(b, feats, same_group: bool = False) -> DataFrame:
     train = _train_pairs(b, same_group)
     try:
         model = M.fit_linear(train, feats, "ln_w")
-    except IllegalArgumentException:     # nothing to fit
+    except Py4JJavaError as e:           # nothing to fit
+        if "Training dataset is empty" not in str(e.java_exception):
+            raise
         nulls = [F.lit(None).cast("double").alias(c) for c in (*[f"coef_{f}" for f in feats], "intercept", "rmse")]
         return b.spark.range(1).select(*nulls, F.lit(0).cast("bigint").alias("n"))
     return M.linear_report(model, train, feats, "ln_w", DIGITS)

@@ -27,8 +27,8 @@ def _sid(unit: str, measure: str) -> str:
 
 
 # The split: the whole id times a multiplier, modulo a prime, then modulo 1000.
-UNIT_TRAIN = "((((unit % 998244353) * 1103515245 + 104729) % 998244353) % 1000 < 700)"
-PAIR_TRAIN = "((((u1 % 998244353) * 1103515245 + (u2 % 998244353) * 630360016) % 998244353) % 1000 < 800)"
+UNIT_TRAIN = "((((unit % 998244353) * 134775813 + 104729) % 998244353) % 1000 < 700)"
+PAIR_TRAIN = "((((u1 % 998244353) * 134775813 + (u2 % 998244353) * 630360016) % 998244353) % 1000 < 800)"
 
 
 def _level_cte(name: str, measure: str, alias: str) -> str:
@@ -289,8 +289,8 @@ FROM b_edges e JOIN b_rate x ON x.unit = e.u1 JOIN b_rate y ON y.unit = e.u2""")
         fit = (f"b_fit AS (SELECT regr_slope(ln_w, {feature}) AS b, regr_intercept(ln_w, {feature}) AS a, count(*) AS n "
                f"FROM {source})")
         res = f"(ln_w - (a + b * {feature}))"
-        return sql(f"""SELECT round(b, {D}) AS coef_{feature}, round(a, {D}) AS intercept,
-  round(sqrt(avg({res} * {res})), {D}) AS rmse, n FROM {source}, b_fit GROUP BY a, b, n""", *extra, fit)
+        return sql(f"""SELECT round(max(b), {D}) AS coef_{feature}, round(max(a), {D}) AS intercept,
+  round(sqrt(avg({res} * {res})), {D}) AS rmse, count(*) AS n FROM {source}, b_fit""", *extra, fit)
     same = """b_pf_same AS (SELECT t.* FROM b_pf_train t JOIN b_names a ON a.unit = t.u1
   JOIN b_names b ON b.unit = t.u2 WHERE a.grp = b.grp)"""
     o["regression_one_coef"] = simple("gap_att", "b_pf_train")

@@ -166,9 +166,8 @@ class FileInputs:
 
     def malformed(self) -> DataFrame:
         """Lines that do not parse, of the edge file and of the result file."""
-        edges = self.spark.read.text(self.paths.edges)
-        first = "fips1"
-        edges = edges.where(~F.startswith(F.col("value"), F.lit(first)))
+        text = read_delimited(self.spark, self.paths.edges, "a string, b string, c string", sep="\t")
+        edges = text.select(F.concat_ws("\t", *[F.coalesce(c, F.lit("")) for c in ("a", "b", "c")]).alias("value"))
         parts = (("index", malformed_lines(edges, EDGE_SCHEMA, sep="\t")),
                  ("results", malformed_results(self.spark.read.text(self.paths.results))))
         return union_all([d.select(F.lit(name).alias("source"), "n_rows", "n_malformed") for name, d in parts])

@@ -127,8 +127,8 @@ def same_group_pairs(b):
 
 @query
 def same_prefix_pairs(b):
-    """Pairs whose ids begin with the same two characters."""
-    return E.same_prefix_pairs(b.edges, 2)
+    """Pairs whose ids begin with the same characters."""
+    return E.same_prefix_pairs(b.edges, b.params.prefix_chars)
 
 
 @query

@@ -196,7 +196,7 @@ def _oracles() -> dict[str, str]:
         "SELECT e.u1, e.u2, e.w FROM b_edges e JOIN b_names a ON a.unit = e.u1 JOIN b_names b ON b.unit = e.u2 "
         "WHERE a.grp = b.grp")
     o["same_prefix_pairs"] = sql(
-        "SELECT u1, u2, w FROM b_edges WHERE substr(CAST(u1 AS VARCHAR), 1, 2) = substr(CAST(u2 AS VARCHAR), 1, 2)")
+        "SELECT u1, u2, w FROM b_edges WHERE substr(CAST(u1 AS VARCHAR), 1, 1) = substr(CAST(u2 AS VARCHAR), 1, 1)")
     be = """SELECT {key} round(avg(CASE WHEN same THEN w END), {D}) AS avg_same,
   round(avg(CASE WHEN NOT same THEN w END), {D}) AS avg_cross,
   CAST(count_if(same) AS BIGINT) AS n_same, CAST(count_if(NOT same) AS BIGINT) AS n_cross,

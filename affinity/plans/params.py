@@ -16,6 +16,7 @@ class Params:
     hist_weight: tuple = (1000.0, 1000000.0, 1000.0)   # (first edge, last edge, step), all scores
     hist_max: tuple = (1.0, 70000000.0, 1000000.0)     # same, per-unit maxima
     hist_edges: tuple = (1.0, 10000.0, 200000.0, 5000000.0, 1000000000.0)  # explicit edges, all scores
+    prefix_chars: int = 2                # leading characters of an id that name its group
     title_match: str = "all"             # 'all' matches (as the original) or 'longest' per title
 
 
@@ -31,4 +32,4 @@ REFERENCE = Params(level_year=2010, attitude_threshold=0.5, conn_threshold=15000
 TEST_TABLES = Params(level_year=1998, attitude_threshold=0.6, conn_threshold=None, fanout_unit=1,
                      excluded_groups=("NATION_23", "NATION_24"),
                      hist_weight=(1000.0, 1000000.0, 1000.0), hist_max=(0.0, 1004000.0, 10000.0),
-                     hist_edges=(0.0, 500.0, 20000.0, 300000.0, 1000000000.0))
+                     hist_edges=(0.0, 500.0, 20000.0, 300000.0, 1000000000.0), prefix_chars=1)

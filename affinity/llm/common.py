@@ -16,11 +16,12 @@ ARROW_ROWS = 512
 
 
 def prepare(spark: SparkSession) -> int:
-    """Set up the session for an operator: shared checkpoint folder, small
-    Arrow batches.  Returns the number of shuffle partitions, from which
+    """Set up the session for an operator: shared checkpoint folder, held
+    splits of scans, small Arrow batches.  Returns the number of shuffle partitions, from which
     the operators derive how many groups they make, so that a group's size
     follows from the cluster's own sizing of the job."""
     ensure_checkpoint_dir(spark)
+    hold_splits(spark)
     if int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")) > ARROW_ROWS:
         spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(ARROW_ROWS))
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
@@ -31,10 +32,27 @@ def prepare(spark: SparkSession) -> int:
 _STEADY = {"Project", "Filter", "Relation", "LocalRelation", "LogicalRDD", "SubqueryAlias", "ResolvedHint", "Union"}
 
 
+def hold_splits(spark: SparkSession) -> None:
+    """Hold the parallelism that scans are split by.  Spark packs files (and
+    local rows) into partitions by the cores alive when a job is planned, so
+    an executor lost or won between two passes would give the rows other
+    numbers.  The value of the first call stays for the session; one that
+    the session sets itself is left.  Files are still split by
+    ``spark.sql.files.maxPartitionBytes``, so a large scan has no fewer
+    partitions."""
+    cores = str(spark.sparkContext.defaultParallelism)
+    leaf = spark.conf.get("spark.sql.leafNodeDefaultParallelism", None)
+    if leaf is None:
+        spark.conf.set("spark.sql.leafNodeDefaultParallelism", cores)
+    if spark.conf.get("spark.sql.files.minPartitionNum", None) is None:
+        spark.conf.set("spark.sql.files.minPartitionNum", leaf or cores)
+
+
 def stable(df: DataFrame) -> DataFrame:
     """``df``, fit to have its rows numbered in each of several passes: a scan
-    of files as it is, and anything with a shuffle, limit or the like below
-    it kept in the shared folder first."""
+    of files as it is, with the splits held, and anything with a shuffle,
+    limit or the like below it kept in the shared folder first."""
+    hold_splits(df.sparkSession)
     plan = df._jdf.queryExecution().optimizedPlan().toString()
     nodes = {line.lstrip(" :+-").split(" ")[0].split("(")[0] for line in plan.splitlines() if line.strip()}
     return df if all(n.split("[")[0] in _STEADY or n.startswith("Relation") for n in nodes) else cut(df)
@@ -63,8 +81,8 @@ def free_name(df: DataFrame, name: str) -> str:
 def pick_rows(df: DataFrame, chosen: DataFrame, copies: bool = False) -> DataFrame:
     """The rows of ``df`` whose number in the scan is a ``row`` of ``chosen``
     (each row once there), with the columns of ``df``; with ``copies``, as
-    often as that column of ``chosen`` says.  The number is the same for
-    every scan of the same files.  The columns travel as one struct, so none
+    often as that column of ``chosen`` says.  ``df`` comes from ``stable``, so
+    the number is the same for every scan of the same files.  The columns travel as one struct, so none
     can clash."""
     d = df.select(F.monotonically_increasing_id().alias("row"), F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("doc"))
     if not copies:

@@ -13,7 +13,7 @@ containers are the main text, so short lines between long ones stay.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from html.parser import HTMLParser
 
 import numpy as np
@@ -51,6 +51,14 @@ _STOPS_AT = frozenset("ul ol dl table div article section main body td th blockq
 # "no-sidebar" and the like describe a page with or without the thing.
 _ABOUT = frozenset("no has with without not is page".split())
 COMMENTS = frozenset("comment comments reply replies disqus".split())
+# Blocks after an article that can hold articles of their own.
+LATER = COMMENTS | frozenset("commentlist respond reader readers related recommended".split())
+# What a head can hold; elements whose text is never read; elements that stay
+# dropped, closed or not; elements that need no end tag.
+_IN_HEAD = frozenset("base basefont bgsound head link meta noframes noscript script style template title".split())
+_RAW = frozenset("script style".split())
+_NEVER = frozenset("script style textarea title select option".split())
+_ENDS_ALONE = frozenset("p li dt dd tr td th option".split())
 
 
 def _names(value: str | None) -> set[str]:
@@ -63,50 +71,97 @@ def _names(value: str | None) -> set[str]:
     return found
 
 
+class _Drop:
+    """An element that is left out as it is opened, and what else encloses it."""
+
+    __slots__ = ("n", "tag", "names", "outer", "element")
+
+    def __init__(self, n: int, tag: str, names: set[str], outer: _Drop | None, element: _Open):
+        self.n, self.tag, self.names, self.outer, self.element = n, tag, names, outer, element
+
+    def unclosed(self) -> bool:
+        """No end tag of its own, or one that an enclosing element lacks in turn."""
+        o: _Open | None = self.element if self.tag not in _ENDS_ALONE else None
+        while o is not None and o.closed:
+            o = o.same
+        return o is not None
+
+
+class _Open:
+    """An open element: its container, outermost and innermost holder, the
+    innermost dropped element around it, and the next one of its tag."""
+
+    __slots__ = ("tag", "container", "holder", "inner", "drop", "same", "closed")
+
+    def __init__(self, tag: str, container: int, holder: int, inner: int, drop: _Drop | None,
+                 same: _Open | None = None):
+        self.tag, self.container, self.holder, self.inner, self.drop = tag, container, holder, inner, drop
+        self.same, self.closed = same, False
+
+
+_ROOT = _Open("", 0, 0, 0, None)
+
+
 class _Page(HTMLParser):
-    """Collects lines: text, tags met in it, link characters, container."""
+    """Collects lines: their parts (text, in a link or not, and the dropped
+    element around it; None for a tag), container, holder, innermost holder.
+    What is dropped in the end is known when the page has been read."""
 
     def __init__(self):
         super().__init__(convert_charrefs=True)
-        self.open: list[tuple[str, int, int, bool]] = []    # tag, container, holder, dropped
-        self.lines: list[tuple[str, int, int, int, int]] = []
-        self.parts: list[str] = []
-        self.tags = self.link = self.links = 0
+        self.open: list[_Open] = []
+        self.last: dict[str, _Open | None] = {}        # innermost open element of each tag
+        self.lines: list[tuple[list, int, int, int]] = []
+        self.parts: list[tuple[str | None, bool, _Drop | None]] = []
+        self.links = 0
         self.n = 0
+        self.drops: list[_Drop] = []
 
-    def _at(self) -> tuple[int, int, bool]:
-        return self.open[-1][1:] if self.open else (0, 0, False)
+    def _at(self) -> _Open:
+        return self.open[-1] if self.open else _ROOT
 
     def flush(self) -> None:
-        text = " ".join("".join(self.parts).split())
-        if text:
-            container, holder, _ = self._at()
-            self.lines.append((text, self.tags, self.link, container, holder))
-            self.tags = 0
-        self.parts, self.link = [], 0
+        if self.parts:
+            at = self._at()
+            self.lines.append((self.parts, at.container, at.holder, at.inner))
+        self.parts = []
 
     def _pop_to(self, i: int) -> None:
-        for tag, *_ in self.open[i:]:
-            self.links -= tag == "a"
+        for o in reversed(self.open[i:]):
+            self.links -= o.tag == "a"
+            self.last[o.tag] = o.same
         del self.open[i:]
 
-    def _dropped(self, tag: str, attrs: list, holder: int) -> bool:
+    def _end_head(self, tag: str) -> None:
+        """Close a head that is left open, at the first thing it cannot hold."""
+        if tag == "body":
+            for i, o in enumerate(self.open):
+                if o.tag == "head":
+                    self._pop_to(i)
+                    break
+        elif self.open and self.open[-1].tag == "head" and tag not in _IN_HEAD:
+            self.flush()
+            self._pop_to(len(self.open) - 1)
+
+    def _dropped(self, tag: str, attrs: list, holder: int) -> set[str] | None:
+        """None: not dropped; else the names it is dropped for, if any."""
         if tag in DROPPED or (tag == "header" and not holder):
-            return True
+            return set()
         if tag in ("html", "body", "main"):
-            return False
+            return None
         unwanted = COMMENTS if tag == "article" and not holder else NAMES
         for k, v in attrs:
             if k == "role" and (v or "").lower() in ROLES or k == "hidden" or k == "aria-hidden" and v == "true":
-                return True
+                return set()
             if k in ("class", "id") and _names(v) & unwanted:
-                return True
+                return _names(v) & unwanted
             if k == "style" and "display:none" in (v or "").replace(" ", "").lower():
-                return True
-        return False
+                return set()
+        return None
 
     def handle_starttag(self, tag, attrs):
-        self.tags += 1
+        self._end_head(tag)
+        self.parts.append((None, False, self._at().drop))
         if tag not in INLINE:
             self.flush()
         if tag in VOID:
@@ -114,21 +169,26 @@ class _Page(HTMLParser):
         ends = CLOSES.get(tag, set()) | ({"p"} if tag in _BLOCK_ENDS_P else set())
         if ends:
             for i in range(len(self.open) - 1, -1, -1):
-                if self.open[i][0] in ends:
+                if self.open[i].tag in ends:
                     self._pop_to(i)
                     break
-                if self.open[i][0] in _STOPS_AT:
+                if self.open[i].tag in _STOPS_AT:
                     break
-        container, holder, dropped = self._at()
-        dropped = dropped or self._dropped(tag, attrs, holder)
+        at = self._at()
+        o = _Open(tag, at.container, at.holder, at.inner, at.drop, self.last.get(tag))
+        names = self._dropped(tag, attrs, at.holder)
         if tag not in INLINE:
             self.n += 1
             if tag in CONTAINERS:
-                container = self.n
+                o.container = self.n
             if tag in HOLDERS:
-                holder = holder or self.n
+                o.holder, o.inner = at.holder or self.n, self.n
+        if names is not None:
+            o.drop = _Drop(self.n, tag, names, at.drop, o)
+            self.drops.append(o.drop)
         self.links += tag == "a"
-        self.open.append((tag, container, holder, dropped))
+        self.last[tag] = o
+        self.open.append(o)
 
     def handle_startendtag(self, tag, attrs):
         self.handle_starttag(tag, attrs)
@@ -136,21 +196,89 @@ class _Page(HTMLParser):
             self.handle_endtag(tag)
 
     def handle_endtag(self, tag):
-        self.tags += 1
+        self.parts.append((None, False, self._at().drop))
         if tag not in INLINE:
             self.flush()
         for i in range(len(self.open) - 1, -1, -1):
-            if self.open[i][0] == tag:
+            if self.open[i].tag == tag:
+                self.open[i].closed = True
                 self._pop_to(i)
                 return
-            if tag in INLINE and self.open[i][0] not in INLINE:
+            if tag in INLINE and self.open[i].tag not in INLINE:
                 return
 
     def handle_data(self, data):
-        if not self._at()[2]:
-            self.parts.append(data)
-            if self.links:
-                self.link += len(data.strip())
+        if data.strip():
+            self._end_head("")
+        if self._at().tag not in _RAW:
+            self.parts.append((data, self.links > 0, self._at().drop))
+
+
+def _resolve(page: _Page) -> Callable[[_Drop | None, int], bool]:
+    """Whether text is left out, by the innermost dropped element around it
+    and its innermost holder.
+
+    A form, or a block left unclosed, does not drop an article or main inside
+    it (``lets``).  On a page without other articles it drops nothing at all
+    if it holds more text than is left (``whole``)."""
+    left = held = 0
+    for parts, _, holder, _ in page.lines:
+        size = sum(len(d.strip()) for d, _, drop in parts if d and drop is None)
+        left += size
+        held += size if holder else 0
+    # an element is passed if it and all around it let articles through
+    lets, passed = set(), {None}
+    for d in page.drops:
+        if d.tag not in _NEVER and (d.tag == "form" or d.unclosed()) and not (d.names & LATER and held):
+            lets.add(d)
+            if d.outer in passed:
+                passed.add(d)
+    within: dict[_Drop, dict[int, int]] = {d: {} for d in passed if d}
+    for parts, _, _, inner in page.lines:
+        for data, _, drop in parts:
+            if data and drop in within:
+                size = len(data.strip())
+                within[drop][inner] = within[drop].get(inner, 0) + size
+                if inner > drop.n:
+                    left += size
+                    held += size
+    whole: set[_Drop] = set()
+    if not held:
+        for d in reversed(page.drops):
+            if d in within:
+                if sum(within[d].values()) > left and not (d.names & LATER and left):
+                    whole.add(d)
+                for inner, size in within[d].items() if d.outer else ():
+                    within[d.outer][inner] = within[d.outer].get(inner, 0) + size
+    # the nearest element, from each outwards, that is not whole
+    nearest: dict[_Drop | None, _Drop | None] = {None: None}
+    for d in page.drops:
+        nearest[d] = nearest[d.outer] if d in whole else d
+
+    def out(drop: _Drop | None, inner: int) -> bool:
+        drop = nearest[drop]
+        return drop is not None and (inner <= drop.n or drop not in passed)
+    return out
+
+
+def _lines(page: _Page) -> list[tuple[str, int, int, int, int]]:
+    """Lines that are left: text, tags met before and in it, link characters,
+    container, holder."""
+    out = _resolve(page)
+    lines, tags = [], 0
+    for parts, container, holder, inner in page.lines:
+        kept, link = [], 0
+        for data, linked, drop in parts:
+            if data is None:
+                tags += 1
+            elif not out(drop, inner):
+                kept.append(data)
+                link += len(data.strip()) if linked else 0
+        text = " ".join("".join(kept).split())
+        if text:
+            lines.append((text, tags, link, container, holder))
+            tags = 0
+    return lines
 
 
 def smooth(values: np.ndarray, sigma: float = SIGMA) -> np.ndarray:
@@ -183,7 +311,7 @@ def main_text(html: str | None) -> str:
     page.feed(html)
     page.close()
     page.flush()
-    lines = page.lines
+    lines = _lines(page)
     if not lines:
         return ""
     size = np.array([len(t) for t, *_ in lines], dtype=float)

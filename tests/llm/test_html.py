@@ -57,3 +57,32 @@ def test_smoothing_and_clusters():
     s = H.smooth(x)
     assert np.allclose(H.smooth(np.ones(7)), 1.0) and s[3] > s[2] > s[1] > s[0]
     assert 1 < H.threshold(np.array([0.1, 0.2, 4.0, 5.0])) < 4
+
+
+def test_head_left_open():
+    story = "<article><h1>Title</h1><p>The story is told here.</p></article>"
+    for page in (f"<html><head><title>T</title><body>{story}", f"<html><head><title>T</title><meta charset=x>{story}",
+                 f"<head><title>T</title><script>var x;</script><div>{story}</div>"):
+        assert H.main_text(page) == "Title The story is told here."
+    assert H.main_text("<html><head><title>T</title>The story is told here.") == "The story is told here."
+    assert H.main_text("<html><head><title>T</title></head><p>The story") == "The story"
+
+
+def test_page_in_a_form():
+    parts = "<h1>Title</h1><p>The story is told here.</p><select><option>no</select><button>Send</button>"
+    for page in (f"<body><form id=f>{parts}</form></body>", f"<body><form><article>{parts}</article></form>",
+                 f"<body><form><main>{parts}</main></form><footer>Imprint</footer>",
+                 f"<body><a href=#c>Top</a><form><nav>Menu</nav><div>{parts}</div></form></body>"):
+        assert H.main_text(page).endswith("Title The story is told here.") and "Send" not in H.main_text(page)
+    assert H.main_text("<body><article><p>The story.</p><form><p>Sign up here, and never miss a story</p></form></article>") == "The story."
+
+
+def test_blocks_left_unclosed():
+    story = "<article><h1>Title</h1><p>The story is told here.</p><aside>aside</aside></article>"
+    for block in ("<nav><a href=/>Home</a>", "<aside><p>By the way", "<div class='notice'><p>We use cookies</p>"):
+        assert H.main_text(f"<body>{block}{story}</body>") == "Title The story is told here."
+        assert H.main_text(f"<body><div>{block}{story}</div></body>") == "Title The story is told here."
+    assert H.main_text("<body><aside><p>Title</p><div><p>The story is told here.</p></div></body>") != ""
+    # what follows an article stays out, also unclosed
+    assert H.main_text(f"<body>{story}<section class='comments'><article>said someone</article>") == "Title The story is told here."
+    assert H.main_text(f"<body><aside><article>teaser</article></aside>{story}") == "Title The story is told here."

@@ -48,11 +48,17 @@ _BLOCK_ENDS_P = frozenset("address article aside blockquote div dl fieldset foot
 _STOPS_AT = frozenset("ul ol dl table div article section main body td th blockquote".split())
 
 
-# "no-sidebar" and the like describe a page with or without the thing.
-_ABOUT = frozenset("no has with without not is page".split())
+# "no-sidebar", "content-with-sidebar", "side-by-side" and the like describe
+# a page or its layout; "page-sidebar" only if the word comes first.
+_ABOUT = frozenset("no has with without not is by".split())
+# Last parts that say how a thing is shown, not what it is: "comment-list".
+_SHOWN = frozenset("area areas box boxes container wrapper wrap holder block blocks bar bars item items link links button buttons "
+                   "list lists panel group inner outer left right top bottom form posts articles icon icons text unit slot "
+                   "primary secondary mobile desktop".split())
 COMMENTS = frozenset("comment comments reply replies disqus".split())
+_HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 # Blocks after an article that can hold articles of their own.
-LATER = COMMENTS | frozenset("commentlist respond reader readers related recommended".split())
+LATER = COMMENTS | frozenset("commentlist respond readers related recommended".split())
 # What a head can hold; elements whose text is never read; elements that stay
 # dropped, closed or not; elements that need no end tag.
 _IN_HEAD = frozenset("base basefont bgsound head link meta noframes noscript script style template title".split())
@@ -62,22 +68,27 @@ _ENDS_ALONE = frozenset("p li dt dd tr td th option".split())
 
 
 def _names(value: str | None) -> set[str]:
-    """Words of the class or id names that say what the element itself is."""
+    """Class or id names that say what the element itself is: whole names,
+    and their last part that is more than a way of showing it."""
     found: set[str] = set()
     for name in (value or "").lower().replace("_", "-").split():
-        parts = name.split("-")
-        if parts[0] not in _ABOUT:
-            found.update(parts)
+        parts = [p for p in name.split("-") if p]
+        if not parts or parts[0] == "page" or not _ABOUT.isdisjoint(parts):
+            continue
+        while len(parts) > 1 and (parts[-1] in _SHOWN or parts[-1].isdigit()):
+            parts.pop()
+        found.update((name, parts[-1]))
     return found
 
 
 class _Drop:
     """An element that is left out as it is opened, and what else encloses it."""
 
-    __slots__ = ("n", "tag", "names", "outer", "element")
+    __slots__ = ("n", "tag", "names", "outer", "element", "main")
 
     def __init__(self, n: int, tag: str, names: set[str], outer: _Drop | None, element: _Open):
         self.n, self.tag, self.names, self.outer, self.element = n, tag, names, outer, element
+        self.main = False                       # holds a main element
 
     def unclosed(self) -> bool:
         """No end tag of its own, or one that an enclosing element lacks in turn."""
@@ -143,6 +154,15 @@ class _Page(HTMLParser):
             self.flush()
             self._pop_to(len(self.open) - 1)
 
+    def _of_id(self, tag: str, attrs: list, unwanted: frozenset) -> frozenset:
+        """Those of the names that an id can drop the element for: ids of
+        headings, and of sections of an article, name their topic; a main
+        can also hold what follows its article."""
+        section = tag == "section" or any(k == "class" and "section" in (v or "").lower().split() for k, v in attrs)
+        if tag in _HEADINGS or section and self.last.get("article"):
+            return frozenset()
+        return unwanted & LATER if section and self.last.get("main") else unwanted
+
     def _dropped(self, tag: str, attrs: list, holder: int) -> set[str] | None:
         """None: not dropped; else the names it is dropped for, if any."""
         if tag in DROPPED or (tag == "header" and not holder):
@@ -153,8 +173,10 @@ class _Page(HTMLParser):
         for k, v in attrs:
             if k == "role" and (v or "").lower() in ROLES or k == "hidden" or k == "aria-hidden" and v == "true":
                 return set()
-            if k in ("class", "id") and _names(v) & unwanted:
-                return _names(v) & unwanted
+            if k in ("class", "id"):
+                found = _names(v) & (unwanted if k == "class" else self._of_id(tag, attrs, unwanted))
+                if found:
+                    return found
             if k == "style" and "display:none" in (v or "").replace(" ", "").lower():
                 return set()
         return None
@@ -183,6 +205,8 @@ class _Page(HTMLParser):
                 o.container = self.n
             if tag in HOLDERS:
                 o.holder, o.inner = at.holder or self.n, self.n
+        if tag == "main" and at.drop:
+            at.drop.main = True
         if names is not None:
             o.drop = _Drop(self.n, tag, names, at.drop, o)
             self.drops.append(o.drop)
@@ -218,21 +242,43 @@ def _resolve(page: _Page) -> Callable[[_Drop | None, int], bool]:
     """Whether text is left out, by the innermost dropped element around it
     and its innermost holder.
 
-    A form, or a block left unclosed, does not drop an article or main inside
-    it (``lets``).  On a page without other articles it drops nothing at all
+    A form, a block left unclosed, or a block dropped by its name that holds
+    the page's article (a main, or more text in articles than is left of the
+    page) does not drop an article or main inside it (``lets``).  On a page without other articles it drops nothing at all
     if it holds more text than is left (``whole``)."""
     left = held = 0
     for parts, _, holder, _ in page.lines:
         size = sum(len(d.strip()) for d, _, drop in parts if d and drop is None)
         left += size
         held += size if holder else 0
+    lets: set[_Drop] = set()
+    wraps: set[_Drop] = set()               # those by name
+    # text by innermost holder, from the innermost dropped elements outwards
+    texts: dict[_Drop, dict[int, int]] = {d: {} for d in page.drops}
+    for parts, _, _, inner in page.lines:
+        for data, _, drop in parts:
+            if data and drop and inner > drop.n:
+                texts[drop][inner] = texts[drop].get(inner, 0) + len(data.strip())
+    for d in reversed(page.drops):
+        if d.tag in _NEVER:
+            continue
+        late = bool(d.names & LATER)
+        if d.tag == "form" or d.unclosed():
+            if not (late and held):
+                lets.add(d)
+        elif d.names and d.tag not in HOLDERS and (d.main or sum(texts[d].values()) > left and not (late and left)):
+            lets.add(d)
+            wraps.add(d)
+        if d in lets and d.outer:
+            d.outer.main |= d.main
+            for inner, size in texts[d].items():
+                if inner > d.outer.n:
+                    texts[d.outer][inner] = texts[d.outer].get(inner, 0) + size
     # an element is passed if it and all around it let articles through
-    lets, passed = set(), {None}
+    passed: set[_Drop | None] = {None}
     for d in page.drops:
-        if d.tag not in _NEVER and (d.tag == "form" or d.unclosed()) and not (d.names & LATER and held):
-            lets.add(d)
-            if d.outer in passed:
-                passed.add(d)
+        if d in lets and d.outer in passed:
+            passed.add(d)
     within: dict[_Drop, dict[int, int]] = {d: {} for d in passed if d}
     for parts, _, _, inner in page.lines:
         for data, _, drop in parts:
@@ -246,7 +292,7 @@ def _resolve(page: _Page) -> Callable[[_Drop | None, int], bool]:
     if not held:
         for d in reversed(page.drops):
             if d in within:
-                if sum(within[d].values()) > left and not (d.names & LATER and left):
+                if d not in wraps and sum(within[d].values()) > left and not (d.names & LATER and left):
                     whole.add(d)
                 for inner, size in within[d].items() if d.outer else ():
                     within[d.outer][inner] = within[d.outer].get(inner, 0) + size

@@ -86,3 +86,28 @@ def test_blocks_left_unclosed():
     # what follows an article stays out, also unclosed
     assert H.main_text(f"<body>{story}<section class='comments'><article>said someone</article>") == "Title The story is told here."
     assert H.main_text(f"<body><aside><article>teaser</article></aside>{story}") == "Title The story is told here."
+
+
+def test_names_of_topics_and_layouts():
+    parts = ('<h2 id="copyright">Rights</h2><p>About rights.</p><section id="related-work"><p>Others did.</p></section>'
+             '<section id="navigation"><p>How to find it.</p></section><div class="section" id="comments"><p>Remarks.</p></div>')
+    text = "Rights About rights. Others did. How to find it. Remarks."
+    assert H.main_text(f"<body><article>{parts}</article></body>") == text
+    for name in ("content-with-sidebar", "reader-view", "side-by-side", "comment-enabled post", "layout-sidebar-right", "menu", "reader"):
+        assert H.main_text(f'<body><p>Top</p><div class="{name}"><article>{parts}</article></div></body>') == text
+        assert H.main_text(f'<body><div id="{name}"><div class="sidebar"><main><article>{parts}</article></main></div></div></body>') == text
+        assert H.main_text(f'<body><div class="{name}"><div class="sidebar"><article>teaser</article></div>'
+                           f'<article>{parts}</article></div></body>') == text
+    assert H.main_text('<main><p>The story.</p><section id="navigation"><p>How to find it.</p></section></main>') == "The story. How to find it."
+    for name in ("content-with-sidebar", "reader-view", "side-by-side", "comment-enabled post"):
+        assert H.main_text(f'<body><div class="{name}"><p>The story is told here.</p></div></body>') == "The story is told here."
+
+
+def test_names_of_parts():
+    names = ("ad", "ad-container", "sidebar-left", "comment-list", "comments-area", "related-posts", "share-buttons", "cookie-notice",
+             "nav_menu", "menu-item-3", "widget", "newsletter-form", "my-footer")
+    for name in names:
+        assert H.main_text(f'<article><p>The story.</p><div class="{name}">Not this, though it is longer</div></article>') == "The story."
+        page = f'<body><div><p>The story is told here.</p></div><div class="{name}"><article>teaser</article></div></body>'
+        assert H.main_text(page) == "The story is told here."
+    assert H.main_text('<main><article>The story.</article><section id="comments">said someone</section></main>') == "The story."

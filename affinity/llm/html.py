@@ -6,9 +6,10 @@ headers and footers, sidebars, forms, scripts, adverts, notices, reader
 comments - is left out as the events go by.  Each line has a text-to-tag
 ratio, damped by its share of link text; the ratios are smoothed by a
 Gaussian along the page and split into two clusters by a threshold.  The
-regions above it name the page's content containers (the nearest article,
-main or section, else the nearest block container), and all lines of these
-containers are the main text, so short lines between long ones stay.
+regions above it name the page's content containers: the articles or mains
+they are in, or else the nearest block that holds all of them.  All lines of
+these containers are the main text, so short lines between long ones stay.
+Where the clusters are not clearly apart, every line is content.
 """
 
 from __future__ import annotations
@@ -22,6 +23,7 @@ from pyspark.sql import DataFrame
 
 SIGMA = 1.0            # of the Gaussian, in lines
 LINK_SHARE = 0.5       # a line with a larger share of link text is a menu
+APART = 2.0            # clusters whose mean ratios differ by less than this factor are one
 
 # Elements by their part in a page.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -121,6 +123,7 @@ class _Page(HTMLParser):
     def __init__(self):
         super().__init__(convert_charrefs=True)
         self.open: list[_Open] = []
+        self.parents: dict[int, int] = {0: 0}          # of containers
         self.last: dict[str, _Open | None] = {}        # innermost open element of each tag
         self.lines: list[tuple[list, int, int, int]] = []
         self.parts: list[tuple[str | None, bool, _Drop | None]] = []
@@ -203,6 +206,7 @@ class _Page(HTMLParser):
             self.n += 1
             if tag in CONTAINERS:
                 o.container = self.n
+                self.parents[self.n] = at.container
             if tag in HOLDERS:
                 o.holder, o.inner = at.holder or self.n, self.n
         if tag == "main" and at.drop:
@@ -244,7 +248,7 @@ def _resolve(page: _Page) -> Callable[[_Drop | None, int], bool]:
 
     A form, a block left unclosed, or a block dropped by its name that holds
     the page's article (a main, or more text in articles than is left of the
-    page) does not drop an article or main inside it (``lets``).  On a page without other articles it drops nothing at all
+    page, and no less than other dropped blocks hold) does not drop an article or main inside it (``lets``).  On a page without other articles it drops nothing at all
     if it holds more text than is left (``whole``)."""
     left = held = 0
     for parts, _, holder, _ in page.lines:
@@ -259,14 +263,16 @@ def _resolve(page: _Page) -> Callable[[_Drop | None, int], bool]:
         for data, _, drop in parts:
             if data and drop and inner > drop.n:
                 texts[drop][inner] = texts[drop].get(inner, 0) + len(data.strip())
+    told = sum(sum(texts[d].values()) for d in page.drops if not d.names & LATER)
     for d in reversed(page.drops):
         if d.tag in _NEVER:
             continue
         late = bool(d.names & LATER)
+        own = sum(texts[d].values())
         if d.tag == "form" or d.unclosed():
             if not (late and held):
                 lets.add(d)
-        elif d.names and d.tag not in HOLDERS and (d.main or sum(texts[d].values()) > left and not (late and left)):
+        elif d.names and d.tag not in HOLDERS and (d.main or own > left and 2 * own >= told and not (late and left)):
             lets.add(d)
             wraps.add(d)
         if d in lets and d.outer:
@@ -308,16 +314,18 @@ def _resolve(page: _Page) -> Callable[[_Drop | None, int], bool]:
 
 
 def _lines(page: _Page) -> list[tuple[str, int, int, int, int]]:
-    """Lines that are left: text, tags met before and in it, link characters,
-    container, holder."""
+    """Lines that are left: text, tags met before and in it (those of dropped
+    elements aside), link characters, container, holder."""
     out = _resolve(page)
     lines, tags = [], 0
     for parts, container, holder, inner in page.lines:
         kept, link = [], 0
         for data, linked, drop in parts:
+            if out(drop, inner):
+                continue
             if data is None:
                 tags += 1
-            elif not out(drop, inner):
+            else:
                 kept.append(data)
                 link += len(data.strip()) if linked else 0
         text = " ".join("".join(kept).split())
@@ -335,7 +343,8 @@ def smooth(values: np.ndarray, sigma: float = SIGMA) -> np.ndarray:
 
 
 def threshold(values: np.ndarray) -> float:
-    """Border of two clusters (two means, from the extremes on)."""
+    """Border of two clusters (two means, from the extremes on) of logarithms;
+    -1 where they are not clearly apart."""
     low, high = float(values.min()), float(values.max())
     for _ in range(50):
         cut = (low + high) / 2
@@ -346,7 +355,18 @@ def threshold(values: np.ndarray) -> float:
         if new == (low, high):
             break
         low, high = new
-    return (low + high) / 2
+    return (low + high) / 2 if high - low >= np.log(APART) else -1.0
+
+
+def _common(parents: dict[int, int], containers: set[int]) -> int:
+    """The innermost container around all of ``containers``; a container has
+    a higher number than those around it."""
+    left = set(containers)
+    while len(left) > 1:
+        last = max(left)
+        left.remove(last)
+        left.add(parents[last])
+    return left.pop()
 
 
 def main_text(html: str | None) -> str:
@@ -377,14 +397,16 @@ def main_text(html: str | None) -> str:
             content = inside & ~menu
     if not content.any():
         content = ~menu
-    homes = {(x[4], 0) if x[4] else (0, x[3]) for x, c in zip(lines, content) if c}
-    keep = []
-    for x, m in zip(lines, menu):
-        home = (x[4], 0) if x[4] else (0, x[3])
-        # in a marked article every line is its text; elsewhere link lists are menus
-        if home in homes and (x[4] or not m):
-            keep.append(x[0])
-    return " ".join(keep)
+    homes = {x[4] for x, c in zip(lines, content) if c}
+    if any(holders):
+        # in a marked article every line is its text
+        return " ".join(x[0] for x in lines if x[4] in homes and x[4])
+    # elsewhere link lists are menus
+    home = _common(page.parents, {x[3] for x, c in zip(lines, content) if c})
+    inside: dict[int, bool] = {home: True, 0: home == 0}
+    for c in sorted(page.parents):
+        inside.setdefault(c, inside.get(page.parents[c], False))
+    return " ".join(x[0] for x, m in zip(lines, menu) if inside[x[3]] and not m)
 
 
 def extract(pages: DataFrame, html: str = "html") -> DataFrame:

@@ -111,3 +111,36 @@ def test_names_of_parts():
         page = f'<body><div><p>The story is told here.</p></div><div class="{name}"><article>teaser</article></div></body>'
         assert H.main_text(page) == "The story is told here."
     assert H.main_text('<main><article>The story.</article><section id="comments">said someone</section></main>') == "The story."
+
+
+def paragraphs(sizes):
+    return [("".join(f"w{i}x{j} " for j in range(n)))[:n - 1] + "." for i, n in enumerate(sizes)]
+
+
+def test_one_block_per_paragraph():
+    for sizes in ((300, 320, 280, 310, 290, 305), (400, 380, 420, 60, 55, 390, 410, 405), (200,) * 12):
+        texts = paragraphs(sizes)
+        want = " ".join(" ".join(texts).split())
+        for one in ("<div>{}</div>", "<div><p>{}</p></div>", "<div><div><p><b>{}</b></p></div></div>", "<tr><td>{}</td></tr>"):
+            body = "".join(one.format(t) for t in texts)
+            body = f"<table>{body}</table>" if "<td>" in one else body
+            assert H.main_text(f"<html><body>{body}</body></html>") == want
+            page = (f"<html><body><nav>{'<li><a href=/>x</a></li>' * 60}</nav><div><h1>Headline</h1>{body}</div>"
+                    f"<div>{'<p><a href=/>More</a></p>' * 9}</div></body></html>")
+            assert H.main_text(page) == "Headline " + want
+
+
+def test_tags_of_dropped_parts():
+    def first_line_tags(before):
+        page = H._Page()
+        page.feed(f"<body>{before}<p>The first paragraph.</p><p>And another.</p></body>")
+        page.close()
+        page.flush()
+        return H._lines(page)[0][1]
+    assert first_line_tags(f"<nav>{'<li><a href=/>x</a></li>' * 60}</nav>") <= first_line_tags("") + 2
+
+
+def test_boilerplate_outside_the_blocks_stays_out():
+    body = "".join(f"<div><p>{t}</p></div>" for t in paragraphs((300, 320, 280, 310)))
+    page = f"<body><div><div><span>Log</span><div>in</div></div></div><div>{body}</div><div><p>Top</p><p>Up</p><p>Go</p></div></body>"
+    assert H.main_text(page) == H.main_text(f"<body>{body}</body>") != ""

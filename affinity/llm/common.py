@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from affinity.session import ensure_checkpoint_dir
@@ -104,7 +104,6 @@ def running_total(df: DataFrame, keys: list[str], bucket: str, order: list, valu
     ``bucket`` and then ``order``, without bringing a key's rows together:
     totals per (key, bucket) are summed up first, and only rows of one
     bucket are sorted in one task."""
-    from pyspark.sql import Window
     totals = df.groupBy(*keys, bucket).agg(F.sum(value).alias("_t"))
     before = (Window.partitionBy(*keys).orderBy(bucket)
               .rowsBetween(Window.unboundedPreceding, -1))
@@ -120,6 +119,40 @@ def running_total(df: DataFrame, keys: list[str], bucket: str, order: list, valu
         out, F.col("_before") + F.col("_inside")).drop("_before", "_inside")
 
 
+FEW_ROWS = 500_000   # rows of a few numbers that are broadcast if they are no more
+
+
+def few(df: DataFrame) -> DataFrame:
+    """Broadcast a kept table of a few numbers a row if its counted rows are
+    few; a larger one is left to a shuffled join."""
+    return F.broadcast(df) if df.count() <= FEW_ROWS else df
+
+
+def ranked(df: DataFrame, by: list[str], order: list[Column]) -> DataFrame:
+    """``df`` with ``rank`` (from 0, in ``order``) and ``total``, the number
+    of rows, of each group ``by``.  Rows are range-sorted over all groups,
+    so a group of any size is spread over partitions: a row's rank is its
+    place in its partition plus what its group has in earlier ones.  The
+    sorted rows are kept, so every later pass sees the same places."""
+    spark = df.sparkSession
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    keys = [F.col(c).asc_nulls_first() for c in by] + order
+    d = cut(df.repartitionByRange(parts, *keys).sortWithinPartitions(*keys))
+    at = F.monotonically_increasing_id()               # partition in the upper, place in the lower 33 bits
+    d = d.withColumn("_part", F.shiftright(at, 33)).withColumn("_at", at.bitwiseAND(F.lit((1 << 33) - 1)))
+    held = d.groupBy(*by, "_part").agg(F.min("_at").alias("_first"), F.count(F.lit(1)).alias("_n"))
+    group = Window.partitionBy(*by)
+    earlier = group.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    held = cut(held.select(*[F.col(c).alias(f"_{c}") for c in by], F.col("_part").alias("_p"), "_first",
+                           F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before"),
+                           F.sum("_n").over(group).alias("total")).coalesce(1 + parts // 32))
+    on = F.col("_part") == F.col("_p")
+    for c in by:
+        on = on & F.col(c).eqNullSafe(F.col(f"_{c}"))
+    return d.join(few(held), on).withColumn("rank", F.col("_at") - F.col("_first") + F.col("_before")).select(
+        *df.columns, "rank", "total")
+
+
 def table_query(table: str, fn: Callable[[DataFrame], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
     """A registered query that applies ``fn`` to a whole table."""
     from affinity.sources.tables import read_table

@@ -7,7 +7,7 @@ in SQL; tests/llm holds them against brute force."""
 
 from __future__ import annotations
 
-from affinity.llm import licenses, rules
+from affinity.llm import licenses, merkle, rules
 
 WORD = r"[^\x20\x09-\x0D]+"
 
@@ -101,8 +101,9 @@ FROM d LEFT JOIN ok ON ok.r = d.r GROUP BY d.r, d.doc_id"""
 LICENSES = _licenses()
 
 RULES = f"""WITH {_DOCS},
-g AS (SELECT r, i, count(*) OVER (PARTITION BY r, w[i + 1], w[i + 2], w[i + 3]) AS n
-      FROM (SELECT r, w, unnest(range(greatest(len(w) - 2, 0))) AS i FROM w)),
+x AS (SELECT r, unnest(w) AS a, unnest(range(len(w))) AS i FROM w),
+y AS (SELECT r, i, a, lead(a, 1) OVER o AS b, lead(a, 2) OVER o AS c FROM x WINDOW o AS (PARTITION BY r ORDER BY i)),
+g AS (SELECT r, i, count(*) OVER (PARTITION BY r, a, b, c) AS n FROM y WHERE c IS NOT NULL),
 rep AS (SELECT r, count(DISTINCT k) AS n FROM (SELECT r, unnest(range(i, i + 3)) AS k FROM g WHERE n > 1) GROUP BY r),
 ln AS (SELECT r, list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^\\x20\\x09-\\x0D]')) AS lines FROM d),
 m AS (SELECT w.r, w.doc_id, w.source, CAST(len(w.w) AS BIGINT) AS n_words,
@@ -127,10 +128,61 @@ SELECT j.doc_id, j.n_words, j.word_chars, j.n_symbols, j.n_dup_lines, j.n_repeat
        j.n_failed, round(r.rate, 9) AS host_rate, r.rate > {rules.BAD_HOST} AS host_bad
 FROM j JOIN r ON r.source IS NOT DISTINCT FROM j.source"""
 
+# crc32: the table of 256 remainders by its rule, then one byte of the text after the other.
+_CRC = """t AS (SELECT list_transform(range(256), lambda n: list_reduce([n, 0, 0, 0, 0, 0, 0, 0, 0]::BIGINT[],
+        lambda c, z: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS tab),
+crc AS (SELECT id, xor(list_reduce([4294967295]::BIGINT[] || list_transform(string_split(CAST(id AS VARCHAR), ''), lambda x: ascii(x)::BIGINT),
+               lambda c, b: xor(tab[(xor(c, b) & 255) + 1], c >> 8)), 4294967295) AS crc
+        FROM (SELECT DISTINCT doc_id AS id FROM documents WHERE doc_id IS NOT NULL), t)"""
+
+
+def _leaf(text: str) -> str:
+    def field(c: str) -> str:
+        return f"CASE WHEN {c} IS NULL THEN '-' ELSE octet_length(encode(CAST({c} AS VARCHAR))) || ':' || {c} END"
+    return f"sha256({' || '.join(field(c) for c in ('doc_id', 'source', 'lang', 'n_chars', text))})"
+
+
+def _tree(name: str, leaves: str) -> str:
+    """Nodes (s, lv, k, h) of the trees over leaves (s, k, h), and each with
+    its siblings before and after it and the number of nodes of its level."""
+    run = f"PARTITION BY s, lv, k // {merkle.FANOUT} ORDER BY k ROWS BETWEEN"
+    return f"""{name}(s, lv, k, h) AS (SELECT s, 0, k, h FROM {leaves} UNION ALL
+  SELECT s, any_value(lv) + 1, k // {merkle.FANOUT}, sha256(string_agg(h, '' ORDER BY k))
+  FROM (SELECT *, count(*) OVER (PARTITION BY s) AS n FROM {name}) WHERE n > 1 GROUP BY s, k // {merkle.FANOUT}),
+{name}_step AS (SELECT s, lv, k, h, count(*) OVER (PARTITION BY s, lv) AS n,
+  coalesce(string_agg(h, '') OVER ({run} UNBOUNDED PRECEDING AND 1 PRECEDING), '') AS l,
+  coalesce(string_agg(h, '') OVER ({run} 1 FOLLOWING AND UNBOUNDED FOLLOWING), '') AS r FROM {name})"""
+
+
+def _climb(name: str, tree: str, start: str) -> str:
+    """From rows (r, s, k, proof, x) up a tree: proof gathers the siblings, x is folded."""
+    return f"""{name}(r, s, lv, k, proof, x, done) AS (SELECT r, s, 0, k, proof, x, false FROM {start} UNION ALL
+  SELECT c.r, c.s, c.lv + 1, c.k // {merkle.FANOUT}, CASE WHEN t.n > 1 THEN c.proof || t.l || t.r ELSE c.proof END,
+         CASE WHEN t.n > 1 THEN sha256(t.l || c.x || t.r) ELSE c.x END, t.n = 1
+  FROM {name} c JOIN {tree}_step t ON t.s IS NOT DISTINCT FROM c.s AND t.lv = c.lv AND t.k = c.k WHERE NOT c.done)"""
+
+
+MERKLE = f"""WITH RECURSIVE {_CRC},
+d AS (SELECT row_number() OVER () AS r, doc_id, source AS s, {_leaf('text')} AS h,
+             CASE WHEN crc.crc % {merkle.TAMPER_EVERY} = 0 THEN {_leaf("translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')")} END AS bad
+      FROM documents LEFT JOIN crc ON crc.id = doc_id),
+lf AS (SELECT *, row_number() OVER (PARTITION BY s ORDER BY doc_id NULLS FIRST, h) - 1 AS k FROM d),
+{_tree('inn', 'lf')},
+sub AS (SELECT 0 AS s, s AS name, row_number() OVER (ORDER BY s NULLS FIRST) - 1 AS k, h FROM inn_step WHERE n = 1),
+{_tree('outr', 'sub')},
+root AS (SELECT h FROM outr_step WHERE n = 1),
+c0 AS (SELECT r, s, k, '' AS proof, coalesce(bad, h) AS x FROM lf),
+{_climb('c1', 'inn', 'c0')},
+c2 AS (SELECT c1.r, sub.s, sub.k, proof, x FROM c1 JOIN sub ON sub.name IS NOT DISTINCT FROM c1.s WHERE done),
+{_climb('c3', 'outr', 'c2')}
+SELECT lf.doc_id, lf.h AS leaf, sub.h AS subroot, root.h AS root, sha256(c3.proof) AS proof_sha256, c3.x AS folded_root, c3.x = root.h AS verified
+FROM lf JOIN c3 ON c3.r = lf.r AND c3.done JOIN sub ON sub.name IS NOT DISTINCT FROM lf.s, root"""
+
 ORACLES: dict[str, str] = {
     "op2_jaccard": JACCARD,
     "op3_substring": SUBSTRING,
     "op6_warc": WARC,
     "op7_licenses": LICENSES,
     "op8_rules": RULES,
+    "op13_merkle": MERKLE,
 }

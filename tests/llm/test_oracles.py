@@ -46,4 +46,4 @@ def test_query_matches_sql_on_odd_rows(spark, name, scratch):
 
 def test_every_operator_is_registered_once():
     numbers = sorted(int(k[2:].split("_")[0]) for k in QUERIES)
-    assert numbers == list(range(1, 11))
+    assert numbers == list(range(1, 14))

@@ -7,7 +7,7 @@ in SQL; tests/llm holds them against brute force."""
 
 from __future__ import annotations
 
-from affinity.llm import licenses, merkle, rules
+from affinity.llm import licenses, merkle, rules, voronoi
 
 WORD = r"[^\x20\x09-\x0D]+"
 
@@ -178,11 +178,23 @@ c2 AS (SELECT c1.r, sub.s, sub.k, proof, x FROM c1 JOIN sub ON sub.name IS NOT D
 SELECT lf.doc_id, lf.h AS leaf, sub.h AS subroot, root.h AS root, sha256(c3.proof) AS proof_sha256, c3.x AS folded_root, c3.x = root.h AS verified
 FROM lf JOIN c3 ON c3.r = lf.r AND c3.done JOIN sub ON sub.name IS NOT DISTINCT FROM lf.s, root"""
 
+TOP_K = f"""WITH v AS (SELECT row_number() OVER () AS r, vec_id, list_transform(embedding, lambda x: {voronoi.SCALE} * CAST(x AS DOUBLE)) AS v
+      FROM embeddings WHERE vec_id IS NOT NULL AND len(embedding) > 0),
+u AS (SELECT r, vec_id, list_transform(v, lambda x: floor(x)) AS v FROM v
+      WHERE len(list_filter(v, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+l AS (SELECT len(v) AS n FROM u GROUP BY n ORDER BY count(*) DESC, n LIMIT 1),
+w AS (SELECT u.* FROM u, l WHERE len(v) = n),
+s AS (SELECT q.r, q.vec_id AS query_id, x.vec_id, x.r AS xr, CAST(list_dot_product(q.v, x.v) AS BIGINT) AS score
+      FROM w q JOIN w x ON q.r <> x.r WHERE q.vec_id % 100 = 0)
+SELECT query_id, CAST(row_number() OVER (PARTITION BY r ORDER BY score DESC, vec_id, xr) AS INTEGER) AS rank, vec_id, score
+FROM s QUALIFY row_number() OVER (PARTITION BY r ORDER BY score DESC, vec_id, xr) <= {voronoi.K}"""
+
 ORACLES: dict[str, str] = {
     "op2_jaccard": JACCARD,
     "op3_substring": SUBSTRING,
     "op6_warc": WARC,
     "op7_licenses": LICENSES,
     "op8_rules": RULES,
+    "op12_top_k": TOP_K,
     "op13_merkle": MERKLE,
 }

@@ -16,7 +16,7 @@ TYPES = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VA
 def compare(spark, name, root):
     df = QUERIES[name](spark, root)
     con = duckdb.connect()
-    for t in ("documents", "pages"):
+    for t in ("documents", "pages", "embeddings"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{root}/{t}.parquet*/*.parquet')" if root != SF001
                     else f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{root}/{t}.parquet')")
     rel = con.sql(ORACLES[name])
@@ -41,6 +41,9 @@ def test_query_matches_sql_on_odd_rows(spark, name, scratch):
     spark.createDataFrame(docs, DOCS).write.parquet(f"{scratch}/documents.parquet")
     pages = [(1, "u", "<p>x</p>"), (2, None, "<p>x</p>"), (3, "u", None), (4, "u", ""), (None, None, "<p>é</p>"), (5, "v", "5"), (5, "v", "5")]
     spark.createDataFrame(pages, "page_id long, url string, html string").write.parquet(f"{scratch}/pages.parquet")
+    vectors = [(100 * i, [0.5 * i, -1.0, 0.25]) for i in range(14)] + [(7, [1.0, 1.0, 1.0]), (7, [1.0, 1.0, 1.0]), (100, [0.0, 0.0, 0.0]),
+               (300, None), (400, []), (500, [1.0, None, 2.0]), (600, [float("nan")] * 3), (700, [1.0]), (None, [1.0] * 3)]
+    spark.createDataFrame(vectors, "vec_id long, embedding array<float>").write.parquet(f"{scratch}/embeddings.parquet")
     compare(spark, name, scratch)
 
 

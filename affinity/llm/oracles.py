@@ -7,7 +7,7 @@ in SQL; tests/llm holds them against brute force."""
 
 from __future__ import annotations
 
-from affinity.llm import licenses, merkle, rules, voronoi
+from affinity.llm import licenses, merkle, phrases, rules, voronoi
 
 WORD = r"[^\x20\x09-\x0D]+"
 
@@ -189,12 +189,51 @@ s AS (SELECT q.r, q.vec_id AS query_id, x.vec_id, x.r AS xr, CAST(list_dot_produ
 SELECT query_id, CAST(row_number() OVER (PARTITION BY r ORDER BY score DESC, vec_id, xr) AS INTEGER) AS rank, vec_id, score
 FROM s QUALIFY row_number() OVER (PARTITION BY r ORDER BY score DESC, vec_id, xr) <= {voronoi.K}"""
 
+def _phrases() -> str:
+    sizes = range(2, phrases.MAX_WORDS + 1)
+    leads = ", ".join(f"lead(w, {k}) OVER o AS w{k}" for k in range(1, phrases.MAX_WORDS))
+
+    def joined(size: int) -> str:
+        return " || ' ' || ".join(["w", *[f"w{k}" for k in range(1, size)]])
+    counts = " UNION ALL ".join(
+        f"SELECT lang, {k} AS m, {joined(k)} AS phrase, count(*) AS f FROM y" + (f" WHERE w{k - 1} IS NOT NULL" if k > 1 else "")
+        + " GROUP BY ALL" for k in (1, *sizes))
+    return f"""WITH d AS (SELECT row_number() OVER () AS r, coalesce(lang, '{phrases.NO_LANG}') AS lang,
+  translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t FROM documents),
+p AS (SELECT r, lang, unnest(pieces) AS piece, unnest(range(len(pieces))) AS p
+      FROM (SELECT r, lang, regexp_split_to_array(t, '[.,;:!?\x0A-\x0D]') AS pieces FROM d)),
+w AS (SELECT r, p, lang, unnest(ws) AS w, unnest(range(len(ws))) AS i
+      FROM (SELECT r, p, lang, regexp_extract_all(piece, '[^\x20\x09]+') AS ws FROM p)),
+y AS (SELECT lang, w, {leads} FROM w WINDOW o AS (PARTITION BY r, p ORDER BY i)),
+n AS (SELECT lang, count(*) AS n FROM w GROUP BY lang),
+f AS ({counts}),
+c AS (SELECT lang, m, phrase, f AS a, string_split(phrase, ' ') AS ws FROM f WHERE m > 1 AND f >= {phrases.MIN_COUNT}),
+k AS (SELECT lang, phrase, a, ws, m, unnest(range(1, m)) AS k FROM c),
+s AS (SELECT k.lang, k.phrase, k.a, l.f AS l, r.f AS r, n.n, k.k,
+             (1000::HUGEINT * k.a * n.n) // (l.f::HUGEINT * r.f) AS score
+      FROM k JOIN n ON n.lang = k.lang
+      JOIN f l ON l.lang = k.lang AND l.m = k.k AND l.phrase = array_to_string(k.ws[:k.k], ' ')
+      JOIN f r ON r.lang = k.lang AND r.m = k.m - k.k AND r.phrase = array_to_string(k.ws[k.k + 1:], ' ')),
+lowest AS (SELECT * FROM s QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+inside AS (SELECT lang, a, array_to_string(ws[i:i + z - 1], ' ') AS phrase
+           FROM (SELECT *, unnest(range(1, m - z + 2)) AS i FROM (SELECT *, unnest(range(2, m)) AS z FROM c))),
+over AS (SELECT lang, phrase, max(a) AS a FROM inside GROUP BY ALL)
+SELECT lowest.lang, row_number() OVER (PARTITION BY lowest.lang ORDER BY score DESC, lowest.a DESC, lowest.phrase) AS rank,
+       lowest.phrase, lowest.a, l, r, n, CAST(score AS BIGINT) AS score
+FROM lowest LEFT JOIN over ON over.lang = lowest.lang AND over.phrase = lowest.phrase
+WHERE over.a IS NULL OR 100 * over.a < {phrases.COVERED_PCT} * lowest.a
+QUALIFY row_number() OVER (PARTITION BY lowest.lang ORDER BY score DESC, lowest.a DESC, lowest.phrase) <= {phrases.TOP}"""
+
+
+PHRASES = _phrases()
+
 ORACLES: dict[str, str] = {
     "op2_jaccard": JACCARD,
     "op3_substring": SUBSTRING,
     "op6_warc": WARC,
     "op7_licenses": LICENSES,
     "op8_rules": RULES,
+    "op11_phrases": PHRASES,
     "op12_top_k": TOP_K,
     "op13_merkle": MERKLE,
 }

@@ -10,7 +10,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from affinity.llm import ann, bpe, html, jaccard, licenses, merkle, mixing, quality, rules, substring, voronoi, warc
+from affinity.llm import ann, bpe, html, jaccard, licenses, merkle, mixing, phrases, quality, rules, substring, voronoi, warc
 from affinity.llm.common import table_query
 from affinity.llm.oracles import ORACLES
 
@@ -29,6 +29,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         "host_rate", F.round("host_rate", 9))),
     "op9_html": table_query("pages", html.extract),
     "op10_ann": table_query("embeddings", ann.nearest_neighbours),
+    "op11_phrases": table_query("documents", phrases.collocations),
     "op12_top_k": table_query("embeddings", voronoi.top_k),
     "op13_merkle": table_query("documents", merkle.merkle_manifest),
 }

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -13,6 +14,16 @@ from affinity.session import ensure_checkpoint_dir
 # default 10,000 rows would be large; the operators cut batches further into
 # blocks of bounded bytes (see text.blocks).
 ARROW_ROWS = 512
+ARROW_BYTES = 8 << 20      # of a batch: what a task's JVM holds beside its heap, twice
+
+
+_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
+
+
+def _in_bytes(size: str) -> int:
+    """A size setting (``64MB``, ``8388608``) as a number; -1 is no bound."""
+    found = re.fullmatch(r"\s*(-?\d+)\s*([kmgt]?)i?b?\s*", size.lower())
+    return int(found[1]) << {"": 0, "k": 10, "m": 20, "g": 30, "t": 40}[found[2]] if found else -1
 
 
 def prepare(spark: SparkSession) -> int:
@@ -24,6 +35,9 @@ def prepare(spark: SparkSession) -> int:
     hold_splits(spark)
     if int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")) > ARROW_ROWS:
         spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(ARROW_ROWS))
+    held = spark.conf.get(_BYTES, None)
+    if held is None or not 0 < _in_bytes(held) <= ARROW_BYTES:
+        spark.conf.set(_BYTES, str(ARROW_BYTES))
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
@@ -91,6 +105,19 @@ def pick_rows(df: DataFrame, chosen: DataFrame, copies: bool = False) -> DataFra
     return d.withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), "copies"))).select("doc.*")
 
 
+def cut_narrow(df: DataFrame) -> DataFrame:
+    """``cut`` for rows of a few numbers after a shuffle: shuffle partitions
+    are sized for texts, so an eighth as many files hold such a table, and
+    each file costs its writer a child process or a call to a name node."""
+    return cut(df.coalesce(narrow_parts(df.sparkSession)))
+
+
+def narrow_parts(spark: SparkSession) -> int:
+    """Partitions for rows of a few numbers, where shuffle partitions are
+    sized for texts."""
+    return max(1, -(-int(spark.conf.get("spark.sql.shuffle.partitions")) // 8))
+
+
 def cut(df: DataFrame) -> DataFrame:
     """Cut the lineage: write ``df`` to the shared checkpoint folder once.
     Later reads come from there, also after an executor is lost; the files
@@ -134,8 +161,7 @@ def ranked(df: DataFrame, by: list[str], order: list[Column]) -> DataFrame:
     so a group of any size is spread over partitions: a row's rank is its
     place in its partition plus what its group has in earlier ones.  The
     sorted rows are kept, so every later pass sees the same places."""
-    spark = df.sparkSession
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    parts = narrow_parts(df.sparkSession)
     keys = [F.col(c).asc_nulls_first() for c in by] + order
     d = cut(df.repartitionByRange(parts, *keys).sortWithinPartitions(*keys))
     at = F.monotonically_increasing_id()               # partition in the upper, place in the lower 33 bits
@@ -145,7 +171,7 @@ def ranked(df: DataFrame, by: list[str], order: list[Column]) -> DataFrame:
     earlier = group.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     held = cut(held.select(*[F.col(c).alias(f"_{c}") for c in by], F.col("_part").alias("_p"), "_first",
                            F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before"),
-                           F.sum("_n").over(group).alias("total")).coalesce(1 + parts // 32))
+                           F.sum("_n").over(group).alias("total")).coalesce(1 + parts // 4))
     on = F.col("_part") == F.col("_p")
     for c in by:
         on = on & F.col(c).eqNullSafe(F.col(f"_{c}"))

@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 
 from affinity.llm import packing as P
 from affinity.llm import text as T
-from affinity.llm.common import cut, pick_rows, prepare, stable
+from affinity.llm.common import cut, cut_narrow, pick_rows, prepare, stable
 from affinity.llm.components import components
 
 SHINGLE = 5
@@ -206,7 +206,7 @@ def _with_sets(pairs: DataFrame, docs: DataFrame, rows: DataFrame, size: int, a:
             found = [u.astype("<u8").tobytes() for _, u in shingles(batch.column("text"), size)]
             yield pa.RecordBatch.from_arrays([batch.column("node"), pa.array(found, pa.binary())], names=["node", "set"])
     nodes = pairs.select(F.col(a).alias("node")).union(pairs.select(F.col(b).alias("node"))).distinct()
-    wanted = _few(cut(rows.join(nodes, "node").select("row", "node")))
+    wanted = _few(cut_narrow(rows.join(nodes, "node").select("row", "node")))
     sets = cut(docs.select("row", "text").join(wanted, "row").select("node", "text").mapInArrow(run, "node long, set binary"))
     one = sets.select(F.col("node").alias(b), F.col("set").alias("set_b")).join(_few(pairs), b)
     return one.join(sets.select(F.col("node").alias(a), F.col("set").alias("set_a")), a)
@@ -320,17 +320,17 @@ def _verified_through_hubs(pairs: DataFrame, rank: DataFrame, with_sets, pct: in
     partners, and pairs with the same hub are compared by differences."""
     ends = pairs.select(F.col("a").alias("x"), F.col("b").alias("y")).union(pairs.select("b", "a"))
     order = F.struct("rank", F.xxhash64("node").alias("order"), "node")
-    ranked = cut(rank.join(ends.select(F.col("x").alias("node")).distinct(), "node").select("node", order.alias("o")))
+    ranked = cut_narrow(rank.join(ends.select(F.col("x").alias("node")).distinct(), "node").select("node", order.alias("o")))
     best = ends.join(ranked.select(F.col("node").alias("y"), "o"), "y").groupBy("x").agg(F.min("o").alias("o"))
     homes = best.join(ranked.select(F.col("node").alias("x"), F.col("o").alias("own")), "x").select(
         "x", F.least("o", "own")["node"].alias("h"))
-    homes = cut(homes)
-    differences = cut(_differences(cut(homes.filter("h != x")), with_sets, pct))
+    homes = cut_narrow(homes)
+    differences = cut(_differences(cut_narrow(homes.filter("h != x")), with_sets, pct))
     for side in ("a", "b"):
         pairs = pairs.join(_few(homes.select(F.col("x").alias(side), F.col("h").alias(f"h_{side}"))), side)
-    pairs = cut(pairs.filter("h_a != b and h_b != a"))        # the others are measured already
+    pairs = cut_narrow(pairs.filter("h_a != b and h_b != a"))        # the others are measured already
     same = pairs.filter("h_a = h_b").select("a", "b")
-    others = cut(pairs.filter("h_a != h_b").select("a", "b"))
+    others = cut_narrow(pairs.filter("h_a != h_b").select("a", "b"))
     return (differences.filter("linked").select(F.col("h").alias("a"), F.col("x").alias("b"))
             .unionByName(_verified_by_differences(same, differences, pct))
             .unionByName(_verified(others, with_sets, pct)))
@@ -379,45 +379,45 @@ def node_components(docs: DataFrame, first: DataFrame, size: int, pct: int, chun
         return _with_sets(pairs, docs, rows, size, a, b)
     # shingles of many nodes, found by counts combined map-side, go through hubs
     many = live.groupBy("tok").agg(F.count(F.lit(1)).alias("held")).filter(F.col("held") > SMALL).select("tok")
-    many = cut(many)
+    many = cut_narrow(many)
     rest = live.join(_few(many), "tok", "left_anti")
     # a hub should have little of its own: most of its prefix is shared
     prefix = F.col("n") - F.ceil(F.col("n") * pct / 100) + F.col("l")
-    rank = cut(live.groupBy("node").agg((-F.count(F.lit(1)) / F.first(prefix)).alias("rank")))
-    open_ = cut(live.join(_few(many), "tok").join(rank, "node"))
+    rank = cut_narrow(live.groupBy("node").agg((-F.count(F.lit(1)) / F.first(prefix)).alias("rank")))
+    open_ = cut_narrow(live.join(_few(many), "tok").join(rank, "node"))
     links = labels = None
 
     def link(new: DataFrame) -> None:
         nonlocal links, labels
         links = new if links is None else links.unionByName(new)
-        labels = cut(components(links))
+        labels = cut_narrow(components(links))
     while True:
         hubs = open_.groupBy("tok").agg(F.count(F.lit(1)).alias("held"), F.min(F.struct(
             "rank", F.xxhash64("node").alias("order"), "node", "n")).alias("hub"))
         hubs = hubs.filter(F.col("held") > SMALL).select("tok", F.col("hub.node").alias("h"), F.col("hub.n").alias("n_h"))
-        families = cut(open_.join(hubs, "tok").select("tok", "h", F.col("node").alias("x"), "n", "n_h"))
+        families = cut_narrow(open_.join(hubs, "tok").select("tok", "h", F.col("node").alias("x"), "n", "n_h"))
         postings = families.count()
         if not postings:
             break
         # sizes alone put the others beyond ring 2
         near = families.filter("h != x").filter(
             100 * F.least("n", "n_h") >= (3 * pct - 200) * F.greatest("n", "n_h")).select("h", "x").distinct()
-        measured = cut(_measured(cut(near), with_sets, pct))
+        measured = cut(_measured(cut_narrow(near), with_sets, pct))
         link(measured.filter("ring = 0").select(F.col("h").alias("a"), F.col("x").alias("b")))
         pairs = _in_components(_in_components(_ring_candidates(measured, pct), labels, "a", "_a"), labels, "b", "_b")
-        new = cut(_verified(cut(pairs.filter("_a != _b").select("a", "b")), with_sets, pct))
+        new = cut_narrow(_verified(cut_narrow(pairs.filter("_a != _b").select("a", "b")), with_sets, pct))
         if not new.isEmpty():
             link(new)
         # hubs, ring 0 and ring 1 have met all they could link with at this shingle
         done = families.join(measured.filter("ring < 2").select("h", "x", F.lit(True).alias("_done")), ["h", "x"], "left")
         done = done.filter(F.coalesce("_done", F.col("h") == F.col("x"))).select("tok", F.col("x").alias("node"))
-        open_ = cut(open_.join(done, ["tok", "node"], "left_anti"))
+        open_ = cut_narrow(open_.join(done, ["tok", "node"], "left_anti"))
         if done.count() < WORTH * postings:
             break                      # mostly unrelated texts: hubs tell little about them
-    pairs = cut(_prefix_candidates(rest.unionByName(open_.drop("rank")), pct))
+    pairs = cut_narrow(_prefix_candidates(rest.unionByName(open_.drop("rank")), pct))
     pairs = _in_components(_in_components(pairs, labels, "a", "_a"), labels, "b", "_b")
-    pairs = cut(pairs.filter("_a != _b").select("a", "b"))
-    new = cut(_verified_through_hubs(pairs, rank, with_sets, pct))
+    pairs = cut_narrow(pairs.filter("_a != _b").select("a", "b"))
+    new = cut_narrow(_verified_through_hubs(pairs, rank, with_sets, pct))
     if not new.isEmpty():
         link(new)
     return labels
@@ -446,7 +446,7 @@ def jaccard_components(docs: DataFrame, size: int = SHINGLE, pct: int = THRESHOL
     else:
         nodes = nodes.join(labels.withColumnRenamed("comp", "_c"), "node", "left").withColumn(
             "comp", F.coalesce("_c", "node")).drop("_c")
-    nodes = cut(nodes)
+    nodes = cut_narrow(nodes)
     least = nodes.groupBy("comp").agg(F.min("least").alias("least"))
     of_node = nodes.select("node", "comp").join(least, "comp").select(
         F.col("node").alias("_node"), F.col("least.doc_id").alias("_id"), F.col("least.row").alias("_row"))

@@ -19,7 +19,7 @@ import math
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from affinity.llm.common import cut, pick_rows, running_total, stable
+from affinity.llm.common import cut, cut_narrow, narrow_parts, pick_rows, ranked, running_total, stable
 from affinity.llm.text import WORD
 
 MAX_REPEATS = 3
@@ -38,11 +38,10 @@ def source_targets(sizes: DataFrame, weights=WEIGHTS, max_repeats: int = MAX_REP
     ``max_repeats`` times its source's size and the excess goes to the
     others by weight until none is above.  One aggregation of the source
     table per round; only its sums reach the driver."""
-    rank = F.row_number().over(Window.orderBy(F.col("source").asc_nulls_last()))
     s = sizes.groupBy("source").agg(F.sum("size").alias("source_size"), F.count(F.lit(1)).alias("source_rows"))
     w = F.element_at(F.array(*[F.lit(x) for x in weights]), ((F.col("source_rank") - 1) % len(weights) + 1).cast("int"))
-    s = cut(s.withColumn("source_rank", rank).withColumn("weight", w)
-            .withColumn("cap", F.col("source_size") * max_repeats))
+    s = ranked(s, [], [F.col("source").asc_nulls_last()]).drop("total").withColumn("source_rank", F.col("rank") + 1).drop("rank")
+    s = cut_narrow(s.withColumn("weight", w).withColumn("cap", F.col("source_size") * max_repeats))
     total = s.agg(F.sum("source_size")).first()[0] or 0
     level = 0.0                       # target per unit of weight where no cap holds
     while True:
@@ -66,8 +65,10 @@ def document_sizes(docs: DataFrame, text: str = "text", source: str = "source")
     """Narrow rows (row, doc_id, source, size), in the shared folder.  ``row``
     numbers the rows of the scan, so repeated rows stay apart; size is the
     number of words, 0 for a null text."""
-    return cut(docs.select(F.monotonically_increasing_id().alias("row"), "doc_id", F.col(source).alias("source"),
-                           F.coalesce(F.regexp_count(F.col(text), F.lit(WORD)), F.lit(0)).cast("long").alias("size")))
+    d = docs.select(F.monotonically_increasing_id().alias("row"), "doc_id", F.col(source).alias("source"),
+                    F.coalesce(F.regexp_count(F.col(text), F.lit(WORD)), F.lit(0)).cast("long").alias("size"))
+    # dealt out anew, so that few files hold the narrow rows of many scan tasks
+    return cut(d.repartition(narrow_parts(docs.sparkSession)))
 
 
 def mixture(sizes: DataFrame, targets: DataFrame, max_repeats: int = MAX_REPEATS, seed: int = SEED) -> DataFrame:
@@ -77,7 +78,7 @@ def mixture(sizes: DataFrame, targets: DataFrame, max_repeats: int = MAX_REPEATS
     most ``max_repeats`` in all.  Rows of sources without a word are left
     out.  The sequence is range-partitioned and sorted by finish time."""
     spark = sizes.sparkSession
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    parts = narrow_parts(spark)
     top, budget, n_sources = targets.agg(F.max("source_rows"), F.sum("target"), F.count(F.lit(1))).first()
     bits = max(0, math.ceil(math.log2(max(1, (top or 1) / BUCKET_ROWS))))
     t = small(targets.filter("target > 0").select(F.col("source").alias("_s"), "source_rank", "source_size", "target"), n_sources)

@@ -34,6 +34,7 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from affinity.operators.communities import merge_tree
 from affinity.operators.edges import connectivity_index, distinct_links, drop_self_pairs
 from affinity.operators.pairs import wide_units
 from affinity.operators.sizing import is_small
@@ -153,6 +154,7 @@ class Binding:
             self._index_table = None
         self.__dict__.pop("raw_index", None)
         self.__dict__.pop("edges", None)
+        self.__dict__.pop("merge_tree", None)
         for name in ("units_wide", "monthly", "coords", "attitudes", "results", "names", "level", "rate"):
             if name in self.__dict__:
                 self.__dict__[name].unpersist()
@@ -188,6 +190,11 @@ class Binding:
     def edges(self) -> DataFrame:
         return drop_self_pairs(self.raw_index)
 
+    @cached_property
+    def merge_tree(self) -> DataFrame:
+        """Mergers of the communities: one row each, in the shared folder."""
+        return merge_tree(self.edges)
+
     # ----------------------------------------------------------- units
     @cached_property
     def centers(self) -> DataFrame:

@@ -24,6 +24,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from affinity.functions.color import STOPS_MAX, STOPS_MEAN, STOPS_ONE_UNIT
+from affinity.operators import communities as C
 from affinity.operators import edges as E
 from affinity.operators import models as M
 from affinity.operators import pairs as P
@@ -465,6 +466,44 @@ def connectivity_nb_accuracy(b):
     return M.accuracy(_nb_predictions(b, "connectivity"), "conn_class").select(_r("accuracy"), "n")
 
 
+# ------------------------------------------------------- communities
+
+def _merge_tree(b) -> DataFrame:
+    kept = getattr(b, "merge_tree", None)  # inputs may keep it for all community queries
+    return kept if kept is not None else C.merge_tree(b.edges)
+
+
+def _communities(b) -> DataFrame:
+    """As many communities as there are known groups, unless a number is given."""
+    k = b.params.n_communities or b.names.agg(F.count_distinct("grp")).first()[0]
+    return C.cut_tree(b.names, _merge_tree(b), k)
+
+
+@query
+def community_tree(b):
+    """All mergers by average linkage."""
+    return _merge_tree(b).select("round", "a", "b", "na", "nb", _r("height"))
+
+
+@query
+def communities(b):
+    """Units in as many communities as there are known groups."""
+    return _communities(b)
+
+
+@query
+def community_groups(b):
+    """Units in each pair of a community and a known group."""
+    return C.contingency(_communities(b), b.names)
+
+
+@query
+def community_agreement(b):
+    """Agreement of the communities with the known groups."""
+    a = C.agreement(C.contingency(_communities(b), b.names))
+    return a.select("n_units", "n_left", "n_right", "same_both", "same_left", "same_right", _r("rand_index"), _r("adjusted_rand"))
+
+
 # ------------------------------------------------------------ sources (S)
 
 @query

@@ -35,6 +35,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from affinity.functions.numeric import to_double
+from affinity.operators.communities import merge_tree
 from affinity.operators.edges import drop_self_pairs
 from affinity.operators.pairs import wide_units
 from affinity.operators.sizing import is_small
@@ -83,6 +84,7 @@ class FileInputs:
                 self.__dict__[name].unpersist()
                 del self.__dict__[name]
         self.__dict__.pop("edges", None)
+        self.__dict__.pop("merge_tree", None)
 
     @cached_property
     def small_units(self) -> bool:
@@ -104,6 +106,11 @@ class FileInputs:
     def edges(self) -> DataFrame:
         return drop_self_pairs(self.raw_index)
 
+    @cached_property
+    def merge_tree(self) -> DataFrame:
+        """Mergers of the communities: one row each, in the shared folder."""
+        return merge_tree(self.edges)
+
     def text_edges(self) -> DataFrame:
         return self.edges
 

@@ -178,6 +178,40 @@ ATT_F = ["avg", "level", "result"]
 CONN_F = ["level", "never", "rarely", "sometimes", "freq", "always", "result"]
 
 
+def _community_ctes() -> list[str]:
+    """The rounds of reciprocal mergers as a recursion over (edges, mergers),
+    and the groups that are left when the last mergers are undone."""
+    tree = """cm(rd, merger, a, b, total, na, nb, height) AS (
+  SELECT 0, false, least(u1, u2), greatest(u1, u2), CAST(sum(w) AS BIGINT), CAST(1 AS BIGINT), CAST(1 AS BIGINT), CAST(NULL AS DOUBLE)
+  FROM b_edges GROUP BY 3, 4 HAVING sum(w) > 0
+  UNION ALL
+  (WITH e AS (SELECT rd, a, b, total, na, nb, CAST(total AS DOUBLE) / CAST(na * nb AS DOUBLE) AS s FROM cm WHERE NOT merger),
+   ends AS (SELECT a AS node, * FROM e UNION ALL SELECT b AS node, * FROM e),
+   best AS (SELECT * FROM ends QUALIFY row_number() OVER (PARTITION BY node ORDER BY s DESC, a, b) = 1),
+   m AS (SELECT a, b, any_value(rd) AS rd, any_value(na) AS na, any_value(nb) AS nb, any_value(s) AS s FROM best GROUP BY a, b HAVING count(*) = 2),
+   new AS (SELECT a AS old, a AS new, na + nb AS size FROM m UNION ALL SELECT b, a, na + nb FROM m),
+   r AS (SELECT e.rd, coalesce(x.new, e.a) AS a, coalesce(y.new, e.b) AS b, e.total,
+                coalesce(x.size, e.na) AS na, coalesce(y.size, e.nb) AS nb
+         FROM e LEFT JOIN new x ON x.old = e.a LEFT JOIN new y ON y.old = e.b)
+   SELECT any_value(rd) + 1, false, least(a, b), greatest(a, b), CAST(sum(total) AS BIGINT),
+          any_value(CASE WHEN a < b THEN na ELSE nb END), any_value(CASE WHEN a < b THEN nb ELSE na END), NULL
+   FROM r WHERE a <> b GROUP BY 3, 4
+   UNION ALL SELECT rd, true, a, b, NULL, na, nb, s FROM m))"""
+    return [
+        tree, "ct AS (SELECT rd AS round, a, b, na, nb, height FROM cm WHERE merger)",
+        "ck AS (SELECT greatest(0, (SELECT count(DISTINCT grp) FROM b_names) - (SELECT count(*) FROM b_names) + (SELECT count(*) FROM ct)) AS undone)",
+        """cu AS (SELECT a, b FROM (SELECT *, row_number() OVER (ORDER BY height, round DESC, a DESC, b DESC) AS place FROM ct), ck
+  WHERE place > undone)""",
+        """cw(node, top) AS (SELECT unit, unit FROM b_names UNION ALL SELECT cw.node, cu.a FROM cw JOIN cu ON cu.b = cw.top)""",
+        "cc AS (SELECT node AS unit, min(top) AS community FROM cw GROUP BY node)",
+        "cg AS (SELECT community, grp, count(*) AS n FROM cc JOIN b_names ON b_names.unit = cc.unit GROUP BY ALL)",
+    ]
+
+
+def recursive(select: str, *extra: str) -> str:
+    return "WITH RECURSIVE " + ",\n".join(PRELUDE + list(extra)) + "\n" + select
+
+
 def _oracles() -> dict[str, str]:
     o: dict[str, str] = {}
     o["connectivity_index"] = sql("SELECT u1, u2, w FROM b_raw")
@@ -327,6 +361,21 @@ SELECT round(a + b * gap_att, {D}) AS x, round(a + b * gap_att, {D}) AS y, 'pred
     o["attitude_nb_accuracy"] = nb_acc(ATT_LABEL, "attitude_class", ATT_F)
     o["connectivity_nb_accuracy"] = nb_acc(CONN_LABEL, "conn_class", CONN_F)
 
+    ctes = _community_ctes()
+    o["community_tree"] = recursive(f"SELECT round, a, b, na, nb, round(height, {D}) AS height FROM ct", *ctes)
+    o["communities"] = recursive("SELECT unit, community FROM cc", *ctes)
+    o["community_groups"] = recursive("SELECT community, grp, n FROM cg", *ctes)
+    o["community_agreement"] = recursive(f"""SELECT n_units, n_left, n_right, same_both, same_left, same_right,
+  round((p + 2.0 * same_both - same_left - same_right) / p, {D}) AS rand_index,
+  round((same_both - (CAST(same_left AS DOUBLE) * same_right) / p) / nullif((same_left + same_right) / 2.0
+        - (CAST(same_left AS DOUBLE) * same_right) / p, 0), {D}) AS adjusted_rand
+FROM (SELECT *, nullif(CAST(n_units * (n_units - 1) // 2 AS DOUBLE), 0) AS p FROM (
+  SELECT CAST((SELECT sum(n) FROM cg) AS BIGINT) AS n_units,
+    (SELECT count(DISTINCT community) FROM cg) AS n_left, (SELECT count(DISTINCT grp) FROM cg) AS n_right,
+    CAST((SELECT sum(n * (n - 1) // 2) FROM cg) AS BIGINT) AS same_both,
+    CAST((SELECT sum(n * (n - 1) // 2) FROM (SELECT sum(n) AS n FROM cg GROUP BY community)) AS BIGINT) AS same_left,
+    CAST((SELECT sum(n * (n - 1) // 2) FROM (SELECT sum(n) AS n FROM cg GROUP BY grp)) AS BIGINT) AS same_right))""", *ctes)
+
     o["edges_from_text"] = sql("SELECT u1, u2, w FROM b_edges")
     o["series_dictionary_rows"] = sql("""SELECT sid, area_type, 'CN' || left(sid, length(sid) - 2) AS area_code,
   right(sid, 2) AS measure_code, srd, title FROM b_dict""")

@@ -17,6 +17,7 @@ class Params:
     hist_max: tuple = (1.0, 70000000.0, 1000000.0)     # same, per-unit maxima
     hist_edges: tuple = (1.0, 10000.0, 200000.0, 5000000.0, 1000000000.0)  # explicit edges, all scores
     prefix_chars: int = 2                # leading characters of an id that name its group
+    n_communities: int | None = None     # None = as many as there are known groups
     title_match: str = "all"             # 'all' matches (as the original) or 'longest' per title
 
 

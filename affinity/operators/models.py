@@ -26,6 +26,13 @@ FEATURES_PAIR_DISTANCE = ("ln_km",)
 FEATURES_PAIR_RESULT = ("gap_result",)
 FEATURES_PAIR_FULL = ("ln_km", "gap_rate", "gap_result", "gap_att")
 
+# Feature sets and parameters of the unit tree and clusters, our own choice.
+FEATURES_TREE = ("lat", "lon", "avg", "level", "result", "grp_index")
+IMPUTED = {"lat": "mean", "lon": "median", "avg": "mean", "level": "median", "result": "mode"}
+MAX_CATEGORIES = 25
+FEATURES_CLUSTER = ("lat", "lon", "result")
+CLUSTERS = 5
+
 
 # The split mixes the whole id: times a multiplier, modulo a large prime, and
 # only then modulo 1000.  All products stay below 2^63.

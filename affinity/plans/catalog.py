@@ -24,12 +24,17 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from affinity.functions.color import STOPS_MAX, STOPS_MEAN, STOPS_ONE_UNIT
+from affinity.operators import chain as chains
+from affinity.operators import clusters as K
 from affinity.operators import communities as C
 from affinity.operators import edges as E
 from affinity.operators import models as M
 from affinity.operators import pairs as P
 from affinity.operators import plotdata as V
+from affinity.operators import prep
+from affinity.operators import tree as T
 from affinity.operators import units as U
+from affinity.operators.lineage import Rounds, cut
 from affinity.plans.binding import binding_for
 from affinity.plans.inputs import Inputs
 
@@ -504,6 +509,131 @@ def community_agreement(b):
     return a.select("n_units", "n_left", "n_right", "same_both", "same_left", "same_right", _r("rand_index"), _r("adjusted_rand"))
 
 
+# ------------------------------------- preparation, tree and chain (O2, O3)
+
+def _unit_table(b) -> DataFrame:
+    """Every named unit with its group and attributes, null where unknown."""
+    level = b.level.groupBy("unit").agg(F.min("level").alias("level"))
+    low = F.col("never") + F.col("rarely") + F.col("sometimes") > F.lit(b.params.attitude_threshold)
+    label = F.when(low, 0.0).when(~low, 1.0).alias("attitude_class")
+    d = b.names.select("unit", "grp")
+    for t in (b.coords.select("unit", "lat", "lon"), E.unit_score(b.edges, "avg").withColumnRenamed("avg_score", "avg"),
+              level, b.results.select("unit", "result"), b.attitudes.select("unit", label)):
+        d = d.join(t, "unit", "left")
+    return d
+
+
+def _unit_chain(b) -> list:
+    feats = list(M.FEATURES_TREE)
+    return [prep.Imputer(dict(M.IMPUTED)), prep.StringIndexer("grp", "grp_index", "keep"),
+            prep.VectorIndexer(feats, M.MAX_CATEGORIES, "keep"), T.DecisionTree(feats, "attitude_class")]
+
+
+def _fitted_chain(b):
+    return chains.Chain(_unit_chain(b)).fit(cut(_unit_table(b).where(M.unit_split())))
+
+
+@query
+def imputer_values(b):
+    """O3: mean, median or mode of each column of the training units."""
+    model = prep.Imputer(dict(M.IMPUTED)).fit(cut(_unit_table(b).where(M.unit_split())))
+    rows = [(c, M.IMPUTED[c], None if v is None else round(float(v), DIGITS)) for c, v in model.values.items()]
+    return b.spark.createDataFrame(rows, "column string, strategy string, value double")
+
+
+@query
+def imputed_units(b):
+    """O3: all units, unknown attributes filled from the training units."""
+    units = cut(_unit_table(b))
+    d = prep.Imputer(dict(M.IMPUTED)).fit(units.where(M.unit_split())).transform(units)
+    return d.select("unit", "grp", *[_r(c) for c in M.IMPUTED], "attitude_class")
+
+
+@query
+def string_index(b):
+    """O2: groups in order of frequency."""
+    return prep.StringIndexer("grp", "grp_index").fit(b.names).labels.select("label", "n", "index")
+
+
+@query
+def string_round_trip(b):
+    """O2: index of each unit's group, and the label back from it."""
+    model = prep.StringIndexer("grp", "grp_index").fit(b.names)
+    return model.inverse(label="back").transform(model.transform(b.names)).select("unit", "grp", "grp_index", "back")
+
+
+@query
+def vector_index(b):
+    """O2: features with few values, and those values' indices."""
+    train = cut(_unit_table(b).where(M.unit_split()))
+    first = chains.Chain(_unit_chain(b)[:2]).fit(train).transform(train)
+    model = prep.VectorIndexer(list(M.FEATURES_TREE), M.MAX_CATEGORIES, "keep").fit(first)
+    return model.mapping(first).select("feature", "categorical", _r("value"), "index")
+
+
+@query
+def tree_nodes(b):
+    """O2: the attitude tree as rows."""
+    t = _fitted_chain(b).stages[-1].table(b.spark)
+    return t.select("node", "depth", "feature", _r("threshold"), "categories", "n", "n1")
+
+
+def _tree_predictions(b) -> DataFrame:
+    """Held-out units through the chain after it was saved and loaded."""
+    with Rounds(b.spark, "chain") as folder:
+        _fitted_chain(b).save(b.spark, f"{folder.folder}/saved")
+        model = chains.load(b.spark, f"{folder.folder}/saved")
+        held_out = _unit_table(b).where(~M.unit_split() & F.col("attitude_class").isNotNull())
+        return cut(model.transform(held_out).select("unit", "attitude_class", "prediction"))
+
+
+@query
+def tree_predictions(b):
+    """O2 + O3: held-out predictions of the saved and loaded chain."""
+    return _tree_predictions(b)
+
+
+@query
+def tree_accuracy(b):
+    """O2 + G7: held-out accuracy of the attitude tree."""
+    return M.accuracy(_tree_predictions(b), "attitude_class").select(_r("accuracy"), "n")
+
+
+# ------------------------------------------------------------ clusters (O1)
+
+def _place(b) -> DataFrame:
+    return cut(_unit_table(b).select("unit", *M.FEATURES_CLUSTER))
+
+
+@query
+def kmeans_centres(b):
+    """O1: k-means of units by place and result: centres, sizes, costs."""
+    d = _place(b)
+    t = K.k_means(d, list(M.FEATURES_CLUSTER), M.CLUSTERS).table(d, "unit")
+    return t.select("cluster", "n", _r("cost"), *[_r(c) for c in M.FEATURES_CLUSTER])
+
+
+@query
+def kmeans_clusters(b):
+    """O1: cluster of every unit with all features."""
+    d = _place(b)
+    return K.k_means(d, list(M.FEATURES_CLUSTER), M.CLUSTERS).assign(d, "unit").select("unit", "cluster", _r("square_distance"))
+
+
+@query
+def bisecting_tree(b):
+    """O1: bisecting k-means of the same units: the tree of splits."""
+    t = K.bisecting_k_means(_place(b), list(M.FEATURES_CLUSTER), M.CLUSTERS).table(b.spark)
+    return t.select("node", "parent", "n", _r("cost"), "leaf", *[_r(c) for c in M.FEATURES_CLUSTER])
+
+
+@query
+def bisecting_clusters(b):
+    """O1: leaf of every unit with all features."""
+    d = _place(b)
+    return K.bisecting_k_means(d, list(M.FEATURES_CLUSTER), M.CLUSTERS).assign(d, "unit")
+
+
 # ------------------------------------------------------------ sources (S)
 
 @query

@@ -208,6 +208,161 @@ def _community_ctes() -> list[str]:
     ]
 
 
+def _unit_ctes() -> list[str]:
+    """Units with gaps filled, labels and small sets of values indexed (u_x:
+    features as a list), from the training units' statistics."""
+    imputed = ["lat", "lon", "avg", "level", "result"]
+    return [
+        f"""u_t AS (SELECT *, {UNIT_TRAIN} AS is_train FROM (
+  SELECT nm.unit, nm.grp, CAST(c.lat AS DOUBLE) AS lat, CAST(c.lon AS DOUBLE) AS lon, a.avg, CAST(l.level AS DOUBLE) AS level, r.result,
+         CASE WHEN t.never + t.rarely + t.sometimes > 0.6 THEN CAST(0 AS DOUBLE)
+              WHEN t.never + t.rarely + t.sometimes <= 0.6 THEN CAST(1 AS DOUBLE) END AS attitude_class
+  FROM b_names nm LEFT JOIN b_coords c ON c.unit = nm.unit LEFT JOIN b_avg a ON a.unit = nm.unit
+  LEFT JOIN (SELECT unit, min(level) AS level FROM b_level GROUP BY unit) l ON l.unit = nm.unit
+  LEFT JOIN b_res r ON r.unit = nm.unit LEFT JOIN b_att t ON t.unit = nm.unit))""",
+        """u_im AS (SELECT avg(lat) AS lat, median(lon) AS lon, avg(avg) AS avg, median(level) AS level,
+  (SELECT result FROM u_t WHERE is_train AND result IS NOT NULL GROUP BY result ORDER BY count(*) DESC, result LIMIT 1) AS result
+  FROM u_t WHERE is_train)""",
+        "u_i AS (SELECT u.unit, u.grp, u.is_train, u.attitude_class, "
+        + ", ".join(f"coalesce(u.{c}, u_im.{c}) AS {c}" for c in imputed) + " FROM u_t u, u_im)",
+        """u_s AS (SELECT grp AS label, count(*) AS n, CAST(row_number() OVER (ORDER BY count(*) DESC, grp) - 1 AS DOUBLE) AS idx
+  FROM u_i WHERE is_train AND grp IS NOT NULL GROUP BY grp)""",
+        f"""u_l AS (SELECT unit, is_train, attitude_class, unnest([{', '.join(imputed)}, coalesce(idx, CAST((SELECT count(*) FROM u_s) AS DOUBLE))]) AS v,
+  unnest(range({len(imputed) + 1})) AS f FROM u_i LEFT JOIN u_s ON u_s.label = u_i.grp)""",
+        "u_n AS (SELECT f, count(DISTINCT v) AS n FROM u_l WHERE is_train GROUP BY f)",
+        """u_m AS (SELECT f, v, CAST(row_number() OVER (PARTITION BY f ORDER BY v) - 1 AS DOUBLE) AS idx
+  FROM (SELECT DISTINCT f, v FROM u_l WHERE is_train AND v IS NOT NULL) WHERE f IN (SELECT f FROM u_n WHERE n <= 25))""",
+        """u_x AS (SELECT unit, is_train, attitude_class AS y,
+  list(CASE WHEN u_n.n <= 25 THEN coalesce(u_m.idx, u_n.n) ELSE l.v END ORDER BY l.f) AS x
+  FROM u_l l JOIN u_n ON u_n.f = l.f LEFT JOIN u_m ON u_m.f = l.f AND u_m.v = l.v GROUP BY unit, is_train, attitude_class)""",
+    ]
+
+
+TREE_FEATURES = ["lat", "lon", "avg", "level", "result", "grp_index"]
+
+
+def _tree_ctes(depth: int = 4, bins: int = 32, least: int = 2) -> list[str]:
+    """The tree as a recursion over (rows with their node, splits)."""
+    pure = "({1} * {1} + ({0} - {1}) * ({0} - {1})) / {0}"
+    tree = f"""tr(lv, split, node, y, x, f, t, cats) AS (
+  SELECT 0, false, CAST(1 AS BIGINT), CAST(y AS BIGINT), x, CAST(NULL AS BIGINT), CAST(NULL AS DOUBLE), CAST(NULL AS DOUBLE[])
+  FROM u_x WHERE is_train AND y IS NOT NULL AND len(list_filter(x, lambda v: v IS NULL)) = 0
+  UNION ALL
+  (WITH d AS (SELECT lv, node, y, x FROM tr WHERE NOT split AND lv < {depth}),
+   tot AS (SELECT node, CAST(count(*) AS DOUBLE) AS n, CAST(sum(y) AS DOUBLE) AS n1 FROM d GROUP BY node),
+   u AS (SELECT node, y, unnest(x) AS x, unnest(range({len(TREE_FEATURES)})) AS f FROM d),
+   rg AS (SELECT node, f, min(x) AS lo, max(x) AS hi FROM u GROUP BY node, f),
+   b AS (SELECT u.node, u.f, u.x, u.y, u_n.n <= 25 AS cat,
+                CASE WHEN u_n.n <= 25 THEN x ELSE least(floor((x - lo) / (hi - lo) * {bins}), {bins - 1}) END AS bin
+         FROM u JOIN rg ON rg.node = u.node AND rg.f = u.f JOIN u_n ON u_n.f = u.f WHERE hi > lo),
+   h AS (SELECT node, f, cat, bin, CAST(count(*) AS DOUBLE) AS n, CAST(sum(y) AS DOUBLE) AS n1, max(x) AS t FROM b GROUP BY ALL),
+   o AS (SELECT *, row_number() OVER w AS k, sum(n) OVER w AS ln, sum(n1) OVER w AS l1
+         FROM h WINDOW w AS (PARTITION BY node, f ORDER BY CASE WHEN cat THEN n1 / n ELSE 0 END, bin ROWS UNBOUNDED PRECEDING)),
+   s AS (SELECT o.*, {pure.format('ln', 'l1')} + {pure.format('(tot.n - ln)', '(tot.n1 - l1)')} AS score
+         FROM o JOIN tot ON tot.node = o.node
+         WHERE ln >= {least} AND tot.n - ln >= {least} AND tot.n1 > 0 AND tot.n1 < tot.n),
+   best AS (SELECT s.* FROM s JOIN tot ON tot.node = s.node WHERE score > {pure.format('tot.n', 'tot.n1')} * (1 + 1e-9)
+            QUALIFY row_number() OVER (PARTITION BY s.node ORDER BY score DESC, f, k) = 1),
+   cs AS (SELECT best.node, list(o.bin ORDER BY o.bin) AS cats FROM best JOIN o ON o.node = best.node AND o.f = best.f AND o.k <= best.k
+          WHERE best.cat GROUP BY best.node)
+   SELECT d.lv + 1, false, 2 * d.node + CASE WHEN best.cat THEN CAST(NOT list_contains(cs.cats, d.x[best.f + 1]) AS BIGINT)
+                                             ELSE CAST(d.x[best.f + 1] > best.t AS BIGINT) END, d.y, d.x, NULL, NULL, NULL
+   FROM d JOIN best ON best.node = d.node LEFT JOIN cs ON cs.node = d.node
+   UNION ALL SELECT NULL, true, best.node, NULL, NULL, best.f, CASE WHEN NOT best.cat THEN best.t END, cs.cats
+   FROM best LEFT JOIN cs ON cs.node = best.node))"""
+    nodes = """tn AS (SELECT r.node, count(*) AS n, CAST(sum(r.y) AS BIGINT) AS n1, any_value(s.f) AS f, any_value(s.t) AS t, any_value(s.cats) AS cats
+  FROM tr r LEFT JOIN tr s ON s.split AND s.node = r.node WHERE NOT r.split GROUP BY r.node)"""
+    walk = """tp(unit, y, x, node) AS (
+  SELECT unit, y, x, CAST(1 AS BIGINT) FROM u_x WHERE NOT is_train AND y IS NOT NULL AND len(list_filter(x, lambda v: v IS NULL)) = 0
+  UNION ALL
+  SELECT tp.unit, tp.y, tp.x, 2 * tp.node + CASE WHEN tn.cats IS NOT NULL THEN CAST(NOT list_contains(tn.cats, tp.x[tn.f + 1]) AS BIGINT)
+                                                 ELSE CAST(tp.x[tn.f + 1] > tn.t AS BIGINT) END
+  FROM tp JOIN tn ON tn.node = tp.node WHERE tn.f IS NOT NULL)"""
+    pred = """tq AS (SELECT tp.unit, tp.y AS attitude_class, CAST(coalesce(2 * tn.n1 > tn.n, false) AS INTEGER)::DOUBLE AS prediction
+  FROM (SELECT unit, max(node) AS node, any_value(y) AS y FROM tp GROUP BY unit) tp LEFT JOIN tn ON tn.node = tp.node)"""
+    return _unit_ctes() + [tree, nodes, walk, pred]
+
+
+CLUSTER_FEATURES = ["lat", "lon", "result"]
+
+
+def _dist(a: str, b: str) -> str:
+    return "(" + " + ".join(f"({a}.x{i} - {b}.x{i}) * ({a}.x{i} - {b}.x{i})" for i in range(len(CLUSTER_FEATURES))) + ")"
+
+
+def _point_ctes() -> list[str]:
+    """Units with all features, these brought to 0..1."""
+    ok = " AND ".join(f"{c} IS NOT NULL" for c in CLUSTER_FEATURES)
+    ends = ", ".join(f"min({c}) AS lo{i}, max({c}) AS hi{i}" for i, c in enumerate(CLUSTER_FEATURES))
+    x = ", ".join(f"CASE WHEN hi{i} > lo{i} THEN ({c} - lo{i}) / (hi{i} - lo{i}) ELSE CAST(0 AS DOUBLE) END AS x{i}"
+                  for i, c in enumerate(CLUSTER_FEATURES))
+    mid = ", ".join(f"avg(x{i}) AS x{i}" for i in range(len(CLUSTER_FEATURES)))
+    return _unit_ctes()[:1] + [f"k_e AS (SELECT {ends} FROM u_t WHERE {ok})", f"k_p AS (SELECT unit AS id, {x} FROM u_t, k_e WHERE {ok})",
+                               f"k_mid AS (SELECT {mid} FROM k_p)"]
+
+
+def _xs(table: str = "", wrap: str = "{}") -> str:
+    return ", ".join(wrap.format(f"{table}x{i}") for i in range(len(CLUSTER_FEATURES)))
+
+
+def _back() -> str:
+    return ", ".join(f"round(lo{i} + x{i} * (hi{i} - lo{i}), {D}) AS {c}" for i, c in enumerate(CLUSTER_FEATURES))
+
+
+def _kmeans_ctes(k: int = 5, rounds: int = 20) -> list[str]:
+    avg = ", ".join(f"coalesce(avg(a.x{i}), any_value(c.x{i}))" for i in range(len(CLUSTER_FEATURES)))
+    return _point_ctes() + [
+        f"k_0 AS (SELECT k_p.* FROM k_p, k_mid ORDER BY {_dist('k_p', 'k_mid')} DESC, id LIMIT 1)",
+        f"""k_f(i, pick, id, {_xs()}, d) AS (
+  SELECT 1, false, k_p.id, {_xs('k_p.')}, {_dist('k_p', 'k_0')} FROM k_p, k_0 UNION ALL SELECT 1, true, id, {_xs()}, NULL FROM k_0
+  UNION ALL
+  (WITH r AS (SELECT * FROM k_f WHERE NOT pick AND i < {k}), b AS (SELECT * FROM r WHERE d > 0 ORDER BY d DESC, id LIMIT 1)
+   SELECT r.i + 1, false, r.id, {_xs('r.')}, least(r.d, {_dist('r', 'b')}) FROM r, b
+   UNION ALL SELECT i + 1, true, id, {_xs()}, NULL FROM b))""",
+        f"""k_c(it, cluster, {_xs()}) AS (
+  SELECT 0, i - 1, {_xs()} FROM k_f WHERE pick
+  UNION ALL
+  (WITH c AS (SELECT * FROM k_c WHERE it < {rounds}),
+   a AS (SELECT p.*, c.cluster FROM k_p p, c QUALIFY row_number() OVER (PARTITION BY p.id ORDER BY {_dist('p', 'c')}, c.cluster) = 1)
+   SELECT any_value(c.it) + 1, c.cluster, {avg} FROM c LEFT JOIN a ON a.cluster = c.cluster GROUP BY c.cluster))""",
+        f"k_l AS (SELECT cluster, {_xs()} FROM k_c WHERE it = {rounds})",
+        f"""k_a AS (SELECT p.id AS unit, l.cluster, {_dist('p', 'l')} AS d FROM k_p p, k_l l
+  QUALIFY row_number() OVER (PARTITION BY p.id ORDER BY {_dist('p', 'l')}, l.cluster) = 1)""",
+    ]
+
+
+def _bisecting_ctes(k: int = 5, rounds: int = 20) -> list[str]:
+    """Splits one after the other, each ``rounds`` + 1 steps: the first picks
+    a leaf and two rows of it, the others average and assign again."""
+    steps = rounds + 1
+    mean = ", ".join(f"avg(x{i}) AS x{i}" for i in range(len(CLUSTER_FEATURES)))
+    return _point_ctes() + [
+        f"""h(s, id, {_xs()}, node, side) AS (
+  SELECT 0, id, {_xs()}, CAST(1 AS BIGINT), CAST(NULL AS BIGINT) FROM k_p
+  UNION ALL
+  (WITH d AS (SELECT * FROM h WHERE s < {(k - 1) * steps}),
+   st AS (SELECT any_value(s) % {steps} AS t FROM d),
+   mid AS (SELECT node, count(*) AS n, {mean} FROM d GROUP BY node),
+   cost AS (SELECT d.node, sum({_dist('d', 'mid')}) AS cost, any_value(mid.n) AS n FROM d JOIN mid ON mid.node = d.node GROUP BY d.node),
+   pick AS (SELECT node FROM cost, st WHERE t = 0 AND cost > 1e-18 * n ORDER BY cost DESC, node LIMIT 1),
+   f1 AS (SELECT d.* FROM d JOIN pick ON pick.node = d.node JOIN mid ON mid.node = d.node ORDER BY {_dist('d', 'mid')} DESC, d.id LIMIT 1),
+   f2 AS (SELECT d.* FROM d JOIN pick ON pick.node = d.node, f1 ORDER BY {_dist('d', 'f1')} DESC, d.id LIMIT 1),
+   c AS (SELECT CAST(0 AS BIGINT) AS side, {_xs()} FROM f1 UNION ALL SELECT 1, {_xs()} FROM f2
+         UNION ALL SELECT side, {mean} FROM d, st WHERE t > 0 AND side IS NOT NULL GROUP BY side),
+   c0 AS (SELECT * FROM c WHERE side = 0), c1 AS (SELECT * FROM c WHERE side = 1),
+   n AS (SELECT d.s, d.id, {_xs('d.')}, d.node,
+                CASE WHEN d.node IN (SELECT node FROM pick) OR d.side IS NOT NULL
+                     THEN CASE WHEN {_dist('d', 'c0')} <= {_dist('d', 'c1')} THEN 0 ELSE 1 END END AS side, st.t
+         FROM d CROSS JOIN st LEFT JOIN c0 ON true LEFT JOIN c1 ON true)
+   SELECT s + 1, id, {_xs()}, CASE WHEN t = {steps - 1} AND side IS NOT NULL THEN 2 * node + side ELSE node END,
+          CASE WHEN t = {steps - 1} THEN NULL ELSE CAST(side AS BIGINT) END FROM n))""",
+        f"h_a AS (SELECT id AS unit, node FROM h WHERE s = {(k - 1) * steps})",
+        f"""h_n AS (SELECT DISTINCT node, id, {_xs()} FROM h WHERE side IS NULL AND s % {steps} = 0)""",
+        f"h_m AS (SELECT node, count(*) AS n, {mean} FROM h_n GROUP BY node)",
+        f"""h_c AS (SELECT h_n.node, sum({_dist('h_n', 'h_m')}) AS cost FROM h_n JOIN h_m ON h_m.node = h_n.node GROUP BY h_n.node)""",
+    ]
+
+
 def recursive(select: str, *extra: str) -> str:
     return "WITH RECURSIVE " + ",\n".join(PRELUDE + list(extra)) + "\n" + select
 
@@ -361,6 +516,30 @@ SELECT round(a + b * gap_att, {D}) AS x, round(a + b * gap_att, {D}) AS y, 'pred
     o["attitude_nb_accuracy"] = nb_acc(ATT_LABEL, "attitude_class", ATT_F)
     o["connectivity_nb_accuracy"] = nb_acc(CONN_LABEL, "conn_class", CONN_F)
 
+    units = _tree_ctes()
+    o["imputer_values"] = recursive(f"""SELECT * FROM (SELECT unnest(['lat', 'lon', 'avg', 'level', 'result']) AS "column",
+  unnest(['mean', 'median', 'mean', 'median', 'mode']) AS strategy, round(unnest([lat, lon, avg, level, result]), {D}) AS value FROM u_im)""", *units[:8])
+    o["imputed_units"] = recursive(f"""SELECT unit, grp, round(lat, {D}) AS lat, round(lon, {D}) AS lon, round(avg, {D}) AS avg, round(level, {D}) AS level,
+  round(result, {D}) AS result, attitude_class FROM u_i""", *units[:8])
+    names = """n_s AS (SELECT grp AS label, count(*) AS n, CAST(row_number() OVER (ORDER BY count(*) DESC, grp) - 1 AS DOUBLE) AS "index"
+  FROM b_names GROUP BY grp)"""
+    o["string_index"] = sql('SELECT label, n, "index" FROM n_s', names)
+    o["string_round_trip"] = sql('SELECT unit, grp, "index" AS grp_index, grp AS back FROM b_names JOIN n_s ON label = grp', names)
+    feature = "([" + ", ".join(f"'{c}'" for c in TREE_FEATURES) + "])[{} + 1]"
+    o["vector_index"] = recursive(f"""SELECT {feature.format('f')} AS feature, true AS categorical, round(v, {D}) AS value, idx AS "index" FROM u_m
+UNION ALL SELECT {feature.format('f')}, false, NULL, NULL FROM u_n WHERE n > 25""", *units[:8])
+    o["tree_nodes"] = recursive(f"""SELECT node, CAST(floor(log2(node)) AS INTEGER) AS depth, {feature.format('f')} AS feature, round(t, {D}) AS threshold,
+  array_to_string(list_transform(cats, lambda c: CAST(c AS INTEGER)), ',') AS categories, n, n1 FROM tn""", *units)
+    o["tree_predictions"] = recursive("SELECT unit, attitude_class, prediction FROM tq", *units)
+    o["tree_accuracy"] = recursive(f"SELECT round(avg(CAST(attitude_class = prediction AS DOUBLE)), {D}) AS accuracy, count(*) AS n FROM tq", *units)
+    ctes = _kmeans_ctes()
+    o["kmeans_clusters"] = recursive(f"SELECT unit, CAST(cluster AS INTEGER) AS cluster, round(d, {D}) AS square_distance FROM k_a", *ctes)
+    o["kmeans_centres"] = recursive(f"""SELECT CAST(l.cluster AS INTEGER) AS cluster, coalesce(a.n, 0) AS n, round(coalesce(a.cost, 0), {D}) AS cost, {_back()}
+FROM k_e, k_l l LEFT JOIN (SELECT cluster, count(*) AS n, sum(d) AS cost FROM k_a GROUP BY cluster) a ON a.cluster = l.cluster""", *ctes)
+    ctes = _bisecting_ctes()
+    o["bisecting_clusters"] = recursive("SELECT unit, node FROM h_a", *ctes)
+    o["bisecting_tree"] = recursive(f"""SELECT h_m.node, nullif(h_m.node // 2, 0) AS parent, h_m.n, round(h_c.cost, {D}) AS cost,
+  h_m.node IN (SELECT node FROM h_a) AS leaf, {_back()} FROM k_e, h_m JOIN h_c ON h_c.node = h_m.node""", *ctes)
     ctes = _community_ctes()
     o["community_tree"] = recursive(f"SELECT round, a, b, na, nb, round(height, {D}) AS height FROM ct", *ctes)
     o["communities"] = recursive("SELECT unit, community FROM cc", *ctes)

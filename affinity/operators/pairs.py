@@ -70,6 +70,23 @@ def pair_features(edges: DataFrame, units: DataFrame, small: bool = False) -> Da
     return out.where(F.col("ln_w").isNotNull() & F.col("ln_km").isNotNull())
 
 
+def pair_chain(edges: DataFrame, coords: DataFrame, rate: DataFrame, results: DataFrame, attitude: DataFrame,
+               small: bool = False, attitude_expr=None) -> DataFrame:
+    """The same table as :func:`pair_features`, as a chain: one pair relation
+    per attribute, lined up by three joins on ``(u1, u2)``.  The pairs of
+    ``edges`` have to be unique.  If ``edges`` is a table bucketed by (u1, u2)
+    and the unit tables are broadcast, no edge-sized relation is exchanged.
+    Worth it where the relations come from different sources or are kept;
+    else the wide form reads the edges once."""
+    att = attitude.select("unit", (attitude_expr if attitude_expr is not None else F.col("never") + F.col("rarely")).alias("att"))
+    chain = pair_distance(edges, coords, small=small)
+    for alias, units, value in (("gap_rate", rate, "rate"), ("gap_result", results, "result"), ("gap_att", att, "att")):
+        chain = chain.join(pair_gap(edges, units, value, alias, small=small).drop("w"), ["u1", "u2"])
+    out = chain.select("u1", "u2", safe_ln(F.col("w")).alias("ln_w"), "gap_att", "gap_result",
+                       safe_ln(F.col("dist_km")).alias("ln_km"), "gap_rate")
+    return out.where(F.col("ln_w").isNotNull() & F.col("ln_km").isNotNull())
+
+
 def gap_correlation(features: DataFrame, target: str = "ln_w",
                     gaps: Mapping[str, str] | None = None) -> DataFrame:
     """Pearson correlation of the target with each gap, one row."""

@@ -71,9 +71,9 @@ def _tag(root: str) -> str:
 _TABLE_USERS: dict[str, int] = {}
 
 
-def write_bucketed(spark: SparkSession, df: DataFrame, name: str, key: str,
+def write_bucketed(spark: SparkSession, df: DataFrame, name: str, key: str | list[str],
                    buckets: int | None = None) -> tuple[DataFrame, str]:
-    """``df`` as a parquet table bucketed and sorted by ``key`` under the
+    """``df`` as a parquet table bucketed and sorted by ``key`` (a column or several) under the
     shared checkpoint folder: (read back, table name).  A table of that name
     which this application has written and still uses is read, not written
     again; :func:`drop_bucketed` ends a use, and the last one drops it.
@@ -90,7 +90,8 @@ def write_bucketed(spark: SparkSession, df: DataFrame, name: str, key: str,
     if not _TABLE_USERS.get(table):
         n = buckets or int(spark.conf.get("spark.affinity.indexBuckets",
                                           spark.conf.get("spark.sql.shuffle.partitions")))
-        (df.repartition(n, key).write.mode("overwrite").bucketBy(n, key).sortBy(key)
+        keys = [key] if isinstance(key, str) else list(key)
+        (df.repartition(n, *keys).write.mode("overwrite").bucketBy(n, *keys).sortBy(*keys)
            .option("path", f"{folder}/affinity/{table}").saveAsTable(table))
     _TABLE_USERS[table] = _TABLE_USERS.get(table, 0) + 1
     return spark.table(table), table
@@ -138,6 +139,7 @@ class Binding:
             durable = spark.conf.get(DURABLE_CONF, "false").lower() == "true"
         self.durable = durable
         self._index_table: str | None = None
+        self._pair_table: str | None = None
 
     def table(self, name: str) -> DataFrame:
         return read_table(self.spark, self.root, name)
@@ -152,6 +154,10 @@ class Binding:
         if self._index_table is not None:
             drop_bucketed(self.spark, self._index_table)
             self._index_table = None
+        if self._pair_table is not None:
+            drop_bucketed(self.spark, self._pair_table)
+            self._pair_table = None
+        self.__dict__.pop("pair_buckets", None)
         self.__dict__.pop("raw_index", None)
         self.__dict__.pop("edges", None)
         self.__dict__.pop("merge_tree", None)
@@ -190,6 +196,12 @@ class Binding:
     def edges(self) -> DataFrame:
         return drop_self_pairs(self.raw_index)
 
+    @cached_property
+    def pair_buckets(self) -> DataFrame:
+        """The edges as a table bucketed by both ends, for joins of pair tables."""
+        out, self._pair_table = write_bucketed(self.spark, self.edges, f"pairs_{_tag(self.root)}", ["u1", "u2"])
+        return out
+
     @cached_property
     def merge_tree(self) -> DataFrame:
         """Mergers of the communities: one row each, in the shared folder."""

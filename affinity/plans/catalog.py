@@ -322,6 +322,14 @@ def pair_features(b):
     return _features(b).select("u1", "u2", _r("ln_w"), _r("gap_att"), _r("gap_result"), _r("ln_km"), _r("gap_rate"))
 
 
+@query
+def pair_chain(b):
+    """The regression table as three joins of pair tables on (u1, u2)."""
+    edges = getattr(b, "pair_buckets", b.edges)   # inputs may keep the edges bucketed by both ends
+    f = P.pair_chain(edges, b.pair_coords, b.rate, b.results, b.attitudes, small=b.small_units)
+    return f.select("u1", "u2", _r("ln_w"), _r("gap_att"), _r("gap_result"), _r("ln_km"), _r("gap_rate"))
+
+
 @query
 def gap_correlation(b):
     """Correlation of ln score with each gap."""

@@ -469,6 +469,7 @@ FROM b_edges e JOIN b_res x ON x.unit = e.u1 JOIN b_res y ON y.unit = e.u2""")
 FROM b_edges e JOIN b_rate x ON x.unit = e.u1 JOIN b_rate y ON y.unit = e.u2""")
     o["pair_features"] = sql(f"""SELECT u1, u2, round(ln_w, {D}) AS ln_w, round(gap_att, {D}) AS gap_att, round(gap_result, {D}) AS gap_result,
   round(ln_km, {D}) AS ln_km, round(gap_rate, {D}) AS gap_rate FROM b_pf""")
+    o["pair_chain"] = o["pair_features"]
     o["gap_correlation"] = sql(f"""SELECT round(corr(ln_w, ln_km), {D}) AS corr_ln_km, round(corr(ln_w, gap_att), {D}) AS corr_gap_att,
   round(corr(ln_w, gap_result), {D}) AS corr_gap_result, round(corr(ln_w, gap_rate), {D}) AS corr_gap_rate, count(*) AS n_pairs FROM b_pf""")
 

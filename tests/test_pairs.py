@@ -71,3 +71,23 @@ def test_contains_join_shuffle_fallback(spark):
     want = match_titles(titled, b.names, small=True)
     got = match_titles(titled, b.names, small=False)
     assert got.count() == want.count() == 206 and got.exceptAll(want).count() == 0
+
+
+def test_chain_of_bucketed_pair_tables_moves_no_edges(spark):
+    """Three joins on (u1, u2) without an exchange of an edge-sized side, and
+    the same rows as the wide form."""
+    from affinity.plans.binding import Binding
+    from affinity.plans.catalog import run
+    from conftest import SF01
+    b = Binding(spark, SF01)
+    df = run("pair_chain", b)
+    rows = sorted(map(tuple, df.collect()))
+    text = df._jdf.queryExecution().executedPlan().toString()
+    assert "Final Plan" in text
+    text = text.split("Initial Plan")[0]
+    assert text.count("SortMergeJoin") + text.count("ShuffledHashJoin") == 3
+    assert "Exchange hashpartitioning(u1" not in text and "Bucketed: true" in text
+    assert rows == sorted(map(tuple, run("pair_features", b).collect())) and len(rows) > 5000
+    table = b._pair_table
+    b.release()
+    assert not spark.catalog.tableExists(table)

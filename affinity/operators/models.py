@@ -11,6 +11,7 @@ from __future__ import annotations
 
 from typing import Sequence
 
+import numpy as np
 from pyspark.ml.classification import NaiveBayes, NaiveBayesModel
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import LinearRegression, LinearRegressionModel
@@ -98,6 +99,27 @@ def linear_report(model: LinearRegressionModel, train: DataFrame, features: Sequ
         r(F.lit(float(model.intercept))).alias("intercept"), r(F.col("rmse")).alias("rmse"), "n")
 
 
+def least_squares(train: DataFrame, features: Sequence[str], label: str) -> tuple[list[float], float, float, int] | None:
+    """(coefficients, intercept, training RMSE, rows) of unregularised least
+    squares with intercept, from one aggregation of the rows that have all
+    features and the label: means, variances and covariances, which Spark
+    merges without cancellation.  The RMSE follows from them, so the rows are
+    read once.  Features that depend on each other share the coefficient
+    (least norm).  None without rows."""
+    cols = [*features, label]
+    d = train.dropna(subset=cols)
+    cov = {(i, j): F.covar_pop(cols[i], cols[j]).alias(f"c{i}_{j}") for i in range(len(cols)) for j in range(i, len(cols))}
+    r = d.agg(F.count(F.lit(1)).alias("n"), *[F.avg(c).alias(f"m{i}") for i, c in enumerate(cols)], *cov.values()).first()
+    if not r.n:
+        return None
+    k = len(features)
+    c = np.array([[r[f"c{min(i, j)}_{max(i, j)}"] for j in range(k + 1)] for i in range(k + 1)])
+    b = np.linalg.lstsq(c[:k, :k], c[:k, k], rcond=None)[0]
+    intercept = r[f"m{k}"] - sum(x * r[f"m{i}"] for i, x in enumerate(b))
+    left = c[k, k] - 2 * b @ c[:k, k] + b @ c[:k, :k] @ b
+    return [float(x) for x in b], float(intercept), float(max(left, 0.0) ** 0.5), r.n
+
+
 def predict_linear(model: LinearRegressionModel, df: DataFrame, features: Sequence[str],
                    prediction: str = "prediction") -> DataFrame:
     """Rows with all features, and the fitted linear form as a column."""

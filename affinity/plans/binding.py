@@ -161,7 +161,7 @@ class Binding:
         self.__dict__.pop("raw_index", None)
         self.__dict__.pop("edges", None)
         self.__dict__.pop("merge_tree", None)
-        for name in ("units_wide", "monthly", "coords", "attitudes", "results", "names", "level", "rate"):
+        for name in ("units_wide", "monthly", "annual", "coords", "attitudes", "results", "names", "level", "rate"):
             if name in self.__dict__:
                 self.__dict__[name].unpersist()
                 del self.__dict__[name]
@@ -312,20 +312,25 @@ class Binding:
                              (F.col("n_open") / F.col("n")).alias("value"))
         return union_all([monthly, level, rate])
 
-    def _annual(self, measure: str) -> DataFrame:
-        """The annual values of one measure in the analysis year, in the form
-        of ``series``.  The year is a date range on the scan, so other years
-        are not read."""
+    @cached_property
+    def annual(self) -> DataFrame:
+        """Both measures of every unit in the analysis year, from one scan;
+        the year is a date range on it, so other years are not read.  One row
+        a unit, kept for level and rate."""
         li = self.table("lineitem")
         kind = li.schema["l_shipdate"].dataType
         year = self.params.level_year
         li = li.where((F.col("l_shipdate") >= F.lit(f"{year}-01-01").cast(kind))
                       & (F.col("l_shipdate") < F.lit(f"{year + 1}-01-01").cast(kind)))
-        value = (F.sum("l_quantity") / 12 if measure == MEASURE_LEVEL
-                 else F.count_if(F.col("l_linestatus") == F.lit("O")) / F.count(F.lit(1)))
-        return li.groupBy(F.col("l_suppkey").alias("unit")).agg(value.alias("value")).select(
-            self._sid(F.col("unit"), measure).alias("sid"), F.lit(year).alias("year"),
-            F.lit(PERIOD_ANNUAL).alias("period"), "value")
+        return self._keep(li.groupBy(F.col("l_suppkey").alias("unit")).agg(
+            (F.sum("l_quantity") / 12).alias("level"),
+            (F.count_if(F.col("l_linestatus") == F.lit("O")) / F.count(F.lit(1))).alias("rate")))
+
+    def _annual(self, measure: str) -> DataFrame:
+        """The annual values of one measure, in the form of ``series``."""
+        return self.annual.select(
+            self._sid(F.col("unit"), measure).alias("sid"), F.lit(self.params.level_year).alias("year"),
+            F.lit(PERIOD_ANNUAL).alias("period"), F.col("level" if measure == MEASURE_LEVEL else "rate").alias("value"))
 
     @cached_property
     def dictionary(self) -> DataFrame:

@@ -19,7 +19,6 @@ from __future__ import annotations
 
 from typing import Callable
 
-from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -352,15 +351,12 @@ def _regression(b, feats, same_group: bool = False) -> DataFrame:
     """Coefficients, intercept, training RMSE and row count of ln score on
     some features.  Without training rows (e.g. no same-group pairs) all but
     the count are null."""
-    train = _train_pairs(b, same_group)
-    try:
-        model = M.fit_linear(train, feats, "ln_w")
-    except Py4JJavaError as e:           # nothing to fit
-        if "Training dataset is empty" not in str(e.java_exception):
-            raise
-        nulls = [F.lit(None).cast("double").alias(c) for c in (*[f"coef_{f}" for f in feats], "intercept", "rmse")]
-        return b.spark.range(1).select(*nulls, F.lit(0).cast("bigint").alias("n"))
-    return M.linear_report(model, train, feats, "ln_w", DIGITS)
+    fit = M.least_squares(_train_pairs(b, same_group), feats, "ln_w")
+    names = [*[f"coef_{f}" for f in feats], "intercept", "rmse"]
+    if fit is None:
+        return b.spark.range(1).select(*[F.lit(None).cast("double").alias(c) for c in names], F.lit(0).cast("bigint").alias("n"))
+    coefs, intercept, rmse, n = fit
+    return b.spark.range(1).select(*[_r(F.lit(v), c) for c, v in zip(names, [*coefs, intercept, rmse])], F.lit(n).cast("bigint").alias("n"))
 
 
 @query

@@ -2,6 +2,7 @@ import math
 import random
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from affinity.operators import models as M
@@ -102,3 +103,23 @@ def test_accuracy_in_unit_interval(spark):
 def test_assemble_drops_null_features(spark):
     df = spark.createDataFrame([(1.0, 2.0), (None, 1.0)], "a double, b double")
     assert M.assemble(df, ["a", "b"]).count() == 1
+
+
+def test_least_squares_in_one_pass_is_the_fit(spark):
+    rnd = random.Random(8)
+    rows = [(x := rnd.gauss(1e4, 2), z := rnd.gauss(-3, 1), 2 * x - 0.5 * z + rnd.gauss(0, 0.3)) for _ in range(500)]
+    df = spark.createDataFrame(rows + [(None, 1.0, 1.0), (1.0, 1.0, None)], "x double, z double, y double").repartition(6)
+    coefs, intercept, rmse, n = M.least_squares(df, ["x", "z"], "y")
+    # centred, as the values lie far from zero
+    m = np.array(rows)
+    mean = m.mean(axis=0)
+    want = np.linalg.lstsq(m[:, :2] - mean[:2], m[:, 2] - mean[2], rcond=None)[0]
+    left = m[:, 2] - mean[2] - (m[:, :2] - mean[:2]) @ want
+    assert n == 500 and coefs == pytest.approx(list(want), rel=1e-9)
+    assert intercept == pytest.approx(mean[2] - mean[:2] @ want, rel=1e-9)
+    assert rmse == pytest.approx(float(np.sqrt((left * left).mean())), rel=1e-9)
+    # features that depend on each other, and no rows
+    twice = M.least_squares(df.selectExpr("x", "2 * x AS x2", "y"), ["x", "x2"], "y")
+    one = M.least_squares(df, ["x"], "y")
+    assert twice[2] == pytest.approx(one[2]) and twice[0][0] + 2 * twice[0][1] == pytest.approx(one[0][0])
+    assert M.least_squares(df.limit(0), ["x"], "y") is None

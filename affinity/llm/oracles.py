@@ -64,15 +64,16 @@ FROM o"""
 
 
 def _licenses() -> str:
-    templates = ([(t, lb, "true") for t, lb in licenses.PHRASES] + [(t, lb, "false") for t, lb in licenses.PASSAGES])
-    values = ", ".join(f"({i}, '{lb}', string_split('{t}', ' '), {phrase})" for i, (t, lb, phrase) in enumerate(templates))
+    templates = ([(t, lb, "true, true") for t, lb in licenses.PHRASES] + [(t, lb, "true, false") for t, lb in licenses.NAMES]
+                 + [(t, lb, "false, false") for t, lb in licenses.PASSAGES])
+    values = ", ".join(f"({i}, '{lb}', string_split('{t}', ' '), {kind})" for i, (t, lb, kind) in enumerate(templates))
     run = licenses.RUN
     return f"""WITH d AS (
   SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(translate(coalesce(text, ''),
          'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '{licenses.LICENSE_WORD}') AS w FROM documents),
-t AS (SELECT template, label, w, phrase, CASE WHEN phrase THEN 2 ELSE {run} END AS k
-      FROM (VALUES {values}) v(template, label, w, phrase)),
-tp AS (SELECT template, label, phrase, k, len(w) AS tw, len(w) - k + 1 AS most, i AS tpos,
+t AS (SELECT template, label, w, phrase, base, CASE WHEN phrase THEN 2 ELSE {run} END AS k
+      FROM (VALUES {values}) v(template, label, w, phrase, base)),
+tp AS (SELECT template, label, phrase, base, k, len(w) AS tw, len(w) - k + 1 AS most, i AS tpos,
               array_to_string(list_slice(w, i + 1, i + k), ' ') AS g
        FROM (SELECT *, unnest(range(len(w) - k + 1)) AS i FROM t)),
 dg AS (SELECT r, 2 AS k, i, array_to_string(list_slice(w, i + 1, i + 2), ' ') AS g
@@ -80,19 +81,19 @@ dg AS (SELECT r, 2 AS k, i, array_to_string(list_slice(w, i + 1, i + 2), ' ') AS
        UNION ALL
        SELECT r, {run}, i, array_to_string(list_slice(w, i + 1, i + {run}), ' ')
        FROM (SELECT r, w, unnest(range(greatest(len(w) - {run - 1}, 0))) AS i FROM d)),
-v AS (SELECT dg.r, template, label, phrase, tp.k, tw, most, dg.i - tpos AS diagonal, count(*) AS votes, min(dg.i) AS lo, max(dg.i) AS hi
+v AS (SELECT dg.r, template, label, phrase, base, tp.k, tw, most, dg.i - tpos AS diagonal, count(*) AS votes, min(dg.i) AS lo, max(dg.i) AS hi
       FROM dg JOIN tp ON tp.k = dg.k AND tp.g = dg.g GROUP BY ALL),
 b AS (SELECT *, CASE WHEN phrase OR coalesce(diagonal - lag(diagonal) OVER (PARTITION BY r, template ORDER BY diagonal) > {licenses.SLACK}, true)
                 THEN 1 ELSE 0 END AS far FROM v),
 c AS (SELECT *, sum(far) OVER (PARTITION BY r, template ORDER BY diagonal) AS grp FROM b),
-s AS (SELECT r, label, phrase, min(lo) AS a, max(hi) + k - 1 AS z, sum(votes) AS votes, most, tw
-      FROM c GROUP BY r, template, label, phrase, k, most, tw, grp),
-ok AS (SELECT r, label, phrase, a, least(1.0, votes / most) AS cover FROM s
+s AS (SELECT r, label, phrase, base, min(lo) AS a, max(hi) + k - 1 AS z, sum(votes) AS votes, most, tw
+      FROM c GROUP BY r, template, label, phrase, base, k, most, tw, grp),
+ok AS (SELECT r, label, base, a, least(1.0, votes / most) AS cover FROM s
        WHERE CASE WHEN phrase THEN votes = most
                   ELSE votes / most >= {licenses.MIN_COVER} AND z - a + 1 <= {licenses.MAX_STRETCH} * tw END)
-SELECT d.doc_id, CAST(len(any_value(d.w)) AS BIGINT) AS n_words, count(ok.a) FILTER (ok.phrase) AS n_base,
-       CAST(min(ok.a) FILTER (ok.phrase) AS BIGINT) AS first_word, CAST(max(ok.a) FILTER (ok.phrase) AS BIGINT) AS last_word,
-       coalesce(array_to_string(list_sort(list_distinct(list(ok.label) FILTER (ok.phrase))), ','), '') AS base_labels,
+SELECT d.doc_id, CAST(len(any_value(d.w)) AS BIGINT) AS n_words, count(ok.a) FILTER (ok.base) AS n_base,
+       CAST(min(ok.a) FILTER (ok.base) AS BIGINT) AS first_word, CAST(max(ok.a) FILTER (ok.base) AS BIGINT) AS last_word,
+       coalesce(array_to_string(list_sort(list_distinct(list(ok.label) FILTER (ok.base))), ','), '') AS base_labels,
        coalesce(array_to_string(list_sort(list_distinct(list(ok.label) FILTER (ok.label IS NOT NULL))), ','), '') AS labels,
        coalesce(CAST(max(ok.cover) AS DOUBLE), 0.0) AS score
 FROM d LEFT JOIN ok ON ok.r = d.r GROUP BY d.r, d.doc_id"""

@@ -62,3 +62,17 @@ def test_no_python_in_the_plan(spark):
     plan = licenses.scan_licenses(d)._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan and "Pandas" not in plan
     assert "BroadcastHashJoin" in plan and "NestedLoop" not in plan
+
+
+def test_names_of_any_version_and_short_texts(spark):
+    """Names stand whole, so a word put in before them or another version
+    number loses none; they are no base places."""
+    rows = [(1, "licensed under cc by sa 3 0"), (2, "Licensed under a CC-BY-NC 4.0"), (3, "the GNU Lesser General Public License v2.1"),
+            (4, "GNU Affero General Public License"), (5, "Eclipse Public License 2.0"), (6, "cc by-nd, CC0 1.0"),
+            (7, "this is free and unencumbered software released into the public domain"), (8, "public license eclipse")]
+    d = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {g.doc_id: g for g in licenses.scan_licenses(d).collect()}
+    check(rows, list(got.values()))
+    assert {i: got[i].labels for i in got} == {1: "cc-by,cc-by-sa", 2: "cc-by,cc-by-nc", 3: "lgpl", 4: "agpl", 5: "epl",
+                                               6: "cc-by,cc-by-nd,cc0", 7: "unlicense", 8: ""}
+    assert [got[i].n_base for i in (1, 3, 6)] == [1, 0, 1]

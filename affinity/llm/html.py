@@ -28,9 +28,9 @@ APART = 2.0            # clusters whose mean ratios differ by less than this fac
 # Elements by their part in a page.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q rp rt ruby s samp "
-                   "small span strike strong sub sup time tt u var wbr".split())
+                   "small span strike strong sub sup time tt u var wbr math mfrac mi mn mo mrow ms msqrt mstyle msub msup mtext".split())
 DROPPED = frozenset("nav footer aside form script style noscript template iframe svg canvas object button select option "
-                    "textarea input fieldset dialog menu head title audio video applet map math".split())
+                    "textarea input fieldset dialog menu head title audio video applet map".split())
 ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert alertdialog menu menubar "
                   "toolbar".split())
 # Words of class and id names of blocks that are not content.
@@ -40,6 +40,10 @@ NAMES = frozenset("ad ads adv advert adverts advertisement advertising adbox ads
                   "newsletter subscribe subscription signup login share sharing social related recommended "
                   "comment comments commentlist disqus replies reply respond reader readers pagination pager toolbar skip "
                   "copyright disclaimer".split())
+# Of these, names of blocks made of links and short labels.
+LINKED = frozenset("nav navbar navigation menu menubar breadcrumb breadcrumbs share sharing social pagination pager toolbar skip "
+                   "widget widgets rail side aside".split())
+DENSE = 120            # characters of a line without links that no block of links and labels holds
 HOLDERS = ("article", "main")
 CONTAINERS = frozenset("article main section div td body html center".split())
 # Elements whose open element of the same group ends where a new one begins.
@@ -249,7 +253,9 @@ def _resolve(page: _Page) -> Callable[[_Drop | None, int], bool]:
     A form, a block left unclosed, or a block dropped by its name that holds
     the page's article (a main, or more text in articles than is left of the
     page, and no less than other dropped blocks hold) does not drop an article or main inside it (``lets``).  On a page without other articles it drops nothing at all
-    if it holds more text than is left (``whole``)."""
+    if it holds more text than is left (``whole``).  Inside an article, a
+    block with the name of a menu or the like that holds a line of ``DENSE``
+    characters without links drops nothing either."""
     left = held = 0
     for parts, _, holder, _ in page.lines:
         size = sum(len(d.strip()) for d, _, drop in parts if d and drop is None)
@@ -302,6 +308,13 @@ def _resolve(page: _Page) -> Callable[[_Drop | None, int], bool]:
                     whole.add(d)
                 for inner, size in within[d].items() if d.outer else ():
                     within[d.outer][inner] = within[d.outer].get(inner, 0) + size
+    # inside an article a name alone does not make a paragraph a menu
+    for parts, _, holder, _ in page.lines:
+        drop = next((d for _, _, d in parts if d), None)
+        if holder and drop and drop.names and drop.names <= LINKED and drop.n > holder and drop not in whole:
+            free = sum(len(data.strip()) for data, linked, _ in parts if data and not linked)
+            if free >= DENSE and free >= sum(len(data.strip()) for data, _, _ in parts if data) * LINK_SHARE:
+                whole.add(drop)
     # the nearest element, from each outwards, that is not whole
     nearest: dict[_Drop | None, _Drop | None] = {None: None}
     for d in page.drops:

@@ -144,3 +144,25 @@ def test_boilerplate_outside_the_blocks_stays_out():
     body = "".join(f"<div><p>{t}</p></div>" for t in paragraphs((300, 320, 280, 310)))
     page = f"<body><div><div><span>Log</span><div>in</div></div></div><div>{body}</div><div><p>Top</p><p>Up</p><p>Go</p></div></body>"
     assert H.main_text(page) == H.main_text(f"<body>{body}</body>") != ""
+
+
+def test_names_of_menus_do_not_drop_paragraphs_of_an_article():
+    """A name alone decides only where the text agrees: blocks of links and
+    labels go, paragraphs stay."""
+    long = "This paragraph has a good many words and not one link, so whatever its block is called it is no list of links. " * 2
+    long = " ".join(long.split())
+    for name in ("lead share", "menu", "side", "widget"):
+        page = f'<body><article><h1>T</h1><div class="{name}"><p>{long}</p></div><p>End.</p></article></body>'
+        assert H.main_text(page) == f"T {long} End."
+        links = "".join(f'<a href="/{i}">Topic number {i} of the site</a> ' for i in range(12))
+        page = f'<body><article><h1>T</h1><div class="{name}"><p>{links}</p><p>Share this</p></div><p>{long}</p></article></body>'
+        assert H.main_text(page) == f"T {long}"
+    # adverts and comments go however long they are
+    for name in ("ad", "comments"):
+        page = f'<body><article><h1>T</h1><div class="{name}"><p>{long}</p></div><p>End.</p></article></body>'
+        assert H.main_text(page) == "T End."
+
+
+def test_formulas_are_text():
+    page = "<article><p>Let <math><mi>x</mi><mo>=</mo><mn>2</mn></math> hold.</p></article>"
+    assert H.main_text(page) == "Let x=2 hold."

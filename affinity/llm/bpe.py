@@ -260,7 +260,7 @@ def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str, text: str = "
     joined = parts.groupBy("row").agg(
         F.first("doc_id").alias("doc_id"),
         F.sort_array(F.collect_list(F.struct("seg", "ids"))).alias("p")).select(
-        "row", "doc_id", F.expr("aggregate(p.ids, cast('' as binary), (a, x) -> concat(a, x))").alias("ids"))
+        "row", "doc_id", F.unhex(F.array_join(F.transform("p.ids", F.hex), "")).alias("ids"))      # joined once, as text
     return whole.select("row", "doc_id", "ids").unionByName(joined)
 
 
@@ -312,9 +312,11 @@ def _cut_long(long: DataFrame, shared, chunk: int, overlap: int) -> DataFrame:
 
 
 def decode(encoded: DataFrame, ranks: dict[bytes, int], ids: str = "ids", out: str = "bytes") -> DataFrame:
-    """Adds the decoded bytes of a binary id column; the other columns stay.
-    Null ids give empty bytes."""
+    """Adds the decoded bytes of a binary id column; the other columns stay,
+    but one named like ``out``, in any case, is replaced.  Null ids give
+    empty bytes."""
     spark = encoded.sparkSession
+    encoded = encoded.select(*[F.col(f"`{c}`") for c in encoded.columns if c.lower() != out.lower()])
     shared = share(spark, ranks, "")
     schema = StructType(list(encoded.schema.fields)).add(out, "binary")
 

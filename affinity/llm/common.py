@@ -84,14 +84,6 @@ def hash_sample(df: DataFrame, key: str, most: int, seed: int) -> DataFrame:
     return df.orderBy(F.pmod(h, F.lit(1 << 30)), h).limit(most)
 
 
-def free_name(df: DataFrame, name: str) -> str:
-    """``name``, or ``name`` with underscores before it, that no column has."""
-    taken = {c.lower() for c in df.columns}
-    while name.lower() in taken:
-        name = "_" + name
-    return name
-
-
 def pick_rows(df: DataFrame, chosen: DataFrame, copies: bool = False) -> DataFrame:
     """The rows of ``df`` whose number in the scan is a ``row`` of ``chosen``
     (each row once there), with the columns of ``df``; with ``copies``, as

@@ -33,7 +33,7 @@ from pyspark.sql.types import StructType
 
 from affinity.llm import packing as P
 from affinity.llm import text as T
-from affinity.llm.common import free_name, prepare
+from affinity.llm.common import prepare
 
 WINDOW = 20
 PERIOD = 13
@@ -92,33 +92,41 @@ def _ids(column: pa.ChunkedArray) -> np.ndarray:
 
 def remove_repeats(docs: DataFrame, text: str = "text", window: int = WINDOW) -> DataFrame:
     """Per row of ``docs``: all its columns, then n_words, n_removed and
-    kept_text (the kept words joined by one space).
+    kept_text (the kept words joined by one space).  Columns named like the
+    three new ones, in any case, are replaced; ``marked`` keeps them."""
+    new = ("n_words", "n_removed", "kept_text")
+    return marked(docs, text, window).select(
+        *[F.col(f"doc.`{c}`") for c in docs.columns if c.lower() not in new], *new)
+
+
+def marked(docs: DataFrame, text: str = "text", window: int = WINDOW) -> DataFrame:
+    """Per row of ``docs``: doc (all its columns as one struct, so none can
+    clash), n_words, n_removed, kept_text.
 
     Null and empty texts: no words, kept text "".  A null doc_id counts as
     later than all others.  Rows of equal doc_id, repeated rows included, do
     not come earlier than one another, so neither removes the other's words.
-    Empty table: no rows.  Columns named like the three new ones are
-    replaced."""
+    Empty table: no rows."""
     if window < WINDOW:
         raise ValueError(f"the cover is made for windows of {WINDOW} words and more")
     spark = docs.sparkSession
     n = prepare(spark)
     buckets = n * BUCKETS_PER_CHUNK
-    new = ("n_words", "n_removed", "kept_text")
-    docs = docs.select(*[F.col(f"`{c}`") for c in docs.columns if c not in new])
-    cols = docs.columns
-    chunk = free_name(docs, "_chunk")
-    # by id and text, so rows without id are spread too
-    dealt = docs.withColumn(chunk, F.pmod(F.xxhash64("doc_id", F.col(text)), F.lit(n)).cast("int"))
-    dealt = dealt.repartition(n, f"`{chunk}`")
+    columns = docs.columns
+    others = [c for c in columns if c not in ("doc_id", text)]
+    # by id and text, so rows without id are spread too; the other columns travel as one struct
+    dealt = docs.select(F.col("doc_id"), F.col(f"`{text}`").alias("text"),
+                        F.struct(*[F.col(f"`{c}`") for c in others], F.lit(None).cast("boolean").alias("_")).alias("rest"),
+                        F.pmod(F.xxhash64("doc_id", F.col(f"`{text}`")), F.lit(n)).cast("int").alias("chunk"))
+    dealt = dealt.repartition(n, "chunk")
 
     def send_anchors(key, t):
-        c = Chunk(t.column(text), None, window)
+        c = Chunk(t.column("text"), None, window)
         h, _, count = P.groups(c.anchors()[1])
         return P.send(key[0].as_py(), h, count > 1, buckets)
 
     def candidates(t: pa.Table, replies: pa.Table):
-        c = Chunk(t.column(text), _ids(t.column("doc_id")), window)
+        c = Chunk(t.column("text"), _ids(t.column("doc_id")), window)
         at, h = c.anchors()
         u, which, _ = P.groups(h)
         met = P.answer(replies, 0, P.borders(u, buckets), len(u))
@@ -169,7 +177,7 @@ def remove_repeats(docs: DataFrame, text: str = "text", window: int = WINDOW) ->
         total = np.concatenate([[0], np.cumsum(removed)])
         n_removed = total[c.first[1:]] - total[c.first[:-1]]
         kept = []
-        for i, value in enumerate(t.column(text).to_pylist()):
+        for i, value in enumerate(t.column("text").to_pylist()):
             words = (value or "").encode("utf-8").split()    # splits at the very six bytes
             if n_removed[i]:
                 flags = removed[c.first[i]:c.first[i + 1]].tolist()
@@ -178,19 +186,21 @@ def remove_repeats(docs: DataFrame, text: str = "text", window: int = WINDOW) ->
         return _result(t, c.counts, n_removed, kept)
 
     def _result(t, n_words, n_removed, kept) -> pa.Table:
-        return pa.table([*[t.column(c) for c in cols], pa.array(n_words, pa.int64()),
-                         pa.array(n_removed, pa.int64()), pa.array(kept, pa.string())], names=[*cols, *new])
+        return pa.table([*[t.column(c) for c in ("doc_id", "text", "rest")], pa.array(n_words, pa.int64()),
+                         pa.array(n_removed, pa.int64()), pa.array(kept, pa.string())], names=out.names)
 
     def by_chunk(left, right, fn, schema):
-        return left.groupBy(f"`{chunk}`").cogroup(right.groupBy("chunk")).applyInArrow(fn, schema)
-    anchors = dealt.groupBy(f"`{chunk}`").applyInArrow(send_anchors, P.ENTRY)
+        return left.groupBy("chunk").cogroup(right.groupBy("chunk")).applyInArrow(fn, schema)
+    anchors = dealt.groupBy("chunk").applyInArrow(send_anchors, P.ENTRY)
     met = anchors.groupBy("bucket").applyInArrow(P.meet, P.REPLY)
     windows = by_chunk(dealt, met, send_windows, P.ENTRY)
     later = windows.groupBy("bucket").applyInArrow(later_windows, P.REPLY)
-    out = StructType(list(docs.schema.fields))
-    for name, kind in zip(new, ("long", "long", "string")):
+    out = StructType([dealt.schema[c] for c in ("doc_id", "text", "rest")])
+    for name, kind in (("n_words", "long"), ("n_removed", "long"), ("kept_text", "string")):
         out = out.add(name, kind)
-    return by_chunk(dealt, met.unionByName(later), remove, out)
+    whole = {"doc_id": F.col("doc_id"), text: F.col("text")}
+    return by_chunk(dealt, met.unionByName(later), remove, out).select(
+        F.struct(*[whole.get(c, F.col(f"rest.`{c}`")).alias(c) for c in columns]).alias("doc"), "n_words", "n_removed", "kept_text")
 
 
 def substring_dedup(docs: DataFrame) -> DataFrame:

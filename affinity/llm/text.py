@@ -18,7 +18,7 @@ import pyarrow.compute as pc
 
 # The same words, as a regular expression for JVM functions.
 WORD = r"[^\x20\x09-\x0D]+"
-BLOCK_BYTES = 2 << 20
+BLOCK_BYTES = 512 << 10    # arrays of eight bytes for each byte of a block are held at a time
 
 # Odd multipliers of the rolling sums, and the finalizer constants of a
 # public 64-bit mixer (splitmix64).

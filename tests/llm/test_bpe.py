@@ -64,3 +64,10 @@ def test_long_pieces_merge_alike():
         many = c.merge_many([piece])[0]
         assert b"".join(struct.pack("<I", i) for i in c._merge_heap(piece)) == many
         assert [x for x in struct.unpack(f"<{len(many) // 4}I", many)] == ENC._encode_single_piece(piece)
+
+
+def test_decoded_column_replaces_one_of_its_name(spark):
+    d = spark.createDataFrame([(1, b"\x00" * 4, "mine"), (2, None, "mine")], "doc_id long, ids binary, Bytes string")
+    out = bpe.decode(d, RANKS)
+    assert out.columns == ["doc_id", "ids", "bytes"]
+    assert {r.doc_id: bytes(r.bytes) for r in out.collect()} == {1: ENC.decode_bytes([0]), 2: b""}

@@ -57,3 +57,14 @@ def test_odd_rows_pass_every_stage(spark, scratch):
     assert out.columns[0] == "doc_id"
     for name, stage in C.STAGES:
         assert stage(spark, docs.limit(0), SF01).count() == 0
+
+
+def test_columns_named_like_the_operators_own_stay(spark):
+    """Whatever the case of their names, further columns come out as they went in."""
+    docs = spark.createDataFrame(ODD, DOCS).selectExpr("*", "'mine' AS N_Words", "'mine' AS n_removed", "'mine' AS Kept_Text", "'mine' AS rest",
+                                                       "'mine' AS chunk", "'mine' AS bytes")
+    for name, stage in C.STAGES[:-1]:
+        out = stage(spark, docs, SF01)
+        assert out.columns == docs.columns
+        assert {r[c] for r in out.collect() for c in docs.columns[5:]} <= {"mine"}
+    assert C.STAGES[-1][1](spark, docs, SF01).count() == docs.count()

@@ -5,6 +5,10 @@ tokens.
 and returns a DataFrame, which is written as Parquet and read again as the
 next one's ``docs``.  All but the last keep the columns of ``documents``.
 ``run`` applies them to the documents table and returns the last one's rows.
+
+Every stage takes null ids, texts, languages and sources, empty and very long
+texts, repeated rows, empty tables (no rows come out) and further columns of
+any name, which stay as they are.
 """
 
 from __future__ import annotations
@@ -16,6 +20,7 @@ from pyspark.sql import functions as F
 
 from affinity.llm import bpe, jaccard, mixing, quality, substring
 from affinity.llm.common import prepare
+from affinity.operators.lineage import delete_folder
 from affinity.session import ensure_checkpoint_dir
 from affinity.sources.tables import read_table
 
@@ -26,33 +31,40 @@ ORACLE_SQL = None
 
 def good_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality classifier does not reject; it learns from
-    the labels of the rows it is given."""
+    the labels of the rows it is given.  Null and empty texts get a score
+    like any other; without labels nothing is rejected."""
     return quality.keep_good(docs, read_table(spark, sf_dir, "labels"))
 
 
 def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies (five words, 0.8)."""
+    """One document of each group of near copies (five words, 0.8), that of the
+    smallest doc_id; of repeated rows one.  Texts without a word, null ones
+    among them, all stay."""
     return jaccard.keep_one(docs)
 
 
 def without_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Passages of 20 words and more that also start earlier are cut out; a
-    text that loses none stays as it is."""
-    cols = docs.columns
-    d = substring.remove_repeats(docs)
-    d = d.withColumn("text", F.when(F.col("n_removed") > 0, F.col("kept_text")).otherwise(F.col("text")))
-    if "n_chars" in cols:
-        d = d.withColumn("n_chars", F.when(F.col("n_removed") > 0, F.length("text").cast("long")).otherwise(F.col("n_chars")))
-    return d.select(*[F.col(f"`{c}`") for c in cols])
+    """Passages of 20 words and more that also start earlier (smaller doc_id,
+    a null one last) are cut out; a text that loses none stays as it is, null
+    or empty ones too."""
+    cut = F.col("n_removed") > 0
+    new = {"text": F.when(cut, F.col("kept_text")).otherwise(F.col("doc.text"))}
+    if "n_chars" in docs.columns:
+        kind = docs.schema["n_chars"].dataType
+        new["n_chars"] = F.when(cut, F.length("kept_text").cast(kind)).otherwise(F.col("doc.n_chars"))
+    return substring.marked(docs).select(*[new.get(c, F.col(f"doc.`{c}`")).alias(c) for c in docs.columns])
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The mixture by source weights; a document taken twice is two rows."""
+    """The mixture by source weights; a document taken twice is two rows.  A
+    null source is one of its own; texts without a word have no size and are
+    not taken."""
     return mixing.mixed_documents(docs)
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token counts and digests of ids and of the decoded bytes per row."""
+    """Token counts and digests of ids and of the decoded bytes per row; null
+    and empty texts have no token."""
     return bpe.encode_and_decode(docs)
 
 
@@ -67,11 +79,14 @@ STAGES = [
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over ``documents``; what each returns is kept as Parquet in
-    a folder of this run under the shared checkpoint folder."""
+    a folder of this run under the shared checkpoint folder until the next
+    stage is written; only the result's stays."""
     prepare(spark)
     folder = f"{ensure_checkpoint_dir(spark).rstrip('/')}/pipeline-{uuid.uuid4().hex}"
     docs = read_table(spark, sf_dir, "documents")
     for k, (name, stage) in enumerate(STAGES):
         stage(spark, docs, sf_dir).write.parquet(f"{folder}/{k}-{name}")
         docs = spark.read.parquet(f"{folder}/{k}-{name}")
+        if k:
+            delete_folder(spark, f"{folder}/{k - 1}-{STAGES[k - 1][0]}")
     return docs

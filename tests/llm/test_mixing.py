@@ -73,3 +73,35 @@ def test_buckets_do_not_change_the_order(spark, monkeypatch):
     one = sorted((g["doc_id"], g["taken"]) for g in mixing.mix_sources(d).collect())
     monkeypatch.setattr(mixing, "BUCKET_ROWS", 5)
     assert one == sorted((g["doc_id"], g["taken"]) for g in mixing.mix_sources(d).collect())
+
+
+def test_sequence_is_fair_queueing(spark):
+    """The rows taken, and their order, against a plain queue: sources advance
+    by size over target, each in the order of its shuffle."""
+    from pyspark.sql import functions as F
+    docs = [(i, "w " * (1 + i * 7 % 11), "en", [None, "a", "b", "c"][min(3, i % 7)], 0) for i in range(120)]
+    docs += [(5, "w " * 3, "en", "a", 0), (200, None, "en", "b", 0), (201, "", "en", "lone", 0)]
+    d = spark.createDataFrame(docs, DOCS)
+    sizes = mixing.document_sizes(mixing.stable(d))
+    t = {r.source: r for r in mixing.source_targets(sizes).collect()}
+    seq = [(r.row, r.epoch, r.position) for r in mixing.mixture(sizes, mixing.source_targets(sizes)).orderBy("position", "row").collect() if r["size"]]
+    shuffled = sizes.withColumn("h", F.shiftrightunsigned(F.xxhash64(F.lit(mixing.SEED), "doc_id"), 1)).collect()
+    _, target = targets(docs)
+    queue = []
+    for s in target:
+        mine = sorted((r for r in shuffled if r.source == s), key=lambda r: (r.h, r.doc_id, r.row))
+        total = sum(r["size"] for r in mine)
+        assert t[s].target == pytest.approx(target[s])
+        for epoch in range(1, 4) if total else ():
+            done = 0
+            for r in mine:
+                done += r["size"]
+                queue.append((((epoch - 1) * total + done) / t[s].target, t[s].source_rank, r.h, r.row, epoch, r["size"]))
+    want, at, budget = [], 0, sum(target.values())
+    for finish, _, _, row, epoch, size in sorted(queue):
+        at += size
+        if at > budget + 0.5:
+            break
+        if size:
+            want.append((row, epoch, at))
+    assert seq == want and len(want) > 100

@@ -64,3 +64,46 @@ def test_statistics_of_a_text(spark):
     assert x["distinct_words"] == pytest.approx(4 / 6)
     assert x["distinct_lines"] == pytest.approx(2 / 3)
     assert x["word_max"] == 3
+
+
+def test_splits_are_the_best_of_all_borders():
+    """Every split of the boosted trees against a search over all borders,
+    by sums over the rows themselves."""
+    rng = np.random.default_rng(11)
+    x = rng.normal(size=(300, 4)).astype(np.float32)
+    x[:, 3] = np.round(x[:, 3])                       # a statistic of few values
+    y = ((x[:, 0] + 0.5 * x[:, 3] > 0.2) ^ (x[:, 1] > 0.8)).astype(float)
+    depth, trees = 3, 5
+    model = quality.fit(x, y, trees=trees, depth=depth)
+    borders = [np.unique(np.quantile(x[:, j], np.linspace(0, 1, quality.BINS + 1)[1:-1])).astype(np.float32) for j in range(4)]
+    margin = np.full(len(x), model.base)
+    split = 0
+    for t in range(trees):
+        p = 1 / (1 + np.exp(-margin))
+        g, h = p - y, p * (1 - p)
+
+        def part(mask):
+            return g[mask].sum() ** 2 / (h[mask].sum() + quality.L2)
+        node = np.zeros(len(x), dtype=int)
+        for i in range(2 ** depth - 1):
+            here = node == i
+            best, at = 1e-6, None
+            for j, edges in enumerate(borders):
+                for b in edges:
+                    left, right = here & (x[:, j] <= b), here & (x[:, j] > b)
+                    if h[left].sum() >= quality.MIN_WEIGHT and h[right].sum() >= quality.MIN_WEIGHT:
+                        gain = part(left) + part(right) - part(here)
+                        if gain > best + 1e-9:
+                            best, at = gain, (j, b)
+            if at is None:
+                assert model.border[t, i] == np.inf
+            else:
+                split += 1
+                j, b = model.feature[t, i], model.border[t, i]
+                assert part(here & (x[:, j] <= b)) + part(here & (x[:, j] > b)) - part(here) == pytest.approx(best)
+            node[here] = 2 * i + 1 + (x[here, model.feature[t, i]] > model.border[t, i])
+        for leaf in range(2 ** depth):
+            mine = node == 2 ** depth - 1 + leaf
+            assert model.leaf[t, leaf] == pytest.approx(-quality.RATE * g[mine].sum() / (h[mine].sum() + quality.L2), abs=1e-12)
+        margin += model.leaf[t, node - (2 ** depth - 1)]
+    assert split > 20

@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 
 from affinity.llm import packing as P
 from affinity.llm import text as T
-from affinity.llm.common import cut, cut_narrow, pick_rows, prepare, stable
+from affinity.llm.common import cut, cut_narrow, narrow_parts, pick_rows, prepare, stable
 from affinity.llm.components import components
 
 SHINGLE = 5
@@ -207,7 +207,9 @@ def _with_sets(pairs: DataFrame, docs: DataFrame, rows: DataFrame, size: int, a:
             yield pa.RecordBatch.from_arrays([batch.column("node"), pa.array(found, pa.binary())], names=["node", "set"])
     nodes = pairs.select(F.col(a).alias("node")).union(pairs.select(F.col(b).alias("node"))).distinct()
     wanted = _few(cut_narrow(rows.join(nodes, "node").select("row", "node")))
-    sets = cut(docs.select("row", "text").join(wanted, "row").select("node", "text").mapInArrow(run, "node long, set binary"))
+    # few of the texts that a scan task reads are wanted: several tasks' sets fit one file
+    sets = docs.select("row", "text").join(wanted, "row").select("node", "text").mapInArrow(run, "node long, set binary")
+    sets = cut(sets.coalesce(2 * narrow_parts(docs.sparkSession)))
     one = sets.select(F.col("node").alias(b), F.col("set").alias("set_b")).join(_few(pairs), b)
     return one.join(sets.select(F.col("node").alias(a), F.col("set").alias("set_a")), a)
 
@@ -325,7 +327,7 @@ def _verified_through_hubs(pairs: DataFrame, rank: DataFrame, with_sets, pct: in
     homes = best.join(ranked.select(F.col("node").alias("x"), F.col("o").alias("own")), "x").select(
         "x", F.least("o", "own")["node"].alias("h"))
     homes = cut_narrow(homes)
-    differences = cut(_differences(cut_narrow(homes.filter("h != x")), with_sets, pct))
+    differences = cut_narrow(_differences(cut_narrow(homes.filter("h != x")), with_sets, pct))
     for side in ("a", "b"):
         pairs = pairs.join(_few(homes.select(F.col("x").alias(side), F.col("h").alias(f"h_{side}"))), side)
     pairs = cut_narrow(pairs.filter("h_a != b and h_b != a"))        # the others are measured already
@@ -402,7 +404,7 @@ def node_components(docs: DataFrame, first: DataFrame, size: int, pct: int, chun
         # sizes alone put the others beyond ring 2
         near = families.filter("h != x").filter(
             100 * F.least("n", "n_h") >= (3 * pct - 200) * F.greatest("n", "n_h")).select("h", "x").distinct()
-        measured = cut(_measured(cut_narrow(near), with_sets, pct))
+        measured = cut_narrow(_measured(cut_narrow(near), with_sets, pct))
         link(measured.filter("ring = 0").select(F.col("h").alias("a"), F.col("x").alias("b")))
         pairs = _in_components(_in_components(_ring_candidates(measured, pct), labels, "a", "_a"), labels, "b", "_b")
         new = cut_narrow(_verified(cut_narrow(pairs.filter("_a != _b").select("a", "b")), with_sets, pct))

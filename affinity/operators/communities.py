@@ -17,15 +17,28 @@ Each round therefore
 Pairs are compared by (closeness, smaller id, larger id), one order for all,
 so the first pair of all always merges and ties cannot block a round.  Only
 edges and one row per merger are kept; a round's edges replace the last's.
+
+Parts that no edge joins do not touch each other's rounds.  A part of at most
+``LOCAL_EDGES`` edges therefore goes through all its rounds in one task, with
+the same numbers; a larger one goes on in rounds of Spark jobs until it has
+shrunk or fallen apart.  Parts are looked for again when half of the edges
+are gone, so that search stays in proportion to the edges.
 """
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from affinity.operators.lineage import Rounds, cut
 
+# Edges of a part that one task takes through its rounds: some 20 arrays of
+# eight bytes an edge at most, so about 170 MB.
+LOCAL_EDGES = 1 << 20
+
 
 def linkage_edges(edges: DataFrame) -> DataFrame:
     """(a, b, total, na, nb): every pair of single units once, a < b, with the
@@ -69,23 +82,136 @@ def merged_edges(e: DataFrame, mergers: DataFrame) -> DataFrame:
     return e.groupBy("a", "b").agg(F.sum("total").alias("total"), F.first("na").alias("na"), F.first("nb").alias("nb"))
 
 
-def merge_tree(edges: DataFrame) -> DataFrame:
+def local_rounds(t: pa.Table, n: int) -> pa.Table:
+    """All mergers among the edges ``t``, which hold whole parts; the first
+    round has number ``n``.  The rounds of the module's head, on arrays."""
+    k = t.num_rows
+    ends = pa.chunked_array([*t.column("a").chunks, *t.column("b").chunks])
+    ids = pc.unique(ends)
+    ids = ids.take(pc.sort_indices(ids))
+    code = pc.index_in(ends, ids).to_numpy().astype(np.int64)
+    a, b, total = code[:k], code[k:], t.column("total").to_numpy()
+    if total.sum(dtype=np.float64) >= 2.0 ** 63:
+        raise OverflowError("scores of a part add up to more than 64 bits")
+    units = len(ids)
+    size = np.ones(units, dtype=np.int64)
+    size[a], size[b] = t.column("na").to_numpy(), t.column("nb").to_numpy()
+    order = np.lexsort((b, a))
+    a, b, total = a[order], b[order], total[order]
+    found = []
+    while len(a):
+        # edges are in the order of (a, b): the first of the closest is a community's choice
+        close = total.astype(np.float64) / (size[a] * size[b]).astype(np.float64)
+        best = np.zeros(units)
+        choice = np.full(units, len(a))
+        for end in (a, b):
+            np.maximum.at(best, end, close)
+        for end in (a, b):
+            at = np.flatnonzero(close == best[end])
+            np.minimum.at(choice, end[at], at)
+        m = np.flatnonzero((choice[a] == choice[b]) & (choice[a] == np.arange(len(a))))
+        left, right = a[m], b[m]
+        found.append((np.full(len(m), n + len(found)), left, right, size[left], size[right], close[m]))
+        size[left] += size[right]
+        new = np.arange(units)
+        new[right] = left
+        a, b = new[a], new[b]
+        keep = a != b
+        pair, which = np.unique(np.minimum(a, b)[keep] * units + np.maximum(a, b)[keep], return_inverse=True)
+        merged = np.zeros(len(pair), dtype=np.int64)
+        np.add.at(merged, which, total[keep])
+        a, b, total = pair // units, pair % units, merged
+    rd, left, right, na, nb, height = (np.concatenate(c) for c in zip(*found))
+    return pa.table({"round": pa.array(rd, pa.int32()), "a": ids.take(pa.array(left)), "b": ids.take(pa.array(right)),
+                     "na": pa.array(na, pa.int64()), "nb": pa.array(nb, pa.int64()), "height": pa.array(height, pa.float64())})
+
+
+def roots(up: DataFrame, rounds: Rounds, name: str) -> DataFrame:
+    """(node, up) of a kept forest with every ``up`` replaced by its root."""
+    n, moved = 0, True
+    while moved:                       # each round halves the way to the root
+        above = up.select(F.col("node").alias("up"), F.col("up").alias("higher"))
+        step = up.join(above, "up", "left").select("node", F.coalesce("higher", "up").alias("up"), F.col("higher").isNotNull().alias("moved"))
+        step = rounds.keep(step, f"{name}{n + 1}")
+        if n:
+            rounds.drop(f"{name}{n}")
+        up, n, moved = step.select("node", "up"), n + 1, not step.where("moved").isEmpty()
+    return up
+
+
+def parts(e: DataFrame, rounds: Rounds, name: str) -> DataFrame:
+    """(node, part) for all ends of the edges: one part for what edges join.
+    Every node hangs on its smallest neighbour, trees become nodes, and so on
+    while edges are left between trees."""
+    links, of, n = e.select("a", "b"), None, 0
+    while of is None or not links.isEmpty():
+        ends = links.select("a", "b").union(links.select("b", "a")).toDF("node", "other")
+        up = ends.groupBy("node").agg(F.min("other").alias("up"))
+        up = rounds.keep(up, f"{name}_low{n}")
+        root = roots(up.where("up < node"), rounds, f"{name}_up{n}_")
+        if of is None:
+            of = up.select("node").join(root, "node", "left").select("node", F.coalesce("up", "node").alias("part"))
+        else:
+            of = of.join(root.toDF("part", "up"), "part", "left").select("node", F.coalesce("up", "part").alias("part"))
+        of = rounds.keep(of, f"{name}{n}")
+        for end in ("a", "b"):
+            links = links.join(root.toDF(end, "up"), end, "left").withColumn(end, F.coalesce("up", end)).drop("up")
+        links = rounds.keep(links.where("a != b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), f"{name}_links{n}")
+        n += 1
+    return of
+
+
+def finish_parts(e: DataFrame, rounds: Rounds, n: int, local_edges: int, schema) -> tuple[DataFrame, DataFrame | None]:
+    """From round ``n`` on: all mergers of the parts of at most
+    ``local_edges`` edges, and the edges of the others (None: there are none)."""
+    def finish(t: pa.Table) -> pa.Table:
+        return local_rounds(t, n)
+    if e.count() <= local_edges:
+        return e.groupBy().applyInArrow(finish, schema), None
+    of = parts(e, rounds, f"parts{n}_").withColumnRenamed("node", "a")
+    e = e.join(of, "a")
+    held = rounds.keep(e.groupBy("part").agg(F.count(F.lit(1)).alias("n")), f"sizes{n}")
+    # a task takes one part, or many that are small beside the bound
+    few = 16 * F.col("n") <= local_edges
+    edges_of_few = held.where(few).agg(F.sum("n")).first()[0] or 0
+    bins = 1 + 2 * edges_of_few // max(1, local_edges)
+    small = held.where(F.col("n") <= local_edges).select(
+        "part", F.when(~few, F.col("part")).alias("one"), F.when(few, F.pmod(F.xxhash64("part"), F.lit(bins))).alias("bin"))
+    done = e.join(small, "part").drop("part").groupBy("one", "bin").applyInArrow(finish, schema)
+    return done, e.join(small.select("part"), "part", "left_anti").drop("part")
+
+
+def merge_tree(edges: DataFrame, local_edges: int = LOCAL_EDGES) -> DataFrame:
     """All mergers: (round, a, b, na, nb, height).  Community b (its smallest
     unit's id) joins a; na and nb are their sizes before, height is their
     closeness.  Every id is a ``b`` at most once.  Rounds go on until no edge
     is left; a round without a merger while edges are left would be an error."""
     none = linkage_edges(edges).select(F.lit(0).alias("round"), "a", "b", "na", "nb", F.lit(0.0).alias("height")).limit(0)
     with Rounds(edges.sparkSession, "communities") as rounds:
-        e, found = rounds.keep(linkage_edges(edges), "edges0"), []
+        e, found, n, looked = rounds.keep(linkage_edges(edges), "edges0"), [], 0, None
+        last = "edges0"
         while not e.isEmpty():
-            n = len(found)
-            m = rounds.keep(mutual_choices(e).withColumn("round", F.lit(n)), f"mergers{n}")
+            left = e.count()
+            if local_edges and (looked is None or 2 * left <= looked or left <= local_edges):
+                looked = left
+                done, rest = finish_parts(e, rounds, n, local_edges, none.schema)
+                rounds.keep(done.select(none.columns), f"finished{n}")
+                found.append(f"finished{n}")
+                if rest is None:
+                    break
+                e = rounds.keep(rest, f"rest{n}")
+                rounds.drop(last)
+                last = f"rest{n}"
+                continue
+            m = rounds.keep(mutual_choices(e).withColumn("round", F.lit(n)).select(none.columns), f"mergers{n}")
             if m.isEmpty():
                 raise RuntimeError("edges are left, but no two communities chose each other")
             found.append(f"mergers{n}")
-            e = rounds.keep(merged_edges(e, m), f"edges{n + 1}")
-            rounds.drop(f"edges{n}")
-        return cut(rounds.read(found, m.schema).select(none.columns)) if found else none
+            n += 1
+            e = rounds.keep(merged_edges(e, m), f"edges{n}")
+            rounds.drop(last)
+            last = f"edges{n}"
+        return cut(rounds.read(found, none.schema)) if found else none
 
 
 def cut_tree(units: DataFrame, tree: DataFrame, k: int) -> DataFrame:
@@ -101,13 +227,7 @@ def cut_tree(units: DataFrame, tree: DataFrame, k: int) -> DataFrame:
     last = tree.orderBy("height", F.desc("round"), F.desc("a"), F.desc("b")).limit(undone).select("a", "b")
     up = tree.join(last, ["a", "b"], "left_anti").select(F.col("b").alias("node"), F.col("a").alias("up"))
     with Rounds(units.sparkSession, "cut") as rounds:
-        up, n, moved = rounds.keep(up, "up0"), 0, True
-        while moved:                       # each round halves the way to the root
-            above = up.select(F.col("node").alias("up"), F.col("up").alias("higher"))
-            step = up.join(above, "up", "left").select("node", F.coalesce("higher", "up").alias("up"), F.col("higher").isNotNull().alias("moved"))
-            step = rounds.keep(step, f"up{n + 1}")
-            rounds.drop(f"up{n}")
-            up, n, moved = step.select("node", "up"), n + 1, not step.where("moved").isEmpty()
+        up = roots(rounds.keep(up, "up0"), rounds, "up")
         found = u.join(up, F.col("unit") == F.col("node"), "left").select("unit", F.coalesce("up", "unit").alias("community"))
         return cut(found)
 

@@ -125,3 +125,29 @@ def test_agreement_of_trivial_and_empty_groupings(spark):
     assert (r.n_units, r.rand_index, r.adjusted_rand) == (1, None, None)
     r = C.agreement(C.contingency(one.limit(0), one)).first()
     assert (r.n_units, r.n_left, r.same_both, r.adjusted_rand) == (0, 0, 0, None)
+
+
+@pytest.mark.parametrize("seed,density,scores", [(2, 0.3, 5), (3, 0.1, 2)])
+def test_parts_in_one_task_give_the_rounds_of_jobs(spark, seed, density, scores):
+    """With many ties, parts of several sizes and any bound on a task's edges."""
+    rnd = random.Random(seed)
+    edges = [(a, b, rnd.randrange(1, scores)) for a, b in combinations(range(14), 2) if rnd.random() < density]
+    edges += [(100 + a, 100 + b, 1) for a, b in combinations(range(5), 2)] + [(200 + 2 * i, 201 + 2 * i, 3) for i in range(9)]
+    e = frame(spark, edges)
+    by_jobs = sorted(C.merge_tree(e, local_edges=0).collect())
+    for bound in (10, 10 ** 6):
+        assert sorted(C.merge_tree(e, local_edges=bound).collect()) == by_jobs
+
+
+def test_small_parts_need_no_round_of_jobs(spark, monkeypatch):
+    """Parts of a chain of mergers, each below the bound, together above it."""
+    def refuse(e):
+        raise AssertionError("a round of jobs")
+    monkeypatch.setattr(C, "mutual_choices", refuse)
+    chain = [(100 * p + i, 100 * p + i + 1, 10 + i) for p in range(4) for i in range(12)]
+    assert C.merge_tree(frame(spark, chain), local_edges=12).count() == 48
+
+
+def test_text_ids_in_one_task(spark):
+    e = spark.createDataFrame([("b", "a", 5), ("é", "z", 5), ("a", "z", 1)], "u1 string, u2 string, w long")
+    assert sorted(C.merge_tree(e).collect()) == sorted(C.merge_tree(e, local_edges=0).collect())

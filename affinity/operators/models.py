@@ -9,7 +9,7 @@ Nothing edge-sized is collected, and no vector table is kept.
 
 from __future__ import annotations
 
-from typing import Sequence
+from typing import NamedTuple, Sequence
 
 import numpy as np
 from pyspark.ml.classification import NaiveBayes, NaiveBayesModel
@@ -120,13 +120,19 @@ def least_squares(train: DataFrame, features: Sequence[str], label: str) -> tupl
     return [float(x) for x in b], float(intercept), float(max(left, 0.0) ** 0.5), r.n
 
 
-def predict_linear(model: LinearRegressionModel, df: DataFrame, features: Sequence[str],
+class LinearForm(NamedTuple):
+    """Coefficients and intercept, as a fitted model names them."""
+    coefficients: list[float]
+    intercept: float
+
+
+def predict_linear(model: LinearRegressionModel | LinearForm, df: DataFrame, features: Sequence[str],
                    prediction: str = "prediction") -> DataFrame:
     """Rows with all features, and the fitted linear form as a column."""
     return df.dropna(subset=list(features)).withColumn(prediction, linear_form(model, features))
 
 
-def linear_form(model: LinearRegressionModel, features: Sequence[str]) -> Column:
+def linear_form(model: LinearRegressionModel | LinearForm, features: Sequence[str]) -> Column:
     """``x . coefficients + intercept`` as a plain column expression."""
     expr = F.lit(float(model.intercept))
     for f, c in zip(features, model.coefficients):

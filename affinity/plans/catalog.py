@@ -385,7 +385,10 @@ def regression_result(b):
 
 def _predicted(b) -> DataFrame:
     feats = M.FEATURES_PAIR_ONE
-    return M.predict_linear(M.fit_linear(_train_pairs(b), feats, "ln_w"), _features(b), feats)
+    fit = M.least_squares(_train_pairs(b), feats, "ln_w")
+    if fit is None:
+        raise ValueError("no training pairs to fit the predictions on")
+    return M.predict_linear(M.LinearForm(*fit[:2]), _features(b), feats)
 
 
 @query

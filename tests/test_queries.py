@@ -109,3 +109,14 @@ def test_no_job_runs_while_a_query_is_built(spark):
 def test_no_single_task_exchange_before_edge_joins(spark):
     for name in ("pair_features", "border_effect", "edge_level", "title_match", "same_group_pairs"):
         assert "SinglePartition" not in _plan(E.queries()[name](spark, SF001)), name
+
+
+def test_predictions_read_the_training_pairs_once(spark, monkeypatch):
+    """The fit is one aggregation, not a model fit over rows of vectors."""
+    from affinity.operators import models as M
+    from affinity.plans.binding import Binding
+    from affinity.plans.catalog import run
+    monkeypatch.setattr(M, "fit_linear", None)
+    b = Binding(spark, SF001, keep=False)
+    rows = run("regression_predictions", b).collect()
+    assert rows and all(r.prediction is not None for r in rows)

@@ -536,8 +536,10 @@ def _unit_chain(b) -> list:
             prep.VectorIndexer(feats, M.MAX_CATEGORIES, "keep"), T.DecisionTree(feats, "attitude_class")]
 
 
-def _fitted_chain(b):
-    return chains.Chain(_unit_chain(b)).fit(cut(_unit_table(b).where(M.unit_split())))
+def _fitted_chain(b, units: DataFrame | None = None):
+    """The chain of the training units; ``units`` is the unit table if it is kept already."""
+    train = cut(_unit_table(b).where(M.unit_split())) if units is None else units.where(M.unit_split())
+    return chains.Chain(_unit_chain(b)).fit(train)
 
 
 @query
@@ -587,10 +589,11 @@ def tree_nodes(b):
 
 def _tree_predictions(b) -> DataFrame:
     """Held-out units through the chain after it was saved and loaded."""
+    units = cut(_unit_table(b))      # the edges are read once for both parts
     with Rounds(b.spark, "chain") as folder:
-        _fitted_chain(b).save(b.spark, f"{folder.folder}/saved")
+        _fitted_chain(b, units).save(b.spark, f"{folder.folder}/saved")
         model = chains.load(b.spark, f"{folder.folder}/saved")
-        held_out = _unit_table(b).where(~M.unit_split() & F.col("attitude_class").isNotNull())
+        held_out = units.where(~M.unit_split() & F.col("attitude_class").isNotNull())
         return cut(model.transform(held_out).select("unit", "attitude_class", "prediction"))
 
 

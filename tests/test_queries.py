@@ -120,3 +120,17 @@ def test_predictions_read_the_training_pairs_once(spark, monkeypatch):
     b = Binding(spark, SF001, keep=False)
     rows = run("regression_predictions", b).collect()
     assert rows and all(r.prediction is not None for r in rows)
+
+
+def test_tree_accuracy_reads_the_edges_once(spark, monkeypatch):
+    from affinity.operators import edges as E
+    from affinity.plans.binding import Binding
+    from affinity.plans.catalog import run
+    calls, plain = [], E.unit_score
+
+    def counted(*args, **kwargs):
+        calls.append(args)
+        return plain(*args, **kwargs)
+    monkeypatch.setattr(E, "unit_score", counted)
+    assert run("tree_accuracy", Binding(spark, SF001, keep=False)).first().n > 0
+    assert len(calls) == 1

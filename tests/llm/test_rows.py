@@ -64,3 +64,14 @@ def test_vectors(spark, scratch, cores):
     vectors = many_files(spark, scratch, rows, "vec_id long, embedding array<double>")
     want, got = both(cores, lambda: ann.search(vectors, "vec_id % 20 = 0", k=5))
     assert got == want and got
+
+
+def test_powers_hold_what_was_asked_for():
+    """Doubling held up to twice the powers in every worker."""
+    from affinity.llm import text as T
+    p = T._Powers(T._WORD_BASE)
+    n = (1 << 17) + 1
+    up, down = p.to(n)
+    assert len(up) == len(down) == n and len(p.up) <= n + T.POWERS_STEP
+    assert [int(x) for x in up[:3]] == [pow(int(p.base), k, 1 << 64) for k in range(3)]
+    assert (up * down == 1).all()

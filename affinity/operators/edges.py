@@ -112,13 +112,34 @@ def unit_score(edges: DataFrame, how: str = "avg", unit: str = "u1", w: str = "w
     return edges.groupBy(F.col(unit).alias("unit")).agg(fn(w).alias(alias or f"{how}_score"))
 
 
+def unit_sums(edges: DataFrame) -> DataFrame:
+    """(unit, total, n): per source unit, the sum of its scores (in double, as
+    a mean adds them up) and their number.  Unit means and the mean over all
+    edges both follow from it, so the edges are read once for the two."""
+    return edges.groupBy(F.col("u1").alias("unit")).agg(F.sum(F.col("w").cast("double")).alias("total"), F.count("w").alias("n"))
+
+
+def unit_means(sums: DataFrame, alias: str = "avg_score") -> DataFrame:
+    """Mean score per unit, from :func:`unit_sums`."""
+    return sums.select("unit", F.try_divide("total", "n").alias(alias))
+
+
+def mean_score(sums: DataFrame) -> DataFrame:
+    """One row: the mean score of all edges, from :func:`unit_sums`."""
+    return sums.agg(F.try_divide(F.sum("total"), F.sum("n")).alias("mean"))
+
+
 def score_with_coords(edges: DataFrame, coords: DataFrame, how: str = "avg",
                       box: Box | None = BOX_CONTIGUOUS, alias: str | None = None) -> DataFrame:
     """Map data: per source unit, its mean / max score and coordinates,
     keeping units inside ``box``.  The box filter is on the coordinate side
     only, so Catalyst applies it before the join."""
     col = alias or f"{how}_score"
-    stats = unit_score(edges, how=how, alias=col)
+    return with_coords(unit_score(edges, how=how, alias=col), coords, col, box)
+
+
+def with_coords(stats: DataFrame, coords: DataFrame, col: str, box: Box | None = BOX_CONTIGUOUS) -> DataFrame:
+    """Unit scores (unit, ``col``) with coordinates, inside ``box``."""
     c = coords.select("unit", "lon", "lat")
     if box is not None:
         c = c.where(in_box("lon", "lat", box))

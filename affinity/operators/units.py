@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from affinity.functions.geo import BOX_CONTIGUOUS, Box, in_box
 from affinity.functions.numeric import to_double
-from affinity.operators.edges import score_with_coords
+from affinity.operators.edges import unit_score, with_coords
 from affinity.operators.matching import contains_join
 
 # Series measure codes (suffix of the series id) as used by
@@ -78,10 +78,12 @@ def level_by_unit(values: DataFrame, dictionary: DataFrame, region_names: DataFr
 
 
 def unit_profile(edges: DataFrame, coords: DataFrame, level: DataFrame, attitudes: DataFrame,
-                 results: DataFrame, box: Box = BOX_CONTIGUOUS) -> DataFrame:
+                 results: DataFrame, box: Box = BOX_CONTIGUOUS, means: DataFrame | None = None) -> DataFrame:
     """Per unit: mean score, coordinates (inside the box), level, result
-    share and the five attitude shares.  All inner joins on ``unit``."""
-    avg = score_with_coords(edges, coords, how="avg", box=box, alias="avg")
+    share and the five attitude shares.  All inner joins on ``unit``.
+    ``means`` are the unit means (unit, avg), if they are at hand already."""
+    means = means if means is not None else unit_score(edges, "avg", alias="avg")
+    avg = with_coords(means, coords, "avg", box)
     prof = (avg.join(level, "unit")
             .join(attitudes.select("unit", *SHARES), "unit")
             .join(results.select("unit", "result"), "unit"))

@@ -227,13 +227,18 @@ def edge_level(b):
     return E.attach_endpoint(b.edges, b.level, "u1", "", cols=["level"], small=b.small_units).select("u1", "u2", "w", "level")
 
 
+def _unit_sums(b) -> DataFrame:
+    kept = getattr(b, "unit_sums", None)  # inputs may keep them for all unit queries
+    return kept if kept is not None else E.unit_sums(b.edges)
+
+
 def _profile(b) -> DataFrame:
-    return U.unit_profile(b.edges, b.coords, b.level, b.attitudes, b.results)
+    return U.unit_profile(b.edges, b.coords, b.level, b.attitudes, b.results, means=E.unit_means(_unit_sums(b), "avg"))
 
 
 def _conn_threshold(b):
     t = b.params.conn_threshold
-    return b.edges.agg(F.avg("w")).scalar() if t is None else float(t)
+    return E.mean_score(_unit_sums(b)).scalar() if t is None else float(t)
 
 
 @query
@@ -332,7 +337,7 @@ def pair_chain(b):
 @query
 def gap_correlation(b):
     """Correlation of ln score with each gap."""
-    g = P.gap_correlation(_features(b))
+    g = P.unit_gap_correlation(b.edges, _units_wide(b), small=b.small_units)
     return g.select(*[_r(c) for c in ("corr_ln_km", "corr_gap_att", "corr_gap_result", "corr_gap_rate")], "n_pairs")
 
 
@@ -524,7 +529,7 @@ def _unit_table(b) -> DataFrame:
     low = F.col("never") + F.col("rarely") + F.col("sometimes") > F.lit(b.params.attitude_threshold)
     label = F.when(low, 0.0).when(~low, 1.0).alias("attitude_class")
     d = b.names.select("unit", "grp")
-    for t in (b.coords.select("unit", "lat", "lon"), E.unit_score(b.edges, "avg").withColumnRenamed("avg_score", "avg"),
+    for t in (b.coords.select("unit", "lat", "lon"), E.unit_means(_unit_sums(b), "avg"),
               level, b.results.select("unit", "result"), b.attitudes.select("unit", label)):
         d = d.join(t, "unit", "left")
     return d

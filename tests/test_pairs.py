@@ -91,3 +91,38 @@ def test_chain_of_bucketed_pair_tables_moves_no_edges(spark):
     table = b._pair_table
     b.release()
     assert not spark.catalog.tableExists(table)
+
+
+def test_rate_gaps_equal_all_pairs_of_rates():
+    import numpy as np
+    rnd = np.random.default_rng(5)
+    left = [np.sort(np.round(rnd.random(k), 1)) for k in (1, 3, 0, 7, 1, 2)]
+    right = [np.sort(np.round(rnd.random(k), 1)) for k in (1, 4, 2, 5, 6, 0)]
+    first = [np.concatenate([[0], np.cumsum([len(x) for x in side])]) for side in (left, right)]
+    total, squares = P.rate_gaps(first[0], np.concatenate(left), first[1], np.concatenate(right))
+    gaps = [np.abs(a[:, None] - b[None, :]) for a, b in zip(left, right)]
+    assert np.allclose(total, [g.sum() for g in gaps]) and np.allclose(squares, [(g * g).sum() for g in gaps])
+
+
+def test_gap_correlation_makes_no_row_for_each_pair_of_matches(spark):
+    """Units with many rates (nulls among them), repeated unit rows: the same
+    correlations as from the written out pairs, but no join gives more rows
+    than there are pairs of distinct unit rows."""
+    rates = [(1, 0.1 * i, float(i % 7)) for i in range(40)] + [(2, 0.3 * i, 2.0) for i in range(30)] + [(3, 0.5, 1.0), (3, None, 1.0), (4, 0.9, 4.0), (5, None, 3.0)]
+    units = [(u, 30.0 + u, -100.0 + 2 * u * u, r, 0.1 * u, None if u == 5 else 0.02 * u * u) for u, r, _ in rates] + [(4, 34.0, -68.0, 0.9, 0.4, 0.32)]
+    wide = spark.createDataFrame(units, "unit long, lat double, lon double, rate double, result double, att double")
+    edges = spark.createDataFrame([(a, b, 1000 * a + 37 * b * b) for a in range(1, 6) for b in range(1, 6) if a != b], "u1 long, u2 long, w long")
+    want = P.gap_correlation(P.pair_features(edges, wide)).first()
+    got = P.unit_gap_correlation(edges, wide).first()
+    assert got.n_pairs == want.n_pairs > 2000
+    for c in P.GAPS:
+        assert abs(got[c] - want[c]) < 1e-9
+    empty = P.unit_gap_correlation(edges.limit(0), wide).first()
+    assert empty.n_pairs == 0 and all(empty[c] is None for c in P.GAPS)
+
+
+def test_gap_correlation_query_joins_one_row_a_unit(spark):
+    """The query's joins get one row a unit, not one a title match."""
+    from affinity.plans import catalog
+    plan = catalog.run("gap_correlation", Binding(spark, SF01, keep=False))._jdf.queryExecution().optimizedPlan().toString()
+    assert "collect_list" in plan

@@ -134,3 +134,32 @@ def test_tree_accuracy_reads_the_edges_once(spark, monkeypatch):
     monkeypatch.setattr(E, "unit_score", counted)
     assert run("tree_accuracy", Binding(spark, SF001, keep=False)).first().n > 0
     assert len(calls) == 1
+
+
+def test_class_counts_read_the_index_once(spark):
+    """The threshold (a mean over all edges) and the unit means come from one
+    aggregation of the edges that is kept, not from a second read of them."""
+    from affinity.plans.binding import Binding
+    from affinity.operators import edges as E
+    from affinity.plans.catalog import run
+    b = Binding(spark, SF001, keep=True)
+    df = run("class_counts", b)
+    plan = df._jdf.queryExecution().analyzed().toString()
+    assert "avg(w" not in plan and "sum(cast(w" in plan       # neither mean reads the edges on its own
+    assert b.unit_sums.storageLevel.useMemory
+    want = b.edges.groupBy("u1").agg({"w": "avg"}).toDF("unit", "avg")
+    assert {r.unit: r.avg for r in E.unit_means(b.unit_sums, "avg").collect()} == {r.unit: r.avg for r in want.collect()}
+    assert abs(E.mean_score(b.unit_sums).first().mean - b.edges.selectExpr("avg(w) AS m").first().m) < 1e-6
+    assert df.first().n_rows > 0
+    b.release()
+
+
+def test_results_need_no_monthly_rows(spark):
+    """Shares come from one aggregation to units; null flags are not counted."""
+    from affinity.plans.binding import Binding
+    b = Binding(spark, SF001, keep=False)
+    plan = b.results._jdf.queryExecution().analyzed().toString()
+    assert "month(" not in plan and plan.count("Aggregate") == 1
+    got = {r.unit: r.result for r in b.results.collect()}
+    m = b.monthly.groupBy("unit").agg({"n_r": "sum", "n_flag": "sum"}).collect()
+    assert got == {r.unit: r["sum(n_r)"] / r["sum(n_flag)"] for r in m}

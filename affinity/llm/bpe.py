@@ -24,6 +24,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from affinity.llm import text as T
 from affinity.llm.common import stable
 
 CHUNK = 32_768          # characters a chunk answers for
@@ -228,6 +229,7 @@ def _over(df: DataFrame, text: str, schema: str, fn) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             yield fn(batch, batch.column(text).to_pylist())
+        T.give_back()
     return df.mapInArrow(run, schema)
 
 

@@ -116,6 +116,7 @@ def _first_pass(docs: DataFrame, size: int) -> DataFrame:
                  pa.nulls(SEGMENTS, pa.int64()), pa.array(range(SEGMENTS), pa.int32()),
                  pa.array([p.astype("<i8").tobytes() for p in parts], pa.binary())],
                 names=["row", "doc_id", "n", "node", "seg", "cells"])
+        T.give_back()
     return cut(docs.mapInArrow(run, f"row long, doc_id {id_type.simpleString()}, n int, node long, seg int, cells binary"))
 
 
@@ -163,6 +164,8 @@ def _live_postings(docs: DataFrame, excess: np.ndarray, size: int, pct: int, chu
             yield pa.RecordBatch.from_arrays(
                 [pa.array(list(c), t) for c, t in zip(cols, (pa.int32(), pa.int64(), pa.int32(), pa.int32(), pa.binary()))],
                 names=["chunk", "node", "n", "l", "toks"])
+        seen.clear()
+        T.give_back()
     dealt = docs.select("text").mapInArrow(prefixes, "chunk int, node long, n int, l int, toks binary")
     buckets = chunks * BUCKETS_PER_CHUNK
 
@@ -175,7 +178,8 @@ def _live_postings(docs: DataFrame, excess: np.ndarray, size: int, pct: int, chu
         return t, tok, owner, P.groups(tok >> np.uint64(64 - P.BITS))
 
     def send(key, t):
-        _, _, _, (u, _, count) = tokens(t)
+        u, _, count = tokens(t)[3]
+        T.give_back()
         return P.send(key[0].as_py(), u, count > 1, buckets)
 
     def pick(key, t, replies):
@@ -185,6 +189,7 @@ def _live_postings(docs: DataFrame, excess: np.ndarray, size: int, pct: int, chu
         t, tok, owner, (u, which, _) = tokens(t)
         met = P.answer(replies, 0, P.borders(u, buckets), len(u))[which]
         own = owner[met]
+        T.give_back()
         return pa.table([pa.array(tok[met].view(np.int64)), *[pa.array(t.column(c).to_numpy()[own]) for c in names[1:]]],
                         names=names)
     met = dealt.groupBy("chunk").applyInArrow(send, P.ENTRY).groupBy("bucket").applyInArrow(P.meet, P.REPLY)
@@ -205,6 +210,7 @@ def _with_sets(pairs: DataFrame, docs: DataFrame, rows: DataFrame, size: int, a:
         for batch in batches:
             found = [u.astype("<u8").tobytes() for _, u in shingles(batch.column("text"), size)]
             yield pa.RecordBatch.from_arrays([batch.column("node"), pa.array(found, pa.binary())], names=["node", "set"])
+        T.give_back()
     nodes = pairs.select(F.col(a).alias("node")).union(pairs.select(F.col(b).alias("node"))).distinct()
     wanted = _few(cut_narrow(rows.join(nodes, "node").select("row", "node")))
     # few of the texts that a scan task reads are wanted: several tasks' sets fit one file
@@ -229,6 +235,7 @@ def _verified(pairs: DataFrame, with_sets, pct: int) -> DataFrame:
                 shared = int((both[1:] == both[:-1]).sum())
                 keep.append(100 * shared >= pct * (len(both) - shared))
             yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b")], names=["a", "b"]).filter(pa.array(keep))
+        T.give_back()
     return with_sets(pairs, "a", "b").select("a", "b", "set_a", "set_b").mapInArrow(run, "a long, b long")
 
 

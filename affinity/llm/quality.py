@@ -145,6 +145,7 @@ def statistics(docs: DataFrame, text: str = "text") -> DataFrame:
                 None, pa.py_buffer(np.arange(0, (len(x) + 1) * width, width, dtype=np.int32)),
                 pa.py_buffer(np.ascontiguousarray(x))])
             yield pa.RecordBatch.from_arrays([b.column(0), bits], names=["doc_id", "stats"])
+        T.give_back()
     return cut(src.mapInArrow(run, f"doc_id {id_type}, stats binary"))
 
 
@@ -273,6 +274,7 @@ def keep_good(docs: DataFrame, labels: DataFrame, text: str = "text") -> DataFra
         for b in batches:
             s = model.value.score(batch_statistics(b.column(text)))
             yield b.filter(pa.array(s >= KEEP_FROM))
+        T.give_back()
     return docs.mapInArrow(run, docs.schema)
 
 

@@ -25,6 +25,8 @@ a bucket no more than one entry per chunk.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -42,11 +44,14 @@ PERIOD = 13
 COVER = (0, 1, 3, 9)
 ANCHOR = WINDOW - PERIOD + 1
 BUCKETS_PER_CHUNK = 2
+BLOCK_WORDS = 1 << 16     # some ten arrays of eight bytes a word are held for a run of rows
 _NULL_ID = np.iinfo(np.int64).max
 
 
 class Chunk:
-    """Words, anchors and windows of one chunk's texts."""
+    """Words, anchors and windows of one chunk's texts.  All but the words'
+    hashes is made for runs of rows of about ``BLOCK_WORDS`` words (one row at
+    least), so what a task holds beside the chunk does not follow its size."""
 
     def __init__(self, texts, ids, window: int = WINDOW):
         self.window, self.ids = window, ids
@@ -58,31 +63,51 @@ class Chunk:
         self.words = np.concatenate(hashes) if hashes else np.zeros(0, dtype=np.uint64)
         self.counts = np.concatenate(counts) if counts else np.zeros(0, dtype=np.int64)
         self.first = np.concatenate([[0], np.cumsum(self.counts)])
-        self.grams = T.Grams(self.words)
 
-    def _positions(self, length: int) -> tuple[np.ndarray, np.ndarray]:
-        """(index, row) of every run of ``length`` words in rows that hold a window."""
-        n = np.where(self.counts >= self.window, self.counts - length + 1, 0)
-        return T.spread(self.first[:-1], n)
+    def _blocks(self) -> Iterator[tuple[int, int, int, int]]:
+        """(row, end row, word, end word) of each run of rows."""
+        lo, n = 0, len(self.counts)
+        while lo < n:
+            hi = int(np.searchsorted(self.first, self.first[lo] + BLOCK_WORDS, side="right")) - 1
+            hi = min(n, max(hi, lo + 1))
+            yield lo, hi, int(self.first[lo]), int(self.first[hi])
+            lo = hi
+
+    def _positions(self, lo: int, hi: int, length: int) -> tuple[np.ndarray, np.ndarray]:
+        """(index, row) of every run of ``length`` words in rows from ``lo`` to ``hi`` that hold a window."""
+        counts = self.counts[lo:hi]
+        at, row = T.spread(self.first[lo:hi], np.where(counts >= self.window, counts - length + 1, 0))
+        return at, row + lo
 
     def anchors(self) -> tuple[np.ndarray, np.ndarray]:
         """Word indices and hashes (48 bits) of all anchors."""
-        at, row = self._positions(ANCHOR)
         cover = np.zeros(PERIOD, dtype=bool)
         cover[list(COVER)] = True
-        at = at[cover[(at - self.first[row]) % PERIOD]]
-        return at, self.grams.at(at, ANCHOR) >> np.uint64(64 - P.BITS)
+        found = [(np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.uint64))]
+        for lo, hi, begin, end in self._blocks():
+            at, row = self._positions(lo, hi, ANCHOR)
+            at = at[cover[(at - self.first[row]) % PERIOD]]
+            found.append((at, T.Grams(self.words[begin:end]).at(at - begin, ANCHOR) >> np.uint64(64 - P.BITS)))
+        at, h = zip(*found)
+        return np.concatenate(at), np.concatenate(h)
 
     def candidates(self, anchors: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Index, row and hash of every window that holds one of ``anchors``."""
-        step = np.zeros(len(self.words) + 1, dtype=np.int64)
-        np.add.at(step, np.maximum(anchors - (self.window - ANCHOR), 0), 1)
-        np.add.at(step, anchors + 1, -1)
-        near = np.cumsum(step[:-1]) > 0
-        at, row = self._positions(self.window)
-        use = near[at]
-        at, row = at[use], row[use]
-        return at, row, self.grams.at(at, self.window)
+        """Index, row and hash of every window that holds one of ``anchors`` (in ascending order)."""
+        found = [(np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.uint64))]
+        for lo, hi, begin, end in self._blocks():
+            a = anchors[slice(*np.searchsorted(anchors, [begin, end]))] - begin
+            if not len(a):
+                continue
+            step = np.zeros(end - begin + 1, dtype=np.int64)
+            np.add.at(step, np.maximum(a - (self.window - ANCHOR), 0), 1)
+            np.add.at(step, a + 1, -1)
+            near = np.cumsum(step[:-1]) > 0
+            at, row = self._positions(lo, hi, self.window)
+            use = near[at - begin]
+            at, row = at[use], row[use]
+            found.append((at, row, T.Grams(self.words[begin:end]).at(at - begin, self.window)))
+        at, row, h = zip(*found)
+        return np.concatenate(at), np.concatenate(row), np.concatenate(h)
 
 
 def _ids(column: pa.ChunkedArray) -> np.ndarray:
@@ -123,6 +148,8 @@ def marked(docs: DataFrame, text: str = "text", window: int = WINDOW) -> DataFra
     def send_anchors(key, t):
         c = Chunk(t.column("text"), None, window)
         h, _, count = P.groups(c.anchors()[1])
+        del c
+        T.give_back()
         return P.send(key[0].as_py(), h, count > 1, buckets)
 
     def candidates(t: pa.Table, replies: pa.Table):
@@ -170,27 +197,36 @@ def marked(docs: DataFrame, text: str = "text", window: int = WINDOW) -> DataFra
         a, b = order[1:], order[:-1]
         again[a] = (which[a] == which[b]) & (row[a] == row[b])
         at = at[gone | again]
-        step = np.zeros(len(c.words) + 1, dtype=np.int64)
+        step = np.zeros(len(c.words) + 1, dtype=np.int32)
         np.add.at(step, at, 1)
         np.add.at(step, at + window, -1)
-        removed = np.cumsum(step[:-1]) > 0
+        removed = np.cumsum(step[:-1], dtype=np.int32) > 0
         total = np.concatenate([[0], np.cumsum(removed)])
         n_removed = total[c.first[1:]] - total[c.first[:-1]]
-        kept = []
-        for i, value in enumerate(t.column("text").to_pylist()):
-            words = (value or "").encode("utf-8").split()    # splits at the very six bytes
-            if n_removed[i]:
-                flags = removed[c.first[i]:c.first[i + 1]].tolist()
-                words = [w for w, out in zip(words, flags) if not out]
-            kept.append(b" ".join(words).decode("utf-8"))
+        del step, total, at, row, which
+        kept, i = [], 0
+        for part in t.column("text").chunks:      # one Arrow batch at a time as Python strings
+            texts = []
+            for value in part.to_pylist():
+                words = (value or "").encode("utf-8").split()    # splits at the very six bytes
+                if n_removed[i]:
+                    flags = removed[c.first[i]:c.first[i + 1]].tolist()
+                    words = [w for w, out in zip(words, flags) if not out]
+                texts.append(b" ".join(words).decode("utf-8"))
+                i += 1
+            kept.append(pa.array(texts, pa.string()))
         return _result(t, c.counts, n_removed, kept)
 
     def _result(t, n_words, n_removed, kept) -> pa.Table:
         return pa.table([*[t.column(c) for c in ("doc_id", "text", "rest")], pa.array(n_words, pa.int64()),
-                         pa.array(n_removed, pa.int64()), pa.array(kept, pa.string())], names=out.names)
+                         pa.array(n_removed, pa.int64()), pa.chunked_array(kept, pa.string())], names=out.names)
 
     def by_chunk(left, right, fn, schema):
-        return left.groupBy("chunk").cogroup(right.groupBy("chunk")).applyInArrow(fn, schema)
+        def run(key, t, replies):
+            found = fn(key, t, replies)
+            T.give_back()
+            return found
+        return left.groupBy("chunk").cogroup(right.groupBy("chunk")).applyInArrow(run, schema)
     anchors = dealt.groupBy("chunk").applyInArrow(send_anchors, P.ENTRY)
     met = anchors.groupBy("bucket").applyInArrow(P.meet, P.REPLY)
     windows = by_chunk(dealt, met, send_windows, P.ENTRY)

@@ -64,3 +64,29 @@ def test_odd_rows(spark):
     assert [c for c in out.columns][-3:] == ["n_words", "n_removed", "kept_text"]
     assert out.count() == len(ODD)
     assert substring.substring_dedup(d.limit(0)).count() == 0
+
+
+def test_blocks_of_rows_give_the_windows_of_the_whole(monkeypatch):
+    """Arrays are made for runs of rows, never for all words of a chunk."""
+    import numpy as np
+    import pyarrow as pa
+    from affinity.llm import packing as P
+    from affinity.llm import substring as S
+    rnd = np.random.default_rng(3)
+    base = [" ".join(f"w{x}" for x in rnd.integers(0, 30, int(k))) for k in rnd.integers(0, 90, 40)]
+    texts = pa.chunked_array([pa.array(base[:13] + [None, ""]), pa.array([], pa.string()), pa.array(base[13:] + base[5:9])])
+    ids = np.arange(len(texts))
+
+    def found():
+        c = S.Chunk(texts, ids)
+        at, h = c.anchors()
+        _, which, n = P.groups(h)
+        return [at, h, *c.candidates(at[(n > 1)[which]])]
+    whole = found()
+    assert len(whole[2]) > 50
+    sizes, grams = [], S.T.Grams
+    monkeypatch.setattr(S.T, "Grams", lambda words: sizes.append(len(words)) or grams(words))
+    monkeypatch.setattr(S, "BLOCK_WORDS", 100)
+    for a, b in zip(whole, found(), strict=True):
+        assert a.dtype == b.dtype and (a == b).all()
+    assert max(sizes) <= 100 and sum(sizes) > 1000

@@ -14,6 +14,10 @@ Each round therefore
 2. merges all pairs that chose each other, and
 3. renames the ends of the edges and adds up parallel ones (one aggregation).
 
+A round that merges few communities changes few edges: only those are written
+again, as a layer beside the others, where an edge counts as long as none of
+its ends has merged since (:class:`Layers`).
+
 Pairs are compared by (closeness, smaller id, larger id), one order for all,
 so the first pair of all always merges and ties cannot block a round.  Only
 edges and one row per merger are kept; a round's edges replace the last's.
@@ -21,8 +25,9 @@ edges and one row per merger are kept; a round's edges replace the last's.
 Parts that no edge joins do not touch each other's rounds.  A part of at most
 ``LOCAL_EDGES`` edges therefore goes through all its rounds in one task, with
 the same numbers; a larger one goes on in rounds of Spark jobs until it has
-shrunk or fallen apart.  Parts are looked for again when half of the edges
-are gone, so that search stays in proportion to the edges.
+shrunk.  Mergers never take a part apart, so parts are looked for once; their
+edges are counted again when half of the edges are gone and more than one
+large part is left.
 """
 
 from __future__ import annotations
@@ -34,10 +39,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from affinity.operators.lineage import Rounds, cut
+from affinity.operators.sizing import is_small, maybe_broadcast
 
 # Edges of a part that one task takes through its rounds: some 20 arrays of
 # eight bytes an edge at most, so about 170 MB.
 LOCAL_EDGES = 1 << 20
+# A round's changed edges become a layer if at most one in so many communities
+# merges with another, that is if some tenth of the communities change.
+LAYER_SHARE = 20
 
 
 def linkage_edges(edges: DataFrame) -> DataFrame:
@@ -55,6 +64,25 @@ def closeness() -> Column:
     return F.col("total").cast("double") / (F.col("na") * F.col("nb")).cast("double")
 
 
+def best_of_ends(e: DataFrame) -> DataFrame:
+    """(node, best, n): the highest closeness of a community's edges, and their number."""
+    ends = e.select(F.explode(F.array("a", "b")).alias("node"), closeness().alias("close"))
+    return ends.groupBy("node").agg(F.max("close").alias("best"), F.count(F.lit(1)).alias("n"))
+
+
+def closest_edges(e: DataFrame, best: DataFrame) -> DataFrame:
+    """The edges that are the closest of one of their ends at least: enough
+    for :func:`mutual_choices`, which sorts what it gets, where a maximum per
+    community is one hash aggregation.  With too many communities for a
+    broadcast, all edges."""
+    if not is_small(best):
+        return e
+    near = e
+    for end in ("a", "b"):
+        near = near.join(F.broadcast(best.select(F.col("node").alias(end), F.col("best").alias(f"best_{end}"))), end)
+    return near.where(closeness() >= F.least("best_a", "best_b")).select(e.columns)
+
+
 def mutual_choices(e: DataFrame) -> DataFrame:
     """The pairs (a, b, na, nb, height) that are each other's closest."""
     choice = F.struct((-closeness()).alias("far"), "a", "b", "na", "nb")
@@ -63,15 +91,20 @@ def mutual_choices(e: DataFrame) -> DataFrame:
     return both.select("a", "b", "c.na", "c.nb", (-F.col("c.far")).alias("height"))
 
 
-def merged_edges(e: DataFrame, mergers: DataFrame) -> DataFrame:
-    """``e`` after the mergers: a community goes by its smallest unit."""
+def merged_edges(e: DataFrame, mergers: DataFrame, only_changed: bool = False) -> DataFrame:
+    """``e`` after the mergers: a community goes by its smallest unit.  With
+    ``only_changed``, only the edges of merged communities."""
     size = (F.col("na") + F.col("nb")).alias("size")
     new = mergers.select(F.explode(F.array("a", "b")).alias("old"), F.col("a").alias("new"), size)
+    new = maybe_broadcast(new, is_small(mergers))
+    columns = e.columns
     for end, n in (("a", "na"), ("b", "nb")):
         m = new.select(F.col("old").alias(f"{end}_old"), F.col("new").alias(f"{end}_new"), F.col("size").alias(f"{end}_size"))
         e = (e.join(m, F.col(end) == F.col(f"{end}_old"), "left")
-             .withColumn(end, F.coalesce(f"{end}_new", end)).withColumn(n, F.coalesce(f"{end}_size", n))
-             .drop(f"{end}_old", f"{end}_new", f"{end}_size"))
+             .withColumn(end, F.coalesce(f"{end}_new", end)).withColumn(n, F.coalesce(f"{end}_size", n)))
+    if only_changed:
+        e = e.where(F.col("a_new").isNotNull() | F.col("b_new").isNotNull())
+    e = e.select(columns)
     turned = F.col("a") > F.col("b")
 
     def either(x: str, y: str) -> Column:
@@ -79,7 +112,7 @@ def merged_edges(e: DataFrame, mergers: DataFrame) -> DataFrame:
     e = e.where(F.col("a") != F.col("b")).select(
         either("a", "b").alias("a"), either("b", "a").alias("b"), "total", either("na", "nb").alias("na"), either("nb", "na").alias("nb"))
     # sizes are the same on all edges of a pair
-    return e.groupBy("a", "b").agg(F.sum("total").alias("total"), F.first("na").alias("na"), F.first("nb").alias("nb"))
+    return e.groupBy("a", "b").agg(F.sum("total").alias("total"), F.max("na").alias("na"), F.max("nb").alias("nb"))
 
 
 def local_rounds(t: pa.Table, n: int) -> pa.Table:
@@ -161,56 +194,106 @@ def parts(e: DataFrame, rounds: Rounds, name: str) -> DataFrame:
     return of
 
 
-def finish_parts(e: DataFrame, rounds: Rounds, n: int, local_edges: int, schema) -> tuple[DataFrame, DataFrame | None]:
-    """From round ``n`` on: all mergers of the parts of at most
-    ``local_edges`` edges, and the edges of the others (None: there are none)."""
-    def finish(t: pa.Table) -> pa.Table:
-        return local_rounds(t, n)
-    if e.count() <= local_edges:
-        return e.groupBy().applyInArrow(finish, schema), None
-    of = parts(e, rounds, f"parts{n}_").withColumnRenamed("node", "a")
-    e = e.join(of, "a")
-    held = rounds.keep(e.groupBy("part").agg(F.count(F.lit(1)).alias("n")), f"sizes{n}")
+def finish_parts(e: DataFrame, of: DataFrame, rounds: Rounds, n: int, local_edges: int, schema) -> tuple[DataFrame | None, DataFrame, int]:
+    """From round ``n`` on: all mergers of the parts of at most ``local_edges``
+    edges (None: there are no such parts), the edges of the others, and the
+    number of these others.  ``of`` gives the part of every end."""
+    in_part = e.join(maybe_broadcast(of.withColumnRenamed("node", "a"), is_small(of)), "a")
+    held = rounds.keep(in_part.groupBy("part").agg(F.count(F.lit(1)).alias("n")), f"sizes{n}")
     # a task takes one part, or many that are small beside the bound
-    few = 16 * F.col("n") <= local_edges
-    edges_of_few = held.where(few).agg(F.sum("n")).first()[0] or 0
-    bins = 1 + 2 * edges_of_few // max(1, local_edges)
-    small = held.where(F.col("n") <= local_edges).select(
+    few, fits = 16 * F.col("n") <= local_edges, F.col("n") <= local_edges
+    edges_of_few, fitting, large = held.agg(F.sum(F.when(few, F.col("n"))), F.count_if(fits), F.count_if(~fits)).first()
+    if not fitting:
+        return None, e, large
+    bins = 1 + 2 * (edges_of_few or 0) // max(1, local_edges)
+    small = held.where(fits).select(
         "part", F.when(~few, F.col("part")).alias("one"), F.when(few, F.pmod(F.xxhash64("part"), F.lit(bins))).alias("bin"))
-    done = e.join(small, "part").drop("part").groupBy("one", "bin").applyInArrow(finish, schema)
-    return done, e.join(small.select("part"), "part", "left_anti").drop("part")
-
-
-def merge_tree(edges: DataFrame, local_edges: int = LOCAL_EDGES) -> DataFrame:
+    done = in_part.join(small, "part").drop("part").groupBy("one", "bin").applyInArrow(lambda t: local_rounds(t, n), schema)
+    return done, in_part.join(small.select("part"), "part", "left_anti").select(e.columns), large
+
+
+class Layers:
+    """The edges of a loop as kept tables: a first one of all edges, and for
+    each later round its changed edges alone.  An edge counts as long as none
+    of its ends has merged after its layer was written."""
+
+    def __init__(self, rounds: Rounds, e: DataFrame, name: str, n: int = 0):
+        self.rounds, self.layers, self.since, self.rows = rounds, [(n, e, name)], None, e.count()
+
+    def edges(self) -> DataFrame:
+        (n, e, _), *later = self.layers
+        if not later:
+            return e
+        columns, first = e.columns, n
+        e = e.withColumn("layer", F.lit(n))
+        for n, more, _ in later:
+            e = e.unionByName(more.withColumn("layer", F.lit(n)))
+        for end in ("a", "b"):
+            e = e.join(F.broadcast(self.since.toDF(end, f"since_{end}")), end, "left")
+        for end in ("a", "b"):
+            e = e.where(F.coalesce(F.col(f"since_{end}"), F.lit(first)) <= F.col("layer"))
+        return e.select(columns)
+
+    def replace(self, e: DataFrame, name: str, n: int) -> None:
+        """``e`` is all edges from round ``n`` on."""
+        e = self.rounds.keep(e, name)
+        for _, _, old in self.layers:
+            self.rounds.drop(old)
+        self.layers, self.since, self.rows = [(n, e, name)], None, e.count()
+
+    def add(self, changed: DataFrame, mergers: DataFrame, n: int) -> None:
+        """The mergers that led to round ``n``, and the edges they changed."""
+        changed = self.rounds.keep(changed, f"edges{n}")
+        since = mergers.select(F.explode(F.array("a", "b")).alias("node"), F.lit(n).alias("since"))
+        if self.since is not None:
+            since = since.unionByName(self.since).groupBy("node").agg(F.max("since").alias("since"))
+        self.since = self.rounds.keep(since, f"since{n}")
+        self.layers.append((n, changed, f"edges{n}"))
+        self.rows += changed.count()
+
+
+def merge_tree(edges: DataFrame, local_edges: int = LOCAL_EDGES, layer_share: int = LAYER_SHARE) -> DataFrame:
     """All mergers: (round, a, b, na, nb, height).  Community b (its smallest
     unit's id) joins a; na and nb are their sizes before, height is their
     closeness.  Every id is a ``b`` at most once.  Rounds go on until no edge
     is left; a round without a merger while edges are left would be an error."""
     none = linkage_edges(edges).select(F.lit(0).alias("round"), "a", "b", "na", "nb", F.lit(0.0).alias("height")).limit(0)
     with Rounds(edges.sparkSession, "communities") as rounds:
-        e, found, n, looked = rounds.keep(linkage_edges(edges), "edges0"), [], 0, None
-        last = "edges0"
-        while not e.isEmpty():
-            left = e.count()
-            if local_edges and (looked is None or 2 * left <= looked or left <= local_edges):
-                looked = left
-                done, rest = finish_parts(e, rounds, n, local_edges, none.schema)
-                rounds.keep(done.select(none.columns), f"finished{n}")
-                found.append(f"finished{n}")
-                if rest is None:
-                    break
-                e = rounds.keep(rest, f"rest{n}")
-                rounds.drop(last)
-                last = f"rest{n}"
-                continue
-            m = rounds.keep(mutual_choices(e).withColumn("round", F.lit(n)).select(none.columns), f"mergers{n}")
-            if m.isEmpty():
+        e, found, n = Layers(rounds, rounds.keep(linkage_edges(edges), "edges0"), "edges0"), [], 0
+        of, counted, large, left, best = None, 0, 2, e.rows, None
+
+        def finish(done: DataFrame) -> None:
+            rounds.keep(done.select(none.columns), f"finished{n}")
+            found.append(f"finished{n}")
+        while left:
+            if left <= local_edges:
+                finish(e.edges().groupBy().applyInArrow(lambda t: local_rounds(t, n), none.schema))
+                break
+            # a single part is all that is left: no need to count its edges apart
+            if local_edges and (of is None or (large > 1 and 2 * left <= counted)):
+                of, counted = parts(e.edges(), rounds, "parts") if of is None else of, left
+                done, rest, large = finish_parts(e.edges(), of, rounds, n, local_edges, none.schema)
+                if done is not None:
+                    finish(done)
+                    e.replace(rest, f"rest{n}", n)
+                    left, best = e.rows, None
+                    continue
+            best = rounds.keep(best_of_ends(e.edges()), f"best{n}") if best is None else best
+            m = mutual_choices(closest_edges(e.edges(), best))
+            m = rounds.keep(m.withColumn("round", F.lit(n)).select(none.columns), f"mergers{n}")
+            merged = m.count()
+            if not merged:
                 raise RuntimeError("edges are left, but no two communities chose each other")
             found.append(f"mergers{n}")
             n += 1
-            e = rounds.keep(merged_edges(e, m), f"edges{n}")
-            rounds.drop(last)
-            last = f"edges{n}"
+            # few mergers leave most edges as they are
+            if is_small(best) and layer_share * merged <= best.count() and e.rows <= 1.5 * left:
+                e.add(merged_edges(e.edges(), m, only_changed=True), m, n)
+                best = rounds.keep(best_of_ends(e.edges()), f"best{n}")
+                left = (best.agg(F.sum("n")).first()[0] or 0) // 2
+            else:
+                e.replace(merged_edges(e.edges(), m), f"edges{n}", n)
+                left, best = e.rows, None
         return cut(rounds.read(found, none.schema)) if found else none
 
 

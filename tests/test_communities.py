@@ -151,3 +151,18 @@ def test_small_parts_need_no_round_of_jobs(spark, monkeypatch):
 def test_text_ids_in_one_task(spark):
     e = spark.createDataFrame([("b", "a", 5), ("é", "z", 5), ("a", "z", 1)], "u1 string, u2 string, w long")
     assert sorted(C.merge_tree(e).collect()) == sorted(C.merge_tree(e, local_edges=0).collect())
+
+
+def test_layers_of_changed_edges_give_the_rounds_of_one_task(spark, monkeypatch):
+    """Rounds that write changed edges only, with ties, against local rounds;
+    parts are looked for once, however many rounds a large part takes."""
+    rnd = random.Random(5)
+    edges = [(a, b, rnd.randrange(1, 4)) for a, b in combinations(range(9), 2) if rnd.random() < 0.5]
+    edges += [(100 + a, 101 + a, 50 + a) for a in range(3)]
+    e, layers, looked = frame(spark, edges), [], []
+    in_one_task = sorted(C.merge_tree(e).collect())
+    add, parts = C.Layers.add, C.parts
+    monkeypatch.setattr(C.Layers, "add", lambda self, *a: (layers.append(1), add(self, *a))[1])
+    monkeypatch.setattr(C, "parts", lambda *a: (looked.append(1), parts(*a))[1])
+    assert sorted(C.merge_tree(e, local_edges=4, layer_share=1).collect()) == in_one_task
+    assert layers and len(looked) == 1

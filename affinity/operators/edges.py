@@ -91,13 +91,18 @@ def connectivity_index(incidence: DataFrame, group_col: str, unit_col: str,
     for end, n in (("u1", "n1"), ("u2", "n2")):
         of_end = degree.select(F.col("u").alias(end), F.col("n").alias(n))
         counted = counted.join(maybe_broadcast(of_end, small_units), end)
-    both = F.inline(F.array(F.struct(F.col("u1"), F.col("u2")), F.struct(F.col("u2").alias("u1"), F.col("u1").alias("u2"))))
-    edges = counted.select("u1", "u2", score("c", "n1", "n2")).select(both, "w")
+    edges = both_directions(counted.select("u1", "u2", score("c", "n1", "n2")))
     if not include_self:
         return edges
     return edges.unionByName(degree.select(F.col("u").alias("u1"), F.col("u").alias("u2"), score("n", "n", "n")))
 
 
+def both_directions(pairs: DataFrame, u1: str = "u1", u2: str = "u2") -> DataFrame:
+    """Rows of pairs in one direction (no self pairs), each in both."""
+    ends = F.array(F.struct(F.col(u1), F.col(u2)), F.struct(F.col(u2).alias(u1), F.col(u1).alias(u2)))
+    return pairs.select(F.inline(ends), *[F.col(c) for c in pairs.columns if c not in (u1, u2)])
+
+
 def drop_self_pairs(edges: DataFrame, u1: str = "u1", u2: str = "u2") -> DataFrame:
     """Remove self pairs (``u1 != u2``; pairs with a null end drop too)."""
     return edges.where(F.col(u1) != F.col(u2))

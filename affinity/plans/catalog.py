@@ -329,9 +329,11 @@ def pair_features(b):
 @query
 def pair_chain(b):
     """The regression table as three joins of pair tables on (u1, u2)."""
-    edges = getattr(b, "pair_buckets", b.edges)   # inputs may keep the edges bucketed by both ends
-    f = P.pair_chain(edges, b.pair_coords, b.rate, b.results, b.attitudes, small=b.small_units)
-    return f.select("u1", "u2", _r("ln_w"), _r("gap_att"), _r("gap_result"), _r("ln_km"), _r("gap_rate"))
+    kept = getattr(b, "pair_buckets", None)   # inputs may keep every pair once, bucketed by both ends
+    f = P.pair_chain(b.edges if kept is None else kept, b.pair_coords, b.rate, b.results, b.attitudes, small=b.small_units)
+    f = f.select("u1", "u2", _r("ln_w"), _r("gap_att"), _r("gap_result"), _r("ln_km"), _r("gap_rate"))
+    # distance and gaps are the same from either end
+    return f if kept is None else E.both_directions(f)
 
 
 @query

@@ -126,3 +126,17 @@ def test_gap_correlation_query_joins_one_row_a_unit(spark):
     from affinity.plans import catalog
     plan = catalog.run("gap_correlation", Binding(spark, SF01, keep=False))._jdf.queryExecution().optimizedPlan().toString()
     assert "collect_list" in plan
+
+
+def test_chain_joins_every_pair_once(spark):
+    """The table of the chain holds one direction of each pair; the query's
+    rows are those of the chain over both directions, matches of titles too."""
+    from affinity.plans import catalog
+    from conftest import SF01
+    b = Binding(spark, SF01)
+    got = catalog.run("pair_chain", b)
+    assert b.pair_buckets.count() * 2 == b.edges.count() > 0
+    f = P.pair_chain(b.edges, b.pair_coords, b.rate, b.results, b.attitudes, small=b.small_units)
+    want = f.select("u1", "u2", *[catalog._r(c) for c in ("ln_w", "gap_att", "gap_result", "ln_km", "gap_rate")])
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
+    b.release()

@@ -108,20 +108,20 @@ def drop_self_pairs(edges: DataFrame, u1: str = "u1", u2: str = "u2") -> DataFra
     return edges.where(F.col(u1) != F.col(u2))
 
 
-def unit_score(edges: DataFrame, how: str = "avg", unit: str = "u1", w: str = "w",
-               alias: str | None = None) -> DataFrame:
-    """Per source unit: mean (``avg``) or maximum (``max``) score.  One
-    partial + final aggregation; the shuffle carries one row per unit per
-    map task, not the edges."""
+def unit_score(edges: DataFrame, how: str = "avg", unit: str = "u1", w: str | Column = "w",
+               alias: str | None = None, more: tuple[Column, ...] = ()) -> DataFrame:
+    """Per source unit: mean (``avg``) or maximum (``max``) score, and what
+    ``more`` aggregates.  One partial + final aggregation; the shuffle carries
+    one row per unit per map task, not the edges."""
     fn = {"avg": F.avg, "max": F.max, "min": F.min, "sum": F.sum}[how]
-    return edges.groupBy(F.col(unit).alias("unit")).agg(fn(w).alias(alias or f"{how}_score"))
+    return edges.groupBy(F.col(unit).alias("unit")).agg(fn(w).alias(alias or f"{how}_score"), *more)
 
 
 def unit_sums(edges: DataFrame) -> DataFrame:
     """(unit, total, n): per source unit, the sum of its scores (in double, as
     a mean adds them up) and their number.  Unit means and the mean over all
     edges both follow from it, so the edges are read once for the two."""
-    return edges.groupBy(F.col("u1").alias("unit")).agg(F.sum(F.col("w").cast("double")).alias("total"), F.count("w").alias("n"))
+    return unit_score(edges, "sum", w=F.col("w").cast("double"), alias="total", more=(F.count("w").alias("n"),))
 
 
 def unit_means(sums: DataFrame, alias: str = "avg_score") -> DataFrame:

@@ -42,46 +42,69 @@ def connectivity_index(incidence: DataFrame, group_col: str, unit_col: str,
     shared by i and j, and ``w_ij = floor(scale * c_ij / (n_i * n_j))``.
     With ``include_self`` the diagonal (``c_ii = n_i``) is kept, as in a
     complete published index; :func:`drop_self_pairs` removes it.
-
-    Plan: distinct links (partial aggregation before the shuffle); a
-    self-join on the group key that gives each pair once (u1 < u2); pair
-    counts combined map-side right after the join, keyed by the pair alone;
-    unit degrees attached to the counted pairs, which are then mirrored.  The
-    diagonal comes from the degrees.  ``small_units`` says that the degrees
-    fit a broadcast (see :mod:`affinity.operators.sizing`).
-
-    Hot groups: a group with m units yields m^2 / 2 pairs, all from one task
-    in a plain self-join, and its input partition is small, so runtime
-    skew detection would not see it.  Groups with more than
-    ``hot_group_units`` units are therefore split: both sides are hashed
+    """
+    return both_directions(half_index(incidence, group_col, unit_col, scale, include_self,
+                                      hot_group_units, hot_bucket_units, small_units))
+
+
+def half_index(incidence: DataFrame, group_col: str, unit_col: str,
+               scale: float = SCORE_SCALE, include_self: bool = True,
+               hot_group_units: int = HOT_GROUP_UNITS,
+               hot_bucket_units: int = HOT_BUCKET_UNITS, small_units: bool = False) -> DataFrame:
+    """The rows of :func:`connectivity_index` with u1 <= u2; the index is
+    symmetric, so :func:`both_directions` gives the rest without a shuffle.
+
+    Plan: links are dealt by group once; a group's distinct units become one
+    sorted array, and these arrays are dealt once more, so that making links
+    distinct is not repeated by their two readers.  From them come the unit
+    degrees and, by exploding an array against its own rest, each pair once
+    (u1 < u2), without a join of the links with themselves.  Pair counts are
+    combined map-side, keyed by the pair alone; degrees are attached to the
+    counted pairs.  The diagonal comes from the degrees.  ``small_units``
+    says that the degrees fit a broadcast (see
+    :mod:`affinity.operators.sizing`).
+
+    Hot groups: a group with m units yields m^2 / 2 pairs, and its units
+    would be one row.  Groups with more than ``hot_group_units`` incidence
+    rows are therefore kept out of the arrays and split: both sides are hashed
     into S = ceil(m / hot_bucket_units) buckets by unit, each row is
     replicated across the other side's buckets, and the join key becomes
     (group, bucket1, bucket2).  Every pair is still produced exactly once,
     by one of S^2 tasks.  m counts distinct links, so S follows the pairs.
     """
-    links = distinct_links(incidence, group_col, unit_col)
-    degree = links.groupBy("u").agg(F.count(F.lit(1)).alias("n"))
-    sizes = links.groupBy("g").agg(F.count(F.lit(1)).alias("m"))
-    hot = sizes.where(F.col("m") > F.lit(hot_group_units)).select(
-        "g", F.ceil(F.col("m") / F.lit(hot_bucket_units)).cast("int").alias("s"))
-    # no hint: a small hot list is broadcast by the planner / AQE
-    tagged = links.join(hot, "g", "left")
-
-    # ordinary groups: plain self-join on g; both sides are the same plan,
-    # so one exchange of the links serves both
-    plain = tagged.where(F.col("s").isNull())
-    pairs = (plain.select("g", F.col("u").alias("u1"))
-             .join(plain.select("g", F.col("u").alias("u2")), "g").where(F.col("u1") < F.col("u2")))
+    links = incidence.select(F.col(group_col).alias("g"), F.col(unit_col).alias("u")).where(
+        F.col("g").isNotNull() & F.col("u").isNotNull())
+    # rows are no fewer than distinct units, so no array exceeds the bound.
+    # Dealt by both columns the hot list is a stage of its own: AQE then sees
+    # its true size, and an empty list drops the joins and the split branch.
+    hot = (links.groupBy("g").agg(F.count(F.lit(1)).alias("rows"))
+           .where(F.col("rows") > F.lit(hot_group_units)).repartition("g", "rows").select("g"))
+    dealt = links.repartition("g")
+
+    # ordinary groups: an array of units each, at most hot_group_units long
+    # (dealt anew by a hash of g, as by g they lie already), in a fixed number
+    # of partitions: AQE merges small ones by bytes, but arrays grow to pairs,
+    # and a task's map-side counts have to fit its memory
+    n = int(incidence.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    sets = (dealt.join(hot, "g", "left_anti").groupBy("g").agg(F.sort_array(F.collect_set("u")).alias("us"))
+            .repartition(n, F.xxhash64("g")).select("us"))
+    pairs = (sets.select("us", F.posexplode("us").alias("i", "u1"))
+             .select("u1", F.explode(F.slice("us", F.col("i") + 2, F.size("us"))).alias("u2")))
 
     # hot groups: (group, bucket1, bucket2) cells, each pair in exactly one
-    split = tagged.where(F.col("s").isNotNull())
+    many = dealt.join(hot, "g", "left_semi").distinct()
+    cells = many.groupBy("g").agg(F.ceil(F.count(F.lit(1)) / F.lit(hot_bucket_units)).cast("int").alias("s"))
+    split = many.join(cells, "g")
     every = F.explode(F.sequence(F.lit(0), F.col("s") - 1))
     bucket = F.pmod(F.xxhash64("u"), F.col("s")).cast("int")
     left = split.select("g", F.col("u").alias("u1"), bucket.alias("b1"), every.alias("b2"))
     right = split.select("g", F.col("u").alias("u2"), every.alias("b1"), bucket.alias("b2"))
     hot_pairs = left.join(right, ["g", "b1", "b2"]).where(F.col("u1") < F.col("u2"))
 
-    counted = (pairs.select("u1", "u2").unionByName(hot_pairs.select("u1", "u2"))
+    # units are few beside pairs: fewer, larger maps leave fewer partial counts
+    degree = (sets.coalesce(-(-n // 8)).select(F.explode("us").alias("u")).unionByName(many.select("u"))
+              .groupBy("u").agg(F.count(F.lit(1)).alias("n")))
+    counted = (pairs.unionByName(hot_pairs.select("u1", "u2"))
                .groupBy("u1", "u2").agg(F.count(F.lit(1)).alias("c")))
     # in double: n1 * n2 may exceed 64 bits for very hot units; below 2^53
     # it equals the exact product
@@ -91,15 +114,17 @@ def connectivity_index(incidence: DataFrame, group_col: str, unit_col: str,
     for end, n in (("u1", "n1"), ("u2", "n2")):
         of_end = degree.select(F.col("u").alias(end), F.col("n").alias(n))
         counted = counted.join(maybe_broadcast(of_end, small_units), end)
-    edges = both_directions(counted.select("u1", "u2", score("c", "n1", "n2")))
+    edges = counted.select("u1", "u2", score("c", "n1", "n2"))
     if not include_self:
         return edges
     return edges.unionByName(degree.select(F.col("u").alias("u1"), F.col("u").alias("u2"), score("n", "n", "n")))
 
 
 def both_directions(pairs: DataFrame, u1: str = "u1", u2: str = "u2") -> DataFrame:
-    """Rows of pairs in one direction (no self pairs), each in both."""
-    ends = F.array(F.struct(F.col(u1), F.col(u2)), F.struct(F.col(u2).alias(u1), F.col(u1).alias(u2)))
+    """Rows of pairs in one direction, each in both; self pairs stay single."""
+    there = F.struct(F.col(u1), F.col(u2))
+    back = F.struct(F.col(u2).alias(u1), F.col(u1).alias(u2))
+    ends = F.when(F.col(u1) == F.col(u2), F.array(there)).otherwise(F.array(there, back))
     return pairs.select(F.inline(ends), *[F.col(c) for c in pairs.columns if c not in (u1, u2)])
 
 

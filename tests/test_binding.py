@@ -35,6 +35,25 @@ def test_index_is_symmetric(spark):
     assert e.exceptAll(mirrored).count() == 0
 
 
+def test_edges_keep_half_of_the_index(spark):
+    from affinity.plans.catalog import run
+    from conftest import SF001
+    b = Binding(spark, SF001, keep=True)
+    level = run("edge_level", b)
+    assert "raw_index" not in b.__dict__ and b.half_index.storageLevel.useMemory and b.half_index.storageLevel.useDisk
+    assert b.half_index.where(F.col("u1") > F.col("u2")).count() == 0
+    n = level.count()
+    mirrored = b.edges.select(F.col("u2").alias("u1"), F.col("u1").alias("u2"), "w")
+    assert b.edges.exceptAll(mirrored).count() == 0 and b.raw_index.exceptAll(b.edges).where("u1 != u2").count() == 0
+    half = b.half_index
+    b.release()
+    assert not half.storageLevel.useMemory
+    again = Binding(spark, SF001, keep=True)
+    assert again.raw_index.count() > 0
+    assert run("edge_level", again).count() == n and not again.half_index.storageLevel.useMemory
+    again.release()
+
+
 def test_durable_index_cuts_lineage(spark):
     from conftest import SF001
     cached = Binding(spark, SF001, keep=False).raw_index

@@ -1,6 +1,7 @@
 import itertools
 import math
 import random
+import re
 
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -59,6 +60,34 @@ def test_connectivity_index_split_hot_groups(spark):
     assert got == brute_index(links)
 
 
+def _final_plan(df):
+    df.collect()
+    return df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+
+
+def test_connectivity_index_does_not_join_links_with_themselves(spark):
+    """Ordinary groups: arrays of units, made distinct once for their two
+    readers; the empty list of hot groups leaves no join by group."""
+    rnd = random.Random(3)
+    links = [(rnd.randrange(60), rnd.randrange(15)) for _ in range(400)]
+    df = spark.createDataFrame(links * 2 + [(None, 1), (5, None)], "g long, u long").repartition(3)
+    out = connectivity_index(df, "g", "u")
+    assert {(r.u1, r.u2): r.w for r in out.collect()} == brute_index(links)
+    assert not re.search(r"Join \[g#", _final_plan(out))
+    assert "ReusedExchange" in _final_plan(out)
+
+
+def test_connectivity_index_hot_groups_with_repeated_rows(spark):
+    """A group is kept out of the arrays for its rows, and split by its
+    distinct units: one that repeats few units, one that holds many."""
+    links = [(0, u) for u in range(50)] + [(1, u % 3) for u in range(60)] + [(g, g % 50) for g in range(2, 90)]
+    links += [(g, (g * 7) % 50) for g in range(2, 90)]
+    df = spark.createDataFrame(links + links[:70] + [(0, None), (None, 3)], "g long, u long")
+    out = connectivity_index(df, "g", "u", hot_group_units=20, hot_bucket_units=7)
+    rows = [tuple(r) for r in out.collect()]
+    assert len(rows) == len(set(rows)) and {(a, b): w for a, b, w in rows} == brute_index(links)
+
+
 def test_unit_score_and_coords(spark):
     e = spark.createDataFrame([(1, 2, 10), (1, 3, 30), (2, 1, 5)], "u1 long, u2 long, w long")
     c = spark.createDataFrame([(1, 30.0, -90.0), (2, 55.0, -90.0), (3, 30.0, -90.0)], "unit long, lat double, lon double")

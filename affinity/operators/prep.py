@@ -51,7 +51,9 @@ def medians(df: DataFrame, names: list[str]) -> dict[str, float | None]:
         asked = df.sparkSession.createDataFrame([(i, k, lo, hi) for (i, k), (lo, hi, _) in todo.items()],
                                                 "i int, k long, lo double, hi double")
         inside = d.join(F.broadcast(asked), "i").where(F.col("x").between(F.col("lo"), F.col("hi")))
-        share = (F.col("x") / 2 - F.col("lo") / 2) / (F.col("hi") / 2 - F.col("lo") / 2)      # halves cannot overflow
+        half = F.col("hi") / 2 - F.col("lo") / 2      # halves cannot overflow, but those of the smallest numbers vanish
+        share = F.when(half != 0, (F.col("x") / 2 - F.col("lo") / 2) / half).otherwise(
+            (F.col("x") - F.col("lo")) / (F.col("hi") - F.col("lo")))
         held: dict[tuple[int, int], list] = {}
         for r in inside.groupBy("i", "k", F.least(F.floor(share * SELECT_BINS), F.lit(SELECT_BINS - 1)).alias("bin")).agg(
                 F.count(F.lit(1)).alias("n"), F.min("x").alias("lo"), F.max("x").alias("hi")).collect():

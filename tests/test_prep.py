@@ -47,6 +47,12 @@ def test_medians_are_exact(spark, xs):
     assert got["x"] == want and got["y"] == (statistics.median(range(len(xs))) if xs else None)
 
 
+def test_medians_of_the_smallest_numbers(spark):
+    df = spark.createDataFrame([(x,) for x in (0.0, 5e-324, 1e-323, 1e-323, 1e-323)], "x double")
+    assert prep.medians(df, ["x"]) == {"x": 1e-323}
+    assert prep.medians(df.limit(2), ["x"]) == {"x": 0.0}
+
+
 def test_median_of_a_hot_value_takes_few_passes(spark, monkeypatch):
     """Most rows hold one value: bins split at the values there are."""
     df = spark.createDataFrame([(7.0,)] * 500 + [(float(i),) for i in range(300)] + [(1e12,)], "x double")

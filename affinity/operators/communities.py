@@ -28,18 +28,25 @@ the same numbers; a larger one goes on in rounds of Spark jobs until it has
 shrunk.  Mergers never take a part apart, so parts are looked for once; their
 edges are counted again when half of the edges are gone and more than one
 large part is left.
+
+Large parts whose edges fit the memory of all tasks at once go through their
+rounds in tasks side by side (:mod:`affinity.operators.sidebyside`); rounds of
+Spark jobs are for parts beyond that.
 """
 
 from __future__ import annotations
 
+from functools import partial
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from affinity.operators import sidebyside
 from affinity.operators.lineage import Rounds, cut
-from affinity.operators.sizing import is_small, maybe_broadcast
+from affinity.operators.sizing import barrier_slots, is_small, maybe_broadcast
 
 # Edges of a part that one task takes through its rounds: some 20 arrays of
 # eight bytes an edge at most, so about 170 MB.
@@ -212,6 +219,64 @@ def finish_parts(e: DataFrame, of: DataFrame, rounds: Rounds, n: int, local_edge
     return done, in_part.join(small.select("part"), "part", "left_anti").select(e.columns), large
 
 
+def numbered(e: DataFrame, rounds: Rounds, name: str) -> DataFrame:
+    """(node, idx, size) of all ends of the edges, numbered by their order."""
+    ends = e.select(F.inline(F.array(*[F.struct(F.col(end).alias("node"), F.col(n).alias("size")) for end, n in (("a", "na"), ("b", "nb"))])))
+    ends = ends.groupBy("node").agg(F.max("size").alias("size"))
+    ends = rounds.keep(ends.orderBy("node").withColumn("place", F.monotonically_increasing_id()), name)
+    # a place is its partition's number, 33 bits, and the row's within it
+    of = F.shiftright("place", 33).alias("of")
+    before = F.sum("n").over(Window.orderBy("of").rowsBetween(Window.unboundedPreceding, -1))
+    start = ends.groupBy(of).agg(F.count(F.lit(1)).alias("n")).select("of", F.coalesce(before, F.lit(0)).alias("start"))
+    idx = F.col("start") + F.col("place").bitwiseAND(F.lit((1 << 33) - 1))
+    return ends.withColumn("of", of).join(F.broadcast(start), "of").select("node", idx.alias("idx"), "size")
+
+
+def finish_side_by_side(e: DataFrame, edges: int, rounds: Rounds, n: int, schema) -> list[str] | None:
+    """All mergers of the edges from round ``n`` on, as names of kept tables,
+    by stages of tasks side by side.  None if the edges do not fit these."""
+    slots = barrier_slots(e.sparkSession)
+    if 2 * edges > slots * sidebyside.MOST_ENTRIES:
+        return None
+    index = rounds.keep(numbered(e, rounds, f"places{n}"), f"index{n}")
+    nodes = index.count()
+    if nodes > sidebyside.MOST_NODES:
+        return None
+
+    def key(x: str, c: str) -> Column:
+        return F.shiftleft(F.col(x).cast("bigint"), 32).bitwiseOR(F.col(c).cast("bigint")).alias("key")
+
+    small = is_small(index)
+    for end in ("a", "b"):
+        i = index.select(F.col("node").alias(end), F.col("idx").alias(f"{end}_idx"))
+        e = e.join(maybe_broadcast(i, small), end).withColumn(end, F.col(f"{end}_idx"))
+    rows = e.select(F.inline(F.array(*[F.struct(key(*ends), "total") for ends in (("a", "b"), ("b", "a"))])))
+    rows = rows.unionByName(index.select(key("idx", "idx"), F.col("size").alias("total")))
+    piece = F.shiftright("key", 32) % sidebyside.PIECES
+    found, last = [], None
+    while edges:
+        tasks = 1 if 2 * edges <= sidebyside.ALONE_ENTRIES else max(1, min(slots, -(-2 * edges // sidebyside.TASK_ENTRIES)))
+        dealt = rows.repartitionById(tasks, (piece % tasks).cast("int")).drop("piece")
+        if tasks > 1:
+            out = dealt.mapInArrow(partial(sidebyside.together, nodes=nodes, n=n), sidebyside.SCHEMA, barrier=True)
+        else:
+            out = dealt.mapInArrow(partial(sidebyside.alone, nodes=nodes, n=n), sidebyside.SCHEMA)
+        name = f"stage{n}"
+        out = rounds.keep(out, name)
+        m = out.where("round is not null")
+        for end in ("a", "b"):
+            i = index.select(F.col("idx").cast("int").alias(end), F.col("node").alias(f"{end}_node"))
+            m = m.join(maybe_broadcast(i, small), end).withColumn(end, F.col(f"{end}_node"))
+        rounds.keep(m.select([f.name for f in schema]), f"finished_{name}")
+        found.append(f"finished_{name}")
+        if last is not None:
+            rounds.drop(last)
+        last, rows, piece = name, out.where("round is null").select("piece", "data"), F.col("piece")
+        entries, newest = out.agg(F.sum("total"), F.max("round")).first()
+        edges, n = (entries or 0) // 2, newest + 1
+    return found
+
+
 class Layers:
     """The edges of a loop as kept tables: a first one of all edges, and for
     each later round its changed edges alone.  An edge counts as long as none
@@ -252,15 +317,17 @@ class Layers:
         self.rows += changed.count()
 
 
-def merge_tree(edges: DataFrame, local_edges: int = LOCAL_EDGES, layer_share: int = LAYER_SHARE) -> DataFrame:
+def merge_tree(edges: DataFrame, local_edges: int = LOCAL_EDGES, layer_share: int = LAYER_SHARE,
+               side_edges: int = LOCAL_EDGES) -> DataFrame:
     """All mergers: (round, a, b, na, nb, height).  Community b (its smallest
     unit's id) joins a; na and nb are their sizes before, height is their
     closeness.  Every id is a ``b`` at most once.  Rounds go on until no edge
-    is left; a round without a merger while edges are left would be an error."""
+    is left; a round without a merger while edges are left would be an error.
+    More than ``side_edges`` edges go side by side, if they fit."""
     none = linkage_edges(edges).select(F.lit(0).alias("round"), "a", "b", "na", "nb", F.lit(0.0).alias("height")).limit(0)
     with Rounds(edges.sparkSession, "communities") as rounds:
         e, found, n = Layers(rounds, rounds.keep(linkage_edges(edges), "edges0"), "edges0"), [], 0
-        of, counted, large, left, best = None, 0, 2, e.rows, None
+        of, counted, large, left, best, tried = None, 0, 2, e.rows, None, None
 
         def finish(done: DataFrame) -> None:
             rounds.keep(done.select(none.columns), f"finished{n}")
@@ -278,6 +345,12 @@ def merge_tree(edges: DataFrame, local_edges: int = LOCAL_EDGES, layer_share: in
                     e.replace(rest, f"rest{n}", n)
                     left, best = e.rows, None
                     continue
+            if left > side_edges and (tried is None or 2 * left <= tried):
+                tried = left
+                finished = finish_side_by_side(e.edges(), left, rounds, n, none.schema)
+                if finished is not None:
+                    found += finished
+                    break
             best = rounds.keep(best_of_ends(e.edges()), f"best{n}") if best is None else best
             m = mutual_choices(closest_edges(e.edges(), best))
             m = rounds.keep(m.withColumn("round", F.lit(n)).select(none.columns), f"mergers{n}")

@@ -11,7 +11,7 @@ splits skewed partitions.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 # Largest unit source (bytes of its files) whose unit tables are broadcast.
@@ -33,3 +33,13 @@ def is_small(source: DataFrame, max_bytes: int = UNIT_SOURCE_BYTES) -> bool:
 def maybe_broadcast(df: DataFrame, small: bool) -> DataFrame:
     """Broadcast-hint ``df`` if the caller knows it to be small."""
     return F.broadcast(df) if small else df
+
+
+def barrier_slots(spark: SparkSession) -> int:
+    """Tasks that can run at one time, as a barrier stage needs them; 0 where
+    executors come and go, which such a stage does not allow."""
+    sc = spark.sparkContext
+    if sc.getConf().get("spark.dynamicAllocation.enabled", "false").lower() == "true":
+        return 0
+    jsc = sc._jsc.sc()
+    return jsc.maxNumConcurrentTasks(jsc.resourceProfileManager().defaultResourceProfile())

@@ -1,10 +1,14 @@
+import functools
 import random
 from collections import Counter
 from itertools import combinations
 
+import numpy as np
+import pyarrow as pa
 import pytest
 
 from affinity.operators import communities as C
+from affinity.operators import sidebyside as S
 
 EDGES = "u1 long, u2 long, w long"
 
@@ -166,3 +170,58 @@ def test_layers_of_changed_edges_give_the_rounds_of_one_task(spark, monkeypatch)
     monkeypatch.setattr(C, "parts", lambda *a: (looked.append(1), parts(*a))[1])
     assert sorted(C.merge_tree(e, local_edges=4, layer_share=1).collect()) == in_one_task
     assert layers and len(looked) == 1
+
+
+def refuse(*_):
+    raise AssertionError("a round of jobs")
+
+
+@pytest.mark.parametrize("seed,density,scores,text", [(1, 0.4, 10 ** 9, False), (3, 0.5, 2, True)])
+def test_tasks_side_by_side_give_the_rounds_of_one_task(spark, monkeypatch, seed, density, scores, text):
+    """A large part goes on in barrier stages, not in rounds of jobs."""
+    rnd = random.Random(seed)
+    ids = [f"u{i}" if text else 7 * i for i in range(26)]
+    edges = [(ids[a], ids[b], rnd.randrange(1, scores)) for a, b in combinations(range(26), 2) if rnd.random() < density]
+    e = spark.createDataFrame(edges, "u1 string, u2 string, w long" if text else EDGES)
+    in_one_task = sorted(C.merge_tree(e).collect())
+    stages, together = [], S.together
+    monkeypatch.setattr(C, "mutual_choices", refuse)
+    monkeypatch.setattr(S, "TASK_ENTRIES", 60)
+    monkeypatch.setattr(S, "ALONE_ENTRIES", 40)
+    monkeypatch.setattr(C, "partial", lambda f, **given: (stages.append(f is together), functools.partial(f, **given))[1])
+    assert sorted(C.merge_tree(e, local_edges=4, side_edges=0).collect()) == in_one_task
+    assert any(stages)
+
+
+def test_side_by_side_after_rounds_of_jobs(spark, monkeypatch):
+    """Edges beyond the tasks' memory take rounds of jobs until they fit; then
+    communities have sizes above one."""
+    rnd = random.Random(4)
+    edges = [(a, b, rnd.randrange(1, 50)) for a, b in combinations(range(16), 2)]
+    e, rounds = frame(spark, edges), []
+    in_one_task = sorted(C.merge_tree(e).collect())
+    choices = C.mutual_choices
+    monkeypatch.setattr(C, "mutual_choices", lambda e: (rounds.append(1), choices(e))[1])
+    monkeypatch.setattr(C, "barrier_slots", lambda _: 2)
+    monkeypatch.setattr(S, "MOST_ENTRIES", 40)
+    monkeypatch.setattr(S, "TASK_ENTRIES", 20)
+    monkeypatch.setattr(S, "ALONE_ENTRIES", 10)
+    assert sorted(C.merge_tree(e, local_edges=1, side_edges=0).collect()) == in_one_task
+    assert 0 < len(rounds) <= max(r.round for r in in_one_task)
+
+
+@pytest.mark.parametrize("told", [1, 60, S.TOLD])
+def test_stages_of_any_length_give_the_rounds(monkeypatch, told):
+    """However many entries end a stage, also many parts and ties at once."""
+    monkeypatch.setattr(S, "TOLD", told)
+    rnd = random.Random(told)
+    pairs = [(a, b) for a, b in combinations(range(70), 2) if a // 40 == b // 40 and rnd.random() < 0.3]
+    a, b = np.array(pairs).T
+    total, one = np.array([rnd.randrange(1, 6) for _ in pairs]), np.ones(len(pairs), dtype=np.int64)
+    edges = pa.table({k: pa.chunked_array([v]) for k, v in (("a", a), ("b", b), ("total", total), ("na", one), ("nb", one))})
+    nodes = np.unique(np.concatenate([a, b]))
+    x, c, t = (np.concatenate(v) for v in ((a, b, nodes), (b, a, nodes), (total, total, np.ones(len(nodes), dtype=np.int64))))
+    rows = pa.record_batch([x << 32 | c, t], names=["key", "total"])
+    columns = ["round", "a", "b", "na", "nb", "height"]
+    got = pa.Table.from_batches(list(S.alone([rows], 70, 0))).select(columns).to_pylist()
+    assert sorted(map(str, got)) == sorted(map(str, C.local_rounds(edges, 0).to_pylist()))
